@@ -1,0 +1,36 @@
+"""Join helpers with an explicit size check before broadcasting.
+
+``broadcast()`` is only used for a side whose row count is *proven* small:
+either it comes from a fixed literal (the festival calendar), or it was
+materialised and counted here.  Above the bound the join is left to the
+optimiser (sort-merge, with AQE's skew-join splitting of hot keys).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension larger than this is never broadcast by us.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows' worth of counts; intended for a side
+    that has been written or checkpointed, so the check is cheap.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only if its row count is within ``max_rows``."""
+    return F.broadcast(df) if bounded_rows(df, max_rows) else df
+
+
+def literal_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast for frames whose size is bounded by a literal in the code
+
+    (e.g. the festival calendar: 11 days per listed centre)."""
+    return F.broadcast(df)

@@ -35,7 +35,7 @@ tag as (
   select d, min_by(nm, o) as festival_name
   from days join fest on abs(datediff('day', fd, d)) <= 5 group by d),
 sales as (
-  select l_partkey as product_id, p.category_id, p.product_name, c.category_name,
+  select l_orderkey as order_key, l_linenumber as line_number, l_partkey as product_id, p.category_id, p.product_name, c.category_name,
          cast(l_quantity as int) as quantity,
          cast(l_discount * 100 as decimal(5,2)) as discount_percent,
          cast(cast(l_quantity as int) * p.selling_price
@@ -52,7 +52,7 @@ sales as (
   left join tag on tag.d = cast(l_shipdate as date))
 """
 
-SALES_COLS = ("product_id, category_id, product_name, category_name, quantity, discount_percent, "
+SALES_COLS = ("order_key, line_number, product_id, category_id, product_name, category_name, quantity, discount_percent, "
               "sale_amount, profit, sale_date, month, year, is_festival_month, festival_name, "
               "created_at, updated_at")
 

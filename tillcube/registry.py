@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .functions import money
-from .operators import calendar, kpi, olap
+from .operators import calendar, kpi, layout, olap, temporal
+from .session import new_table_path
 from .sources import retail, tables
 
 # Default parameters (FIXTURES.md).
@@ -278,3 +279,339 @@ PIVOT_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 def q_olap_pivot(spark, sf_dir):
     w = wh(spark, sf_dir)
     return olap.pivot_month_category(w.sales(), olap.category_names(w.categories()))
+
+
+# -------------------------------------------------------------------- temporal
+PRICE_DATE = dt.date(1998, 6, 1)
+CREATED_AFTER = dt.datetime(1999, 1, 1)
+
+VERSIONS_SQL = """,
+versions as (
+  select product_id, product_name,
+         cast(cost_price * v.k as decimal(10,2)) as cost_price,
+         cast(selling_price * v.k as decimal(10,2)) as selling_price,
+         v.vf as valid_from, v.vt as valid_to
+  from products cross join (values (date '1995-01-01', date '1996-12-31', cast(0.9 as decimal(2,1))),
+                                   (date '1997-01-01', date '1998-12-31', cast(1.0 as decimal(2,1))),
+                                   (date '1999-01-01', date '9999-12-31', cast(1.1 as decimal(2,1)))) v(vf, vt, k))
+"""
+
+
+@register("sales_created_after", O.q(f"""
+select {O.SALES_COLS} from sales where created_at > timestamp '{CREATED_AFTER}'"""))
+def q_sales_created_after(spark, sf_dir):
+    """Transaction-time lower bound (strict)."""
+    return temporal.created_after(wh(spark, sf_dir).sales(), CREATED_AFTER)
+
+
+@register("price_at_date", O.q(VERSIONS_SQL + f"""
+select * from versions where date '{PRICE_DATE}' between valid_from and valid_to"""))
+def q_price_at_date(spark, sf_dir):
+    """Every product's price version valid on the given date."""
+    return temporal.price_at_date(temporal.price_versions(wh(spark, sf_dir).products()), PRICE_DATE)
+
+
+@register("sales_price_asof", O.q(VERSIONS_SQL + f"""
+select s.year, count(*) as orders,
+       {O.msum('s.quantity * v.selling_price')} as list_revenue,
+       {O.msum('s.quantity * v.cost_price')} as list_cost
+from sales s join versions v on s.product_id = v.product_id
+ and s.sale_date between v.valid_from and v.valid_to
+group by s.year order by s.year"""))
+def q_sales_price_asof(spark, sf_dir):
+    """Sales priced at the version valid on each sale date, per year."""
+    w = wh(spark, sf_dir)
+    priced = temporal.sales_with_price_at_date(w.sales(), temporal.price_versions(w.products()))
+    return temporal.revenue_at_date_prices(priced)
+
+
+@register("product_versions_sample", O.q("""
+select product_name, cost_price, selling_price, valid_from, valid_to from products order by product_id limit 5"""))
+def q_product_versions_sample(spark, sf_dir):
+    return temporal.versions_sample(wh(spark, sf_dir).products())
+
+
+@register("product_audit_sample", O.q("""
+select product_name, created_at, updated_at from products order by product_id limit 5"""))
+def q_product_audit_sample(spark, sf_dir):
+    return temporal.audit_sample(wh(spark, sf_dir).products())
+
+
+# ---------------------------------------------------------------------- layout
+FRAGMENT_YEAR = 1997
+FRAGMENT_MONTH_YEAR, FRAGMENT_MONTH = 1996, 11
+
+_BUILT: dict[tuple[str, str], object] = {}
+
+
+def _once(w: retail.Warehouse, what: str, build):
+    """Layout jobs write once per warehouse load and are reused afterwards."""
+    key = (w.root, what)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
+def _fragments_path(w: retail.Warehouse) -> str:
+    # The warehouse's sales table is already written partitionBy("year").
+    return f"{w.root}/sales"
+
+
+def _fragment_years(w: retail.Warehouse) -> list[int]:
+    """Years of the calendar dimension (a short, bounded list)."""
+    return [r[0] for r in w.dim_time().select("year").distinct().orderBy("year").collect()]
+
+
+@register("sales_fragment", O.q(f"select {O.SALES_COLS} from sales where year = {FRAGMENT_YEAR}"))
+def q_sales_fragment(spark, sf_dir):
+    """H1: one year's fragment (a partition filter)."""
+    w = wh(spark, sf_dir)
+    return layout.read_fragment(spark, _fragments_path(w), FRAGMENT_YEAR).select(*retail.SALES_COLUMNS)
+
+
+@register("fragment_month", O.q(f"""
+select {O.SALES_COLS} from sales where year = {FRAGMENT_MONTH_YEAR} and month = {FRAGMENT_MONTH}"""))
+def q_fragment_month(spark, sf_dir):
+    """``SELECT * FROM sales_<year> WHERE month = 11``."""
+    w = wh(spark, sf_dir)
+    frag = layout.read_fragment(spark, _fragments_path(w), FRAGMENT_MONTH_YEAR)
+    return frag.filter(F.col("month") == FRAGMENT_MONTH).select(*retail.SALES_COLUMNS)
+
+
+@register("sales_unified", O.q(f"select {O.SALES_COLS} from sales"))
+def q_sales_unified(spark, sf_dir):
+    """All year fragments, bag union by name."""
+    w = wh(spark, sf_dir)
+    frags = [layout.read_fragment(spark, _fragments_path(w), y).select(*retail.SALES_COLUMNS)
+             for y in _fragment_years(w)]
+    return layout.unify(frags)
+
+
+def _vertical(spark, w):
+    return _once(w, "vertical", lambda: layout.split_products(w.products()))
+
+
+BASIC_SQL = "select product_id, product_name, category_id, stock_quantity, created_at from products"
+PRICING_SQL = "select product_id, cost_price, selling_price, valid_from, valid_to, updated_at from products"
+
+
+@register("products_basic", O.q(BASIC_SQL))
+def q_products_basic(spark, sf_dir):
+    """H2: identity column group."""
+    basic, _ = _vertical(spark, wh(spark, sf_dir))
+    return spark.table(basic)
+
+
+@register("products_pricing", O.q(PRICING_SQL))
+def q_products_pricing(spark, sf_dir):
+    """H2: pricing column group."""
+    _, pricing = _vertical(spark, wh(spark, sf_dir))
+    return spark.table(pricing)
+
+
+@register("products_reconstructed", O.q("""
+select product_id, product_name, category_id, stock_quantity, cost_price, selling_price,
+       valid_from, valid_to, created_at, updated_at from products"""))
+def q_products_reconstructed(spark, sf_dir):
+    """Join of the two column groups (bucketed alike: no shuffle)."""
+    basic, pricing = _vertical(spark, wh(spark, sf_dir))
+    return layout.reconstruct_products(spark.table(basic), spark.table(pricing))
+
+
+@register("append_sales", O.q(f"select {O.SALES_COLS} from sales"))
+def q_append_sales(spark, sf_dir):
+    """Write the sales up to 1997, append the rest, read the table back."""
+    w = wh(spark, sf_dir)
+
+    def build():
+        path = new_table_path(spark, "sales_appended")
+        s = w.sales()
+        layout.append(s.filter(F.col("year") <= 1997), path)
+        layout.append(s.filter(F.col("year") > 1997), path)
+        return path
+    return spark.read.parquet(_once(w, "append", build)).select(*retail.SALES_COLUMNS)
+
+
+NEW_CATEGORY = "SEASONAL"
+
+
+@register("upsert_categories", O.q(f"""
+select category_id, category_name, description from categories
+union all
+select (select max(category_id) from categories) + 1, '{NEW_CATEGORY}', '{NEW_CATEGORY} products for retail'"""))
+def q_upsert_categories(spark, sf_dir):
+    """Upsert two known names (with a new description) and one new name by name.
+
+    As in the reference, a conflict only re-sets the name, so the known rows
+    keep their description; the new name gets the next id.
+    """
+    w = wh(spark, sf_dir)
+    base = w.categories()
+    known = base.orderBy("category_name").limit(2).select(
+        "category_name", F.lit("updated description").alias("description"))
+    new = spark.createDataFrame([(NEW_CATEGORY, NEW_CATEGORY + retail.CATEGORY_DESCRIPTION_SUFFIX)],
+                                "category_name string, description string")
+
+    def build():
+        path = new_table_path(spark, "categories_upserted")
+        layout.upsert(base, known.unionByName(new), "category_name", id_col="category_id").write.parquet(path)
+        return path
+    return spark.read.parquet(_once(w, "upsert", build))
+
+
+@register("insert_absent_dim_time", with_dim_time("""
+select * from dim_time where year = 1996 or full_date between date '1997-01-01' and date '1997-01-10'"""))
+def q_insert_absent_dim_time(spark, sf_dir):
+    """A 1996 calendar receives 22 Dec 1996 - 10 Jan 1997; only the new days are added."""
+    w = wh(spark, sf_dir)
+
+    def build():
+        path = new_table_path(spark, "dim_time_1996")
+        dim = w.dim_time()
+        dim.filter(F.col("year") == 1996).write.parquet(path)
+        incoming = dim.filter(F.col("full_date").between(dt.date(1996, 12, 22), dt.date(1997, 1, 10)))
+        layout.insert_absent_into(spark, path, incoming, "date_key")
+        return path
+    return spark.read.parquet(_once(w, "insert_absent", build))
+
+
+def _replica(spark, w):
+    def build():
+        master = new_table_path(spark, "products_master")
+        w.products().select(*layout.MASTER_COLUMNS).write.parquet(master)
+        replica = new_table_path(spark, "products_replica")
+        layout.replicate(spark.read.parquet(master), replica)
+        return master, replica
+    return _once(w, "replica", build)
+
+
+@register("replicate_products", O.q("""
+select product_id, product_name, category_id, cost_price, selling_price, stock_quantity from products"""))
+def q_replicate_products(spark, sf_dir):
+    """The replica after a full refresh (the refresh stamp is left out)."""
+    _, replica = _replica(spark, wh(spark, sf_dir))
+    return spark.read.parquet(replica).drop("replicated_at")
+
+
+@register("replication_status", O.q("""
+select count(*) as master_records, (select count(*) from products) as replica_records,
+       true as replicated from products"""))
+def q_replication_status(spark, sf_dir):
+    """Counts of master and replica; whether the replica carries a refresh stamp."""
+    master, replica = _replica(spark, wh(spark, sf_dir))
+    st = layout.replication_status(spark.read.parquet(master), spark.read.parquet(replica))
+    return st.select("master_records", "replica_records", F.col("last_replicated").isNotNull().alias("replicated"))
+
+
+def _star(spark, w):
+    return _once(w, "star", lambda: layout.load_star(
+        w.sales(), w.products(), w.categories(), new_table_path(spark, "star")))
+
+
+DIMS_SQL = """,
+dim_category as (
+  select row_number() over (order by category_id) as category_key, category_id, category_name,
+         category_name || ' products' as description from categories),
+dim_product as (
+  select row_number() over (order by p.product_id) as product_key, p.product_id, p.product_name,
+         c.category_name, p.cost_price, p.selling_price
+  from products p join categories c on p.category_id = c.category_id)
+"""
+
+
+@register("dim_category", O.q(DIMS_SQL + "select * from dim_category"))
+def q_dim_category(spark, sf_dir):
+    """Category dimension with sequential surrogate keys."""
+    return spark.read.parquet(_star(spark, wh(spark, sf_dir))["dim_category"])
+
+
+@register("dim_product", O.q(DIMS_SQL + "select * from dim_product"))
+def q_dim_product(spark, sf_dir):
+    """Product dimension, keys assigned without a single-partition window."""
+    return spark.read.parquet(_star(spark, wh(spark, sf_dir))["dim_product"])
+
+
+FACT_SQL = O.q(DIMS_SQL + """
+select cast(strftime(s.sale_date, '%Y%m%d') as int) as date_key, dp.product_key, dc.category_key,
+       s.quantity, s.discount_percent, s.sale_amount, s.profit,
+       cast(s.sale_amount - s.profit as decimal(12,2)) as cost_amount
+from sales s join dim_product dp on s.product_id = dp.product_id
+join dim_category dc on s.category_id = dc.category_id""")
+
+
+@register("load_fact_sales", FACT_SQL)
+def q_load_fact_sales(spark, sf_dir):
+    """The fact table of the star load (generated fact ids left out)."""
+    f = spark.read.parquet(_star(spark, wh(spark, sf_dir))["fact_sales"])
+    return f.select(*layout.FACT_COLUMNS)
+
+
+@register("fragmentation_counts", O.q(f"""
+select 'sales_' || cast(year as varchar) as relation, count(*) as row_count from sales group by year
+union all select 'sales_unified', count(*) from sales
+union all select 'products_basic', count(*) from products
+union all select 'products_pricing', count(*) from products
+union all select 'products_reconstructed', count(*) from products"""))
+def q_fragmentation_counts(spark, sf_dir):
+    """Rows per horizontal fragment, the unified view and the vertical fragments."""
+    w = wh(spark, sf_dir)
+    frags = spark.read.parquet(_fragments_path(w))
+    basic, pricing = _vertical(spark, w)
+    b, p = spark.table(basic), spark.table(pricing)
+    others = layout.labelled_counts([
+        ("sales_unified", frags),
+        ("products_basic", b),
+        ("products_pricing", p),
+        ("products_reconstructed", layout.reconstruct_products(b, p)),
+    ])
+    return layout.year_fragment_counts(frags).unionByName(others)
+
+
+@register("star_schema_counts", with_dim_time(DIMS_SQL.replace(",\n", ",\n", 1) + """
+select 'fact_sales' as table_name, 'Fact table' as role, count(*) as row_count from sales
+union all select 'dim_time', 'Date/festival info', count(*) from dim_time
+union all select 'dim_product', 'Product details', count(*) from dim_product
+union all select 'dim_category', 'Category grouping', count(*) from dim_category"""))
+def q_star_schema_counts(spark, sf_dir):
+    """Rows of the fact table and each dimension, with its role."""
+    w = wh(spark, sf_dir)
+    st = _star(spark, w)
+    roles = [("fact_sales", "Fact table"), ("dim_time", "Date/festival info"),
+             ("dim_product", "Product details"), ("dim_category", "Category grouping")]
+    frames = {"fact_sales": spark.read.parquet(st["fact_sales"]), "dim_time": w.dim_time(),
+              "dim_product": spark.read.parquet(st["dim_product"]),
+              "dim_category": spark.read.parquet(st["dim_category"])}
+    counts = layout.labelled_counts([(n, frames[n]) for n, _ in roles], "table_name")
+    role = F.create_map(*[x for n, r in roles for x in (F.lit(n), F.lit(r))])
+    return counts.select("table_name", role[F.col("table_name")].alias("role"), "row_count")
+
+
+@register("load_summary", O.q("""
+select 'Categories' as label, cast(count(*) as double) as value from categories
+union all select 'Products', count(*) from products
+union all select 'Total Sales', count(*) from sales
+union all select 'Festival Sales', count(*) from sales where is_festival_month
+union all select 'Sales ' || cast(year as varchar) || ' (fragment)', count(*) from sales group by year
+union all select 'DWH Fact Rows', count(*) from sales
+union all select 'Total Revenue', cast(sum(sale_amount) as double) from sales
+union all select 'Total Profit', cast(sum(profit) as double) from sales"""))
+def q_load_summary(spark, sf_dir):
+    """The load job's closing counts and totals."""
+    w = wh(spark, sf_dir)
+    s = w.sales()
+    fact = spark.read.parquet(_star(spark, w)["fact_sales"])
+    one = s.agg(
+        F.count(F.lit(1)).cast("double").alias("Total Sales"),
+        F.count_if(F.col("is_festival_month")).cast("double").alias("Festival Sales"),
+        money.money_sum("sale_amount").alias("Total Revenue"),
+        money.money_sum("profit").alias("Total Profit"))
+    totals = one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").alias("value")) for c in one.columns])).alias("kv")
+    ).select("kv.label", "kv.value")
+    frags = layout.year_fragment_counts(spark.read.parquet(_fragments_path(w))).select(
+        F.concat(F.lit("Sales "), F.substring("relation", 7, 10), F.lit(" (fragment)")).alias("label"),
+        F.col("row_count").cast("double").alias("value"))
+    counts = layout.labelled_counts([("Categories", w.categories()), ("Products", w.products()),
+                                     ("DWH Fact Rows", fact)], "label").select(
+        "label", F.col("row_count").cast("double").alias("value"))
+    return counts.unionByName(totals).unionByName(frags)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import money
 from ..operators import calendar
 from ..plans.joins import checked_broadcast
+from ..plans.partitioning import ensure_parallelism
 from ..session import new_table_path
 from . import tables
 
@@ -72,7 +73,7 @@ def products_from_part(part: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-SALES_COLUMNS = ["product_id", "category_id", "product_name", "category_name", "quantity",
+SALES_COLUMNS = ["order_key", "line_number", "product_id", "category_id", "product_name", "category_name", "quantity",
                  "discount_percent", "sale_amount", "profit", "sale_date", "month", "year",
                  "is_festival_month", "festival_name", "created_at", "updated_at"]
 
@@ -81,6 +82,9 @@ def sales_from(lineitem: DataFrame, products: DataFrame, categories: DataFrame,
                fest_days: DataFrame) -> DataFrame:
     """One sale per line item (P10 economics, J6 festival tag).
 
+    ``order_key``/``line_number`` are kept as lineage (they are *not* a
+    unique key in the driver data, so no ``sale_id`` is claimed).
+
     ``lineitem`` joins ``products`` on the part key without a hint: Spark
     broadcasts it while the product file is under the broadcast threshold,
     and otherwise sort-merges with AQE splitting a hot part key.  Categories
@@ -88,6 +92,8 @@ def sales_from(lineitem: DataFrame, products: DataFrame, categories: DataFrame,
     bound.
     """
     li = lineitem.select(
+        F.col("l_orderkey").alias("order_key"),
+        F.col("l_linenumber").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         (F.col("l_discount") * 100).cast(money.PERCENT).alias("discount_percent"),
@@ -99,7 +105,7 @@ def sales_from(lineitem: DataFrame, products: DataFrame, categories: DataFrame,
     s = li.join(prod, "product_id").join(cats, "category_id")
     s = calendar.tag_festival(s, "sale_date", fest_days)
     return s.select(
-        "product_id", "category_id", "product_name", "category_name", "quantity", "discount_percent",
+        "order_key", "line_number", "product_id", "category_id", "product_name", "category_name", "quantity", "discount_percent",
         money.sale_amount("quantity", "selling_price", "discount_percent").alias("sale_amount"),
         money.sale_profit("quantity", "selling_price", "cost_price", "discount_percent").alias("profit"),
         "sale_date",
@@ -165,7 +171,7 @@ def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str,
         f"{root}/festival_days")
 
     wh = Warehouse(spark, root, sf_dir)
-    sales = sales_from(tables.lineitem(spark, sf_dir), wh.products(), cats, wh.festival_days())
+    sales = sales_from(ensure_parallelism(tables.lineitem(spark, sf_dir)), wh.products(), cats, wh.festival_days())
     # Local sort by (year, sale_date): the writer needs rows grouped by the
     # partition column anyway, and sorted dates give tight row-group min/max
     # for date-range pruning.  No repartition by year: that would put a whole

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .functions import money
-from .operators import calendar, kpi, layout, olap, temporal
+from .operators import calendar, kpi, layout, ml, olap, temporal
 from .session import new_table_path
-from .sources import retail, tables
+from .sources import documents, retail, tables
 
 # Default parameters (FIXTURES.md).
 YEAR = 1997
@@ -615,3 +615,220 @@ def q_load_summary(spark, sf_dir):
                                      ("DWH Fact Rows", fact)], "label").select(
         "label", F.col("row_count").cast("double").alias("value"))
     return counts.unionByName(totals).unionByName(frags)
+
+
+# -------------------------------------------------------------------------- ML
+TRAIN_SQL = """,
+train as (
+  select s.order_key, s.line_number, s.product_id, p.product_name, s.category_name, s.quantity,
+         s.discount_percent, s.sale_amount, s.profit, s.month, s.year, s.is_festival_month,
+         p.cost_price, p.selling_price
+  from sales s join products p on s.product_id = p.product_id),
+cat_avg as (select category_name, """ + O.avg("sale_amount") + """ as category_avg_sale from sales group by category_name),
+mon_avg as (select month, """ + O.avg("sale_amount") + """ as month_avg_sale from sales group by month),
+enc as (select category_name, cast(dense_rank() over (order by category_name) - 1 as double) as category_encoded
+        from categories)
+"""
+SPLIT_SQL = "((order_key % 1000003) * 2654435761 + line_number * 40503 + 42) % 100 < 20"
+
+
+def with_train(body: str) -> str:
+    return O.q(TRAIN_SQL + body)
+
+
+def _lookups(spark, w):
+    return ml.read_lookups(spark, _once(w, "lookups", lambda: ml.write_lookups(w.sales()).path))
+
+
+def _encoder(w):
+    return _once(w, "encoder", lambda: ml.category_encoder(w.categories()))
+
+
+def _features(spark, w):
+    return ml.features(ml.training_set(w.sales(), w.products()), _lookups(spark, w), _encoder(w))
+
+
+@register("training_set", with_train("select * from train"))
+def q_training_set(spark, sf_dir):
+    """M1: sales joined to products, 12 columns plus lineage keys."""
+    w = wh(spark, sf_dir)
+    return ml.training_set(w.sales(), w.products())
+
+
+@register("category_encoding", with_train("select * from enc"))
+def q_category_encoding(spark, sf_dir):
+    """M3: alphabetical 0-based category codes."""
+    w = wh(spark, sf_dir)
+    return ml.encoding_table(_encoder(w), w.categories())
+
+
+@register("feature_lookups", with_train("""
+select 'category' as lookup, category_name as key, category_avg_sale as avg_sale from cat_avg
+union all select 'month', cast(month as varchar), month_avg_sale from mon_avg"""))
+def q_feature_lookups(spark, sf_dir):
+    """The published averages, read back from their JSON artifact."""
+    lk = _lookups(spark, wh(spark, sf_dir))
+    cat = lk.category_avg.select(F.lit("category").alias("lookup"), F.col("category_name").alias("key"),
+                                 F.col("category_avg_sale").alias("avg_sale"))
+    mon = lk.month_avg.select(F.lit("month").alias("lookup"), F.col("month").cast("string").alias("key"),
+                              F.col("month_avg_sale").alias("avg_sale"))
+    return cat.unionByName(mon)
+
+
+@register("features", with_train("""
+select t.order_key, t.line_number, t.category_name, e.category_encoded, t.month, t.quantity,
+       cast(t.discount_percent as double) as discount_percent,
+       cast(t.is_festival_month as int) as is_festival_int,
+       cast(t.cost_price as double) as cost_price, cast(t.selling_price as double) as selling_price,
+       ca.category_avg_sale, ma.month_avg_sale,
+       (cast(t.selling_price as double) - cast(t.cost_price as double)) / cast(t.selling_price as double) as profit_margin,
+       cast(t.quantity * t.selling_price as double) as base_sale_value,
+       cast(t.sale_amount as double) as sale_amount, cast(t.profit as double) as profit
+from train t left join cat_avg ca on t.category_name = ca.category_name
+left join mon_avg ma on t.month = ma.month
+join enc e on t.category_name = e.category_name"""))
+def q_features(spark, sf_dir):
+    """M2: the 11 features in order, with targets."""
+    return _features(spark, wh(spark, sf_dir))
+
+
+@register("train_test_counts", O.q(f"""
+select case when {SPLIT_SQL} then 'test' else 'train' end as split, count(*) as rows
+from sales group by 1"""))
+def q_train_test_counts(spark, sf_dir):
+    """M4: sizes of the deterministic 80/20 split."""
+    return ml.split_counts(wh(spark, sf_dir).sales())
+
+
+@register("regression_metrics", with_train(f"""
+, m as (
+  select count(*) as n,
+         cast(sum(abs(sale_amount - cast(quantity * selling_price as decimal(18,2)))) as double) as s_abs,
+         cast(sum((sale_amount - cast(quantity * selling_price as decimal(18,2)))
+                  * (sale_amount - cast(quantity * selling_price as decimal(18,2)))) as double) as s_sq,
+         cast(sum(sale_amount) as double) as s_y, cast(sum(sale_amount * sale_amount) as double) as s_yy
+  from train where {SPLIT_SQL})
+select n, round(s_abs / n, 6) as mae, round(sqrt(s_sq / n), 6) as rmse,
+       round(1.0 - s_sq / (s_yy - s_y * s_y / n), 6) as r2 from m"""))
+def q_regression_metrics(spark, sf_dir):
+    """M7: MAE/RMSE/R^2 of the list-price predictor (quantity x price) on the test rows."""
+    w = wh(spark, sf_dir)
+    t = ml.training_set(w.sales(), w.products()).filter(ml.is_test_row())
+    t = t.withColumn("base_value", (F.col("quantity") * F.col("selling_price")).cast("decimal(18,2)"))
+    m = ml.regression_metrics(t, "sale_amount", "base_value")
+    return m.select("n", *[F.round(c, 6).alias(c) for c in ("mae", "rmse", "r2")])
+
+
+def _models(spark, w, kind):
+    def build():
+        trees = ml.RF_TREES
+        metrics, paths = ml.train_and_evaluate(_features(spark, w), kind, trees, ml.RF_DEPTH)
+        mpath = new_table_path(spark, f"{kind}_metrics")
+        metrics.write.parquet(mpath)
+        return mpath, paths
+    return _once(w, f"models_{kind}", build)
+
+
+@register("lr_metrics")
+def q_lr_metrics(spark, sf_dir):
+    """M5/M7: linear regression per target, hold-out metrics (rows-only check)."""
+    mpath, _ = _models(spark, wh(spark, sf_dir), "lr")
+    return spark.read.parquet(mpath)
+
+
+@register("rf_metrics")
+def q_rf_metrics(spark, sf_dir):
+    """M6/M7: random forest (100 trees, depth 10) per target (rows-only check)."""
+    mpath, _ = _models(spark, wh(spark, sf_dir), "rf")
+    return spark.read.parquet(mpath)
+
+
+REQUEST_SQL = """,
+req as (select distinct category_name as category, month, quantity, 5.0::double as discount_percent,
+               quantity % 2 = 0 as store_in_db from sales),
+prices as (select category_id, """ + O.avg("cost_price") + " as cost_price, " + O.avg("selling_price") + """ as selling_price
+           from products group by category_id),
+mflag as (select month, cast(min_by(is_festival, date_key) as int) as is_festival_int from dim_time group by month)
+"""
+
+
+def _request_features(spark, w):
+    req = ml.requests_from_sales(w.sales())
+    return ml.request_features(req, w.categories(), w.products(), _lookups(spark, w),
+                               calendar.month_festival_flag(w.dim_time()), _encoder(w))
+
+
+@register("request_features", O.q(DIM_TIME_SQL + TRAIN_SQL + REQUEST_SQL + """
+select r.category, r.store_in_db, e.category_encoded, r.month, r.quantity, r.discount_percent,
+       coalesce(f.is_festival_int, 0) as is_festival_int, p.cost_price, p.selling_price,
+       ca.category_avg_sale, ma.month_avg_sale,
+       (p.selling_price - p.cost_price) / p.selling_price as profit_margin,
+       r.quantity * p.selling_price as base_sale_value
+from req r join categories c on c.category_name = r.category
+join prices p on p.category_id = c.category_id
+join cat_avg ca on ca.category_name = r.category
+join mon_avg ma on ma.month = r.month
+left join mflag f on f.month = r.month
+join enc e on e.category_name = r.category"""))
+def q_request_features(spark, sf_dir):
+    """Score requests resolved against the lookup tables (11 features each)."""
+    feats, _ = _request_features(spark, wh(spark, sf_dir))
+    return feats
+
+
+def _scored(spark, w):
+    _, paths = _models(spark, w, "rf")
+    feats, _ = _request_features(spark, w)
+    return ml.score(feats, ml.load_model(paths["sale_amount"]), ml.load_model(paths["profit"]))
+
+
+@register("score_requests")
+def q_score_requests(spark, sf_dir):
+    """M8: batch scoring with the saved forest models (rows-only check)."""
+    return _scored(spark, wh(spark, sf_dir)).drop("pred_sale", "pred_profit")
+
+
+@register("prediction_log")
+def q_prediction_log(spark, sf_dir):
+    """M9: the logged predictions of requests with ``store_in_db`` (rows-only check)."""
+    w = wh(spark, sf_dir)
+
+    def build():
+        path = new_table_path(spark, "prediction_history")
+        ml.log_predictions(_scored(spark, w), path)
+        return path
+    return spark.read.parquet(_once(w, "prediction_log", build)).drop("created_at")
+
+
+# ---------------------------------------------------------------------- export
+@register("export_documents", O.q("""
+select 'product_' || cast(product_id as varchar) as doc_id, product_name, cast(category_id as varchar) as category_id,
+       cast(cost_price as double) as cost_price, cast(selling_price as double) as selling_price,
+       case when category_id = 1 then stock_quantity + 1000 else stock_quantity end as stock_quantity
+from products"""))
+def q_export_documents(spark, sf_dir):
+    """S11 (set): all product documents, then an update of category 1's stock; latest wins."""
+    w = wh(spark, sf_dir)
+
+    def build():
+        docs = documents.product_documents(w.products())
+        first = documents.set_documents(spark, docs)
+        upd = documents.product_documents(
+            w.products().filter(F.col("category_id") == 1)
+            .withColumn("stock_quantity", F.col("stock_quantity") + 1000))
+        return documents.set_documents(spark, upd, first)
+    schema = documents.product_documents(w.products()).schema
+    return documents.read_documents(spark, _once(w, "docs", build), schema)
+
+
+@register("export_sale_documents")
+def q_export_sale_documents(spark, sf_dir):
+    """S11 (add): every sale as a document under a generated id (rows-only check)."""
+    w = wh(spark, sf_dir)
+
+    def build():
+        path = new_table_path(spark, "sale_documents")
+        documents.add_documents(documents.sale_documents(w.sales()), path)
+        return path
+    schema = documents.sale_documents(w.sales()).schema.add("doc_id", "string")
+    return documents.read_documents(spark, _once(w, "sale_docs", build), schema)

@@ -133,14 +133,43 @@ def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features")
 
 
+def _memory_mb(value: str) -> int:
+    v = value.strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    if v[-1:] == "b":
+        v = v[:-1]
+    if v[-1:] in units:
+        return int(float(v[:-1]) * units[v[-1]])
+    return int(int(v) / (1024 * 1024))
+
+
+def tree_aggregate_mb(spark: SparkSession) -> int:
+    """Per-task memory for a tree level's split statistics.
+
+    Spark's default (256 MB per task) overflows a small heap when every core
+    trains at once; size it from the configured task memory instead:
+    a quarter of the heap share of one core, between 16 and 256 MB.
+    """
+    conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local")
+    heap = _memory_mb(conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g"))
+    cores = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    return max(16, min(256, heap // (4 * max(1, cores))))
+
+
 def fit(feats: DataFrame, target: str, kind: str, trees: int = RF_TREES, depth: int = RF_DEPTH) -> PipelineModel:
     """M5/M6: a two-stage pipeline (assembler + regressor) for one target."""
     if kind == "lr":
         reg = LinearRegression(featuresCol="features", labelCol=target, predictionCol="prediction", regParam=0.0)
     else:
+        # Node ids are cached and checkpointed (to the shared checkpoint dir)
+        # every 10 iterations, so deep trees keep a short lineage and a lost
+        # executor costs at most 10 levels of recomputation.
         reg = RandomForestRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
                                     numTrees=trees, maxDepth=depth, seed=RF_SEED,
-                                    featureSubsetStrategy="all")
+                                    featureSubsetStrategy="all",
+                                    maxMemoryInMB=tree_aggregate_mb(feats.sparkSession),
+                                    cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=[assembler(), reg]).fit(feats)
 
 
@@ -170,7 +199,11 @@ def train_and_evaluate(feats: DataFrame, kind: str, trees: int = RF_TREES, depth
     rows and the model paths.
     """
     spark = feats.sparkSession
-    flagged = feats.withColumn("__test", is_test_row())
+    # Training makes many passes: read it from a written table (stable input,
+    # short lineage, survives lost executors) instead of recomputing joins.
+    staged = new_table_path(spark, "training_features")
+    feats.withColumn("__test", is_test_row()).write.parquet(staged)
+    flagged = spark.read.parquet(staged)
     train = flagged.filter(~F.col("__test"))
     test = flagged.filter(F.col("__test"))
     model_root = model_root or new_table_path(spark, "models")

@@ -777,9 +777,14 @@ def q_request_features(spark, sf_dir):
 
 
 def _scored(spark, w):
-    _, paths = _models(spark, w, "rf")
-    feats, _ = _request_features(spark, w)
-    return ml.score(feats, ml.load_model(paths["sale_amount"]), ml.load_model(paths["profit"]))
+    """Score the request batch once; the scores are written and reused."""
+    def build():
+        _, paths = _models(spark, w, "rf")
+        feats, _ = _request_features(spark, w)
+        path = new_table_path(spark, "scores")
+        ml.score(feats, ml.load_model(paths["sale_amount"]), ml.load_model(paths["profit"])).write.parquet(path)
+        return path
+    return spark.read.parquet(_once(w, "scores", build))
 
 
 @register("score_requests")

@@ -1 +1,2 @@
-"""streaming."""
+"""The reference has no streaming, state, watermark or late-data logic, so
+nothing is built here (see README, "Differences")."""

@@ -45,14 +45,25 @@ def cost_amount(amount, profit) -> Column:
     return (_c(amount) - _c(profit)).cast(MONEY)
 
 
+def cents(x) -> Column:
+    """A money value (scale <= 2) as whole cents in a long, exactly."""
+    return (_c(x) * F.lit(100).cast("decimal(3,0)")).cast("long")
+
+
 def money_sum(x) -> Column:
-    """Exact decimal sum, returned as double at the very end."""
-    return F.sum(_c(x)).cast("double")
+    """Exact sum of money values (scale <= 2), returned as double.
+
+    Summed as long cents: a long add per row instead of a wide decimal add,
+    exact up to 9.2e16 currency units (beyond that ANSI mode raises rather
+    than wrap).  ``double(cents) / 100`` is one correctly rounded division,
+    so the value equals the exact decimal sum cast to double.
+    """
+    return F.sum(cents(x)).cast("double") / F.lit(100.0)
 
 
 def exact_avg(x) -> Column:
-    """Average as ``double(exact sum) / count``; NULL over no rows."""
-    return F.try_divide(F.sum(_c(x)).cast("double"), F.count(_c(x)).cast("double"))
+    """Average of money values as ``double(exact sum) / count``; NULL over no rows."""
+    return F.try_divide(money_sum(x), F.count(_c(x)).cast("double"))
 
 
 def guarded_percent(part, whole) -> Column:

@@ -15,7 +15,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import dates
 from ..plans.joins import literal_broadcast
@@ -49,13 +48,6 @@ DRIVER_FESTIVAL_MONTH_DAYS = [
 DRIVER_FESTIVAL_YEARS = list(range(1995, 2002))
 # ---------------------------------------------------------------------------
 
-CALENDAR_SCHEMA = T.StructType([
-    T.StructField("ordinal", T.IntegerType(), False),
-    T.StructField("centre", T.DateType(), False),
-    T.StructField("festival_name", T.StringType(), False),
-])
-
-
 def driver_festivals() -> list[tuple[str, str]]:
     """Centre list for the driver tables: per year, the five month-days in order."""
     return [(f"{y}-{md}", name) for y in DRIVER_FESTIVAL_YEARS for md, name in DRIVER_FESTIVAL_MONTH_DAYS]
@@ -65,7 +57,8 @@ def festival_calendar(spark: SparkSession, festivals: list[tuple[str, str]] | No
     """The centre list as a small DataFrame ``(ordinal, centre, festival_name)``.
 
     Ordinals are the position within a year's list, as in the reference,
-    where the first matching entry wins.
+    where the first matching entry wins.  Built from a literal array (a
+    local relation on the JVM side, no Python round trip).
     """
     festivals = festivals if festivals is not None else driver_festivals()
     rows, per_year = [], {}
@@ -73,8 +66,9 @@ def festival_calendar(spark: SparkSession, festivals: list[tuple[str, str]] | No
         d = dt.date.fromisoformat(centre)
         k = per_year.get(d.year, 0)
         per_year[d.year] = k + 1
-        rows.append((k, d, name))
-    return spark.createDataFrame(rows, CALENDAR_SCHEMA)
+        rows.append(F.struct(F.lit(k).alias("ordinal"), F.lit(d).alias("centre"),
+                             F.lit(name).alias("festival_name")))
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def festival_days(calendar: DataFrame, half_width: int = FESTIVAL_HALF_WIDTH_DAYS) -> DataFrame:

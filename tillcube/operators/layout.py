@@ -18,11 +18,11 @@ from __future__ import annotations
 import functools
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, money
-from ..plans.joins import checked_broadcast
+from ..plans.joins import bounded_rows, checked_broadcast
 from ..session import new_table_path
 from .keys import sequential_key
 
@@ -45,7 +45,12 @@ def write_year_fragments(sales: DataFrame, path: str) -> str:
 
 def read_fragment(spark: SparkSession, path: str, year: int) -> DataFrame:
     """One year's fragment: a partition filter, only that year's files are read."""
-    return spark.read.parquet(path).filter(F.col("year") == F.lit(year))
+    return fragment_of(spark.read.parquet(path), year)
+
+
+def fragment_of(table: DataFrame, year: int) -> DataFrame:
+    """The fragment of an already-opened year-partitioned table (one file listing for all)."""
+    return table.filter(F.col("year") == F.lit(year))
 
 
 def unify(fragments: list[DataFrame]) -> DataFrame:
@@ -151,10 +156,17 @@ def replication_status(master: DataFrame, replica: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ W1 / H4 / J4
 def dim_category(categories: DataFrame) -> DataFrame:
-    """Star-schema category dimension; key in ``category_id`` order."""
+    """Star-schema category dimension; key in ``category_id`` order.
+
+    Categories are checked to be few, so one ranking window over them is
+    fine; above the bound the partitioned key assignment is used.
+    """
     d = categories.select("category_id", "category_name",
                           F.concat("category_name", F.lit(DIM_CATEGORY_SUFFIX)).alias("description"))
-    d = sequential_key(d, "category_id", "category_key", 1)
+    if bounded_rows(categories, MAX_DIM_CATEGORIES):
+        d = d.withColumn("category_key", F.row_number().over(Window.orderBy("category_id")).cast("long"))
+    else:
+        d = sequential_key(d, "category_id", "category_key")
     return d.select("category_key", "category_id", "category_name", "description")
 
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,20 +158,23 @@ def tree_aggregate_mb(spark: SparkSession) -> int:
     return max(16, min(256, heap // (4 * max(1, cores))))
 
 
-def fit(feats: DataFrame, target: str, kind: str, trees: int = RF_TREES, depth: int = RF_DEPTH) -> PipelineModel:
-    """M5/M6: a two-stage pipeline (assembler + regressor) for one target."""
+def regressor(spark: SparkSession, target: str, kind: str, trees: int = RF_TREES, depth: int = RF_DEPTH):
+    """M5/M6: the estimator for one target, reading the assembled ``features``."""
     if kind == "lr":
-        reg = LinearRegression(featuresCol="features", labelCol=target, predictionCol="prediction", regParam=0.0)
-    else:
-        # Node ids are cached and checkpointed (to the shared checkpoint dir)
-        # every 10 iterations, so deep trees keep a short lineage and a lost
-        # executor costs at most 10 levels of recomputation.
-        reg = RandomForestRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
-                                    numTrees=trees, maxDepth=depth, seed=RF_SEED,
-                                    featureSubsetStrategy="all",
-                                    maxMemoryInMB=tree_aggregate_mb(feats.sparkSession),
-                                    cacheNodeIds=True, checkpointInterval=10)
-    return Pipeline(stages=[assembler(), reg]).fit(feats)
+        return LinearRegression(featuresCol="features", labelCol=target, predictionCol="prediction",
+                                regParam=0.0)
+    # Node ids are cached and checkpointed (to the shared checkpoint dir)
+    # every 10 iterations, so deep trees keep a short lineage and a lost
+    # executor costs at most 10 levels of recomputation.
+    return RandomForestRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
+                                 numTrees=trees, maxDepth=depth, seed=RF_SEED, featureSubsetStrategy="all",
+                                 maxMemoryInMB=tree_aggregate_mb(spark), cacheNodeIds=True,
+                                 checkpointInterval=10)
+
+
+def fit(feats: DataFrame, target: str, kind: str, trees: int = RF_TREES, depth: int = RF_DEPTH) -> PipelineModel:
+    """A two-stage pipeline (assembler + regressor) for one target."""
+    return Pipeline(stages=[assembler(), regressor(feats.sparkSession, target, kind, trees, depth)]).fit(feats)
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -199,24 +203,33 @@ def train_and_evaluate(feats: DataFrame, kind: str, trees: int = RF_TREES, depth
     rows and the model paths.
     """
     spark = feats.sparkSession
-    # Training makes many passes: read it from a written table (stable input,
-    # short lineage, survives lost executors) instead of recomputing joins.
+    # Training makes many passes: it reads a written table (stable input,
+    # short lineage, survives lost executors); the assembled vectors are
+    # kept in executor memory (spilling to disk) while both targets train,
+    # and rebuilt from the written table if an executor is lost.
     staged = new_table_path(spark, "training_features")
     feats.withColumn("__test", is_test_row()).write.parquet(staged)
     flagged = spark.read.parquet(staged)
-    train = flagged.filter(~F.col("__test"))
+    asm = assembler()
+    train = (asm.transform(flagged.filter(~F.col("__test"))).select("features", *TARGETS)
+             .persist(StorageLevel.MEMORY_AND_DISK))
     test = flagged.filter(F.col("__test"))
     model_root = model_root or new_table_path(spark, "models")
     out, paths = None, {}
-    for target in TARGETS:
-        model = fit(train, target, kind, trees, depth)
-        path = f"{model_root}/{kind}_{target}"
-        model.write().overwrite().save(path)
-        paths[target] = path
-        m = regression_metrics(model.transform(test), target).select(
-            F.lit(kind).alias("model"), F.lit(target).alias("target"), "n", "mae", "rmse", "r2")
-        out = m if out is None else out.unionByName(m)
-    return out, paths
+    try:
+        for target in TARGETS:
+            model = PipelineModel(stages=[asm, regressor(spark, target, kind, trees, depth).fit(train)])
+            path = f"{model_root}/{kind}_{target}"
+            model.write().overwrite().save(path)
+            paths[target] = path
+            m = regression_metrics(model.transform(test), target).select(
+                F.lit(kind).alias("model"), F.lit(target).alias("target"), "n", "mae", "rmse", "r2")
+            out = m if out is None else out.unionByName(m)
+        metrics_path = new_table_path(spark, f"{kind}_metrics")
+        out.write.parquet(metrics_path)
+    finally:
+        train.unpersist()
+    return spark.read.parquet(metrics_path), paths
 
 
 # ------------------------------------------------------------------ scoring

@@ -15,13 +15,31 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
+def _files_key(df: DataFrame) -> tuple | None:
+    try:
+        files = df.inputFiles()
+    except Exception:  # not a file scan
+        return None
+    return (df.semanticHash(), tuple(sorted(files))) if files else None
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows' worth of counts; intended for a side
-    that has been written or checkpointed, so the check is cheap.
+    Counts at most ``max_rows + 1`` rows; intended for a side that has been
+    written, so the check is cheap.  The answer for the same plan over the
+    same files is remembered.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = _files_key(df)
+    if key is not None and (key, max_rows) in _CHECKED:
+        return _CHECKED[(key, max_rows)]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _CHECKED[(key, max_rows)] = ok
+    return ok
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .functions import money
 from .operators import calendar, kpi, layout, ml, olap, temporal
+from .plans.partitioning import ensure_parallelism
 from .session import new_table_path
 from .sources import documents, retail, tables
 
@@ -64,7 +65,7 @@ from lineitem l join products p on l.l_partkey = p.product_id
 def q_sale_economics(spark, sf_dir):
     """P10 on every line item: amount and profit from quantity, prices, discount."""
     w = wh(spark, sf_dir)
-    li = tables.lineitem(spark, sf_dir).select(
+    li = ensure_parallelism(tables.lineitem(spark, sf_dir)).select(
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         (F.col("l_discount") * 100).cast(money.PERCENT).alias("discount_percent"))
@@ -382,8 +383,8 @@ def q_fragment_month(spark, sf_dir):
 def q_sales_unified(spark, sf_dir):
     """All year fragments, bag union by name."""
     w = wh(spark, sf_dir)
-    frags = [layout.read_fragment(spark, _fragments_path(w), y).select(*retail.SALES_COLUMNS)
-             for y in _fragment_years(w)]
+    table = spark.read.parquet(_fragments_path(w))
+    frags = [layout.fragment_of(table, y).select(*retail.SALES_COLUMNS) for y in _fragment_years(w)]
     return layout.unify(frags)
 
 
@@ -721,11 +722,8 @@ def q_regression_metrics(spark, sf_dir):
 
 def _models(spark, w, kind):
     def build():
-        trees = ml.RF_TREES
-        metrics, paths = ml.train_and_evaluate(_features(spark, w), kind, trees, ml.RF_DEPTH)
-        mpath = new_table_path(spark, f"{kind}_metrics")
-        metrics.write.parquet(mpath)
-        return mpath, paths
+        metrics, paths = ml.train_and_evaluate(_features(spark, w), kind, ml.RF_TREES, ml.RF_DEPTH)
+        return metrics.inputFiles()[0].rsplit("/", 1)[0], paths
     return _once(w, f"models_{kind}", build)
 
 

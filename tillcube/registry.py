@@ -389,7 +389,7 @@ def q_sales_unified(spark, sf_dir):
 
 
 def _vertical(spark, w):
-    return _once(w, "vertical", lambda: layout.split_products(w.products()))
+    return w.basic_table, w.pricing_table
 
 
 BASIC_SQL = "select product_id, product_name, category_id, stock_quantity, created_at from products"
@@ -477,13 +477,7 @@ def q_insert_absent_dim_time(spark, sf_dir):
 
 
 def _replica(spark, w):
-    def build():
-        master = new_table_path(spark, "products_master")
-        w.products().select(*layout.MASTER_COLUMNS).write.parquet(master)
-        replica = new_table_path(spark, "products_replica")
-        layout.replicate(spark.read.parquet(master), replica)
-        return master, replica
-    return _once(w, "replica", build)
+    return w.master_path, w.replica_path
 
 
 @register("replicate_products", O.q("""
@@ -505,8 +499,7 @@ def q_replication_status(spark, sf_dir):
 
 
 def _star(spark, w):
-    return _once(w, "star", lambda: layout.load_star(
-        w.sales(), w.products(), w.categories(), new_table_path(spark, "star")))
+    return w.star
 
 
 DIMS_SQL = """,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_avg, money_sum, ratio_percent
+from ..plans.joins import checked_broadcast
 
 TOP_K_DEFAULT = 10
 
@@ -168,3 +169,13 @@ def historical_averages(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
     cat = sales.groupBy("category_name").agg(exact_avg("sale_amount").alias("category_avg_sale"))
     mon = sales.groupBy("month").agg(exact_avg("sale_amount").alias("month_avg_sale"))
     return cat, mon
+
+
+def with_category_names(sales: DataFrame, categories: DataFrame, max_categories: int = 100_000) -> DataFrame:
+    """Attach ``category_name`` to sales that carry only ``category_id``.
+
+    The load already denormalises the name into ``sales``; this join is for
+    facts from elsewhere.  Categories are broadcast behind a row check.
+    """
+    cats = checked_broadcast(categories.select("category_id", "category_name"), max_categories)
+    return sales.drop("category_name").join(cats, "category_id")

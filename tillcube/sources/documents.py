@@ -56,3 +56,9 @@ def sale_documents(sales: DataFrame) -> DataFrame:
         F.col("profit").cast("double").alias("profit"),
         F.col("is_festival_month").alias("is_festival"),
         F.col("created_at").alias("sale_date"))
+
+
+def as_json_rows(df: DataFrame, column: str = "json") -> DataFrame:
+    """Each result row as one JSON object (the payload an endpoint returns),
+    built on the executors; collect or stream it only at the edge."""
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(column))

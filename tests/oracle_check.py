@@ -78,6 +78,18 @@ def _table(cols, rows):
     return names, kinds, out
 
 
+_DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+                  "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float",
+                  "SMALLINT": "smallint", "TINYINT": "tinyint", "HUGEINT": "hugeint"}
+
+
+def _duck_type(t) -> str:
+    t = str(t)
+    if t.startswith("DECIMAL"):
+        return t.lower().replace(" ", "")
+    return _DUCK_TO_SPARK.get(t, t.lower())
+
+
 def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dict:
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -91,6 +103,11 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
     con = con or duck(sf_dir)
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = {c: _duck_type(t) for c, t in zip(rel.columns, rel.types)}
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    type_diff = {c: (s_types[c], d_types[c]) for c in s_types if c in d_types and s_types[c] != d_types[c]}
+    if type_diff:
+        res["type_diff"] = type_diff
     d_rows = rel.fetchall()
     d_names, d_kinds, d_tab = _table(d_cols, d_rows)
     problems = []

@@ -132,7 +132,11 @@ def main(argv):
     import __spark_entry__ as E
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
-    spark = get_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION") == "1":   # a default session, as a driver may use
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = get_session("local[8]", 8)
     qs, orc = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, money
 from ..plans.joins import bounded_rows, checked_broadcast
+from ..plans.partitioning import partitions_for
 from ..session import new_table_path
 from .keys import sequential_key
 
@@ -72,10 +73,10 @@ def split_products(products: DataFrame, buckets: int | None = None) -> tuple[str
     """H2: write the identity and the pricing column groups, both keyed by ``product_id``.
 
     Both are bucketed and sorted by the key into the same number of buckets
-    so that J3 is a shuffle-free merge join.  Returns the two table names.
+    so that J3 is a shuffle-free merge join.  The bucket count follows the
+    product count (see ``partitions_for``).  Returns the two table names.
     """
-    spark = products.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or partitions_for(products)
     basic = _bucketed_table(products.select(*BASIC_COLUMNS), "products_basic", "product_id", n)
     pricing = _bucketed_table(products.select(*PRICING_COLUMNS), "products_pricing", "product_id", n)
     return basic, pricing
@@ -175,7 +176,7 @@ def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
     cats = checked_broadcast(categories.select("category_id", "category_name"), MAX_DIM_CATEGORIES)
     d = products.join(cats, "category_id").select(
         "product_id", "product_name", "category_name", "cost_price", "selling_price")
-    d = sequential_key(d, "product_id", "product_key")
+    d = sequential_key(d, "product_id", "product_key", partitions_for(products))
     return d.select("product_key", "product_id", "product_name", "category_name", "cost_price", "selling_price")
 
 

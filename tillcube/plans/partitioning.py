@@ -17,3 +17,20 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     want = min_partitions or spark.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
     return df if have >= want else df.repartition(want)
+
+
+# Rows per partition/bucket we aim for when a count is at hand (a few
+# hundred MB of a narrow dimension row); never more than the shuffle width.
+ROWS_PER_PARTITION = 2_000_000
+
+
+def partitions_for(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """A partition (or bucket) count sized to ``df``'s row count.
+
+    Meant for written tables, whose count Parquet answers from footers; at
+    least 1, at most ``spark.sql.shuffle.partitions``.
+    """
+    spark = df.sparkSession
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = -(-df.count() // rows_per_partition)
+    return max(1, min(cap, n))

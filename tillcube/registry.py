@@ -353,11 +353,6 @@ def _once(w: retail.Warehouse, what: str, build):
     return _BUILT[key]
 
 
-def _fragments_path(w: retail.Warehouse) -> str:
-    # The warehouse's sales table is already written partitionBy("year").
-    return f"{w.root}/sales"
-
-
 def _fragment_years(w: retail.Warehouse) -> list[int]:
     """Years of the calendar dimension (a short, bounded list)."""
     return [r[0] for r in w.dim_time().select("year").distinct().orderBy("year").collect()]
@@ -367,7 +362,7 @@ def _fragment_years(w: retail.Warehouse) -> list[int]:
 def q_sales_fragment(spark, sf_dir):
     """H1: one year's fragment (a partition filter)."""
     w = wh(spark, sf_dir)
-    return layout.read_fragment(spark, _fragments_path(w), FRAGMENT_YEAR).select(*retail.SALES_COLUMNS)
+    return layout.fragment_of(w.sales(), FRAGMENT_YEAR)
 
 
 @register("fragment_month", O.q(f"""
@@ -375,16 +370,15 @@ select {O.SALES_COLS} from sales where year = {FRAGMENT_MONTH_YEAR} and month =
 def q_fragment_month(spark, sf_dir):
     """``SELECT * FROM sales_<year> WHERE month = 11``."""
     w = wh(spark, sf_dir)
-    frag = layout.read_fragment(spark, _fragments_path(w), FRAGMENT_MONTH_YEAR)
-    return frag.filter(F.col("month") == FRAGMENT_MONTH).select(*retail.SALES_COLUMNS)
+    frag = layout.fragment_of(w.sales(), FRAGMENT_MONTH_YEAR)
+    return frag.filter(F.col("month") == FRAGMENT_MONTH)
 
 
 @register("sales_unified", O.q(f"select {O.SALES_COLS} from sales"))
 def q_sales_unified(spark, sf_dir):
     """All year fragments, bag union by name."""
     w = wh(spark, sf_dir)
-    table = spark.read.parquet(_fragments_path(w))
-    frags = [layout.fragment_of(table, y).select(*retail.SALES_COLUMNS) for y in _fragment_years(w)]
+    frags = [layout.fragment_of(w.sales(), y) for y in _fragment_years(w)]
     return layout.unify(frags)
 
 
@@ -484,8 +478,8 @@ def _replica(spark, w):
 select product_id, product_name, category_id, cost_price, selling_price, stock_quantity from products"""))
 def q_replicate_products(spark, sf_dir):
     """The replica after a full refresh (the refresh stamp is left out)."""
-    _, replica = _replica(spark, wh(spark, sf_dir))
-    return spark.read.parquet(replica).drop("replicated_at")
+    w = wh(spark, sf_dir)
+    return w.read(w.replica_path).drop("replicated_at")
 
 
 @register("replication_status", O.q("""
@@ -494,7 +488,8 @@ select count(*) as master_records, (select count(*) from products) as replica_re
 def q_replication_status(spark, sf_dir):
     """Counts of master and replica; whether the replica carries a refresh stamp."""
     master, replica = _replica(spark, wh(spark, sf_dir))
-    st = layout.replication_status(spark.read.parquet(master), spark.read.parquet(replica))
+    w = wh(spark, sf_dir)
+    st = layout.replication_status(w.read(master), w.read(replica))
     return st.select("master_records", "replica_records", F.col("last_replicated").isNotNull().alias("replicated"))
 
 
@@ -516,13 +511,13 @@ dim_product as (
 @register("dim_category", O.q(DIMS_SQL + "select * from dim_category"))
 def q_dim_category(spark, sf_dir):
     """Category dimension with sequential surrogate keys."""
-    return spark.read.parquet(_star(spark, wh(spark, sf_dir))["dim_category"])
+    return (lambda w: w.read(w.star["dim_category"]))(wh(spark, sf_dir))
 
 
 @register("dim_product", O.q(DIMS_SQL + "select * from dim_product"))
 def q_dim_product(spark, sf_dir):
     """Product dimension, keys assigned without a single-partition window."""
-    return spark.read.parquet(_star(spark, wh(spark, sf_dir))["dim_product"])
+    return (lambda w: w.read(w.star["dim_product"]))(wh(spark, sf_dir))
 
 
 FACT_SQL = O.q(DIMS_SQL + """
@@ -536,7 +531,8 @@ join dim_category dc on s.category_id = dc.category_id""")
 @register("load_fact_sales", FACT_SQL)
 def q_load_fact_sales(spark, sf_dir):
     """The fact table of the star load (generated fact ids left out)."""
-    f = spark.read.parquet(_star(spark, wh(spark, sf_dir))["fact_sales"])
+    w = wh(spark, sf_dir)
+    f = w.read(w.star["fact_sales"])
     return f.select(*layout.FACT_COLUMNS)
 
 
@@ -549,7 +545,7 @@ union all select 'products_reconstructed', count(*) from products"""))
 def q_fragmentation_counts(spark, sf_dir):
     """Rows per horizontal fragment, the unified view and the vertical fragments."""
     w = wh(spark, sf_dir)
-    frags = spark.read.parquet(_fragments_path(w))
+    frags = w.sales()
     basic, pricing = _vertical(spark, w)
     b, p = spark.table(basic), spark.table(pricing)
     others = layout.labelled_counts([
@@ -572,9 +568,8 @@ def q_star_schema_counts(spark, sf_dir):
     st = _star(spark, w)
     roles = [("fact_sales", "Fact table"), ("dim_time", "Date/festival info"),
              ("dim_product", "Product details"), ("dim_category", "Category grouping")]
-    frames = {"fact_sales": spark.read.parquet(st["fact_sales"]), "dim_time": w.dim_time(),
-              "dim_product": spark.read.parquet(st["dim_product"]),
-              "dim_category": spark.read.parquet(st["dim_category"])}
+    frames = {"fact_sales": w.read(st["fact_sales"]), "dim_time": w.dim_time(),
+              "dim_product": w.read(st["dim_product"]), "dim_category": w.read(st["dim_category"])}
     counts = layout.labelled_counts([(n, frames[n]) for n, _ in roles], "table_name")
     role = F.create_map(*[x for n, r in roles for x in (F.lit(n), F.lit(r))])
     return counts.select("table_name", role[F.col("table_name")].alias("role"), "row_count")
@@ -593,7 +588,7 @@ def q_load_summary(spark, sf_dir):
     """The load job's closing counts and totals."""
     w = wh(spark, sf_dir)
     s = w.sales()
-    fact = spark.read.parquet(_star(spark, w)["fact_sales"])
+    fact = w.read(w.star["fact_sales"])
     one = s.agg(
         F.count(F.lit(1)).cast("double").alias("Total Sales"),
         F.count_if(F.col("is_festival_month")).cast("double").alias("Festival Sales"),
@@ -602,7 +597,7 @@ def q_load_summary(spark, sf_dir):
     totals = one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").alias("value")) for c in one.columns])).alias("kv")
     ).select("kv.label", "kv.value")
-    frags = layout.year_fragment_counts(spark.read.parquet(_fragments_path(w))).select(
+    frags = layout.year_fragment_counts(w.sales()).select(
         F.concat(F.lit("Sales "), F.substring("relation", 7, 10), F.lit(" (fragment)")).alias("label"),
         F.col("row_count").cast("double").alias("value"))
     counts = layout.labelled_counts([("Categories", w.categories()), ("Products", w.products()),

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -130,12 +130,27 @@ class Warehouse:
     basic_table: str | None = None
     pricing_table: str | None = None
     star: dict | None = None
+    _frames: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        """The written table as a DataFrame, opened once.
+
+        Tables of a load are immutable, so one DataFrame (with its file
+        listing and schema) serves every later query.
+        """
+        if name not in self._frames:
+            df = self.spark.read.parquet(f"{self.root}/{name}")
+            self._frames[name] = df.select(*SALES_COLUMNS) if name == "sales" else df
+        return self._frames[name]
+
+    def read(self, path: str) -> DataFrame:
+        """Any other table written by this load (star schema, replica), opened once."""
+        if path not in self._frames:
+            self._frames[path] = self.spark.read.parquet(path)
+        return self._frames[path]
 
     def sales(self) -> DataFrame:
-        return self.table("sales").select(*SALES_COLUMNS)
+        return self.table("sales")
 
     def products(self) -> DataFrame:
         return self.table("products")

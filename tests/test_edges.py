@@ -109,10 +109,12 @@ def test_insert_absent(spark):
 
 def test_sequential_key_equals_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 100003).alias("k"))
-    out = sequential_key(df, "k", "key", 7)
+    out = sequential_key(df, "k", "key", 7, small_rows=100)     # partitioned path
     bad = out.withColumn("rn", F.row_number().over(__import__("pyspark.sql").sql.Window.orderBy("k"))) \
              .filter(F.col("rn") != F.col("key")).count()
     assert bad == 0 and out.count() == 5000
+    small = sequential_key(df, "k", "key")                       # single-window path
+    assert small.join(out, ["k", "key"]).count() == 5000
 
 
 def test_invariants(wh):

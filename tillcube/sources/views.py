@@ -43,12 +43,24 @@ def view_frames(wh: Warehouse) -> dict[str, DataFrame]:
     return frames
 
 
+# Which load's tables the temporary views of each session point at.
+_VIEW_OWNER: dict[int, str] = {}
+
+
 def register_views(wh: Warehouse) -> list[str]:
-    """``createOrReplaceTempView`` for every table and view; returns the names."""
-    frames = view_frames(wh)
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-    return sorted(frames)
+    """``createOrReplaceTempView`` for every table and view; returns the names.
+
+    Temporary views live in the session; they are (re)registered only when
+    another load registered the same names last.
+    """
+    key = ("views", id(wh.spark))
+    if _VIEW_OWNER.get(id(wh.spark)) != wh.root or key not in wh._frames:
+        frames = view_frames(wh)
+        for name, df in frames.items():
+            df.createOrReplaceTempView(name)
+        wh._frames[key] = sorted(frames)
+        _VIEW_OWNER[id(wh.spark)] = wh.root
+    return wh._frames[key]
 
 
 def sql(spark: SparkSession, text: str, **args) -> DataFrame:

@@ -66,3 +66,13 @@ def test_margin_guard(spark):
     out = [r[0] for r in df.select(guarded_percent("p", "s")).collect()]
     assert out == [0.0, 0.0, 25.0]
     assert F is not None
+
+
+def test_encoder_and_metadata_are_published(spark, wh):
+    from tillcube.session import new_table_path as ntp
+    enc = ml.category_encoder(wh.categories())
+    root = ntp(spark, "artifacts")
+    loaded = ml.load_encoder(ml.publish_encoder(enc, root))
+    assert loaded.labels == sorted(loaded.labels) == enc.labels
+    meta = spark.read.json(f"{root}/metadata").first()
+    assert meta.feature_columns == ml.FEATURE_COLUMNS and meta.categories == enc.labels

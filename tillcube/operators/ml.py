@@ -78,6 +78,23 @@ def encoding_table(encoder: StringIndexerModel, categories: DataFrame) -> DataFr
     return encoder.transform(categories.select("category_name"))
 
 
+def publish_encoder(encoder: StringIndexerModel, root: str) -> str:
+    """Save the fitted encoder and a metadata document (feature order,
+    encoder classes) next to the lookups; returns the encoder path."""
+    spark = SparkSession.getActiveSession()
+    path = f"{root}/encoder"
+    encoder.write().overwrite().save(path)
+    meta = spark.range(1).select(
+        F.array(*[F.lit(c) for c in FEATURE_COLUMNS]).alias("feature_columns"),
+        F.array(*[F.lit(c) for c in encoder.labels]).alias("categories"))
+    meta.coalesce(1).write.mode("overwrite").json(f"{root}/metadata")
+    return path
+
+
+def load_encoder(path: str) -> StringIndexerModel:
+    return StringIndexerModel.load(path)
+
+
 @dataclass
 class Lookups:
     """M10 artifacts: the averages used as features, written as JSON."""

@@ -630,7 +630,11 @@ def _lookups(spark, w):
 
 
 def _encoder(w):
-    return _once(w, "encoder", lambda: ml.category_encoder(w.categories()))
+    """The category encoder, fitted once and published as an artifact."""
+    def build():
+        path = ml.publish_encoder(ml.category_encoder(w.categories()), new_table_path(w.spark, "artifacts"))
+        return ml.load_encoder(path)
+    return _once(w, "encoder", build)
 
 
 def _features(spark, w):

@@ -45,12 +45,13 @@ def test_forest_is_repeatable_and_scores_every_request(spark, wh, feats):
 
 def test_unknown_category_and_month_are_rejected(spark, wh, feats):
     _, lk, enc = feats
-    req = spark.createDataFrame([("NOPE", 1, 2, 5.0, False), ("ECONOMY", 13, 2, 5.0, True)],
+    req = spark.createDataFrame([("NOPE", 1, 2, 5.0, False), ("ECONOMY", 13, 2, 5.0, True),
+                                 ("ECONOMY", 3, 1, 5.0, False)],
                                 "category string, month int, quantity int, discount_percent double, store_in_db boolean")
     ok, rejects = ml.request_features(req, wh.categories(), wh.products(), lk,
                                       calendar.month_festival_flag(wh.dim_time()), enc)
     reasons = {r.category: r.reject_reason for r in rejects.collect()}
-    assert ok.count() == 0
+    assert ok.count() == 1
     assert reasons == {"NOPE": "category not found", "ECONOMY": "no average for month"}
 
 

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -279,6 +279,7 @@ def request_features(requests: DataFrame, categories: DataFrame, products: DataF
     r = (requests.join(cats, "category", "left").join(prices, "category_id", "left")
          .join(cat_avg, "category", "left").join(mon_avg, "month", "left").join(flags, "month", "left"))
     reason = (F.when(F.col("category_id").isNull(), F.lit("category not found"))
+               .when(F.col("category_avg_sale").isNull(), F.lit("no average for category"))
                .when(F.col("month_avg_sale").isNull(), F.lit("no average for month")))
     r = r.withColumn("reject_reason", reason)
     rejects = r.filter(F.col("reject_reason").isNotNull()).select(
@@ -288,9 +289,7 @@ def request_features(requests: DataFrame, categories: DataFrame, products: DataF
           .withColumn("is_festival_int", F.coalesce(F.col("is_festival_int"), F.lit(0)))
           .withColumn("profit_margin", (F.col("selling_price") - F.col("cost_price")) / F.col("selling_price"))
           .withColumn("base_sale_value", F.col("quantity") * F.col("selling_price")))
-    feats = ok.select("category", "month", "quantity", "discount_percent", "store_in_db",
-                      *[c for c in FEATURE_COLUMNS if c not in ("month", "quantity", "discount_percent")])
-    return feats.select("category", "store_in_db", *FEATURE_COLUMNS), rejects
+    return ok.select("category", "store_in_db", *FEATURE_COLUMNS), rejects
 
 
 def score(feats: DataFrame, sale_model: PipelineModel, profit_model: PipelineModel) -> DataFrame:

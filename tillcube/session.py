@@ -27,12 +27,35 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB of input, ~1000 executors).  The
+# shuffle width is an upper bound that AQE coalesces down to ~256 MB
+# partitions; scans are split at 256 MB, which keeps a task's working set
+# well inside a few GB of executor memory; skewed partitions (> 5x median
+# and > 512 MB) are split.  The broadcast threshold stays at Spark's
+# default: dimensions above it are sort-merge joined.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tillcube", extra: dict | None = None) -> SparkSession:
+                app_name: str = "tillcube", extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """A session with our defaults; ``cluster=True`` adds ``CLUSTER_CONF``
+    (the driver memory setting only matters in local mode)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.pop("spark.driver.memory", None)
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

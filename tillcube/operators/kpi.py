@@ -4,7 +4,9 @@ Every operator takes the ``sales`` DataFrame (and dimensions where needed)
 and returns a DataFrame; all aggregates are algebraic, so Spark runs them as
 partial + final hash aggregation and a hot group is combined map-side
 before the shuffle.  Category names are carried on each sale at load time,
-so grouping by category needs no join with the category table.
+so grouping by category needs no join with the category table.  The
+calendar/category KPIs are sums of additive measures (``summary``), so
+they run on row-level sales or on the much smaller daily summary alike.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import exact_avg, money_sum, ratio_percent
+from ..functions.money import exact_avg, money_sum
 from ..plans.joins import checked_broadcast
+from . import summary as S
 
 TOP_K_DEFAULT = 10
 
@@ -25,38 +28,41 @@ def _orders() -> F.Column:
 
 
 def overview_totals(sales: DataFrame) -> DataFrame:
-    """One row even for an empty input (count 0, the rest NULL)."""
-    return sales.agg(
-        _orders().alias("total_orders"),
-        money_sum("sale_amount").alias("total_revenue"),
-        money_sum("profit").alias("total_profit"),
-        exact_avg("sale_amount").alias("avg_order_value"),
-        F.sum("quantity").cast("long").alias("total_items_sold"),
+    """One row even for an empty input (count 0, the rest NULL).
+
+    Like every KPI below except the product ranking, it takes row-level
+    sales or the daily summary (``summary.daily_summary``) alike.
+    """
+    return S.measures(sales).agg(
+        S.orders().alias("total_orders"),
+        S.money("c_sales").alias("total_revenue"),
+        S.money("c_profit").alias("total_profit"),
+        S.mean_money("c_sales", "n_orders").alias("avg_order_value"),
+        S.quantity().alias("total_items_sold"),
     )
 
 
 def monthly_sales_summary(sales: DataFrame) -> DataFrame:
     """Per (year, month), ascending."""
-    return (sales.groupBy("year", "month").agg(
-        _orders().alias("total_orders"),
-        F.sum("quantity").cast("long").alias("total_quantity"),
-        money_sum("sale_amount").alias("total_sales"),
-        money_sum("profit").alias("total_profit"),
-        exact_avg("discount_percent").alias("avg_discount"),
-        money_sum(F.when(F.col("is_festival_month"), F.col("sale_amount")).otherwise(F.lit(0).cast("decimal(12,2)")))
-        .alias("festival_sales"),
+    return (S.measures(sales).groupBy("year", "month").agg(
+        S.orders().alias("total_orders"),
+        S.quantity().alias("total_quantity"),
+        S.money("c_sales").alias("total_sales"),
+        S.money("c_profit").alias("total_profit"),
+        S.mean_money("c_discount", "n_discount").alias("avg_discount"),
+        S.money("c_festival_sales").alias("festival_sales"),
     ).orderBy("year", "month"))
 
 
 def category_performance(sales: DataFrame) -> DataFrame:
     """D3: per category; the margin is the mean of per-sale ratios (not a ratio of sums)."""
-    return (sales.groupBy("category_name").agg(
-        _orders().alias("total_orders"),
-        F.sum("quantity").cast("long").alias("total_quantity"),
-        money_sum("sale_amount").alias("total_sales"),
-        money_sum("profit").alias("total_profit"),
-        exact_avg("discount_percent").alias("avg_discount"),
-        F.round(F.avg(ratio_percent("profit", "sale_amount")), 2).alias("profit_margin_percent"),
+    return (S.measures(sales).groupBy("category_name").agg(
+        S.orders().alias("total_orders"),
+        S.quantity().alias("total_quantity"),
+        S.money("c_sales").alias("total_sales"),
+        S.money("c_profit").alias("total_profit"),
+        S.mean_money("c_discount", "n_discount").alias("avg_discount"),
+        F.round(S.mean_margin(), 2).alias("profit_margin_percent"),
     ).orderBy(F.desc("total_sales"), "category_name"))
 
 
@@ -81,51 +87,51 @@ def top_products(sales: DataFrame, limit: int | None = TOP_K_DEFAULT) -> DataFra
 
 def festival_comparison(sales: DataFrame) -> DataFrame:
     """Per (flag, festival name); NULL name is one group."""
-    return (sales.groupBy("is_festival_month", "festival_name").agg(
-        _orders().alias("total_orders"),
-        money_sum("sale_amount").alias("total_sales"),
-        money_sum("profit").alias("total_profit"),
-        exact_avg("sale_amount").alias("avg_order_value"),
+    return (S.measures(sales).groupBy("is_festival_month", "festival_name").agg(
+        S.orders().alias("total_orders"),
+        S.money("c_sales").alias("total_sales"),
+        S.money("c_profit").alias("total_profit"),
+        S.mean_money("c_sales", "n_orders").alias("avg_order_value"),
     ).orderBy(F.desc("total_sales"), "festival_name"))
 
 
 def festival_split(sales: DataFrame) -> DataFrame:
     """Festival days against other days."""
-    return sales.groupBy("is_festival_month").agg(
-        _orders().alias("orders"),
-        money_sum("sale_amount").alias("sales"),
-        money_sum("profit").alias("profit"),
+    return S.measures(sales).groupBy("is_festival_month").agg(
+        S.orders().alias("orders"),
+        S.money("c_sales").alias("sales"),
+        S.money("c_profit").alias("profit"),
     ).orderBy("is_festival_month")
 
 
 def _five_kpis() -> list[F.Column]:
     return [
-        _orders().alias("total_orders"),
-        money_sum("sale_amount").alias("total_sales"),
-        money_sum("profit").alias("total_profit"),
-        exact_avg("sale_amount").alias("avg_order_value"),
-        exact_avg("discount_percent").alias("avg_discount"),
+        S.orders().alias("total_orders"),
+        S.money("c_sales").alias("total_sales"),
+        S.money("c_profit").alias("total_profit"),
+        S.mean_money("c_sales", "n_orders").alias("avg_order_value"),
+        S.mean_money("c_discount", "n_discount").alias("avg_discount"),
     ]
 
 
 def festival_sales(sales: DataFrame) -> DataFrame:
     """Festival days by festival name, sales descending."""
-    return (sales.filter(F.col("is_festival_month")).groupBy("festival_name").agg(*_five_kpis())
+    return (S.measures(sales).filter(F.col("is_festival_month")).groupBy("festival_name").agg(*_five_kpis())
             .orderBy(F.desc("total_sales"), "festival_name"))
 
 
 def non_festival_sales(sales: DataFrame) -> DataFrame:
     """The same KPIs over all non-festival days (one row)."""
-    return sales.filter(~F.col("is_festival_month")).agg(*_five_kpis())
+    return S.measures(sales).filter(~F.col("is_festival_month")).agg(*_five_kpis())
 
 
 def category_monthly(sales: DataFrame, category: str) -> DataFrame:
     """One category by (year, month)."""
-    return (sales.filter(F.col("category_name") == F.lit(category)).groupBy("year", "month").agg(
-        _orders().alias("total_orders"),
-        money_sum("sale_amount").alias("total_sales"),
-        money_sum("profit").alias("total_profit"),
-        exact_avg("discount_percent").alias("avg_discount"),
+    return (S.measures(sales).filter(F.col("category_name") == F.lit(category)).groupBy("year", "month").agg(
+        S.orders().alias("total_orders"),
+        S.money("c_sales").alias("total_sales"),
+        S.money("c_profit").alias("total_profit"),
+        S.mean_money("c_discount", "n_discount").alias("avg_discount"),
     ).orderBy("year", "month"))
 
 
@@ -166,8 +172,9 @@ def category_avg_price(products: DataFrame) -> DataFrame:
 
 def historical_averages(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Mean sale amount per category and per month (all years together)."""
-    cat = sales.groupBy("category_name").agg(exact_avg("sale_amount").alias("category_avg_sale"))
-    mon = sales.groupBy("month").agg(exact_avg("sale_amount").alias("month_avg_sale"))
+    m = S.measures(sales)
+    cat = m.groupBy("category_name").agg(S.mean_money("c_sales", "n_orders").alias("category_avg_sale"))
+    mon = m.groupBy("month").agg(S.mean_money("c_sales", "n_orders").alias("month_avg_sale"))
     return cat, mon
 
 

@@ -10,46 +10,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import exact_avg, money_sum
+from . import summary as S
 
 # Largest pivot we build without an explicit value list (Spark's own default).
 MAX_PIVOT_VALUES = 10_000
 
 
 def rollup_year(sales: DataFrame) -> DataFrame:
-    """Month -> year."""
-    return sales.groupBy("year").agg(
-        money_sum("sale_amount").alias("yearly_sales"),
-        money_sum("profit").alias("yearly_profit"),
+    """Month -> year (row-level sales or the daily summary)."""
+    return S.measures(sales).groupBy("year").agg(
+        S.money("c_sales").alias("yearly_sales"),
+        S.money("c_profit").alias("yearly_profit"),
     ).orderBy("year")
 
 
 def drilldown_year(sales: DataFrame, year: int) -> DataFrame:
     """One year -> its months."""
-    return (sales.filter(F.col("year") == F.lit(year)).groupBy("month").agg(
-        money_sum("sale_amount").alias("monthly_sales"),
-        money_sum("profit").alias("monthly_profit"),
-        F.count(F.lit(1)).alias("orders"),
+    return (S.measures(sales).filter(F.col("year") == F.lit(year)).groupBy("month").agg(
+        S.money("c_sales").alias("monthly_sales"),
+        S.money("c_profit").alias("monthly_profit"),
+        S.orders().alias("orders"),
     ).orderBy("month"))
 
 
 def slice_year(sales: DataFrame, year: int) -> DataFrame:
     """Fix the year; categories by sales descending."""
-    return (sales.filter(F.col("year") == F.lit(year)).groupBy("category_name").agg(
-        F.count(F.lit(1)).alias("orders"),
-        money_sum("sale_amount").alias("total_sales"),
-        money_sum("profit").alias("total_profit"),
+    return (S.measures(sales).filter(F.col("year") == F.lit(year)).groupBy("category_name").agg(
+        S.orders().alias("orders"),
+        S.money("c_sales").alias("total_sales"),
+        S.money("c_profit").alias("total_profit"),
     ).orderBy(F.desc("total_sales"), "category_name"))
 
 
 def dice_year_category(sales: DataFrame, year: int, category: str) -> DataFrame:
     """Fix the year and the category; months ascending."""
     cond = (F.col("year") == F.lit(year)) & (F.col("category_name") == F.lit(category))
-    return (sales.filter(cond).groupBy("month").agg(
-        F.count(F.lit(1)).alias("orders"),
-        money_sum("sale_amount").alias("total_sales"),
-        money_sum("profit").alias("total_profit"),
-        exact_avg("discount_percent").alias("avg_discount"),
+    return (S.measures(sales).filter(cond).groupBy("month").agg(
+        S.orders().alias("orders"),
+        S.money("c_sales").alias("total_sales"),
+        S.money("c_profit").alias("total_profit"),
+        S.mean_money("c_discount", "n_discount").alias("avg_discount"),
     ).orderBy("month"))
 
 
@@ -61,9 +61,9 @@ def pivot_month_category(sales: DataFrame, categories: list[str]) -> DataFrame:
     """
     if len(categories) > MAX_PIVOT_VALUES:
         raise ValueError(f"pivot over {len(categories)} values exceeds {MAX_PIVOT_VALUES}")
-    p = sales.groupBy("year", "month").pivot("category_name", categories).agg(F.sum("sale_amount"))
-    return p.select("year", "month", *[F.col(f"`{c}`").cast("double").alias(c) for c in categories]) \
-            .orderBy("year", "month")
+    p = S.measures(sales).groupBy("year", "month").pivot("category_name", categories).agg(F.sum("c_sales"))
+    return p.select("year", "month", *[(F.col(f"`{c}`").cast("double") / F.lit(100.0)).alias(c)
+                                       for c in categories]).orderBy("year", "month")
 
 
 def category_names(categories: DataFrame) -> list[str]:

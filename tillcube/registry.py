@@ -126,7 +126,7 @@ select count(*) as total_orders, {O.msum('sale_amount')} as total_revenue, {O.ms
        {O.avg('sale_amount')} as avg_order_value, cast(sum(quantity) as bigint) as total_items_sold
 from sales"""))
 def q_overview_totals(spark, sf_dir):
-    return kpi.overview_totals(wh(spark, sf_dir).sales())
+    return kpi.overview_totals(wh(spark, sf_dir).summary())
 
 
 MONTHLY_SQL = f"""
@@ -139,14 +139,14 @@ from sales group by year, month"""
 
 @register("monthly_sales_summary", O.q(MONTHLY_SQL + " order by year, month"))
 def q_monthly(spark, sf_dir):
-    return kpi.monthly_sales_summary(wh(spark, sf_dir).sales())
+    return kpi.monthly_sales_summary(wh(spark, sf_dir).summary())
 
 
 @register("latest_24_months", O.q(f"""
 select year, month, total_sales, total_profit from ({MONTHLY_SQL}) m
 order by year desc, month desc limit 24"""))
 def q_latest_24(spark, sf_dir):
-    return kpi.latest_months(kpi.monthly_sales_summary(wh(spark, sf_dir).sales()), 24)
+    return kpi.latest_months(kpi.monthly_sales_summary(wh(spark, sf_dir).summary()), 24)
 
 
 @register("category_performance", O.q(f"""
@@ -157,7 +157,7 @@ select c.category_name, count(*) as total_orders, cast(sum(s.quantity) as bigint
 from sales s join categories c on s.category_id = c.category_id
 group by c.category_name order by total_sales desc"""))
 def q_category_performance(spark, sf_dir):
-    return kpi.category_performance(wh(spark, sf_dir).sales())
+    return kpi.category_performance(wh(spark, sf_dir).summary())
 
 
 @register("top_products", O.q(f"""
@@ -178,14 +178,14 @@ select is_festival_month, festival_name, count(*) as total_orders,
        {O.avg('sale_amount')} as avg_order_value
 from sales group by is_festival_month, festival_name"""))
 def q_festival_comparison(spark, sf_dir):
-    return kpi.festival_comparison(wh(spark, sf_dir).sales())
+    return kpi.festival_comparison(wh(spark, sf_dir).summary())
 
 
 @register("festival_split", O.q(f"""
 select is_festival_month, count(*) as orders, {O.msum('sale_amount')} as sales, {O.msum('profit')} as profit
 from sales group by is_festival_month"""))
 def q_festival_split(spark, sf_dir):
-    return kpi.festival_split(wh(spark, sf_dir).sales())
+    return kpi.festival_split(wh(spark, sf_dir).summary())
 
 
 FIVE = f"""count(*) as total_orders, {O.msum('sale_amount')} as total_sales, {O.msum('profit')} as total_profit,
@@ -195,12 +195,12 @@ FIVE = f"""count(*) as total_orders, {O.msum('sale_amount')} as total_sales, {O.
 @register("festival_sales", O.q(f"""
 select festival_name, {FIVE} from sales where is_festival_month group by festival_name"""))
 def q_festival_sales(spark, sf_dir):
-    return kpi.festival_sales(wh(spark, sf_dir).sales())
+    return kpi.festival_sales(wh(spark, sf_dir).summary())
 
 
 @register("non_festival_sales", O.q(f"select {FIVE} from sales where not is_festival_month"))
 def q_non_festival_sales(spark, sf_dir):
-    return kpi.non_festival_sales(wh(spark, sf_dir).sales())
+    return kpi.non_festival_sales(wh(spark, sf_dir).summary())
 
 
 @register("category_monthly", O.q(f"""
@@ -209,7 +209,7 @@ select s.year, s.month, count(*) as total_orders, {O.msum('s.sale_amount')} as t
 from sales s join categories c on s.category_id = c.category_id
 where c.category_name = '{CATEGORY}' group by s.year, s.month"""))
 def q_category_monthly(spark, sf_dir):
-    return kpi.category_monthly(wh(spark, sf_dir).sales(), CATEGORY)
+    return kpi.category_monthly(wh(spark, sf_dir).summary(), CATEGORY)
 
 
 @register("sales_summary_range", O.q(f"""
@@ -217,7 +217,7 @@ select count(*) as total_orders, {O.msum('sale_amount')} as total_revenue, {O.ms
        {O.avg('sale_amount')} as avg_order_value, cast(sum(quantity) as bigint) as total_items_sold
 from sales where sale_date between date '{RANGE_START}' and date '{RANGE_END}'"""))
 def q_sales_summary_range(spark, sf_dir):
-    return kpi.sales_summary_range(wh(spark, sf_dir).sales(), RANGE_START, RANGE_END)
+    return kpi.sales_summary_range(wh(spark, sf_dir).summary(), RANGE_START, RANGE_END)
 
 
 @register("sales_date_range", O.q(f"""
@@ -243,14 +243,14 @@ def q_category_avg_price(spark, sf_dir):
 select year, {O.msum('sale_amount')} as yearly_sales, {O.msum('profit')} as yearly_profit
 from sales group by year order by year"""))
 def q_olap_rollup(spark, sf_dir):
-    return olap.rollup_year(wh(spark, sf_dir).sales())
+    return olap.rollup_year(wh(spark, sf_dir).summary())
 
 
 @register("olap_drilldown", O.q(f"""
 select month, {O.msum('sale_amount')} as monthly_sales, {O.msum('profit')} as monthly_profit, count(*) as orders
 from sales where year = {YEAR} group by month order by month"""))
 def q_olap_drilldown(spark, sf_dir):
-    return olap.drilldown_year(wh(spark, sf_dir).sales(), YEAR)
+    return olap.drilldown_year(wh(spark, sf_dir).summary(), YEAR)
 
 
 @register("olap_slice", O.q(f"""
@@ -258,7 +258,7 @@ select c.category_name, count(*) as orders, {O.msum('s.sale_amount')} as total_s
 from sales s join categories c on s.category_id = c.category_id
 where s.year = {YEAR} group by c.category_name order by total_sales desc"""))
 def q_olap_slice(spark, sf_dir):
-    return olap.slice_year(wh(spark, sf_dir).sales(), YEAR)
+    return olap.slice_year(wh(spark, sf_dir).summary(), YEAR)
 
 
 @register("olap_dice", O.q(f"""
@@ -267,7 +267,7 @@ select s.month, count(*) as orders, {O.msum('s.sale_amount')} as total_sales, {O
 from sales s join categories c on s.category_id = c.category_id
 where s.year = {YEAR} and c.category_name = '{CATEGORY}' group by s.month order by s.month"""))
 def q_olap_dice(spark, sf_dir):
-    return olap.dice_year_category(wh(spark, sf_dir).sales(), YEAR, CATEGORY)
+    return olap.dice_year_category(wh(spark, sf_dir).summary(), YEAR, CATEGORY)
 
 
 # Pivot columns: the six category names of the driver's part table.
@@ -279,7 +279,7 @@ PIVOT_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     for c in PIVOT_CATEGORIES) + " from sales group by year, month order by year, month"))
 def q_olap_pivot(spark, sf_dir):
     w = wh(spark, sf_dir)
-    return olap.pivot_month_category(w.sales(), olap.category_names(w.categories()))
+    return olap.pivot_month_category(w.summary(), olap.category_names(w.categories()))
 
 
 # -------------------------------------------------------------------- temporal
@@ -626,7 +626,7 @@ def with_train(body: str) -> str:
 
 
 def _lookups(spark, w):
-    return ml.read_lookups(spark, _once(w, "lookups", lambda: ml.write_lookups(w.sales()).path))
+    return ml.read_lookups(spark, _once(w, "lookups", lambda: ml.write_lookups(w.summary()).path))
 
 
 def _encoder(w):

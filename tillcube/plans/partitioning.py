@@ -14,8 +14,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     as one small Parquet row group, is round-robin repartitioned.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no access to the physical partitioning: leave the scan as it is
+        return df
     return df if have >= want else df.repartition(want)
 
 

@@ -210,7 +210,7 @@ def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str,
     the same application, as the reference's server reads the database its
     load job wrote.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.conf.get("spark.app.id", "") or str(id(spark)), os.path.abspath(sf_dir))
     if reuse and festivals is None and key in _LOADED:
         return _LOADED[key]
     root = new_table_path(spark, "warehouse")

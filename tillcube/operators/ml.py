@@ -109,8 +109,8 @@ def write_lookups(sales: DataFrame) -> Lookups:
     spark = sales.sparkSession
     cat, mon = historical_averages(sales)
     path = new_table_path(spark, "lookups")
-    cat.coalesce(1).write.json(f"{path}/category_avg")
-    mon.coalesce(1).write.json(f"{path}/month_avg")
+    cat.write.json(f"{path}/category_avg")
+    mon.write.json(f"{path}/month_avg")
     return read_lookups(spark, path)
 
 

@@ -19,11 +19,12 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import money
 from ..operators import calendar
+from ..operators.keys import sequential_key
 from ..operators.summary import daily_summary
 from ..plans.joins import checked_broadcast
 from ..plans.partitioning import ensure_parallelism
@@ -42,12 +43,13 @@ MAX_CATEGORIES = 100_000
 def categories_from_part(part: DataFrame) -> DataFrame:
     """``category_id`` = dense rank of ``p_type``; one row per category.
 
-    The distinct step is a partial aggregation, so only the (few) category
-    names reach the single-partition ranking window.
+    The distinct step is a partial aggregation; the distinct names are then
+    numbered in name order by ``sequential_key`` (one window only when they
+    are counted to be few, else the partitioned numbering).
     """
     types = part.select(F.col("p_type").alias("category_name")).distinct()
-    rank = F.dense_rank().over(Window.orderBy("category_name")).cast("long")
-    return types.select(rank.alias("category_id"), "category_name",
+    keyed = sequential_key(types, "category_name", "category_id")
+    return keyed.select("category_id", "category_name",
                         F.concat("category_name", F.lit(CATEGORY_DESCRIPTION_SUFFIX)).alias("description"))
 
 
@@ -218,7 +220,7 @@ def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str,
     lineitem = tables.lineitem(spark, sf_dir)
 
     def products_chain():
-        categories_from_part(part).coalesce(1).write.parquet(f"{root}/categories")
+        categories_from_part(part).write.parquet(f"{root}/categories")
         products_from_part(part, spark.read.parquet(f"{root}/categories")).write.parquet(f"{root}/products")
 
     def fest_days():

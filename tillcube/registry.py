@@ -444,8 +444,8 @@ def q_upsert_categories(spark, sf_dir):
     base = w.categories()
     known = base.orderBy("category_name").limit(2).select(
         "category_name", F.lit("updated description").alias("description"))
-    new = spark.createDataFrame([(NEW_CATEGORY, NEW_CATEGORY + retail.CATEGORY_DESCRIPTION_SUFFIX)],
-                                "category_name string, description string")
+    new = spark.range(1).select(F.lit(NEW_CATEGORY).alias("category_name"),
+                                F.lit(NEW_CATEGORY + retail.CATEGORY_DESCRIPTION_SUFFIX).alias("description"))
 
     def build():
         path = new_table_path(spark, "categories_upserted")

@@ -346,7 +346,8 @@ _BUILT: dict[tuple[str, str], object] = {}
 
 
 def _once(w: retail.Warehouse, what: str, build):
-    """Layout jobs write once per warehouse load and are reused afterwards."""
+    """Jobs that write (appends, upserts, exports, training, scoring) run once
+    per warehouse load; later calls read what they wrote."""
     key = (w.root, what)
     if key not in _BUILT:
         _BUILT[key] = build()

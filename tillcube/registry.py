@@ -715,8 +715,8 @@ def q_regression_metrics(spark, sf_dir):
 
 def _models(spark, w, kind):
     def build():
-        metrics, paths = ml.train_and_evaluate(_features(spark, w), kind, ml.RF_TREES, ml.RF_DEPTH)
-        return metrics.inputFiles()[0].rsplit("/", 1)[0], paths
+        _, paths = ml.train_and_evaluate(_features(spark, w), kind, ml.RF_TREES, ml.RF_DEPTH)
+        return paths["metrics"], paths
     return _once(w, f"models_{kind}", build)
 
 

@@ -179,25 +179,31 @@ class Warehouse:
 _LOADED: dict[tuple[str, str], Warehouse] = {}
 
 
-def build_layout(wh: Warehouse) -> Warehouse:
-    """The rest of the reference's load job: master/replica, vertical
-    fragments and the star schema (the year fragments are the partitioned
-    ``sales`` table itself)."""
+def _replica_job(wh: Warehouse) -> tuple[str, str]:
+    from ..operators import layout
+    master = f"{wh.root}/products_master"
+    wh.products().select(*layout.MASTER_COLUMNS).write.parquet(master)
+    layout.replicate(wh.spark.read.parquet(master), f"{wh.root}/products_replica")
+    return master, f"{wh.root}/products_replica"
+
+
+def _vertical_job(wh: Warehouse) -> tuple[str, str]:
     from ..operators import layout
-    spark = wh.spark
+    return layout.split_products(wh.products())
 
-    def replica():
-        master = f"{wh.root}/products_master"
-        wh.products().select(*layout.MASTER_COLUMNS).write.parquet(master)
-        layout.replicate(spark.read.parquet(master), f"{wh.root}/products_replica")
-        return master, f"{wh.root}/products_replica"
 
-    # The three builds are independent small jobs: submit them side by side
-    # so together they fill the cluster's cores.
+def _star_job(wh: Warehouse) -> dict:
+    from ..operators import layout
+    return layout.load_star(wh.sales(), wh.products(), wh.categories(), f"{wh.root}/star")
+
+
+def build_layout(wh: Warehouse) -> Warehouse:
+    """The rest of the reference's load job on an existing load: master/replica,
+    vertical fragments and the star schema (the year fragments are the
+    partitioned ``sales`` table itself)."""
     with ThreadPoolExecutor(max_workers=3) as pool:
-        rep = pool.submit(replica)
-        vert = pool.submit(layout.split_products, wh.products())
-        star = pool.submit(layout.load_star, wh.sales(), wh.products(), wh.categories(), f"{wh.root}/star")
+        rep, vert, star = (pool.submit(_replica_job, wh), pool.submit(_vertical_job, wh),
+                           pool.submit(_star_job, wh))
         wh.master_path, wh.replica_path = rep.result()
         wh.basic_table, wh.pricing_table = vert.result()
         wh.star = star.result()
@@ -247,15 +253,23 @@ def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str,
         # calendar/category KPIs read this instead of the fact table.
         daily_summary(wh.sales()).write.parquet(f"{root}/daily_summary")
 
-    # Independent jobs run side by side (each is small next to the cluster).
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        for f in [pool.submit(products_chain), pool.submit(fest_days)]:
-            f.result()
-        for f in [pool.submit(sales_table), pool.submit(time_dim)]:
-            f.result()
-    summary_table()
+    # The load is a small dependency graph of jobs; the independent ones of
+    # each step are submitted side by side so together they fill the cores.
+    def run_all(*jobs):
+        futures = [pool.submit(j) for j in jobs]
+        return [f.result() for f in futures]
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        run_all(products_chain, fest_days)                      # dims
+        step2 = [sales_table, time_dim]
+        if layout_tables:
+            step2 += [lambda: _replica_job(wh), lambda: _vertical_job(wh)]
+        done = run_all(*step2)                                  # facts, calendar, product copies
+        step3 = [summary_table] + ([lambda: _star_job(wh)] if layout_tables else [])
+        star = run_all(*step3)                                  # summary, star schema
     if layout_tables:
-        build_layout(wh)
+        (wh.master_path, wh.replica_path), (wh.basic_table, wh.pricing_table) = done[2], done[3]
+        wh.star = star[1]
     if festivals is None:
         _LOADED[key] = wh
     return wh

@@ -4,11 +4,13 @@ Mapping (FIXTURES.md, C): ``part`` gives products (``p_type`` is the
 category), ``lineitem`` gives one sale per line, priced from the product's
 list price, tagged with the festival calendar.
 
-The load writes each table once into the shared folder (``categories``,
-``products``, ``festival_days``, ``sales`` partitioned by ``year`` and
-clustered by ``sale_date``, ``dim_time``, and ``daily_summary``: the
-additive KPI measures per day, category and festival tag), the way the reference's load job fills its
-database before the server queries it.  Queries then read the written
+The load writes each table once into the shared folder: ``categories``,
+``products``, ``festival_days``, ``sales`` (partitioned by ``year``,
+clustered by ``sale_date``), ``dim_time``, ``daily_summary`` (the additive
+KPI measures per day, category and festival tag) and, with
+``layout_tables``, the master/replica pair, the bucketed vertical
+fragments and the star schema -- the way the reference's load job fills
+its database before the server queries it.  Queries then read the written
 tables: ``year`` filters become partition filters and ``sale_date`` ranges
 become Parquet row-group pruning.
 """

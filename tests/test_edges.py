@@ -139,3 +139,11 @@ def test_fragments_reconstruct_source(spark, wh):
     unified = layout.unify([layout.read_fragment(spark, path, y) for y in years])
     assert unified.exceptAll(spark.read.parquet(path)).count() == 0
     assert spark.read.parquet(path).exceptAll(unified).count() == 0
+
+
+def test_latest_months_limits(small_sales):
+    monthly = kpi.monthly_sales_summary(small_sales)
+    assert kpi.latest_months(monthly, 0).count() == 0
+    assert kpi.latest_months(monthly, -1).count() == monthly.count()
+    top = kpi.latest_months(monthly, 2).collect()
+    assert [(r.year, r.month) for r in top] == [(1998, 1), (1997, 11)]

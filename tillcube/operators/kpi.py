@@ -156,10 +156,11 @@ def category_list(categories: DataFrame) -> DataFrame:
     return categories.select("category_name").orderBy("category_name")
 
 
-def latest_months(monthly: DataFrame, n: int = 24) -> DataFrame:
-    """L4: the latest ``n`` months of the monthly summary."""
-    return (monthly.select("year", "month", "total_sales", "total_profit")
-            .orderBy(F.desc("year"), F.desc("month")).limit(n))
+def latest_months(monthly: DataFrame, n: int | None = 24) -> DataFrame:
+    """L4: the latest ``n`` months of the monthly summary (``n`` < 0 or None: all)."""
+    ordered = (monthly.select("year", "month", "total_sales", "total_profit")
+               .orderBy(F.desc("year"), F.desc("month")))
+    return ordered if n is None or n < 0 else ordered.limit(n)
 
 
 def category_avg_price(products: DataFrame) -> DataFrame:

@@ -849,4 +849,4 @@ def q_sql_category_monthly(spark, sf_dir):
 def q_sql_top_products(spark, sf_dir):
     """``SELECT * FROM top_products LIMIT n`` over the ordered view."""
     views.register_views(wh(spark, sf_dir))
-    return views.sql(spark, f"SELECT * FROM top_products LIMIT {int(TOP_K)}")
+    return views.sql(spark, "SELECT * FROM top_products LIMIT :n", n=TOP_K)

@@ -24,6 +24,7 @@ def view_frames(wh: Warehouse) -> dict[str, DataFrame]:
         "products": wh.products(),
         "categories": wh.categories(),
         "dim_time": wh.dim_time(),
+        "daily_summary": wh.summary(),
         # the reference's views
         "monthly_sales_summary": kpi.monthly_sales_summary(sales),
         "category_performance": kpi.category_performance(sales),

@@ -66,3 +66,4 @@ def test_summary_answers_equal_fact_table_answers(wh):
            lambda d: kpi.historical_averages(d)[0], lambda d: kpi.historical_averages(d)[1]]
     for op in ops:
         assert sorted(op(s).collect(), key=str) == sorted(op(m).collect(), key=str), op
+    assert kpi.top_products(s, None).collect() == kpi.top_products(wh.product_summary(), None).collect()

@@ -71,13 +71,14 @@ def top_products(sales: DataFrame, limit: int | None = TOP_K_DEFAULT) -> DataFra
 
     Grouping is by *names* as in the reference; ties at the cut are broken by
     the names so the result is deterministic.  ``limit`` < 0 or None means
-    no limit (SQLite's ``LIMIT -1``).
+    no limit (SQLite's ``LIMIT -1``).  Takes row-level sales or the product
+    summary (``summary.product_summary``).
     """
-    agg = sales.groupBy("product_name", "category_name").agg(
-        _orders().alias("times_sold"),
-        F.sum("quantity").cast("long").alias("total_quantity_sold"),
-        money_sum("sale_amount").alias("total_revenue"),
-        money_sum("profit").alias("total_profit"),
+    agg = S.measures(sales).groupBy("product_name", "category_name").agg(
+        S.orders().alias("times_sold"),
+        S.quantity().alias("total_quantity_sold"),
+        S.money("c_sales").alias("total_revenue"),
+        S.money("c_profit").alias("total_profit"),
     )
     ordered = agg.orderBy(F.desc("total_revenue"), "product_name", "category_name")
     if limit is None or limit < 0:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.money import cents, ratio_percent
 
 DIMENSIONS = ["year", "month", "sale_date", "category_name", "is_festival_month", "festival_name"]
+PRODUCT_DIMENSIONS = ["product_name", "category_name"]
 MEASURES = ["n_orders", "n_quantity", "c_sales", "c_profit", "c_festival_sales", "c_discount",
             "n_discount", "r_margin", "n_margin"]
 
@@ -32,8 +33,9 @@ def is_measures(df: DataFrame) -> bool:
 def as_measures(sales: DataFrame) -> DataFrame:
     """Row-level sales as measure rows (one per sale)."""
     ratio = ratio_percent("profit", "sale_amount")
+    dims = [c for c in DIMENSIONS + ["product_name"] if c in sales.columns]
     return sales.select(
-        *[c for c in DIMENSIONS if c in sales.columns],
+        *dims,
         F.lit(1).cast("long").alias("n_orders"),
         F.col("quantity").cast("long").alias("n_quantity"),
         cents("sale_amount").alias("c_sales"),
@@ -57,6 +59,15 @@ def daily_summary(sales: DataFrame) -> DataFrame:
     return as_measures(sales).groupBy(*DIMENSIONS).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
+def product_summary(sales: DataFrame) -> DataFrame:
+    """One row per (product name, category) with the summed measures.
+
+    The product ranking reads this: its size is the number of products, not
+    the number of sales.
+    """
+    return as_measures(sales).groupBy(*PRODUCT_DIMENSIONS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
 # ---- aggregate expressions over measure rows (identical for both inputs)
 def orders() -> Column:
     return F.coalesce(F.sum("n_orders"), F.lit(0).cast("long"))

@@ -169,7 +169,7 @@ join categories c on s.category_id = c.category_id
 group by p.product_name, c.category_name
 order by total_revenue desc, p.product_name, c.category_name limit {TOP_K}"""))
 def q_top_products(spark, sf_dir):
-    return kpi.top_products(wh(spark, sf_dir).sales(), TOP_K)
+    return kpi.top_products(wh(spark, sf_dir).product_summary(), TOP_K)
 
 
 @register("festival_comparison", O.q(f"""

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import money
 from ..operators import calendar
 from ..operators.keys import sequential_key
-from ..operators.summary import daily_summary
+from ..operators.summary import daily_summary, product_summary
 from ..plans.joins import checked_broadcast
 from ..plans.partitioning import ensure_parallelism
 from ..session import new_table_path
@@ -162,6 +162,10 @@ class Warehouse:
         """The daily (day, category, festival tag) measures: the KPI serving table."""
         return self.table("daily_summary")
 
+    def product_summary(self) -> DataFrame:
+        """The (product name, category) measures: the product ranking's input."""
+        return self.table("product_summary")
+
     def products(self) -> DataFrame:
         return self.table("products")
 
@@ -255,6 +259,10 @@ def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str,
         # calendar/category KPIs read this instead of the fact table.
         daily_summary(wh.sales()).write.parquet(f"{root}/daily_summary")
 
+    def product_summary_table():
+        # One row per (product name, category): the product ranking's input.
+        product_summary(wh.sales()).write.parquet(f"{root}/product_summary")
+
     # The load is a small dependency graph of jobs; the independent ones of
     # each step are submitted side by side so together they fill the cores.
     def run_all(*jobs):
@@ -267,11 +275,11 @@ def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str,
         if layout_tables:
             step2 += [lambda: _replica_job(wh), lambda: _vertical_job(wh)]
         done = run_all(*step2)                                  # facts, calendar, product copies
-        step3 = [summary_table] + ([lambda: _star_job(wh)] if layout_tables else [])
+        step3 = [summary_table, product_summary_table] + ([lambda: _star_job(wh)] if layout_tables else [])
         star = run_all(*step3)                                  # summary, star schema
     if layout_tables:
         (wh.master_path, wh.replica_path), (wh.basic_table, wh.pricing_table) = done[2], done[3]
-        wh.star = star[1]
+        wh.star = star[2]
     if festivals is None:
         _LOADED[key] = wh
     return wh

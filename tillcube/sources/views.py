@@ -25,10 +25,11 @@ def view_frames(wh: Warehouse) -> dict[str, DataFrame]:
         "categories": wh.categories(),
         "dim_time": wh.dim_time(),
         "daily_summary": wh.summary(),
+        "product_summary": wh.product_summary(),
         # the reference's views
         "monthly_sales_summary": kpi.monthly_sales_summary(sales),
         "category_performance": kpi.category_performance(sales),
-        "top_products": kpi.top_products(sales, None),
+        "top_products": kpi.top_products(wh.product_summary(), None),
         "festival_comparison": kpi.festival_comparison(sales),
         "sales_unified": spark.read.parquet(f"{wh.root}/sales"),
     }

@@ -162,6 +162,15 @@ def _memory_mb(value: str) -> int:
     return int(int(v) / (1024 * 1024))
 
 
+def _heap_and_cores(spark: SparkSession) -> tuple[int, int]:
+    """Configured heap (MB) and cores of the JVM that runs the tasks."""
+    conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local")
+    heap = _memory_mb(conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g"))
+    cores = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    return heap, max(1, cores)
+
+
 def tree_aggregate_mb(spark: SparkSession) -> int:
     """Per-task memory for a tree level's split statistics.
 
@@ -169,11 +178,20 @@ def tree_aggregate_mb(spark: SparkSession) -> int:
     trains at once; size it from the configured task memory instead:
     a quarter of the heap share of one core, between 16 and 256 MB.
     """
-    conf = spark.sparkContext.getConf()
-    local = spark.sparkContext.master.startswith("local")
-    heap = _memory_mb(conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g"))
-    cores = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
-    return max(16, min(256, heap // (4 * max(1, cores))))
+    heap, cores = _heap_and_cores(spark)
+    return max(16, min(256, heap // (4 * cores)))
+
+
+# Below this heap (MB) per task JVM the targets are fitted one after the other.
+CONCURRENT_FIT_HEAP_MB = 4096
+
+
+def concurrent_fits(spark: SparkSession) -> int:
+    """How many targets may train at once: all of them with a large heap,
+    one at a time otherwise (two forests' caches and statistics at once
+    overflow a 1 GB heap)."""
+    heap, _ = _heap_and_cores(spark)
+    return len(TARGETS) if heap >= CONCURRENT_FIT_HEAP_MB else 1
 
 
 def regressor(spark: SparkSession, target: str, kind: str, trees: int = RF_TREES, depth: int = RF_DEPTH):
@@ -244,9 +262,10 @@ def train_and_evaluate(feats: DataFrame, kind: str, trees: int = RF_TREES, depth
 
     try:
         assembled.count()  # fill the cache once, before the fits share it
-        # The two targets train side by side: a tree level's driver-side
-        # split search leaves executors idle, which the other fit fills.
-        with ThreadPoolExecutor(max_workers=len(TARGETS)) as pool:
+        # With enough memory the two targets train side by side: a tree
+        # level's driver-side split search leaves executors idle, which the
+        # other fit fills.
+        with ThreadPoolExecutor(max_workers=concurrent_fits(spark)) as pool:
             parts = list(pool.map(fit_one, TARGETS))
         out = parts[0]
         for m in parts[1:]:

@@ -77,3 +77,14 @@ def test_encoder_and_metadata_are_published(spark, wh):
     assert loaded.labels == sorted(loaded.labels) == enc.labels
     meta = spark.read.json(f"{root}/metadata").first()
     assert meta.feature_columns == ml.FEATURE_COLUMNS and meta.categories == enc.labels
+
+
+def test_memory_settings_are_read_like_spark():
+    assert ml._memory_mb("8g") == 8192 and ml._memory_mb("512m") == 512
+    assert ml._memory_mb("4096") == 4096 and ml._memory_mb("2gb") == 2048
+
+
+def test_training_memory_follows_the_heap(spark):
+    # The test session runs local[*] with an 8 GB driver.
+    assert 16 <= ml.tree_aggregate_mb(spark) <= 256
+    assert ml.concurrent_fits(spark) == len(ml.TARGETS)

@@ -153,13 +153,14 @@ def assembler() -> VectorAssembler:
 
 
 def _memory_mb(value: str) -> int:
+    """A Spark memory setting in MiB (a bare number means MiB, as in Spark)."""
     v = value.strip().lower()
     units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
     if v[-1:] == "b":
         v = v[:-1]
     if v[-1:] in units:
         return int(float(v[:-1]) * units[v[-1]])
-    return int(int(v) / (1024 * 1024))
+    return int(v)
 
 
 def _heap_and_cores(spark: SparkSession) -> tuple[int, int]:

@@ -9,6 +9,7 @@ the same in the twin.  Default parameters follow FIXTURES.md.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -343,15 +344,17 @@ FRAGMENT_YEAR = 1997
 FRAGMENT_MONTH_YEAR, FRAGMENT_MONTH = 1996, 11
 
 _BUILT: dict[tuple[str, str], object] = {}
+_BUILD_LOCK = threading.RLock()
 
 
 def _once(w: retail.Warehouse, what: str, build):
     """Jobs that write (appends, upserts, exports, training, scoring) run once
     per warehouse load; later calls read what they wrote."""
     key = (w.root, what)
-    if key not in _BUILT:
-        _BUILT[key] = build()
-    return _BUILT[key]
+    with _BUILD_LOCK:
+        if key not in _BUILT:
+            _BUILT[key] = build()
+        return _BUILT[key]
 
 
 def _fragment_years(w: retail.Warehouse) -> list[int]:

@@ -18,6 +18,7 @@ become Parquet row-group pruning.
 from __future__ import annotations
 
 import os
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -183,6 +184,7 @@ class Warehouse:
 
 
 _LOADED: dict[tuple[str, str], Warehouse] = {}
+_LOAD_LOCK = threading.RLock()
 
 
 def _replica_job(wh: Warehouse) -> tuple[str, str]:
@@ -225,8 +227,13 @@ def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str,
     load job wrote.
     """
     key = (spark.conf.get("spark.app.id", "") or str(id(spark)), os.path.abspath(sf_dir))
-    if reuse and festivals is None and key in _LOADED:
-        return _LOADED[key]
+    with _LOAD_LOCK:  # concurrent callers wait for one load instead of starting their own
+        if reuse and festivals is None and key in _LOADED:
+            return _LOADED[key]
+        return _load(spark, sf_dir, festivals, layout_tables, key)
+
+
+def _load(spark: SparkSession, sf_dir: str, festivals, layout_tables: bool, key) -> Warehouse:
     root = new_table_path(spark, "warehouse")
     part = tables.part(spark, sf_dir)
     lineitem = tables.lineitem(spark, sf_dir)

@@ -147,3 +147,25 @@ def test_latest_months_limits(small_sales):
     assert kpi.latest_months(monthly, -1).count() == monthly.count()
     top = kpi.latest_months(monthly, 2).collect()
     assert [(r.year, r.month) for r in top] == [(1998, 1), (1997, 11)]
+
+
+def test_duplicate_dimension_key_is_refused(spark):
+    import pytest as _pytest
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "product_id long, name string")
+    with _pytest.raises(ValueError):
+        layout.assert_unique(dim, "product_id")
+    layout.assert_unique(dim.dropDuplicates(["product_id"]), "product_id")
+
+
+def test_checked_broadcast_declines_above_the_bound(spark):
+    from tillcube.plans.inspect import plan_text
+    from tillcube.plans.joins import checked_broadcast
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 50).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_text(big.join(checked_broadcast(small, 100), "k"))
+        assert "BroadcastHashJoin" not in plan_text(big.join(checked_broadcast(small, 10), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, substring_dedup
+from . import decontaminate, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,12 @@ def op3_substring_dedup(spark, sf_dir):
     return substring_dedup.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_substring_dedup)}
+def op4_suffix_dedup(spark, sf_dir):
+    """Repeated strings of 400 bytes in every document, by induced suffix sorting."""
+    return suffix_dedup.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_substring_dedup, op4_suffix_dedup)}
 
 ORACLE = {
     "op2_decontaminate": """
@@ -48,4 +53,17 @@ e AS (SELECT d.doc_id, len(d.w) AS n, coalesce(len(l.xs), 0) AS m, d.w, coalesce
 t AS (SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS kept FROM e, unnest(range(1, n + 1)) AS t(i) WHERE NOT list_contains(xs, i) GROUP BY doc_id)
 SELECT e.doc_id, CAST(n AS BIGINT) AS n_words, CAST(m AS BIGINT) AS n_removed, sha256(coalesce(t.kept, '')) AS kept_sha256
 FROM e LEFT JOIN t ON e.doc_id = t.doc_id""",
+    "op4_suffix_dedup": """
+WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+v AS (SELECT doc_id, i, md5(substr(h, 2 * i - 1, 800)) AS k FROM d, unnest(range(1, greatest(n - 399, 0) + 1)) AS t(i)),
+r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM v) WHERE c > 1),
+s AS (SELECT doc_id, i, lag(i) OVER w AS p FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i - p > 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM s),
+m AS (SELECT doc_id, span, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY doc_id, span),
+o AS (SELECT doc_id, span, a, b, lag(b, 1, 1) OVER (PARTITION BY doc_id ORDER BY span) AS prev FROM m),
+k AS (SELECT o.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(substr(h, 2 * prev - 1, 2 * (a - prev)), '' ORDER BY span) AS kept
+      FROM o JOIN d ON o.doc_id = d.doc_id GROUP BY o.doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN k.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * last - 1) END)) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
 }

@@ -43,7 +43,7 @@ class Spec:
     q: int
     symbols: object
     code: np.dtype            # how a symbol travels
-    hot: int = 20_000
+    hot: int = 2_000
     shard: int = 400_000      # symbols in a shard, about
 
     @property

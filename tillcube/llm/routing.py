@@ -10,9 +10,11 @@ stay linear in the input:
    their segments go;
 2. equal segments (copies, shared passages) are reduced to their first
    occurrence with partial aggregates before any text moves;
-3. the texts of the first occurrences go to shards by anchor.  An anchor
-   with more than ``hot`` occurrences sends its windows one by one, routed
-   by their own hash, so no shard holds more than ``hot`` segments of it.
+3. the texts of the first occurrences go to shards by anchor;
+4. an anchor with more than ``hot`` different segments (the edges of a
+   passage that many documents share) is taken apart into windows, which are
+   pruned and reduced as in 1 and 2 by their own hash, and routed by it, so
+   no shard holds more than ``hot`` segments of an anchor.
 
 Documents are named by ``dk`` (the integer id, null as the smallest long) and
 ``tie`` (0; where ids repeat, a hash of the text), ``pos`` packs the first
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import new_table_path
@@ -133,17 +136,59 @@ def flagged(docs: DataFrame, spec: Spec) -> DataFrame:
     l0 = docs.mapInArrow(_emit(spec), L0)
     anchors = l0.groupBy("anchor").agg(F.sum("weight").alias("n")).filter("n > 1")
     path = new_table_path(spark, "repeat-occurrences")
-    l0.drop("weight").join(anchors.select("anchor", (F.col("n") > spec.hot).alias("hot")), "anchor").write.parquet(path)
+    l0.drop("weight").join(anchors.select("anchor"), "anchor").write.parquet(path)
     occ = spark.read.parquet(path)
     firsts = occ.groupBy("anchor", "seg").agg(F.count("*").alias("copies"), F.min(F.struct("dk", "tie", "pos")).alias("f"))
-    marked = occ.join(firsts.filter("copies > 1"), ["anchor", "seg"], "left")
+    hot = firsts.groupBy("anchor").count().filter(F.col("count") > spec.hot).select("anchor", F.lit(True).alias("hot"))
+    marked = occ.join(firsts.filter("copies > 1"), ["anchor", "seg"], "left").join(hot, "anchor", "left")
     lists = marked.groupBy("dk", "tie").agg(F.collect_set(F.struct(
-        "pos", "anchor", "hot", F.coalesce("copies", F.lit(1)).alias("copies"),
+        "pos", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"), F.coalesce("copies", F.lit(1)).alias("copies"),
         F.coalesce(F.struct("dk", "tie", "pos") == F.col("f"), F.lit(True)).alias("first"))).alias("segs"))
     path = new_table_path(spark, "repeat-documents")
     once = docs.dropDuplicates(["dk", "tie"]) if has_ties(docs) else docs
     once.join(lists, ["dk", "tie"]).write.parquet(path)
-    return spark.read.parquet(path)
+    return _with_windows(spark.read.parquet(path), spec)
+
+
+def _with_windows(flag: DataFrame, spec: Spec) -> DataFrame:
+    """Adds ``wins``: of the first segments of hot anchors, the windows that
+    occur twice or more, as (start, hash, copies, first)."""
+    hot = flag.filter("exists(segs, s -> s.hot AND s.first)")
+    if not hot.limit(1).count():
+        return flag.withColumn("wins", F.expr("cast(array() AS array<struct<start:bigint,route:bigint,copies:bigint,first:boolean>>)"))
+    one = hot.mapInArrow(_hot_windows(spec), "dk long, tie long, begin long, routes array<long>")
+    one = one.select("dk", "tie", "begin", F.posexplode("routes").alias("k", "route")).select("dk", "tie", "route", (F.col("begin") + F.col("k")).alias("start"))
+    kept = one.groupBy("route").agg(F.count("*").alias("copies"), F.min(F.struct("dk", "tie", "start")).alias("f")).filter("copies > 1")
+    wins = one.join(kept, "route").groupBy("dk", "tie").agg(F.collect_set(F.struct(
+        "start", "route", "copies", (F.struct("dk", "tie", "start") == F.col("f")).alias("first"))).alias("wins"))
+    return flag.join(wins, ["dk", "tie"], "left")
+
+
+def _hot_windows(spec: Spec):
+    schema = pa.schema([("dk", pa.int64()), ("tie", pa.int64()), ("begin", pa.int64()), ("routes", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for rows, data, off in chunks(batches):
+            sym, at = spec.symbols(data, off)
+            doc, f = structs(rows, "segs")
+            pick = np.flatnonzero(f["hot"] & f["first"])
+            doc, begin, count = doc[pick], f["pos"][pick] // SPAN, f["pos"][pick] % SPAN
+            k = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            route = grams(sym, spec.length)[np.repeat(at[doc] + begin, count) + k] if len(k) else np.zeros(0, U)
+            key = [rows.column(rows.schema.get_field_index(c)).to_numpy()[doc] for c in ("dk", "tie")]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(route.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(key[0]), pa.array(key[1]), pa.array(begin), lists], schema=schema)
+    return run
+
+
+def structs(rows: pa.RecordBatch, column: str) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Row number and fields of the elements of an array-of-structs column."""
+    col = rows.column(rows.schema.get_field_index(column))
+    lens = np.asarray(pc.fill_null(pc.list_value_length(col), 0))
+    flat = col.flatten()
+    return np.repeat(np.arange(rows.num_rows), lens), {
+        flat.type.field(i).name: flat.field(i).to_numpy(zero_copy_only=False).astype(bool if flat.type.field(i).type == pa.bool_() else np.int64)
+        for i in range(flat.type.num_fields)}
 
 
 def has_ties(docs: DataFrame) -> bool:
@@ -162,22 +207,14 @@ def _extract(spec: Spec):
         for rows, data, off in chunks(batches):
             sym, at = spec.symbols(data, off)
             travel = sym.astype(spec.code)
-            segs = rows.column(rows.schema.get_field_index("segs"))
-            flat, begin = segs.flatten(), np.asarray(segs.offsets) - segs.offsets[0].as_py()
-            field = {f: np.asarray(flat.field(f).to_numpy(zero_copy_only=False)) for f in ("pos", "anchor", "hot", "copies", "first")}
-            doc = np.repeat(np.arange(rows.num_rows), np.diff(begin))
-            keep = np.flatnonzero(field["first"].astype(bool))
-            pos, anchor, copies, hot, doc = (x[keep] for x in (field["pos"], field["anchor"], field["copies"], field["hot"].astype(bool), doc))
-            start, count = pos // SPAN, pos % SPAN
-            cold = ~hot
-            s0, c0, a0, d0, n0 = start[cold], count[cold], anchor[cold], doc[cold], copies[cold]
-            if hot.any():                        # one piece a window, under the hash of the window
-                c = count[hot]
-                k = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
-                s1, d1 = np.repeat(start[hot], c) + k, np.repeat(doc[hot], c)
-                full = grams(sym, L)
-                a1 = (full[at[d1] + s1] ^ np.repeat(anchor[hot], c).view(U)).view(np.int64)
-                s0, c0, a0, d0, n0 = (np.concatenate(x) for x in ((s0, s1), (c0, np.ones_like(s1)), (a0, a1), (d0, d1), (n0, np.repeat(copies[hot], c))))
+            doc, f = structs(rows, "segs")
+            cold = np.flatnonzero(f["first"] & ~f["hot"])
+            wdoc, g = structs(rows, "wins")
+            one = np.flatnonzero(g["first"])
+            s0 = np.concatenate([f["pos"][cold] // SPAN, g["start"][one]])
+            c0 = np.concatenate([f["pos"][cold] % SPAN, np.ones(len(one), np.int64)])
+            a0, n0 = np.concatenate([f["anchor"][cold], g["route"][one]]), np.concatenate([f["copies"][cold], g["copies"][one]])
+            d0 = np.concatenate([doc[cold], wdoc[one]])
             b, e = at[d0] + s0, at[d0] + s0 + c0 + L - 1
             raw = [travel[x:y].tobytes() for x, y in zip(b.tolist(), e.tolist())]
             key = [rows.column(rows.schema.get_field_index(c)).to_numpy(zero_copy_only=False)[d0] for c in ("dk", "tie")]
@@ -218,7 +255,7 @@ def _shards(spec: Spec, repeated):
         t = pa.Table.from_batches(held)
         del held
         t = t.take(pa.array(np.argsort(t.column("route").to_numpy(), kind="stable")))
-        size = np.cumsum(np.asarray(pa.compute.binary_length(t.column("sym")))) // np.dtype(spec.code).itemsize
+        size = np.cumsum(np.asarray(pc.binary_length(t.column("sym")))) // np.dtype(spec.code).itemsize
         route = t.column("route").to_numpy()
         edge = np.append(np.flatnonzero(route[1:] != route[:-1]) + 1, len(route))
         i = 0
@@ -237,8 +274,9 @@ def repeated_windows(flag: DataFrame, spec: Spec, repeated) -> DataFrame:
     """(dk, tie, text, segs, runs): the flagged documents with the runs of
     windows that the shards judged repeated (of first occurrences only)."""
     L = spec.length
-    total = flag.select(F.expr(f"aggregate(filter(segs, s -> s.first), 0L, (a, s) -> a + if(s.hot, (s.pos % {SPAN}) * {L}, s.pos % {SPAN} + {L - 1}))").alias("n")).agg(F.sum("n")).first()[0] or 0
-    pieces = flag.select("dk", "tie", "text", "segs").mapInArrow(_extract(spec), PIECES)
+    total = flag.select(F.expr(f"aggregate(filter(segs, s -> s.first AND NOT s.hot), 0L, (a, s) -> a + s.pos % {SPAN} + {L - 1})"
+                               f" + greatest(0, coalesce(size(filter(wins, w -> w.first)), 0)) * {L}").alias("n")).agg(F.sum("n")).first()[0] or 0
+    pieces = flag.select("dk", "tie", "text", "segs", "wins").mapInArrow(_extract(spec), PIECES)
     shards = pieces.repartition(max(1, -(-total // spec.shard)), "route").mapInArrow(_shards(spec, repeated), RUNS)
     runs = shards.groupBy("dk", "tie").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
     return flag.join(runs, ["dk", "tie"], "left")
@@ -248,22 +286,19 @@ def removed_mask(rows: pa.RecordBatch, at: np.ndarray, spec: Spec, all_copies: b
     """Symbols of the chunk covered by a window that goes: those that the
     shards found and those of repeated segments (all copies, or all but the
     first)."""
-    n = int(at[-1])
-    seg, begin = rows.column(rows.schema.get_field_index("segs")), None
-    begin = np.asarray(seg.offsets) - seg.offsets[0].as_py()
-    flat = seg.flatten()
-    doc = np.repeat(np.arange(rows.num_rows), np.diff(begin))
-    pos = flat.field("pos").to_numpy()
-    gone = (flat.field("copies").to_numpy() > 1) if all_copies else ~np.asarray(flat.field("first").to_numpy(zero_copy_only=False)).astype(bool)
-    s = [at[doc[gone]] + pos[gone] // SPAN]
-    e = [s[0] + pos[gone] % SPAN]
-    for col in ("starts",):
-        a, b = (rows.column(rows.schema.get_field_index(c)) for c in (col, "ends"))
-        lens = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(a), 0))
-        d = np.repeat(np.arange(rows.num_rows), lens)
-        s.append(at[d] + a.flatten().to_numpy())
-        e.append(at[d] + b.flatten().to_numpy())
-    return cover(np.concatenate(s), np.concatenate(e) + spec.length - 1, n)
+    doc, f = structs(rows, "segs")
+    gone = np.flatnonzero(f["copies"] > 1 if all_copies else ~f["first"])
+    s = [at[doc[gone]] + f["pos"][gone] // SPAN]
+    e = [s[0] + f["pos"][gone] % SPAN]
+    doc, f = structs(rows, "wins")
+    gone = slice(None) if all_copies else np.flatnonzero(~f["first"])
+    s.append(at[doc[gone]] + f["start"][gone])
+    e.append(s[1] + 1)
+    a, b = (rows.column(rows.schema.get_field_index(c)) for c in ("starts", "ends"))
+    doc = np.repeat(np.arange(rows.num_rows), np.asarray(pc.fill_null(pc.list_value_length(a), 0)))
+    s.append(at[doc] + a.flatten().to_numpy())
+    e.append(at[doc] + b.flatten().to_numpy())
+    return cover(np.concatenate(s), np.concatenate(e) + spec.length - 1, int(at[-1]))
 
 
 def per_chunk(fn, schema: pa.Schema):

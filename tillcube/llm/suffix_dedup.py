@@ -37,7 +37,7 @@ def _bytes(data, off):
 
 
 def spec(length: int = LENGTH) -> Spec:
-    return Spec(length, max(1, min(64, length // 4)), _bytes, np.dtype("u1"), shard=3_000_000)
+    return Spec(length, max(1, min(64, length // 4)), _bytes, np.dtype("u1"), hot=4_000, shard=2_000_000)
 
 
 def _scatter(buckets, sym, at):
@@ -101,19 +101,19 @@ def induced_suffix_array(sym: np.ndarray) -> np.ndarray:
     of its own, the smaller the further left, and no two 0 are neighbours."""
     n = len(sym)
     sigma = int(sym.max()) + 1
-    step = np.sign(np.diff(sym.astype(np.int64)))
-    nxt = np.where(step != 0, np.arange(n - 1), n - 1)
+    step = (sym[1:] > sym[:-1]).astype(np.int8) - (sym[1:] < sym[:-1])
+    nxt = np.where(step != 0, np.arange(n - 1, dtype=np.int32), np.int32(n - 1))
     nxt = np.minimum.accumulate(nxt[::-1])[::-1]
-    small = np.append(np.append(step, 1)[nxt] > 0, True)          # smaller than its successor
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    small = np.append(np.append(step, np.int8(1))[nxt] > 0, True)          # smaller than its successor
+    lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
     if len(lms) <= 1:
         return _induce(sym, small, lms, sigma)
     order = _induce(sym, small, lms, sigma)                        # LMS substrings in order
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = order[is_lms[order]]
-    end = np.empty(n, np.int64)
-    end[lms] = np.append(lms[1:], n - 1)                           # a substring ends with the next LMS
+    end = np.empty(n, np.int32)
+    end[lms] = np.append(lms[1:], np.int32(n - 1))                           # a substring ends with the next LMS
     a, b = order[:-1], order[1:]
     la, lb = end[a] - a, end[b] - b
     # a separator is equal to nothing, so a substring that has one is alone
@@ -125,7 +125,7 @@ def induced_suffix_array(sym: np.ndarray) -> np.ndarray:
         equal[live[off]] = False
         live = live[~off]
         k += 1
-    name = np.empty(n, np.int64)
+    name = np.empty(n, np.int32)
     name[order] = np.concatenate([[0], np.cumsum(~equal)])
     names = name[lms]
     count = int(names.max()) + 1
@@ -142,10 +142,10 @@ def permuted_lcp(sym: np.ndarray, sa: np.ndarray, left: np.ndarray) -> tuple[np.
     differ is a comparison needed; elsewhere the value is one less than the
     last.  ``left``: symbols before the next separator."""
     n = len(sym)
-    phi = np.empty(n, np.int64)
+    phi = np.empty(n, np.int32)
     phi[sa[1:]] = sa[:-1]
     phi[sa[0]] = -1
-    i = np.arange(n)
+    i = np.arange(n, dtype=np.int32)
     before = phi - 1
     reducible = (i > 0) & (before >= 0)
     r = np.flatnonzero(reducible)
@@ -163,8 +163,8 @@ def permuted_lcp(sym: np.ndarray, sa: np.ndarray, left: np.ndarray) -> tuple[np.
         got[live] += zeros
         live = live[(zeros == 8) & (got[live] < limit[live])]
     got = np.minimum(got, limit)
-    owner = np.maximum.accumulate(np.where(reducible, -1, i))
-    value = np.zeros(n, np.int64)
+    owner = np.maximum.accumulate(np.where(reducible, np.int32(-1), i))
+    value = np.zeros(n, np.int32)
     value[lead] = got
     return np.maximum(value[owner] - (i - owner), 0), phi
 
@@ -178,7 +178,7 @@ def repeated_anywhere(length: int):
         at = np.arange(n) + np.repeat(np.arange(pieces), lens)
         sym = np.zeros(n + pieces, np.uint8)
         sym[at] = data + 1                          # UTF-8 has no byte 255
-        left = np.zeros(n + pieces, np.int64)
+        left = np.zeros(n + pieces, np.int32)
         left[at] = np.repeat(off[1:], lens) - np.arange(n)
         lcp, phi = permuted_lcp(sym, induced_suffix_array(sym), left)
         hit = np.zeros(n + pieces, bool)

@@ -30,7 +30,7 @@ from .text import alnum, chunks, column_bytes, cover, runs_of, tokenise
 
 WINDOW = 10
 MAX_BLOCK_WORDS = 2_000_000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 SAMPLE = 16
 RESULT = ("n_words", "n_hit", "items", "hit_starts", "hit_ends", "cleaned")
 

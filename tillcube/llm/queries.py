@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, substring_dedup, suffix_dedup
+from . import decontaminate, license_scan, near_dedup, quality, sentencepiece_fst, substring_dedup, suffix_dedup, token_files, url_filter, warc
+
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark, sf_dir):
+    """Groups of documents whose 2-word shingle sets are 0.8 similar or more."""
+    return near_dedup.groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_decontaminate(spark, sf_dir):
     """Benchmark passages in every document, by FM-index search."""
     return decontaminate.digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -26,9 +33,53 @@ def op4_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_substring_dedup, op4_suffix_dedup)}
+def op5_sentencepiece(spark, sf_dir):
+    """Piece ids of every document, checked by decoding them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_fst.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select("doc_id", "ids", "n_tokens", "round_trip")
+
+
+def op6_warc(spark, sf_dir):
+    """Archives of all pages, written and read again."""
+    folder, files = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.read_archives(folder, files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_url_filter(spark, sf_dir):
+    """Verdict on every page's URL, by rules and language-model ratio."""
+    return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op8_token_files(spark, sf_dir):
+    """Token ids of all documents in Arrow stream files, written and read again."""
+    return token_files.read_documents(*token_files.write_files(_table(spark, sf_dir, "documents").select("doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json"))
+
+
+def op9_license_scan(spark, sf_dir):
+    """Licence notices in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_quality(spark, sf_dir):
+    """Base counts, likelihood ratio and verdict of every document."""
+    return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_substring_dedup, op4_suffix_dedup, op5_sentencepiece,
+                                   op6_warc, op7_url_filter, op8_token_files, op9_license_scan, op10_quality)}
 
 ORACLE = {
+    "op1_near_dedup": """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 1], ' ') AS x FROM d, unnest(range(1, greatest(len(w), 2))) AS t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op2_decontaminate": """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
@@ -66,4 +117,12 @@ k AS (SELECT o.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS l
 SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
        sha256(unhex(CASE WHEN k.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * last - 1) END)) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op6_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS s FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY s) AS first FROM h),
+q AS (SELECT f.*, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(((('0x' || substr(s, 1 + 5 * (k // 4), 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) AS INTEGER), 1), '' ORDER BY k) AS d
+      FROM f, unnest(range(32)) AS t(k) GROUP BY ALL)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM q""",
 }

@@ -41,7 +41,7 @@ L0 = "anchor long, seg long, dk long, tie long, pos long, weight long"
 
 @dataclass(frozen=True)
 class Spec:
-    """``symbols(data, off)`` -> (symbols as uint64, offsets of the texts)."""
+    """``symbols(data, off)`` -> (symbols as uint64 or bytes, offsets of the texts)."""
     length: int
     q: int
     symbols: object
@@ -63,6 +63,16 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base of the segment hash and of its inverse, kept for the next chunk."""
+    if not _POWERS or len(_POWERS[0]) < n + 1:
+        _POWERS[:] = [np.cumprod(np.concatenate([[U(1)], np.full(n, m, U)])) for m in (_M, _M_INV)]
+    return _POWERS[0], _POWERS[1]
+
+
 def segments(sym: np.ndarray, off: np.ndarray, spec: Spec):
     """Per segment: anchor, hash, text, first window, number of windows, and
     2 where its anchor stands at several places of it (so windows may repeat
@@ -101,9 +111,9 @@ def segments(sym: np.ndarray, off: np.ndarray, spec: Spec):
         end = np.repeat(last + 1, parts)
         first = np.repeat(first, parts) + k * spec.longest
         count = np.minimum(end - first, spec.longest)
-    power = np.cumprod(np.concatenate([[U(1)], np.full(n, _M, U)]))
-    h = np.concatenate([[U(0)], np.cumsum(mix(sym.copy()) * power[:-1])])
-    inv = np.cumprod(np.concatenate([[U(1)], np.full(n, _M_INV, U)]))
+    power, inv = _powers(n)
+    h = np.zeros(n + 1, U)
+    np.cumsum((sym + U(1)) * power[:n], out=h[1:])
     stop = first + count + L - 1
     seg = mix((h[stop] - h[first]) * inv[first] + count.astype(U))
     doc = np.searchsorted(off, first, "right") - 1

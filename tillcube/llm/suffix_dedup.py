@@ -33,11 +33,11 @@ MAX_BUCKETS = 2048      # symbols up to which the recursion induces
 
 
 def _bytes(data, off):
-    return data.astype(U), off
+    return data, off
 
 
 def spec(length: int = LENGTH) -> Spec:
-    return Spec(length, max(1, min(64, length // 4)), _bytes, np.dtype("u1"), hot=4_000, shard=2_000_000)
+    return Spec(length, max(1, min(64, length // 4 // 8 * 8)), _bytes, np.dtype("u1"), hot=4_000, shard=2_000_000)
 
 
 def _scatter(buckets, sym, at):

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20   # texts handled at once; a longer single text is its own chunk
+CHUNK_BYTES = 256 << 10   # texts handled at once (they fit a core cache); a longer text is its own chunk
 U = np.uint64
 
 
@@ -124,7 +124,13 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 
 def grams(sym: np.ndarray, q: int) -> np.ndarray:
-    """Hash of every run of ``q`` consecutive symbols (length n - q + 1)."""
+    """Hash of every run of ``q`` consecutive symbols (length n - q + 1);
+    symbols are 64-bit hashes or bytes."""
+    if sym.dtype == np.uint8 and q % 8 == 0 and q > 8:      # eight bytes at once
+        if len(sym) < q:
+            return np.zeros(0, U)
+        return _strided(np.ndarray((len(sym) - 7,), "<u8", np.ascontiguousarray(sym), strides=(1,)) * U(0x9E3779B97F4A7C15), q // 8, 8)
+    sym = sym.astype(U, copy=False)
     if q == 1:
         return sym
     if len(sym) < q:
@@ -141,6 +147,22 @@ def grams(sym: np.ndarray, q: int) -> np.ndarray:
     return x
 
 
+def _strided(x: np.ndarray, k: int, step: int) -> np.ndarray:
+    """Hash of x[i], x[i + step], ..., ``k`` of them."""
+    if k == 1:
+        return mix(x)
+    h = k // 2 if k % 2 == 0 else k - 1
+    g = _strided(x, h, step)
+    t = g if k % 2 == 0 else x
+    m = len(x) - (k - 1) * step
+    out = g[:m] * U(0x9FB21C651E98DF25)
+    out += t[h * step:h * step + m]
+    out ^= out >> U(29)
+    out *= U(0xD6E8FEB86659FD93)
+    out ^= out >> U(32)
+    return out
+
+
 def cover(runs_start: np.ndarray, runs_end: np.ndarray, n: int) -> np.ndarray:
     """Mask of the positions 0..n-1 covered by the half-open runs."""
     d = np.zeros(n + 1, np.int32)

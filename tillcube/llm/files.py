@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_table_path
 
@@ -14,6 +14,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path if "://" in path or path.startswith("file:") else f"file://{path}"
 
 
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables of ours that every later step has been written without."""
+    for path in {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}:
+        jvm = tables[0].sparkSession._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(tables[0].sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again: the lineage ends there."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def open_folder(uri: str):
     """(filesystem, path) of a folder URI, on any task."""
     uri = uri if "://" in uri else uri.replace("file:", "file://", 1)

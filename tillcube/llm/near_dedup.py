@@ -17,9 +17,11 @@ more above.
    pairs are formed from the rest;
 3. every bucket names its smallest member as hub, and members are compared
    with hubs on their full sets.  Members of a bucket that are still in
-   different groups are then compared with a hub of another choice, and
-   what is left after that pair by pair, so no link between groups is lost,
-   while a bucket of one group costs its size only.
+   different groups are then compared with hubs of other choices, and the
+   members of the buckets that stay open pair by pair if their groups
+   differ, each pair once (under the first A key that both have), so no
+   link between groups is lost, while a bucket of one group costs its size
+   only.
 
 A null or empty text has an empty set and is linked with nothing.  A null id
 names no document: such rows get component_id null and kept true.  Rows that
@@ -32,13 +34,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import new_table_path
+from .files import drop_tables, store
 from .text import U, chunks, grams, mix, tokenise
 
 SIZE = 2
 PERCENT = 80
 TABLES = 20
 ROWS = 4
+HUB_ROUNDS = 3          # rounds of hubs before the rest is compared pair by pair
 _SEEDS = mix(np.arange(1, 2 * TABLES * ROWS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 _FACTORS = mix(np.arange(1, 2 * TABLES * ROWS + 1, dtype=U) * U(0xC2B2AE3D27D4EB4F)) | U(1)
 
@@ -133,73 +136,80 @@ def _verify(percent: int):
     return run
 
 
-def _store(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read again: the lineage ends there."""
-    path = new_table_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): smallest node reachable, for every node of the edges
     (a, b).  Each round joins all neighbours of a node to the smallest of
     them; it ends when every node hangs on the smallest directly."""
-    edges = _store(edges.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").filter("u > v").distinct(), "links")
+    edges = store(edges.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").filter("u > v").distinct(), "links")
     while True:
         both = edges.union(edges.selectExpr("v AS u", "u AS v"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
         nxt = both.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        nxt = _store(nxt.select("e.u", "e.v").filter("u > v").distinct(), "links")
+        nxt = store(nxt.select("e.u", "e.v").filter("u > v").distinct(), "links")
         total = [e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for e in (edges, nxt)]
+        drop_tables(edges)
         edges = nxt
         if total[0] == total[1]:
             return edges.selectExpr("u AS node", "v AS comp")
 
 
 def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Signed documents (id, n, prints, keys) and (node, comp) of all nodes
-    that have a partner.  ``docs``: (id long, text)."""
-    signed = _store(docs.mapInArrow(_sign(size), "id long, n long, print1 long, print2 long, keys array<long>"), "signatures")
+    """(id, n) of every row and (node, comp) of all nodes that have a partner.  ``docs``: (id long, text)."""
+    signed = store(docs.mapInArrow(_sign(size), "id long, n long, print1 long, print2 long, keys array<long>"), "signatures")
     some = signed.filter("n > 0 AND id IS NOT NULL")
     prints = ["n", "print1", "print2"]
     reps = some.groupBy(*prints).agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
-    reps = _store(reps, "representatives")
-    same = some.join(reps.filter("copies > 1").select(*prints, "rep"), prints).selectExpr("id AS a", "rep AS b").filter("a <> b")
+    reps = store(reps, "representatives")
+    sizes = store(signed.select("id", "n"), "set-sizes")
+    same = some.select("id", *prints).join(reps.filter("copies > 1").select(*prints, "rep"), prints).selectExpr("id AS a", "rep AS b").filter("a <> b")
     keys = reps.select("rep", "n", F.posexplode("keys").alias("t", "key"))
     shared = keys.groupBy("t", "key").agg(F.count("*").alias("c")).filter("c > 1").select("t", "key")
     live = keys.join(shared, ["t", "key"]).groupBy("rep", "n").agg(F.collect_list(F.struct("t", "key")).alias("ks"))
-    live = live.select("rep", "n", F.expr(f"transform(filter(ks, k -> k.t < {TABLES}), k -> k.key)").alias("ka"),
+    live = live.withColumn("ks", F.array_sort("ks")).select("rep", "n", F.expr(f"transform(filter(ks, k -> k.t < {TABLES}), k -> k.key)").alias("ka"),
                        F.expr(f"transform(filter(ks, k -> k.t >= {TABLES}), k -> k.key)").alias("kb"))
+    live = store(live, "shared-keys")
     tables = live.select("rep", "n", F.explode("ka").alias("ka"), "kb").select("rep", "n", "ka", F.explode("kb").alias("kb"))
     tables = tables.select("rep", "n", F.xxhash64("ka", "kb").alias("key"))
     several = tables.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    members = _store(tables.join(several, "key"), "buckets")
+    members = store(tables.join(several, "key"), "buckets")
 
     def compare(pairs: DataFrame) -> DataFrame:
         """Verified ones of the pairs (a, na, b, nb); sizes rule most out."""
-        pairs = _store(pairs.filter(f"a <> b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), "candidates")
+        pairs = store(pairs.filter(f"a <> b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), "candidates")
         needed = pairs.selectExpr("a AS id").union(pairs.selectExpr("b AS id")).distinct()
-        sets = _store(docs.join(needed, "id").dropDuplicates(["id"]).select("id", "text").mapInArrow(_sets(size), "id long, set array<long>"), "sets")
+        sets = store(docs.join(needed, "id").dropDuplicates(["id"]).select("id", "text").mapInArrow(_sets(size), "id long, set array<long>"), "sets")
         full = pairs.join(sets.selectExpr("id AS a", "set AS x"), "a").join(sets.selectExpr("id AS b", "set AS y"), "b")
-        return _store(full.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
+        found = store(full.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
+        drop_tables(pairs, sets)
+        return found
 
     hubs = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h"))
-    edges = compare(members.join(hubs, "key").selectExpr("rep AS a", "n AS na", "h.rep AS b", "h.n AS nb"))
-    edges = edges.union(same)
-    comp = components(edges)
-    for last in (False, True):
-        placed = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
-        mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.struct(F.xxhash64("rep"), "rep", "n", "comp")).alias("h")).filter("x < y")
-        open_ = _store(placed.join(mixed.select("key", "h"), "key"), "open-buckets")
-        if last:
-            b = open_.selectExpr("key", "rep AS b", "n AS nb", "comp AS cb")
-            pairs = open_.selectExpr("key", "rep AS a", "n AS na", "comp AS ca").join(b, "key").filter(f"a < b AND ca <> cb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-        else:
+    found = compare(members.join(hubs, "key").selectExpr("rep AS a", "n AS na", "h.rep AS b", "h.n AS nb"))
+    comp = components(found.union(same))
+    drop_tables(found, signed)
+    open_ = members
+    for step in range(HUB_ROUNDS + 1):
+        # a bucket stays open while it holds members of several groups
+        placed = open_.select("key", "rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                          F.max(F.struct(F.xxhash64("rep", F.lit(step)), "rep", "n", "comp")).alias("h")).filter("x < y")
+        still = store(placed.join(mixed.select("key", "h"), "key"), "open-buckets")
+        drop_tables(open_)
+        open_ = still
+        if step < HUB_ROUNDS:
             pairs = open_.filter("comp <> h.comp").selectExpr("rep AS a", "n AS na", "h.rep AS b", "h.n AS nb")
+        else:
+            own = open_.select("rep", "comp").distinct().join(live, "rep")
+            a = own.select(F.explode("ka").alias("k"), F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("ka").alias("xa"), F.col("kb").alias("xb"))
+            b = own.select(F.explode("ka").alias("k"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("ka").alias("ya"), F.col("kb").alias("yb"))
+            pairs = a.join(b, (a.k == b.k) & F.expr(f"a < b AND ca <> cb AND 100 * least(na, nb) >= {percent} * greatest(na, nb) "
+                                                    "AND arrays_overlap(xb, yb)") & (F.element_at(F.array_intersect("xa", "ya"), 1) == a.k))
         found = compare(pairs.select("a", "na", "b", "nb"))
-        edges = comp.selectExpr("node AS a", "comp AS b").union(found)
-        comp = components(edges)
-    return signed, comp
+        new = components(comp.selectExpr("node AS a", "comp AS b").union(found))
+        drop_tables(comp, found)
+        comp = new
+    drop_tables(open_, live, reps)
+    return sizes, comp
 
 
 def groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import new_table_path
+from .files import drop_tables
 from .text import U, chunks, cover, grams, mix, runs_of
 
 SPAN = 1 << 12           # windows of a segment, at most SPAN - 1
@@ -157,6 +158,7 @@ def flagged(docs: DataFrame, spec: Spec) -> DataFrame:
     path = new_table_path(spark, "repeat-documents")
     once = docs.dropDuplicates(["dk", "tie"]) if has_ties(docs) else docs
     once.join(lists, ["dk", "tie"]).write.parquet(path)
+    drop_tables(occ)
     return _with_windows(spark.read.parquet(path), spec)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
 SPACE = "▁"
-CACHE = 200_000         # paths and neighbour weights kept in a task
+CACHE = 300_000         # paths and neighbour weights kept in a task
 
 
 class Transducer:
@@ -63,6 +63,8 @@ class Transducer:
                 self.unknown = i
             self.bytes_of.append(raw)
         self.fallback = proto.trainer_spec.byte_fallback
+        self.pairs = {p[k:k + 2] for p in self.id for k in range(len(p) - 1)}       # neighbours that some arc joins
+        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 1, -1) if p[:k] in self.id), p[0]) for p in self.id if len(p) > 1}
         self.starts = {p[:k] for p in self.id for k in range(1, len(p) + 1)}
         self.worst = max(self.weight.values()) + 10.0      # weight of a character without a piece
         inner = any(SPACE in p.lstrip(SPACE) for p in self.id)
@@ -121,58 +123,100 @@ class Transducer:
 
     def path(self, s: str) -> list[str]:
         """Pieces of the shortest path of a word."""
+        if not self.unigram:
+            return self.ranked_path(s)
         n = len(s)
         last = [""] * (n + 1)
         ends = self.arcs(s)
-        if self.unigram:
-            cost = [0.0] + [inf] * n
-            for j in range(1, n + 1):
-                for t in ends[j]:
-                    w = cost[j - len(t)] + self.weight.get(t, self.worst)
-                    if w < cost[j]:
-                        cost[j], last[j] = w, t
-        else:
-            fits = self.fits
-            for j in range(1, n + 1):
-                for t in ends[j]:
-                    i = j - len(t)
-                    key = (last[i], t)
-                    ok = fits.get(key)
-                    if ok if ok is not None else self.compatible(*key):
-                        last[j] = t
-                        break
+        cost = [0.0] + [inf] * n
+        for j in range(1, n + 1):
+            for t in ends[j]:
+                w = cost[j - len(t)] + self.weight.get(t, self.worst)
+                if w < cost[j]:
+                    cost[j], last[j] = w, t
         out, j = [], n
         while j:
             out.append(last[j])
             j -= len(last[j])
         return out[::-1]
 
+    def ranked_path(self, s: str) -> list[str]:
+        """The one path of finite weight, depth first, longest arcs first.  A
+        position has one live state, so a dead end there stays one."""
+        n, fits, shorter, longest = len(s), self.fits, self.shorter, self.longest
+        out: list[str] = []
+        dead: set[int] = set()
+        i, last, t = 0, "", longest(s, 0)
+        while i < n:
+            while t is not None:
+                if i + len(t) not in dead:
+                    ok = fits.get((last, t))
+                    if ok if ok is not None else self.compatible(last, t):
+                        break
+                t = shorter.get(t)
+            if t is not None:
+                out.append(t)
+                i += len(t)
+                last, t = t, longest(s, i) if i < n else None
+            else:
+                dead.add(i)
+                t = out.pop()
+                i -= len(t)
+                last, t = out[-1] if out else "", shorter.get(t)
+        return out
+
+    def longest(self, s: str, i: int) -> str:
+        """The longest arc from position i (a character without a piece is one)."""
+        starts, ids, n = self.starts, self.id, len(s)
+        j = i + 1
+        t = x = s[i]
+        while x in starts:
+            if x in ids:
+                t = x
+            if j == n:
+                break
+            j += 1
+            x = s[i:j]
+        return t
+
     def path_ids(self, s: str) -> bytes:
         got = self.paths.get(s)
         if got is None and (got := self.older.get(s)) is not None:
             self.paths[s] = got
         if got is None:
-            out = []
-            for t in self.path(s):
-                i = self.id.get(t)
-                if i is not None:
-                    out.append(i)
-                elif self.fallback:
-                    out.extend(self.byte_id[b] for b in t.encode())
-                elif not out or out[-1] != self.unknown:
-                    out.append(self.unknown)
-            got = np.array(out, "<i4").tobytes()
+            pairs = self.pairs
+            cuts = [k for k in range(1, len(s)) if s[k - 1:k + 1] not in pairs]
+            if cuts:                                    # no arc passes a cut: the path is that of the parts
+                got = b"".join(self.path_ids(s[a:b]) for a, b in zip([0, *cuts], [*cuts, len(s)]))
+            else:
+                got = self.path_bytes(s)
             if len(self.paths) >= CACHE:        # words not met since the last turn are forgotten
                 self.older, self.paths = self.paths, {}
             if len(s) <= 64:
                 self.paths[s] = got
         return got
 
+    def path_bytes(self, s: str) -> bytes:
+        out: list[int] = []
+        for t in self.path(s):
+            i = self.id.get(t)
+            if i is not None:
+                out.append(i)
+            elif self.fallback:
+                out.extend(self.byte_id[b] for b in t.encode())
+            elif not out or out[-1] != self.unknown:
+                out.append(self.unknown)
+        return np.array(out, "<i4").tobytes()
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         s = self.prefix + text.replace(" ", SPACE)
-        return b"".join(map(self.path_ids, self.words.findall(s) if self.words else [s]))
+        words = self.words.findall(s) if self.words else [s]
+        parts = list(map(self.paths.get, words))
+        if None in parts:
+            parts = [self.path_ids(w) if p is None else p for w, p in zip(words, parts)]
+        return b"".join(parts)
 
     def decode(self, ids: np.ndarray) -> str:
         of = self.bytes_of

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,16 @@ def open_folder(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def once(key, make):
+    """An object that the tasks of one worker process share (task functions
+    travel by value, so a module variable would not outlive a task)."""
+    held = vars(sys).setdefault("_tillcube_llm", {})
+    if key not in held:
+        held.clear()                     # one model at a time
+        held[key] = make()
+    return held[key]
+
+
 def publish(store, path: str, temporary: str) -> None:
     """A finished file appears under its name at once; another attempt of the
     same task writes the same bytes and may replace it."""

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
+from .files import once
+
 SPACE = "▁"
 CACHE = 300_000         # paths and neighbour weights kept in a task
 
@@ -235,7 +237,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text") -> DataFram
     schema = docs.select(*passed).schema.add("ids", ArrayType(IntegerType())).add("n_tokens", "long").add("round_trip", "boolean")
 
     def run(batches):
-        machine = Transducer(model.value)
+        machine = once(("pieces", model.value), lambda: Transducer(model.value))
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 rows = batch.slice(lo, 256)
@@ -260,7 +262,7 @@ def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids") -> DataFra
     passed = [c for c in encoded.columns if c != "decoded"]
 
     def run(batches):
-        machine = Transducer(model.value)
+        machine = once(("pieces", model.value), lambda: Transducer(model.value))
         for rows in batches:
             texts = [None if v is None else machine.decode(np.asarray(v, np.int64)) for v in rows.column(rows.schema.get_field_index(ids_col)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in passed), pa.array(texts, pa.string())], names=[*passed, "decoded"])

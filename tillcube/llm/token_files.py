@@ -11,7 +11,8 @@ within the file, number of tokens).  The manifest has one row a file with
 the ids before it, so starts are global when read.
 
 White space never joins two words, so ids are looked up by
-white-space-separated pieces, each encoded once by the library.
+white-space-separated pieces, each encoded once by the library.  This holds
+for lower-casing word tokenizers like the one given; others are refused.
 
 Null and empty texts have the end id only.  Rows of one id are ordered by a
 hash of the text; a null id comes first.  Finished files appear under their
@@ -28,14 +29,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .files import new_folder, open_folder, publish
+from .files import new_folder, once, open_folder, publish
 from .routing import keyed
 from .text import chunks
 
 END_ID = 2
 LENGTH = 2048
 ROWS = 256              # sequences of a batch
-CACHE = 400_000         # pieces kept in a task
+CACHE = 300_000         # pieces kept in a task
 
 
 class _Encoder:
@@ -45,16 +46,30 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_str(model)
         self.kind = kind
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """Ids of each text and the end id, little-endian."""
         words = [t.split() for t in texts]
-        new = list(set().union(*words) - self.cache.keys())
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
-            new = list(set().union(*words))
-        got = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.cache.update((w, np.array(g.ids, self.kind).tobytes()) for w, g in zip(new, got))
+        new = [w for w in set().union(*words) if w not in self.cache]
+        if new:
+            cache, older = self.cache, self.older
+            if len(cache) + len(new) > CACHE:           # words not met since the last turn are forgotten
+                self.older, self.cache = older, cache = cache, {}
+                new = list(set().union(*words))
+            # a word and its forms in capitals or before a full stop or comma share one look-up
+            forms = {w: (w[:-1].lower(), w[-1:]) if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else (w.lower(), b"") for w in new if w not in older}
+            cache.update((w, older[w]) for w in new if w in older)
+            parts = list({p for f in forms.values() for p in f if p} - self.parts.keys())
+            if len(self.parts) + len(parts) > CACHE:
+                self.parts = {}
+                parts = list({p for f in forms.values() for p in f if p})
+            got = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+            self.parts.update((p, np.array(g.ids, self.kind).tobytes()) for p, g in zip(parts, got))
+            known = self.parts
+            known[b""] = b""
+            cache.update((w, known[a] + known[b]) for w, (a, b) in forms.items())
         ids = self.cache.__getitem__
         return [b"".join(map(ids, w)) + end for w in words]
 
@@ -72,7 +87,7 @@ def _write(folder: str, model, end_id: int, length: int, wide: bool):
 
     def run(batches):
         store, base = open_folder(folder)
-        encoder, end = _Encoder(model.value, kind), np.array([end_id], kind).tobytes()
+        encoder, end = once(("ids", model.value), lambda: _Encoder(model.value, kind)), np.array([end_id], kind).tobytes()
         part, mark = TaskContext.get().partitionId(), f".{TaskContext.get().taskAttemptId()}.tmp"
         name = f"part-{part:06d}"
         store.create_dir(base)
@@ -120,7 +135,11 @@ def write_files(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, end_
     spark = docs.sparkSession
     with open(tokenizer_file) as f:
         text = f.read()
-    wide = max(Tokenizer.from_str(text).get_vocab_size(), end_id + 1) > 1 << 16
+    probe = Tokenizer.from_str(text)
+    for a, b in (("Word, one.", "word , one ."), ("a\tB\nc", "a b c")):
+        if probe.encode(a, add_special_tokens=False).ids != probe.encode(b, add_special_tokens=False).ids:
+            raise ValueError("the tokenizer must lower-case, drop white space and split off punctuation")
+    wide = max(probe.get_vocab_size(), end_id + 1) > 1 << 16
     model = spark.sparkContext.broadcast(text)
     rows = keyed(docs, id_col, text_col)
     files = max(1, -(-docs.count() // rows_per_file))

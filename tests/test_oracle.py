@@ -6,10 +6,12 @@ import __spark_entry__ as E
 from oracle_check import compare, duck
 
 from conftest import SMALL
+from tillcube import registry
 
 # The forest-backed queries are checked in test_ml.py (rows-only there too).
 HEAVY = {"rf_metrics", "score_requests", "prediction_log"}
-NAMES = [n for n in E.queries() if n not in HEAVY]
+# Queries of the llm subpackage are tested in tests/llm.
+NAMES = [n for n in registry.QUERIES if n not in HEAVY]
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +28,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_listed_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(registry.QUERIES) - set(E.oracle_sql())
     assert rows_only <= {"lr_metrics", "rf_metrics", "score_requests", "prediction_log",
                          "export_sale_documents"}
 

@@ -42,16 +42,6 @@ def day_spine(start, end) -> Column:
     return F.explode(F.sequence(_c(start), _c(end), F.expr("interval 1 day")))
 
 
-def ts_range(start: dt.date, end_inclusive: dt.date, column) -> Column:
-    """``to_date(column) between start and end`` written on the raw timestamp
-
-    so that Parquet receives the bounds as pushed filters.
-    """
-    hi = end_inclusive + dt.timedelta(days=1)
-    c = _c(column)
-    return (c >= ntz(dt.datetime.combine(start, dt.time()))) & (c < ntz(dt.datetime.combine(hi, dt.time())))
-
-
 def ntz(value: dt.datetime) -> Column:
     """A timestamp-without-zone literal (the driver tables store NTZ values),
     so comparisons never depend on the session time zone."""

@@ -56,16 +56,13 @@ def driver_festivals() -> list[tuple[str, str]]:
 def festival_calendar(spark: SparkSession, festivals: list[tuple[str, str]] | None = None) -> DataFrame:
     """The centre list as a small DataFrame ``(ordinal, centre, festival_name)``.
 
-    Ordinals are the position within a year's list, as in the reference,
-    where the first matching entry wins.  Built from a literal array (a
+    Ordinals are the position in the whole list; the first matching entry wins.  Built from a literal array (a
     local relation on the JVM side, no Python round trip).
     """
     festivals = festivals if festivals is not None else driver_festivals()
-    rows, per_year = [], {}
-    for centre, name in festivals:
+    rows = []
+    for k, (centre, name) in enumerate(festivals):
         d = dt.date.fromisoformat(centre)
-        k = per_year.get(d.year, 0)
-        per_year[d.year] = k + 1
         rows.append(F.struct(F.lit(k).alias("ordinal"), F.lit(d).alias("centre"),
                              F.lit(name).alias("festival_name")))
     return spark.range(1).select(F.inline(F.array(*rows)))
@@ -116,11 +113,6 @@ def dim_time_from_span(span: DataFrame, fest_days: DataFrame) -> DataFrame:
     return tag_festival(cols, "full_date", fest_days, flag_col="is_festival", name_col="festival_name")
 
 
-def dim_time_span_of(sales: DataFrame) -> DataFrame:
-    """The year span of a sales table, as the one-row input of ``dim_time_from_span``."""
-    return sales.agg(F.min("year").alias("y0"), F.max("year").alias("y1"))
-
-
 def month_festival_flag(dim_time: DataFrame) -> DataFrame:
     """The festival flag of "a day" of each month.
 

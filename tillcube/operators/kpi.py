@@ -23,10 +23,6 @@ from . import summary as S
 TOP_K_DEFAULT = 10
 
 
-def _orders() -> F.Column:
-    return F.count(F.lit(1))
-
-
 def overview_totals(sales: DataFrame) -> DataFrame:
     """One row even for an empty input (count 0, the rest NULL).
 

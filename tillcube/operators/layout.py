@@ -38,12 +38,6 @@ MAX_DIM_CATEGORIES = 100_000
 
 
 # ------------------------------------------------------------ H1 / U1 / P9
-def write_year_fragments(sales: DataFrame, path: str) -> str:
-    """H1: route every row to the fragment of its year (any year works)."""
-    sales.sortWithinPartitions("year", "sale_date").write.partitionBy("year").parquet(path)
-    return path
-
-
 def read_fragment(spark: SparkSession, path: str, year: int) -> DataFrame:
     """One year's fragment: a partition filter, only that year's files are read."""
     return fragment_of(spark.read.parquet(path), year)
@@ -97,22 +91,33 @@ def append(df: DataFrame, path: str) -> str:
     return path
 
 
+def one_per_key(rows: DataFrame, key: str, order_col: str | None, last: bool) -> DataFrame:
+    """One row per key: the last or the first by ``order_col``."""
+    if order_col is None:
+        return rows.dropDuplicates([key])
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    pick = F.max_by(row, order_col) if last else F.min_by(row, order_col)
+    return rows.groupBy(F.col(key).alias("__key")).agg(pick.alias("r")).select("r.*")
+
+
 def upsert(base: DataFrame, incoming: DataFrame, key: str, id_col: str | None = None,
-           update_columns: list[str] | None = None) -> DataFrame:
+           update_columns: list[str] | None = None, order_col: str | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO UPDATE SET <update_columns>``.
 
     Existing keys keep their row, with ``update_columns`` taken from the
     incoming row (the reference updates only the key itself, so by default
     nothing changes).  New keys are appended; if ``id_col`` is given they get
-    ids after the current maximum, in key order.  The result is meant to be
+    ids after the current maximum, in key order.  An incoming NULL overwrites,
+    as ``DO UPDATE SET`` does.  Of incoming rows with one key the last by
+    ``order_col`` counts (any one without it).  The result is meant to be
     written to a *new* directory.
     """
     update_columns = update_columns or []
-    inc = incoming.dropDuplicates([key])
+    inc = one_per_key(incoming, key, order_col, last=True)
     cols = base.columns
-    hit = base.alias("b").join(inc.alias("i"), key, "left")
+    hit = base.alias("b").join(inc.withColumn("__hit", F.lit(True)).alias("i"), key, "left")
     kept = hit.select(*[
-        (F.coalesce(F.col(f"i.{c}"), F.col(f"b.{c}")) if c in update_columns else F.col(f"b.{c}")).alias(c)
+        (F.when(F.col("i.__hit"), F.col(f"i.{c}")).otherwise(F.col(f"b.{c}")) if c in update_columns else F.col(f"b.{c}")).alias(c)
         if c != key else F.col(key) for c in cols])
     new = inc.join(base.select(key), key, "left_anti")
     if id_col:
@@ -125,9 +130,10 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str, id_col: str | None =
     return kept.unionByName(new.select(*cols))
 
 
-def insert_absent(base: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Rows of ``incoming`` whose key is not in ``base`` (one per key)."""
-    return incoming.dropDuplicates([key]).join(base.select(key), key, "left_anti")
+def insert_absent(base: DataFrame, incoming: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
+    """Rows of ``incoming`` whose key is not in ``base`` (one per key, the
+    first by ``order_col``)."""
+    return one_per_key(incoming, key, order_col, last=False).join(base.select(key), key, "left_anti")
 
 
 def insert_absent_into(spark: SparkSession, path: str, incoming: DataFrame, key: str) -> int:
@@ -214,6 +220,7 @@ def load_star(sales: DataFrame, products: DataFrame, categories: DataFrame, root
     assert_unique(dcr, "category_id")
     assert_unique(dpr, "product_id")
     (fact_sales(sales, dpr, dcr).withColumn("fact_id", F.monotonically_increasing_id())
+        .repartitionByRange("year", "date_key", "product_key").sortWithinPartitions("year", "date_key", "product_key")
         .write.partitionBy("year").parquet(f"{root}/fact_sales"))
     return {"dim_category": f"{root}/dim_category", "dim_product": f"{root}/dim_product",
             "fact_sales": f"{root}/fact_sales"}

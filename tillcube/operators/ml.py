@@ -124,7 +124,7 @@ def read_lookups(spark: SparkSession, path: str) -> Lookups:
 def _derived_features(df: DataFrame) -> DataFrame:
     sell = F.col("selling_price").cast("double")
     cost = F.col("cost_price").cast("double")
-    return (df.withColumn("profit_margin", (sell - cost) / sell)
+    return (df.withColumn("profit_margin", F.try_divide(sell - cost, sell))
               .withColumn("cost_price", cost)
               .withColumn("selling_price", sell))
 
@@ -210,14 +210,10 @@ def regressor(spark: SparkSession, target: str, kind: str, trees: int = RF_TREES
                                  checkpointInterval=10)
 
 
-def fit(feats: DataFrame, target: str, kind: str, trees: int = RF_TREES, depth: int = RF_DEPTH) -> PipelineModel:
-    """A two-stage pipeline (assembler + regressor) for one target."""
-    return Pipeline(stages=[assembler(), regressor(feats.sparkSession, target, kind, trees, depth)]).fit(feats)
-
-
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """M7: MAE, RMSE, R^2 in one aggregation.
 
+    R^2 of a constant label (or one row) is NULL.
     For a decimal prediction the error sums are exact and only the final
     combination is in double.
     """
@@ -227,9 +223,9 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
     s_y, s_yy = F.sum(F.col(label)).cast("double"), F.sum(F.col(label) * F.col(label)).cast("double")
     return pred.agg(
         F.count(F.lit(1)).alias("n"),
-        (s_abs / n).alias("mae"),
-        F.sqrt(s_sq / n).alias("rmse"),
-        (F.lit(1.0) - s_sq / (s_yy - s_y * s_y / n)).alias("r2"),
+        F.try_divide(s_abs, n).alias("mae"),
+        F.sqrt(F.try_divide(s_sq, n)).alias("rmse"),
+        (F.lit(1.0) - F.try_divide(s_sq, s_yy - F.try_divide(s_y * s_y, n))).alias("r2"),
     )
 
 
@@ -318,7 +314,7 @@ def request_features(requests: DataFrame, categories: DataFrame, products: DataF
     ok = r.filter(F.col("reject_reason").isNull())
     ok = (encoder.transform(ok.withColumn("category_name", F.col("category")))
           .withColumn("is_festival_int", F.coalesce(F.col("is_festival_int"), F.lit(0)))
-          .withColumn("profit_margin", (F.col("selling_price") - F.col("cost_price")) / F.col("selling_price"))
+          .withColumn("profit_margin", F.try_divide(F.col("selling_price") - F.col("cost_price"), F.col("selling_price")))
           .withColumn("base_sale_value", F.col("quantity") * F.col("selling_price")))
     return ok.select("category", "store_in_db", *FEATURE_COLUMNS), rejects
 

@@ -14,7 +14,3 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     with contextlib.redirect_stdout(buf):
         df.explain(mode)
     return buf.getvalue()
-
-
-def has_operator(df: DataFrame, name: str) -> bool:
-    return name in plan_text(df)

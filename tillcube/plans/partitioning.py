@@ -5,23 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over at least ``min_partitions`` tasks (default: the
-    cluster's default parallelism).
-
-    A large table already arrives in many file splits and is returned
-    unchanged (no shuffle); only an input with fewer splits than cores, such
-    as one small Parquet row group, is round-robin repartitioned.
-    """
-    spark = df.sparkSession
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no access to the physical partitioning: leave the scan as it is
-        return df
-    return df if have >= want else df.repartition(want)
-
-
 # Rows per partition/bucket we aim for when a count is at hand (a few
 # hundred MB of a narrow dimension row); never more than the shuffle width.
 ROWS_PER_PARTITION = 2_000_000

@@ -12,13 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.layout import one_per_key
 from ..session import new_table_path
 
 
 def set_documents(spark: SparkSession, docs: DataFrame, collection: str | None = None,
-                  id_col: str = "doc_id") -> str:
-    """Upsert ``docs`` by ``id_col`` into ``collection``; returns the new collection path."""
+                  id_col: str = "doc_id", order_col: str | None = None) -> str:
+    """Upsert ``docs`` by ``id_col`` into ``collection``; returns the new collection path.
+
+    Of documents sent with one id the last by ``order_col`` stays (any one
+    without it)."""
     out = new_table_path(spark, "collection")
+    docs = one_per_key(docs, id_col, order_col, last=True)
     if collection is not None:
         old = spark.read.schema(docs.schema).json(collection)
         docs = old.join(docs.select(id_col), id_col, "left_anti").unionByName(docs)

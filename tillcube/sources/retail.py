@@ -30,7 +30,6 @@ from ..operators import calendar
 from ..operators.keys import sequential_key
 from ..operators.summary import daily_summary, product_summary
 from ..plans.joins import checked_broadcast
-from ..plans.partitioning import ensure_parallelism
 from ..session import new_table_path
 from . import tables
 
@@ -179,9 +178,6 @@ class Warehouse:
     def dim_time(self) -> DataFrame:
         return self.table("dim_time")
 
-    def raw(self, name: str, columns: list[str] | None = None) -> DataFrame:
-        return tables.read_table(self.spark, self.sf_dir, name, columns)
-
 
 _LOADED: dict[tuple[str, str], Warehouse] = {}
 _LOAD_LOCK = threading.RLock()
@@ -205,19 +201,6 @@ def _star_job(wh: Warehouse) -> dict:
     return layout.load_star(wh.sales(), wh.products(), wh.categories(), f"{wh.root}/star")
 
 
-def build_layout(wh: Warehouse) -> Warehouse:
-    """The rest of the reference's load job on an existing load: master/replica,
-    vertical fragments and the star schema (the year fragments are the
-    partitioned ``sales`` table itself)."""
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        rep, vert, star = (pool.submit(_replica_job, wh), pool.submit(_vertical_job, wh),
-                           pool.submit(_star_job, wh))
-        wh.master_path, wh.replica_path = rep.result()
-        wh.basic_table, wh.pricing_table = vert.result()
-        wh.star = star.result()
-    return wh
-
-
 def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str, str]] | None = None,
                    reuse: bool = True, layout_tables: bool = True) -> Warehouse:
     """Build the retail tables from ``sf_dir`` and write them to the shared folder.
@@ -249,12 +232,13 @@ def _load(spark: SparkSession, sf_dir: str, festivals, layout_tables: bool, key)
     wh = Warehouse(spark, root, sf_dir)
 
     def sales_table():
-        sales = sales_from(ensure_parallelism(lineitem), wh.products(), wh.categories(), wh.festival_days())
-        # Local sort by (year, sale_date): the writer needs rows grouped by the
-        # partition column anyway, and sorted dates give tight row-group min/max
-        # for date-range pruning.  No repartition by year: that would put a
-        # whole year into one task.
-        (sales.sortWithinPartitions("year", "sale_date")
+        sales = sales_from(lineitem, wh.products(), wh.categories(), wh.festival_days())
+        # Range partitions by date: a file spans few days of (mostly) one
+        # year, so a date range prunes files and row groups, and the number of
+        # files follows the shuffle width, not tasks x years.  The order key
+        # lets a festival day split.  Range bounds are sampled from the joined
+        # rows, which costs a second pass over the join's input.
+        (sales.repartitionByRange("year", "sale_date", "order_key").sortWithinPartitions("year", "sale_date", "order_key")
               .write.partitionBy("year").parquet(f"{root}/sales"))
 
     def time_dim():

@@ -27,22 +27,3 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "part", PART_COLUMNS)
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
-              lower: int | None = None, upper: int | None = None, partitions: int = 1,
-              **options) -> DataFrame:
-    """A table of a live SQL database (the reference keeps its data in one).
-
-    With ``partition_column`` and its bounds the read is split into
-    ``partitions`` parallel range queries instead of one connection.  Needs
-    the database's JDBC driver on the classpath (none is installed here, so
-    this reader is not exercised by the tests).
-    """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    if partition_column is not None:
-        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower)
-                  .option("upperBound", upper).option("numPartitions", partitions))
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.load()

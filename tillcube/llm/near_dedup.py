@@ -170,6 +170,8 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[Da
     live = live.withColumn("ks", F.array_sort("ks")).select("rep", "n", F.expr(f"transform(filter(ks, k -> k.t < {TABLES}), k -> k.key)").alias("ka"),
                        F.expr(f"transform(filter(ks, k -> k.t >= {TABLES}), k -> k.key)").alias("kb"))
     live = store(live, "shared-keys")
+    # the full sets of all documents that can meet another are made once, for every comparison below
+    sets = store(docs.join(live.selectExpr("rep AS id"), "id", "left_semi").dropDuplicates(["id"]).select("id", "text").mapInArrow(_sets(size), "id long, set array<long>"), "sets")
     tables = live.select("rep", "n", F.explode("ka").alias("ka"), "kb").select("rep", "n", "ka", F.explode("kb").alias("kb"))
     tables = tables.select("rep", "n", F.xxhash64("ka", "kb").alias("key"))
     several = tables.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
@@ -177,13 +179,9 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[Da
 
     def compare(pairs: DataFrame) -> DataFrame:
         """Verified ones of the pairs (a, na, b, nb); sizes rule most out."""
-        pairs = store(pairs.filter(f"a <> b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), "candidates")
-        needed = pairs.selectExpr("a AS id").union(pairs.selectExpr("b AS id")).distinct()
-        sets = store(docs.join(needed, "id").dropDuplicates(["id"]).select("id", "text").mapInArrow(_sets(size), "id long, set array<long>"), "sets")
+        pairs = pairs.filter(f"a <> b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
         full = pairs.join(sets.selectExpr("id AS a", "set AS x"), "a").join(sets.selectExpr("id AS b", "set AS y"), "b")
-        found = store(full.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
-        drop_tables(pairs, sets)
-        return found
+        return store(full.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
 
     hubs = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h"))
     found = compare(members.join(hubs, "key").selectExpr("rep AS a", "n AS na", "h.rep AS b", "h.n AS nb"))
@@ -210,7 +208,7 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[Da
         new = components(comp.selectExpr("node AS a", "comp AS b").union(found))
         drop_tables(comp, found)
         comp = new
-    drop_tables(open_, live, reps)
+    drop_tables(open_, live, reps, sets)
     return sizes, comp
 
 

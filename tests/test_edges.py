@@ -109,12 +109,13 @@ def test_insert_absent(spark):
 
 def test_sequential_key_equals_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 100003).alias("k"))
-    out = sequential_key(df, "k", "key", 7, small_rows=100)     # partitioned path
+    out = sequential_key(df, "k", "key", 7)
     bad = out.withColumn("rn", F.row_number().over(__import__("pyspark.sql").sql.Window.orderBy("k"))) \
              .filter(F.col("rn") != F.col("key")).count()
     assert bad == 0 and out.count() == 5000
-    small = sequential_key(df, "k", "key")                       # single-window path
-    assert small.join(out, ["k", "key"]).count() == 5000
+    other = sequential_key(df, "k", "key")                       # at the session's width
+    assert other.join(out, ["k", "key"]).count() == 5000
+    assert sequential_key(df.filter("k < 0"), "k", "key").count() == 0
 
 
 def test_invariants(wh):
@@ -157,15 +158,19 @@ def test_duplicate_dimension_key_is_refused(spark):
     layout.assert_unique(dim.dropDuplicates(["product_id"]), "product_id")
 
 
-def test_checked_broadcast_declines_above_the_bound(spark):
-    from tillcube.plans.inspect import plan_text
-    from tillcube.plans.joins import checked_broadcast
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    small = spark.range(0, 50).withColumnRenamed("id", "k")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan_text(big.join(checked_broadcast(small, 100), "k"))
-        assert "BroadcastHashJoin" not in plan_text(big.join(checked_broadcast(small, 10), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_yearly_festivals_follow_the_data(spark):
+    span = spark.sql("SELECT 2002 AS y0, 2003 AS y1")
+    days = calendar.festival_days(calendar.yearly_festivals(span))
+    sales = spark.sql("SELECT DATE'2003-12-25' AS d UNION ALL SELECT DATE'2003-11-17' UNION ALL SELECT DATE'2003-07-01'")
+    got = {str(r.d): r.festival_name for r in calendar.tag_festival(sales, "d", days).collect()}
+    assert got == {"2003-12-25": "Christmas", "2003-11-17": "Diwali", "2003-07-01": None}
+
+
+def test_changed_input_is_loaded_again(spark, sf_dir, tmp_path):
+    from tillcube.sources import retail
+    for t in ("part", "lineitem"):
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").limit(50).write.parquet(str(tmp_path / f"{t}.parquet"))
+    first = retail.load_warehouse(spark, str(tmp_path), layout_tables=False)
+    assert retail.load_warehouse(spark, str(tmp_path), layout_tables=False) is first
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").limit(20).write.mode("append").parquet(str(tmp_path / "lineitem.parquet"))
+    assert retail.load_warehouse(spark, str(tmp_path), layout_tables=False).root != first.root

@@ -4,9 +4,8 @@ The reference tags a date with the first festival (in list order) whose
 centre lies within +-5 days, else (False, NULL).  Instead of a band join
 (which plans as a nested-loop join), each centre is expanded to its 11
 days, reduced to one festival per day with ``min_by(name, ordinal)``, and
-joined to the facts with an *equi* join.  The expanded table is bounded by
-11 x (number of listed centres), so broadcasting it is safe at any data
-size.
+joined to the facts with an *equi* join.  The expanded table holds
+11 x (number of listed centres) days.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..plans.joins import literal_broadcast
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's calendar for right results).
@@ -36,8 +34,8 @@ REFERENCE_FESTIVALS = [
 ]
 # Half-width of a festival window, in days.
 FESTIVAL_HALF_WIDTH_DAYS = 5
-# The driver tables span 1995-2001; the mapping applies the reference's
-# first-year month-days to each of those years (see FIXTURES.md, C).
+# The mapping for tables of other years applies the reference's first-year
+# month-days to each of their years (see FIXTURES.md, C).
 DRIVER_FESTIVAL_MONTH_DAYS = [
     ("03-08", "Holi"),
     ("04-22", "Eid"),
@@ -45,21 +43,24 @@ DRIVER_FESTIVAL_MONTH_DAYS = [
     ("11-13", "Diwali"),
     ("12-25", "Christmas"),
 ]
-DRIVER_FESTIVAL_YEARS = list(range(1995, 2002))
 # ---------------------------------------------------------------------------
 
-def driver_festivals() -> list[tuple[str, str]]:
-    """Centre list for the driver tables: per year, the five month-days in order."""
-    return [(f"{y}-{md}", name) for y in DRIVER_FESTIVAL_YEARS for md, name in DRIVER_FESTIVAL_MONTH_DAYS]
 
+def yearly_festivals(span: DataFrame) -> DataFrame:
+    """The five month-days of every year ``y0`` to ``y1`` of the one-row frame
+    ``span``, in order, as ``festival_calendar`` gives them."""
+    listed = F.array(*[F.struct(F.lit(md).alias("md"), F.lit(name).alias("festival_name")) for md, name in DRIVER_FESTIVAL_MONTH_DAYS])
+    centres = span.select(F.explode(F.sequence("y0", "y1")).alias("y")).select("y", F.posexplode(listed).alias("k", "f"))
+    return centres.select((F.col("y") * len(DRIVER_FESTIVAL_MONTH_DAYS) + F.col("k")).alias("ordinal"),
+                          F.to_date(F.concat_ws("-", F.col("y").cast("string"), "f.md")).alias("centre"), "f.festival_name")
 
-def festival_calendar(spark: SparkSession, festivals: list[tuple[str, str]] | None = None) -> DataFrame:
+
+def festival_calendar(spark: SparkSession, festivals: list[tuple[str, str]]) -> DataFrame:
     """The centre list as a small DataFrame ``(ordinal, centre, festival_name)``.
 
     Ordinals are the position in the whole list; the first matching entry wins.  Built from a literal array (a
     local relation on the JVM side, no Python round trip).
     """
-    festivals = festivals if festivals is not None else driver_festivals()
     rows = []
     for k, (centre, name) in enumerate(festivals):
         d = dt.date.fromisoformat(centre)
@@ -80,9 +81,10 @@ def tag_festival(df: DataFrame, date_col: str, fest_days: DataFrame,
                  flag_col: str = "is_festival_month", name_col: str = "festival_name") -> DataFrame:
     """Add ``flag_col`` (boolean) and ``name_col`` to ``df`` by the day in ``date_col``.
 
-    Equi left join against the bounded festival-day table, broadcast.
+    Equi left join; Spark broadcasts the festival days while they are under
+    its byte threshold.
     """
-    f = literal_broadcast(fest_days.select(F.col("day").alias("__fday"), F.col("festival_name").alias("__fname")))
+    f = fest_days.select(F.col("day").alias("__fday"), F.col("festival_name").alias("__fname"))
     out = df.join(f, F.col(date_col) == F.col("__fday"), "left")
     return (out.withColumn(flag_col, F.col("__fday").isNotNull())
                .withColumn(name_col, F.col("__fname"))

@@ -16,24 +16,8 @@ from pyspark.sql import functions as F
 from ..session import new_table_path
 
 
-# Up to this many rows a single ordered window is cheaper than the
-# partitioned numbering (the count is checked first).
-SMALL_ROWS = 100_000
-
-
-def sequential_key(df: DataFrame, order_col: str, key_col: str, num_partitions: int | None = None,
-                   small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Add ``key_col`` = 1, 2, ... in ``order_col`` order (ties broken arbitrarily).
-
-    A frame proven to hold at most ``small_rows`` rows is numbered by one
-    ``row_number()`` window; anything larger by the partitioned scheme.
-    """
-    if df.limit(small_rows + 1).count() <= small_rows:
-        return df.withColumn(key_col, F.row_number().over(Window.orderBy(order_col)).cast("long"))
-    return _partitioned_key(df, order_col, key_col, num_partitions)
-
-
-def _partitioned_key(df: DataFrame, order_col: str, key_col: str, num_partitions: int | None) -> DataFrame:
+def sequential_key(df: DataFrame, order_col: str, key_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Add ``key_col`` = 1, 2, ... in ``order_col`` order (ties broken arbitrarily)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Inside a sorted partition, monotonically_increasing_id() is
@@ -45,7 +29,7 @@ def _partitioned_key(df: DataFrame, order_col: str, key_col: str, num_partitions
                             - F.shiftleft(F.col("__pid").cast("long"), 33) + F.lit(1)))
     path = new_table_path(spark, f"keys-{key_col}")
     ranged.write.parquet(path)
-    numbered = spark.read.parquet(path)
+    numbered = spark.read.schema(ranged.schema).parquet(path)
     counts = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",

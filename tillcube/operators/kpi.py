@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_avg, money_sum
-from ..plans.joins import checked_broadcast
 from . import summary as S
 
 TOP_K_DEFAULT = 10
@@ -176,11 +175,11 @@ def historical_averages(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cat, mon
 
 
-def with_category_names(sales: DataFrame, categories: DataFrame, max_categories: int = 100_000) -> DataFrame:
+def with_category_names(sales: DataFrame, categories: DataFrame) -> DataFrame:
     """Attach ``category_name`` to sales that carry only ``category_id``.
 
     The load already denormalises the name into ``sales``; this join is for
-    facts from elsewhere.  Categories are broadcast behind a row check.
+    facts from elsewhere.
     """
-    cats = checked_broadcast(categories.select("category_id", "category_name"), max_categories)
+    cats = categories.select("category_id", "category_name")
     return sales.drop("category_name").join(cats, "category_id")

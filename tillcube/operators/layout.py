@@ -18,11 +18,10 @@ from __future__ import annotations
 import functools
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, money
-from ..plans.joins import bounded_rows, checked_broadcast
 from ..plans.partitioning import partitions_for
 from ..session import new_table_path
 from .keys import sequential_key
@@ -34,7 +33,6 @@ FACT_COLUMNS = ["date_key", "product_key", "category_key", "quantity", "discount
                 "sale_amount", "profit", "cost_amount"]
 # Fixed value: the star schema's category description suffix.
 DIM_CATEGORY_SUFFIX = " products"
-MAX_DIM_CATEGORIES = 100_000
 
 
 # ------------------------------------------------------------ H1 / U1 / P9
@@ -163,23 +161,16 @@ def replication_status(master: DataFrame, replica: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ W1 / H4 / J4
 def dim_category(categories: DataFrame) -> DataFrame:
-    """Star-schema category dimension; key in ``category_id`` order.
-
-    Categories are checked to be few, so one ranking window over them is
-    fine; above the bound the partitioned key assignment is used.
-    """
+    """Star-schema category dimension; key in ``category_id`` order."""
     d = categories.select("category_id", "category_name",
                           F.concat("category_name", F.lit(DIM_CATEGORY_SUFFIX)).alias("description"))
-    if bounded_rows(categories, MAX_DIM_CATEGORIES):
-        d = d.withColumn("category_key", F.row_number().over(Window.orderBy("category_id")).cast("long"))
-    else:
-        d = sequential_key(d, "category_id", "category_key")
+    d = sequential_key(d, "category_id", "category_key")
     return d.select("category_key", "category_id", "category_name", "description")
 
 
 def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Star-schema product dimension; key in ``product_id`` order, no global sort window."""
-    cats = checked_broadcast(categories.select("category_id", "category_name"), MAX_DIM_CATEGORIES)
+    cats = categories.select("category_id", "category_name")
     d = products.join(cats, "category_id").select(
         "product_id", "product_name", "category_name", "cost_price", "selling_price")
     d = sequential_key(d, "product_id", "product_key", partitions_for(products))
@@ -196,11 +187,10 @@ def assert_unique(df: DataFrame, key: str) -> None:
 def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cat: DataFrame) -> DataFrame:
     """Swap natural keys for surrogate keys; ``date_key`` computed (dim_time not joined).
 
-    ``dim_product`` grows with the data and is joined without a hint (Spark
-    chooses by size); ``dim_category`` is broadcast behind a row check.
+    Both dimensions are joined without a hint (Spark chooses by bytes).
     """
     dp = dim_prod.select("product_key", "product_id")
-    dc = checked_broadcast(dim_cat.select("category_key", "category_id"), MAX_DIM_CATEGORIES)
+    dc = dim_cat.select("category_key", "category_id")
     f = sales.join(dp, "product_id").join(dc, "category_id")
     return f.select(
         dates.date_key("sale_date").alias("date_key"), "product_key", "category_key", "quantity",

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import guarded_percent
-from ..plans.joins import checked_broadcast
 from ..session import new_table_path
 from .kpi import category_avg_price, historical_averages
 
@@ -44,7 +43,6 @@ _SPLIT_KEY_MOD = 1_000_003
 _SPLIT_MUL_ORDER = 2_654_435_761
 _SPLIT_MUL_LINE = 40_503
 
-MAX_LOOKUP_ROWS = 1_000_000
 
 
 def training_set(sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -132,11 +130,11 @@ def _derived_features(df: DataFrame) -> DataFrame:
 def features(train: DataFrame, lookups: Lookups, encoder: StringIndexerModel) -> DataFrame:
     """M2: the 11 features in the reference's order, plus targets and lineage.
 
-    The averages are joined (left, as the reference's merge) after a row
-    check, so the detail rows are never shuffled for them.
+    The averages are joined left, as the reference's merge; Spark broadcasts
+    them while they are under its byte threshold.
     """
-    cat = checked_broadcast(lookups.category_avg, MAX_LOOKUP_ROWS)
-    mon = checked_broadcast(lookups.month_avg, MAX_LOOKUP_ROWS)
+    cat = lookups.category_avg
+    mon = lookups.month_avg
     df = train.join(cat, "category_name", "left").join(mon, "month", "left")
     df = (encoder.transform(df)
           .withColumn("is_festival_int", F.col("is_festival_month").cast("int"))
@@ -294,15 +292,12 @@ def request_features(requests: DataFrame, categories: DataFrame, products: DataF
     reference answers 404 / fails).  Serving uses category-average prices
     (as the reference does), not per-product prices.
     """
-    cats = checked_broadcast(categories.select(F.col("category_name").alias("category"), "category_id"),
-                             MAX_LOOKUP_ROWS)
-    prices = checked_broadcast(category_avg_price(products).select(
-        "category_id", F.col("c").alias("cost_price"), F.col("s").alias("selling_price")), MAX_LOOKUP_ROWS)
-    cat_avg = checked_broadcast(lookups.category_avg.withColumnRenamed("category_name", "category"),
-                                MAX_LOOKUP_ROWS)
-    mon_avg = checked_broadcast(lookups.month_avg, MAX_LOOKUP_ROWS)
-    flags = checked_broadcast(month_flags.select("month", F.col("is_festival").cast("int").alias("is_festival_int")),
-                              MAX_LOOKUP_ROWS)
+    cats = categories.select(F.col("category_name").alias("category"), "category_id")
+    prices = category_avg_price(products).select(
+        "category_id", F.col("c").alias("cost_price"), F.col("s").alias("selling_price"))
+    cat_avg = lookups.category_avg.withColumnRenamed("category_name", "category")
+    mon_avg = lookups.month_avg
+    flags = month_flags.select("month", F.col("is_festival").cast("int").alias("is_festival_int"))
     r = (requests.join(cats, "category", "left").join(prices, "category_id", "left")
          .join(cat_avg, "category", "left").join(mon_avg, "month", "left").join(flags, "month", "left"))
     reason = (F.when(F.col("category_id").isNull(), F.lit("category not found"))

@@ -27,7 +27,7 @@ products as (
   from part join categories c on c.category_name = part.p_type),
 fest as (
   select cast(concat(cast(y as varchar), '-', md) as date) as fd, nm, y * 10 + o as o
-  from (values (1995),(1996),(1997),(1998),(1999),(2000),(2001)) t(y)
+  from (select unnest(range(year(min(l_shipdate)), year(max(l_shipdate)) + 1)) as y from lineitem) t
   cross join (values (0,'03-08','Holi'),(1,'04-22','Eid'),(2,'11-12','Diwali'),
                      (3,'11-13','Diwali'),(4,'12-25','Christmas')) f(o, md, nm)),
 days as (select distinct cast(l_shipdate as date) as d from lineitem),

@@ -29,7 +29,6 @@ from ..functions import money
 from ..operators import calendar
 from ..operators.keys import sequential_key
 from ..operators.summary import daily_summary, product_summary
-from ..plans.joins import checked_broadcast
 from ..session import new_table_path
 from . import tables
 
@@ -38,16 +37,13 @@ PRODUCTS_VALID_FROM = "1995-01-01"
 OPEN_END_DATE = "9999-12-31"
 PRODUCTS_CREATED_AT = "1995-01-01 00:00:00"
 CATEGORY_DESCRIPTION_SUFFIX = " products for retail"
-# Bound on categories for a broadcast join (checked after the table is written).
-MAX_CATEGORIES = 100_000
 
 
 def categories_from_part(part: DataFrame) -> DataFrame:
     """``category_id`` = dense rank of ``p_type``; one row per category.
 
     The distinct step is a partial aggregation; the distinct names are then
-    numbered in name order by ``sequential_key`` (one window only when they
-    are counted to be few, else the partitioned numbering).
+    numbered in name order by ``sequential_key``.
     """
     types = part.select(F.col("p_type").alias("category_name")).distinct()
     keyed = sequential_key(types, "category_name", "category_id")
@@ -63,7 +59,7 @@ def cost_price_of(list_price, size) -> F.Column:
 
 def products_from_part(part: DataFrame, categories: DataFrame) -> DataFrame:
     sell = F.col("p_retailprice").cast(money.PRICE)
-    cats = checked_broadcast(categories.select("category_id", F.col("category_name").alias("p_type")), MAX_CATEGORIES)
+    cats = categories.select("category_id", F.col("category_name").alias("p_type"))
     p = part.join(cats, "p_type")
     created = F.lit(PRODUCTS_CREATED_AT).cast("timestamp_ntz")
     return p.select(
@@ -108,7 +104,7 @@ def sales_from(lineitem: DataFrame, products: DataFrame, categories: DataFrame,
         F.col("l_shipdate").alias("created_at"),
     )
     prod = products.select("product_id", "product_name", "category_id", "cost_price", "selling_price")
-    cats = checked_broadcast(categories.select("category_id", "category_name"), MAX_CATEGORIES)
+    cats = categories.select("category_id", "category_name")
     s = li.join(prod, "product_id").join(cats, "category_id")
     s = calendar.tag_festival(s, "sale_date", fest_days)
     return s.select(
@@ -201,15 +197,26 @@ def _star_job(wh: Warehouse) -> dict:
     return layout.load_star(wh.sales(), wh.products(), wh.categories(), f"{wh.root}/star")
 
 
+def _state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Number, bytes and latest change of the files under ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(p, True)
+    count = size = latest = 0
+    while files.hasNext():
+        f = files.next()
+        count, size, latest = count + 1, size + f.getLen(), max(latest, f.getModificationTime())
+    return count, size, latest
+
+
 def load_warehouse(spark: SparkSession, sf_dir: str, festivals: list[tuple[str, str]] | None = None,
                    reuse: bool = True, layout_tables: bool = True) -> Warehouse:
     """Build the retail tables from ``sf_dir`` and write them to the shared folder.
 
     One load per (application, input folder) is reused by later queries of
     the same application, as the reference's server reads the database its
-    load job wrote.
+    load job wrote; once the input's files change, it is loaded again.
     """
-    key = (spark.conf.get("spark.app.id", "") or str(id(spark)), os.path.abspath(sf_dir))
+    key = (spark.conf.get("spark.app.id", "") or str(id(spark)), sf_dir, *(_state(spark, f"{sf_dir}/{t}.parquet") for t in ("part", "lineitem")))
     with _LOAD_LOCK:  # concurrent callers wait for one load instead of starting their own
         if reuse and festivals is None and key in _LOADED:
             return _LOADED[key]
@@ -225,9 +232,11 @@ def _load(spark: SparkSession, sf_dir: str, festivals, layout_tables: bool, key)
         categories_from_part(part).write.parquet(f"{root}/categories")
         products_from_part(part, spark.read.parquet(f"{root}/categories")).write.parquet(f"{root}/products")
 
+    span = lineitem.agg(F.year(F.min("l_shipdate")).alias("y0"), F.year(F.max("l_shipdate")).alias("y1"))
+
     def fest_days():
-        calendar.festival_days(calendar.festival_calendar(spark, festivals)).coalesce(1).write.parquet(
-            f"{root}/festival_days")
+        listed = calendar.yearly_festivals(span) if festivals is None else calendar.festival_calendar(spark, festivals)
+        calendar.festival_days(listed).coalesce(1).write.parquet(f"{root}/festival_days")
 
     wh = Warehouse(spark, root, sf_dir)
 
@@ -242,7 +251,6 @@ def _load(spark: SparkSession, sf_dir: str, festivals, layout_tables: bool, key)
               .write.partitionBy("year").parquet(f"{root}/sales"))
 
     def time_dim():
-        span = lineitem.agg(F.year(F.min("l_shipdate")).alias("y0"), F.year(F.max("l_shipdate")).alias("y1"))
         calendar.dim_time_from_span(span, wh.festival_days()).coalesce(1).write.parquet(f"{root}/dim_time")
 
     def summary_table():

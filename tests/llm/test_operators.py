@@ -219,6 +219,23 @@ def test_token_files(spark, real_docs, edge_docs):
     assert token_files.read_documents(*token_files.write_files(docs.limit(0), path)).collect() == []
 
 
+def test_token_files_keep_words_as_they_stand(spark):
+    """Special tokens are matched, and characters composed, before lower-casing."""
+    from tokenizers import Tokenizer
+    path = f"{queries.TOKENIZERS}/word_bpe_49k.json"
+    tok = Tokenizer.from_file(path)
+    texts = ["a <|EndOfText|> b", "<|ENDOFTEXT|>.", "x<|endoftext|>Y. <|StartOfText|>", "H\u0331 J\u030c T\u0308 h\u0331 E\u0301, \u0130. caf\u0065\u0301.",
+             "The THE the. THE, It's DON'T. A1b2, A.B. U.S., (Word). x., 5. Q.,"]
+    rows = list(enumerate(texts))
+    got = token_files.read_documents(*token_files.write_files(spark.createDataFrame(rows, "doc_id long, text string"), path, length=8)).collect()
+    want, at = [], 0
+    for i, t in rows:
+        ids = tok.encode(t, add_special_tokens=False).ids + [2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, got)) == want
+
+
 def test_license_scan(spark, edge_docs):
     def grams(t):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))

@@ -12,7 +12,11 @@ the ids before it, so starts are global when read.
 
 White space never joins two words, so ids are looked up by
 white-space-separated pieces, each encoded once by the library.  This holds
-for lower-casing word tokenizers like the one given; others are refused.
+for lower-casing word tokenizers like the one given; others are refused.  A
+piece reaches the library as it stands: normalisers and added tokens such as
+``<|endoftext|>`` tell capitals apart.  Only runs of ASCII letters and digits
+share the look-up of their lower-cased form, and a full stop or comma after
+an ASCII letter has its own, both only where no added token can lie in them.
 
 Null and empty texts have the end id only.  Rows of one id are ordered by a
 hash of the text; a null id comes first.  Finished files appear under their
@@ -45,10 +49,22 @@ class _Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(model)
         self.kind = kind
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.shared = not any((c.isascii() and c.isalnum()) or "." in c or "," in c for c in added)
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
+    def _form(self, word: bytes) -> tuple[bytes, bytes]:
+        """The parts whose ids, one after the other, are those of the word."""
+        last = b""
+        if self.shared:
+            if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
+                word, last = word[:-1], word[-1:]
+            if word.isalnum():              # of bytes: ASCII only
+                word = word.lower()
+        return word, last
+
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """Ids of each text and the end id, little-endian."""
         words = [t.split() for t in texts]
@@ -58,8 +74,7 @@ class _Encoder:
             if len(cache) + len(new) > CACHE:           # words not met since the last turn are forgotten
                 self.older, self.cache = older, cache = cache, {}
                 new = list(set().union(*words))
-            # a word and its forms in capitals or before a full stop or comma share one look-up
-            forms = {w: (w[:-1].lower(), w[-1:]) if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else (w.lower(), b"") for w in new if w not in older}
+            forms = {w: self._form(w) for w in new if w not in older}
             cache.update((w, older[w]) for w in new if w in older)
             parts = list({p for f in forms.values() for p in f if p} - self.parts.keys())
             if len(self.parts) + len(parts) > CACHE:
@@ -139,6 +154,8 @@ def write_files(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, end_
     for a, b in (("Word, one.", "word , one ."), ("a\tB\nc", "a b c")):
         if probe.encode(a, add_special_tokens=False).ids != probe.encode(b, add_special_tokens=False).ids:
             raise ValueError("the tokenizer must lower-case, drop white space and split off punctuation")
+    if any(c.isspace() for t in probe.get_added_tokens_decoder().values() for c in t.content):
+        raise ValueError("an added token holds white space")
     wide = max(probe.get_vocab_size(), end_id + 1) > 1 << 16
     model = spark.sparkContext.broadcast(text)
     rows = keyed(docs, id_col, text_col)

@@ -259,6 +259,45 @@ def test_license_scan(spark, edge_docs):
     assert len(license_scan.scan(edge_docs).collect()) == edge_docs.count()
 
 
+def test_license_windows(spark):
+    """Notices inside lines and texts, against every window in plain Python."""
+    import random
+
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+
+    def grams(w):
+        return set(zip(w, w[1:]))
+    full = {n: t for n, t in license_scan.TEMPLATES[-11:]}
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} == full.keys()
+    gpl = next(t for n, t in license_scan.TEMPLATES if n == "GPL-3.0" and t.startswith("This program"))
+    texts = ["This project is released under the MIT License.", "Some prose before it. Released under the MIT License. Some prose after it, and more of it.",
+             "x y z " + gpl.replace(" ", "\n ", 9) + " This program is distributed", "# " + full["BSD-2-Clause"].replace("\n", " ") + " a b c d e", "Copyright (c) A. " + full["ISC"],
+             "a b " + "Licensed under the MIT License. " * 3 + "c d e f g h i j k", "See. Use of this source code is governed by a BSD-style license that can be found in the LICENSE file. Else.",
+             "intro " + full["GPL-3.0"] + " outro", "no notice of the license here"]
+    rng = random.Random(9)
+    for _ in range(30):
+        w = rng.choice(license_scan.TEMPLATES[:25])[1].split()
+        w = [rng.choice("pqr") if rng.random() < .06 else x for x in w]
+        texts.append(" ".join([*rng.choices("abc", k=rng.randint(0, 9)), *w, *rng.choices("abc", k=rng.randint(0, 9)), *w[:5]]))
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    known = [(n, len(words(t)), grams(words(t))) for n, t in license_scan.TEMPLATES]
+    for i, t in enumerate(texts):
+        w = words(t)
+        whole, best = grams(w), {}
+        for n, k, b in known:
+            if len(whole & b) >= .8 * len(b) / 1.2 - 1e-9:
+                best[n] = max([best.get(n, 0), 2 * len(whole & b) / (len(whole) + len(b)),
+                               *(2 * len((a := grams(w[s:s + k])) & b) / (len(a) + len(b)) for s in range(len(w) - k + 1))])
+        assert got[i].licenses == sorted(n for n, x in best.items() if x >= .8), t
+        for m in got[i].matches:
+            a = grams(words(t.encode()[m.start:m.end].decode()))
+            assert any(abs(2 * len(a & b) / (len(a) + len(b)) - m.score) < 1e-9 for n, _, b in known if n == m.license)
+    assert got[0].licenses == got[1].licenses == ["MIT"] and texts[1][got[1].matches[0].start:got[1].matches[0].end] == "Released under the MIT License"
+    assert "GPL-3.0" in got[2].licenses and "BSD-2-Clause" in got[3].licenses and "ISC" in got[4].licenses and "BSD-3-Clause" in got[6].licenses and "GPL-3.0" in got[7].licenses
+    assert sum(m.license == "MIT" and m.score == 1 for m in got[5].matches) == 3 and got[8].licenses == []
+
+
 def test_quality(spark, sf_dir, real_docs, edge_docs):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     texts = {r.doc_id: r.text for r in real_docs.collect()}

@@ -197,6 +197,51 @@ def test_url_model_on_held_out(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
 
 
+def test_url_model_keeps_rare_grams(spark):
+    """Over 262,144 characters a class, against the formulas over all grams."""
+    import math
+    import random
+    rng = random.Random(6)
+
+    def word(letters):
+        return "".join(rng.choice(letters) for _ in range(24))
+    urls = [f"http://{word('abcdefghij')}.com/{word('ab01')}" for _ in range(6500)] + [f"http://{word('bcdklmnxyz')}.net/fr/{word('ab23')}" for _ in range(6500)]
+    urls += [f"http://{word('abcdklmxyz')}.org/{word('ab02')}" for _ in range(40)] + ["http://\u00e9.com/x", None]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(6)).collect()}
+    assert len(got) == len(urls)
+    counts = {k: [Counter() for _ in range(5)] for k in ("allow", "block")}
+    texts = ["".join(url_filter.split(u)).encode() for u in urls]
+    chars = Counter()
+    for i, t in enumerate(texts):
+        if got[i].rule and zlib.crc32(t) % 5:
+            s = b"\2" * 4 + t + b"\3"
+            chars[got[i].verdict] += len(t)
+            for k in range(5):
+                counts[got[i].verdict][k].update(s[j - k:j + 1] for j in range(4, len(s)))
+    assert min(chars.values()) > 262_144
+    total, kinds = ({v: [Counter() for _ in range(5)] for v in counts} for _ in range(2))
+    for v in counts:
+        for k in range(5):
+            for g, n in counts[v][k].items():
+                total[v][k][g[:-1]] += n
+                kinds[v][k][g[:-1]] += 1
+
+    def log_likelihood(v, t):
+        s, out = b"\2" * 4 + t + b"\3", 0.0
+        for j in range(4, len(s)):
+            p = 1 / 256
+            for k in range(5):
+                c = s[j - k:j]
+                if total[v][k][c]:
+                    p = (counts[v][k][c + s[j:j + 1]] + kinds[v][k][c] * p) / (total[v][k][c] + kinds[v][k][c])
+            out += math.log(p)
+        return out
+    for i in [*range(20), *range(6500, 6520), *range(13000, len(urls))]:
+        t = texts[i]
+        want = (log_likelihood("allow", t) - log_likelihood("block", t)) / (len(t) + 1) if t else 0.0
+        assert abs(got[i].score - want) < 1e-9
+
+
 def test_token_files(spark, real_docs, edge_docs):
     from tokenizers import Tokenizer
     path = f"{queries.TOKENIZERS}/word_bpe_49k.json"

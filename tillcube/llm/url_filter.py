@@ -5,10 +5,14 @@ starts with the rule's; the longest that fits wins.  URLs without a rule are
 judged by two variable-order Markov models over the characters of host and
 path: one of the URLs that rules accept, one of those that rules reject,
 both interpolated over contexts of 0 to ``ORDER`` characters with
-Witten-Bell weights.  A context is used where its count is at least one
-in ``SHARE`` of its class's characters (rarer ones give way to shorter
-ones), which also bounds the model that is broadcast to ``SHARE`` entries an
-order and class; all URLs are counted.
+Witten-Bell weights.  All grams and contexts of all URLs count, however rare.
+
+The models are a table, a row a gram with its context's totals; the
+probabilities of the longest grams come from order by order joins with those
+of the next shorter ones.  The URLs are dealt by hash into groups of about
+``GROUP``; a group's distinct grams are joined to the probabilities and meet
+its URLs again, which are scored there.  Only grams of orders 0 and 1 (at most
+65,792, whatever the input) are sent to all tasks.
 
 The score is the difference of the log-likelihoods per character.  The
 threshold is calibrated on one rule-decided URL in five (by hash), which the
@@ -23,10 +27,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from .files import drop_tables, store
 
 ORDER = 4
-SHARE = 1 << 17
+GROUP = 64
+BATCH = 20_000
 STEPS, SPAN = 1000, 16
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 _START, _END = 2, 3
@@ -93,98 +100,126 @@ def _held(texts: list[bytes]) -> np.ndarray:
     return np.array([crc32(t) % 5 == 0 for t in texts], bool)
 
 
+def _text(url: str | None) -> bytes:
+    return "".join(split(url)).encode()
+
+
 def _train(rules):
-    schema = pa.schema([("accepted", pa.bool_()), ("gram", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("gram", pa.int64()), ("accepted", pa.int64()), ("rejected", pa.int64())])
 
     def run(batches):
         table = rule_table(rules)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 20_000):
-                parts = [split(u) for u in batch.column(0).slice(lo, 20_000).to_pylist()]
-                verdicts = [decide(table, *p)[1] for p in parts]
-                for kind in ("allow", "block"):
-                    texts = ["".join(p).encode() for p, v in zip(parts, verdicts) if v == kind]
-                    texts = [t for t, h in zip(texts, _held(texts)) if not h]
-                    if texts:
-                        rows, _ = _windows(texts)
-                        gram, n = np.unique(np.concatenate([_keys(rows, k)[1] for k in range(ORDER + 1)]), return_counts=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), kind == "allow")), pa.array(gram), pa.array(n.astype(np.int64))], schema=schema)
+            for lo in range(0, batch.num_rows, BATCH):
+                parts = [split(u) for u in batch.column(0).slice(lo, BATCH).to_pylist()]
+                verdicts = np.array([decide(table, *p)[1] or "" for p in parts])
+                texts = ["".join(p).encode() for p in parts]
+                seen = ~_held(texts)
+                rows, off = _windows(texts)
+                gram, back = np.unique(np.concatenate([_keys(rows, k)[1] for k in range(ORDER + 1)]), return_inverse=True)
+
+                def count(kind):
+                    own = np.tile(np.repeat(seen & (verdicts == kind), np.diff(off)), ORDER + 1)
+                    return pa.array(np.bincount(back[own], minlength=len(gram)).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(gram), count("allow"), count("block")], schema=schema)
     return run
 
 
-class Model:
-    """Interpolated probabilities of one class."""
-
-    def __init__(self, ctx, total, kinds, gram, n):
-        o = np.argsort(ctx)
-        self.ctx, self.total, self.kinds = ctx[o], total[o].astype(float), kinds[o].astype(float)
-        o = np.argsort(gram)
-        self.gram, self.n = gram[o], n[o].astype(float)
-
-    @staticmethod
-    def _find(keys, wanted):
-        p = np.searchsorted(keys, wanted)
-        p[p == len(keys)] = 0
-        return p, keys[p] == wanted
-
-    def log_likelihood(self, rows: np.ndarray) -> np.ndarray:
-        p = np.full(len(rows), 1 / 256)
-        for order in range(ORDER + 1):
-            ctx, gram = _keys(rows, order)
-            i, known = self._find(self.ctx, ctx)
-            j, seen = self._find(self.gram, gram)
-            n = np.where(seen, self.n[j], 0.0)
-            total, kinds = self.total[i], self.kinds[i]
-            p = np.where(known, (n + kinds * p) / (total + kinds), p)
-        return np.log(p)
-
-
-def fit(pages: DataFrame, rules=RULES, url_col: str = "url") -> list[Model] | None:
-    """Models of accepted and rejected URLs; None if one has no URL."""
-    grams = pages.select(url_col).mapInArrow(_train(rules), "accepted boolean, gram long, n long").groupBy("accepted", "gram").agg(F.sum("n").alias("n"))
-    grams = grams.withColumn("ctx", F.expr("shiftright(gram, 8)"))
-    ctx = grams.groupBy("accepted", "ctx").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    sizes = {r.accepted: r.total for r in ctx.filter(f"ctx = {1 << 40}").collect()}
-    if len(sizes) < 2:
+def fit(pages: DataFrame, rules=RULES, url_col: str = "url") -> DataFrame | None:
+    """Every gram of the URLs, of all orders, with its count among accepted
+    and rejected URLs and the total and number of different next characters of
+    its context in both (0 where not seen); None if a class has no URL."""
+    grams = pages.select(url_col).mapInArrow(_train(rules), "gram long, accepted long, rejected long").groupBy("gram").agg(
+        F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+    context = Window.partitionBy(F.expr("shiftright(gram, 8)"))          # at most 256 rows
+    grams = store(grams.select("*", *(f(kind).over(context).alias(f"{name}_{kind}") for kind in ("accepted", "rejected") for name, f in (
+        ("total", F.sum), ("kinds", lambda c: F.sum(F.when(F.col(c) > 0, 1).otherwise(0)))))), "url-grams")
+    sizes = _order(grams, 0).agg(F.sum("accepted"), F.sum("rejected")).first()
+    if not all(sizes):
+        drop_tables(grams)
         return None
-    models = []
-    for kind in (True, False):
-        least = max(1, sizes[kind] // SHARE)
-        c = ctx.filter((F.col("accepted") == kind) & (F.col("total") >= least)).select("ctx", "total", "kinds").toArrow()
-        g = grams.filter((F.col("accepted") == kind) & (F.col("n") >= least)).select("gram", "n").toArrow()
-        models.append(Model(*(c.column(x).to_numpy() for x in ("ctx", "total", "kinds")), *(g.column(x).to_numpy() for x in ("gram", "n"))))
-    return models
-
-
-def scores(models, texts: list[bytes]) -> np.ndarray:
-    """Log-likelihood difference per character (0 for an empty text)."""
-    if models is None or not texts:
-        return np.zeros(len(texts))
+    return grams
+
+
+def _order(grams: DataFrame, order: int) -> DataFrame:
+    return grams.filter((F.col("gram") >= (order + 1) << 48) & (F.col("gram") < (order + 2) << 48))
+
+
+def probabilities(grams: DataFrame) -> DataFrame:
+    """gram, accepted, rejected: the interpolated probabilities of the grams
+    of ``ORDER`` + 1 characters in both classes."""
+    p = None
+    for order in range(ORDER + 1):
+        own = _order(grams, order)
+        if p is None:
+            own = own.withColumn("p_accepted", F.lit(1 / 256)).withColumn("p_rejected", F.lit(1 / 256))
+        else:
+            own = own.withColumn("shorter", F.col("gram").bitwiseAND(F.lit((1 << 8 * order) - 1)).bitwiseOR(F.lit(order << 48)))
+            own = own.join(F.broadcast(p) if order <= 2 else p, "shorter", "left")
+        p = own.select("gram", *(F.expr(f"CASE WHEN total_{k} > 0 THEN ({k} + kinds_{k} * p_{k}) / (total_{k} + kinds_{k}) ELSE p_{k} END").alias(k) for k in ("accepted", "rejected")))
+        if order < ORDER:
+            p = p.select(F.col("gram").alias("shorter"), F.col("accepted").alias("p_accepted"), F.col("rejected").alias("p_rejected"))
+    return p
+
+
+def _wanted(batches):
+    """group and gram: the different longest grams of each group's URLs."""
+    schema = pa.schema([("group", pa.int64()), ("gram", pa.int64())])
+    for batch in batches:
+        for lo in range(0, batch.num_rows, BATCH):
+            rows = batch.slice(lo, BATCH)
+            windows, off = _windows([_text(u) for u in rows.column(1).to_pylist()])
+            group, at = np.unique(rows.column(0).to_numpy(), return_inverse=True)
+            pairs = np.stack([np.repeat(at, np.diff(off)), _keys(windows, ORDER)[1]])
+            pairs = pairs[:, np.lexsort(pairs[::-1])]
+            pairs = pairs[:, np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)])]
+            yield pa.RecordBatch.from_arrays([pa.array(group[pairs[0]]), pa.array(pairs[1])], schema=schema)
+
+
+def scores(texts: list[bytes], gram: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """Log-likelihood difference per character (0 for an empty text), from
+    the sorted grams of the texts and their log ratios."""
+    if not texts:
+        return np.zeros(0)
     rows, off = _windows(texts)
-    d = models[0].log_likelihood(rows) - models[1].log_likelihood(rows)
-    s = np.add.reduceat(d, off[:-1]) / np.diff(off)
+    s = np.add.reduceat(ratio[np.searchsorted(gram, _keys(rows, ORDER)[1])], off[:-1]) / np.diff(off)
     return np.where(np.diff(off) > 1, s, 0.0)
 
 
-def _calibrate(rules, model):
-    schema = pa.schema([("accepted", pa.bool_()), ("step", pa.int64()), ("n", pa.int64())])
+_SCORED = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("rule", pa.string()), ("decided", pa.string()), ("score", pa.float64()), ("held", pa.bool_())])
+_SCORED_DDL = "page_id long, host string, path string, rule string, decided string, score double, held boolean"
 
+
+def _decided(ids, urls, rules, score) -> pa.Table:
+    """Rows of _SCORED; ``score`` gives the scores of the texts."""
+    table = rule_table(rules)
+    parts = [split(u) for u in urls]
+    found = [decide(table, *p) for p in parts]
+    texts = ["".join(p).encode() for p in parts]
+    return pa.Table.from_arrays([ids, pa.array([p[0] for p in parts], pa.string()), pa.array([p[1] for p in parts], pa.string()), pa.array([r for r, _ in found], pa.string()),
+                                 pa.array([v for _, v in found], pa.string()), pa.array(score(texts)), pa.array(_held(texts))], schema=_SCORED)
+
+
+def _judge_group(rules):
+    def run(pages: pa.Table, grams: pa.Table) -> pa.Table:
+        gram = grams.column("gram").to_numpy()
+        order = np.argsort(gram)
+        ratio = (np.log(grams.column("accepted").to_numpy()) - np.log(grams.column("rejected").to_numpy()))[order]
+        return _decided(pages.column("page_id"), pages.column("url").to_pylist(), rules, lambda texts: scores(texts, gram[order], ratio))
+    return run
+
+
+def _judge_plain(rules):
     def run(batches):
-        table = rule_table(rules)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 20_000):
-                parts = [split(u) for u in batch.column(0).slice(lo, 20_000).to_pylist()]
-                verdicts = [decide(table, *p)[1] for p in parts]
-                for kind in ("allow", "block"):
-                    texts = ["".join(p).encode() for p, v in zip(parts, verdicts) if v == kind]
-                    texts = [t for t, h in zip(texts, _held(texts)) if h]
-                    step, n = np.unique(np.clip(np.floor(scores(model.value, texts) * STEPS), -SPAN * STEPS, SPAN * STEPS).astype(np.int64), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind == "allow")), pa.array(step), pa.array(n.astype(np.int64))], schema=schema)
+            yield from _decided(batch.column(1), batch.column(2).to_pylist(), rules, lambda texts: np.zeros(len(texts))).to_batches()
     return run
 
 
-def threshold(pages: DataFrame, model, rules=RULES, url_col: str = "url") -> float:
-    steps = pages.select(url_col).mapInArrow(_calibrate(rules, model), "accepted boolean, step long, n long").groupBy("accepted", "step").agg(F.sum("n").alias("n")).toPandas()
+def threshold(scored: DataFrame) -> float:
+    """The cut from the held-out URLs that rules decide."""
+    step = F.least(F.greatest(F.floor(F.col("score") * STEPS), F.lit(-SPAN * STEPS)), F.lit(SPAN * STEPS))
+    steps = scored.filter("held AND decided IS NOT NULL").groupBy((F.col("decided") == "allow").alias("accepted"), step.alias("step")).agg(F.count("*").alias("n")).toPandas()
     good, bad = (np.zeros(2 * SPAN * STEPS + 1, np.int64) for _ in range(2))
     for kind, to in ((True, good), (False, bad)):
         own = steps[steps.accepted == kind]
@@ -199,19 +234,17 @@ def threshold(pages: DataFrame, model, rules=RULES, url_col: str = "url") -> flo
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict and score of every page."""
-    model = pages.sparkSession.sparkContext.broadcast(fit(pages, rules, url_col))
-    cut = threshold(pages, model, rules, url_col) if model.value else 0.0
-    schema = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("rule", pa.string()), ("verdict", pa.string()), ("score", pa.float64())])
-
-    def run(batches):
-        table = rule_table(rules)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 20_000):
-                rows = batch.slice(lo, 20_000)
-                parts = [split(u) for u in rows.column(1).to_pylist()]
-                found = [decide(table, *p) for p in parts]
-                score = scores(model.value, ["".join(p).encode() for p in parts])
-                verdict = [v or ("allow" if s >= cut else "block") for (_, v), s in zip(found, score)]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([p[0] for p in parts]), pa.array([p[1] for p in parts]),
-                                                  pa.array([r for r, _ in found], pa.string()), pa.array(verdict), pa.array(score)], schema=schema)
-    return pages.select(F.col(id_col).cast("long").alias("page_id"), url_col).mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, score double")
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"))
+    groups = max(1, -(-rows.count() // GROUP))
+    rows = rows.select(F.pmod(F.xxhash64("page_id", "url"), F.lit(groups)).alias("group"), "page_id", "url")
+    grams, cut = fit(rows, rules), 0.0
+    if grams is None:
+        scored = rows.mapInArrow(_judge_plain(rules), _SCORED_DDL)
+    else:
+        wanted = rows.select("group", "url").mapInArrow(_wanted, "group long, gram long").distinct()
+        found = wanted.join(probabilities(grams), "gram")
+        scored = store(rows.groupBy("group").cogroup(found.groupBy("group")).applyInArrow(_judge_group(rules), _SCORED_DDL), "url-scores")
+        drop_tables(grams)
+        cut = threshold(scored)
+    verdict = F.coalesce("decided", F.when(F.col("score") >= cut, "allow").otherwise("block"))
+    return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")

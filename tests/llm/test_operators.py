@@ -375,6 +375,27 @@ def test_quality_held_out_accuracy(spark):
     assert np.mean([k for g, k in own if g]) > 0.95 and np.mean([k for g, k in own if not g]) < 0.2
 
 
+def test_quality_rejects_toxic_labelled_good(spark):
+    """Documents like those labelled toxic go, also where their quality is labelled good."""
+    import random
+    rng = random.Random(12)
+    good = ["".join(rng.choice("abcdefghijklmno") for _ in range(6)) for _ in range(300)]
+    bad = ["".join(rng.choice("QRSTUVWX") for _ in range(6)) for _ in range(300)]
+
+    def text(own, insults):
+        return " ".join(rng.choice(("idiotic", "moronic", "worthless")) if rng.random() < insults else rng.choice(own) for _ in range(90))
+    kinds = [("clean", good, 0.0, 1, 0)] * 400 + [("toxic", good, .08, 1, 1)] * 120 + [("bad", bad, 0.0, 0, 0)] * 120 + [("both", bad, .08, 0, 1)] * 40
+    docs = spark.createDataFrame([(i, text(own, x)) for i, (_, own, x, _, _) in enumerate(kinds)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q, t) for i, (*_, q, t) in enumerate(kinds) if i % 2], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality.judge(docs, labels).filter("kept").collect()}
+    assert kept == {r.doc_id for r in quality.keep_good(docs, labels).collect()}
+    share = {kind: np.mean([i in kept for i, k in enumerate(kinds) if k[0] == kind and not i % 2]) for kind in ("clean", "toxic", "bad", "both")}
+    assert share["clean"] > 0.95 and max(share["toxic"], share["bad"], share["both"]) < 0.05
+    # without a toxic label the quality ratio alone decides
+    plain = labels.filter("toxic = 0")
+    assert quality.fit(docs, plain)[0][1] is None
+
+
 def test_pipeline_against_brute_force(spark, sf_dir):
     import corpus_pipeline as pipeline
     rows = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}

@@ -1,19 +1,25 @@
 """Quality rules with a hashed n-gram likelihood ratio (operator 10).
 
-Two multinomials over ``BUCKETS`` hashed byte 4-grams: one of the whole raw
-corpus, one of the trusted target (labelled good and not toxic), smoothed
-towards the raw one.  A document's score is the log-likelihood ratio target
-to raw per 4-gram; it is kept if its base rules hold and its score reaches
-the threshold.  Nothing is drawn at random: equal inputs give equal verdicts.
+Multinomials over ``BUCKETS`` hashed byte 4-grams: one of the whole raw
+corpus, one of the trusted target (labelled good and not toxic) and one of
+the documents labelled toxic, both smoothed towards the raw one.  The quality
+ratio is the log-likelihood ratio target to raw per 4-gram, the clean ratio
+that of target to toxic.  A document is kept if its base rules hold and both
+reach their cuts; its score is the smaller of the quality ratio and the clean
+ratio moved so that both cuts meet, so it is kept at the quality cut or more.
+Nothing is drawn at random: equal inputs give equal verdicts.
 
 Counts cover every document.  Labelled rows are used up to ``MAX_LABELLED``
-(those of the smallest id hash), so what is broadcast has a fixed bound: the
-labels, and one number a bucket.  One labelled document in five (by hash) is
-held out of the target and sets the threshold: the score that best separates
-the held-out documents labelled good (and not toxic) from those labelled bad,
-where a lost good one counts ``KEEP_WEIGHT`` times; ``NO_CALIBRATION`` if one
-kind is missing there.  Toxic documents labelled good are in neither kind.  Without any labelled good document every score is 0 and
-every document that passes the base rules is kept.
+(those of the smallest id hash), and up to as many labelled good but toxic, so
+what is broadcast has a fixed bound: the labels, and two numbers a bucket.
+One labelled document in five (by hash) is held out of the multinomials and
+sets the cuts: the score that best separates the held-out documents labelled
+good and not toxic from those labelled bad (quality ratio) or toxic (clean
+ratio), where a lost good one counts ``KEEP_WEIGHT`` times.  The quality cut
+is ``NO_CALIBRATION`` if one kind is missing there; without a toxic document
+to count and one to hold out, or a good one to hold out, the clean ratio is not
+used.  Without any labelled good document every score is 0 and every document
+that passes the base rules is kept.
 
 Null or empty texts have no words and fail the base rules.  A label row
 with a null is not used; of several rows for an id the worst counts.
@@ -57,15 +63,29 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return k, at
 
 
-def labelled(labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids (sorted), whether good, whether held out, of the labelled sample."""
+def _rows(labels: DataFrame, which: str):
     one = labels.dropna(subset=["doc_id", "quality", "toxic"]).groupBy(F.col("doc_id").cast("long").alias("id")).agg(
-        F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).filter("quality = 0 OR toxic = 0").selectExpr("id", "quality = 1 AS good")
+        F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).filter(which)
     some = one.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(MAX_LABELLED)
-    got = some.select("id", "good", (F.pmod("h", F.lit(5)) == 0).alias("held")).toPandas().sort_values("id")
+    return some.selectExpr("id", "quality = 1 AND toxic = 0 AS good", "quality = 0 AS bad", "toxic = 1 AS toxic", "pmod(h, 5) = 0 AS held").toPandas().sort_values("id")
+
+
+def labelled(labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids (sorted), whether good, whether held out, of the sample labelled
+    bad or not toxic."""
+    got = _rows(labels, "quality = 0 OR toxic = 0")
     return got.id.to_numpy(np.int64), got.good.to_numpy(bool), got.held.to_numpy(bool)
 
 
+def sample(labels: DataFrame) -> dict[str, np.ndarray]:
+    """id (sorted), good, bad, toxic and held of the labelled sample and of
+    the one labelled good but toxic."""
+    got = [_rows(labels, w) for w in ("quality = 0 OR toxic = 0", "NOT (quality = 0 OR toxic = 0)")]
+    out = {c: np.concatenate([g[c].to_numpy(np.int64 if c == "id" else bool) for g in got]) for c in ("id", "good", "bad", "toxic", "held")}
+    order = np.argsort(out["id"])
+    return {c: x[order] for c, x in out.items()}
+
+
 def _lookup(ids: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Places of ``known`` in the sorted ids, -1 where absent."""
     if not len(ids):
@@ -79,21 +99,22 @@ def _ids(rows) -> np.ndarray:
     return rows.column(0).fill_null(-(1 << 63)).to_numpy()
 
 
-def _count(sample):
-    schema = pa.schema([("bucket", pa.int32()), ("raw", pa.int64()), ("target", pa.int64())])
+def _count(labels):
+    schema = pa.schema([("bucket", pa.int32()), ("raw", pa.int64()), ("target", pa.int64()), ("toxic", pa.int64())])
 
     def run(batches):
-        ids, good, held = sample.value
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        ids, kinds = labels.value            # of the ids, whether they count in target and in toxic
+        raw, own = np.zeros(BUCKETS, np.int64), np.zeros((2, BUCKETS), np.int64)
         for rows, data, off in chunks(batches):
             k, at = features(data, off)
             raw += np.bincount(k, minlength=BUCKETS)
             p = _lookup(ids, _ids(rows))
-            for i in np.flatnonzero((p >= 0) & good[p] & ~held[p]) if len(ids) else ():
-                target += np.bincount(k[at[i]:at[i + 1]], minlength=BUCKETS)
+            for kind, to in zip(kinds, own):
+                for i in np.flatnonzero((p >= 0) & kind[p]) if len(ids) else ():
+                    to += np.bincount(k[at[i]:at[i + 1]], minlength=BUCKETS)
         at = np.flatnonzero(raw)
         if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(raw[at]), pa.array(target[at])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(raw[at]), pa.array(own[0][at]), pa.array(own[1][at])], schema=schema)
     return run
 
 
@@ -116,13 +137,20 @@ def scores(data, off, table) -> np.ndarray:
     return out
 
 
-def _score(model):
-    schema = pa.schema([("id", pa.int64()), ("score", pa.float64())])
+def judged(data, off, model) -> np.ndarray:
+    """The score of each text: the smaller of the quality ratio and the clean
+    ratio, if there is one, moved by the distance of the cuts."""
+    quality, clean, move = model
+    score = scores(data, off, quality)
+    return score if clean is None else np.minimum(score, scores(data, off, clean) + move)
+
+
+def _score(tables):
+    schema = pa.schema([("id", pa.int64()), ("quality", pa.float64()), ("clean", pa.float64())])
 
     def run(batches):
-        table = model.value
         for rows, data, off in chunks(batches):
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(scores(data, off, table))], schema=schema)
+            yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(scores(data, off, t)) for t in tables.value)], schema=schema)
     return run
 
 
@@ -142,25 +170,37 @@ def threshold(score: np.ndarray, good: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-    """(table, threshold): the log ratio of every bucket and the cut."""
+    """(model, threshold): the log ratios of every bucket, with the distance
+    of their cuts, and the cut of the score."""
     sc = docs.sparkSession.sparkContext
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    ids, good, held = labelled(labels)
-    counts = texts.mapInArrow(_count(sc.broadcast((ids, good, held))), "bucket int, raw long, target long")
-    counts = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    known = sample(labels)
+    ids, held = known["id"], known["held"]
+    counts = texts.mapInArrow(_count(sc.broadcast((ids, (known["good"] & ~held, known["toxic"] & ~held)))), "bucket int, raw long, target long, toxic long")
+    counts = counts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("raw", "target", "toxic"))).toArrow()
+    raw, target, toxic = (np.zeros(BUCKETS, np.int64) for _ in range(3))
     at = counts.column("bucket").to_numpy()
-    raw[at], target[at] = counts.column("raw").to_numpy(), counts.column("target").to_numpy()
-    table = ratio_table(raw, target)
+    for c, to in (("raw", raw), ("target", target), ("toxic", toxic)):
+        to[at] = counts.column(c).to_numpy()
+    quality = ratio_table(raw, target)
     if not target.any():
-        return table, float("-inf")
-    held_ids = docs.sparkSession.createDataFrame(pa.table({"id": ids[held], "good": good[held]})) if held.any() else None
-    if held_ids is None:
-        return table, NO_CALIBRATION
-    some = texts.join(F.broadcast(held_ids.select("id")), "id").mapInArrow(_score(sc.broadcast(table)), "id long, score double").toPandas()
+        return (quality, None, 0.0), float("-inf")
+    if not held.any():
+        return (quality, None, 0.0), NO_CALIBRATION
+    clean = quality - ratio_table(raw, toxic)
+    held_ids = docs.sparkSession.createDataFrame(pa.table({"id": ids[held]}))
+    some = texts.join(F.broadcast(held_ids), "id").mapInArrow(_score(sc.broadcast((quality, clean))), "id long, quality double, clean double").toPandas()
     p = _lookup(ids, some.id.to_numpy())
-    o = np.lexsort((some.score.to_numpy(), some.id.to_numpy()))
-    return table, threshold(some.score.to_numpy()[o], good[p][o])
+
+    def cut(score: str, against: str) -> float:
+        use = (known["good"] | known[against])[p]
+        own, at = some[score].to_numpy()[use], p[use]
+        o = np.lexsort((own, ids[at]))
+        return threshold(own[o], known["good"][at][o])
+    least = cut("quality", "bad")
+    if not toxic.any() or not known["toxic"][p].any() or not known["good"][p].any():
+        return (quality, None, 0.0), least
+    return (quality, clean, least - cut("clean", "toxic")), least
 
 
 COLUMNS = (("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"), ("n_repeat_words", "long"),
@@ -201,32 +241,31 @@ def _judge(model, cut: float):
     schema = pa.schema([("id", pa.int64()), *((c, _ARROW[t]) for c, t in COLUMNS)])
 
     def run(batches):
-        table = model.value
         for rows, data, off in chunks(batches):
             w = tokenise(data, off)
             base = base_counts(w)
             failed = (base[0] < MIN_WORDS) | (100 * base[4] > MAX_REPEAT * base[0])
-            score = scores(data, off, table)
+            score = judged(data, off, model.value)
             yield pa.RecordBatch.from_arrays([rows.column(0), *map(pa.array, base), pa.array(failed), pa.array(score), pa.array(~failed & (score >= cut))], schema=schema)
     return run
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and COLUMNS for every row."""
-    table, cut = fit(docs, labels, id_col, text_col)
+    model, cut = fit(docs, labels, id_col, text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    out = texts.mapInArrow(_judge(docs.sparkSession.sparkContext.broadcast(table), cut), ", ".join(["id long", *(f"{c} {t}" for c, t in COLUMNS)]))
+    out = texts.mapInArrow(_judge(docs.sparkSession.sparkContext.broadcast(model), cut), ", ".join(["id long", *(f"{c} {t}" for c, t in COLUMNS)]))
     return out.withColumnRenamed("id", "doc_id")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents (all columns) that are kept."""
-    table, cut = fit(docs, labels, id_col, text_col)
-    model = docs.sparkSession.sparkContext.broadcast(table)
+    model, cut = fit(docs, labels, id_col, text_col)
+    model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for rows, data, off in chunks(batches, text_col):
             base = base_counts(tokenise(data, off))
             failed = (base[0] < MIN_WORDS) | (100 * base[4] > MAX_REPEAT * base[0])
-            yield rows.filter(pa.array(~failed & (scores(data, off, model.value) >= cut)))
+            yield rows.filter(pa.array(~failed & (judged(data, off, model.value) >= cut)))
     return docs.mapInArrow(run, docs.schema)

@@ -134,6 +134,16 @@ def test_substrings_edges(spark, edge_docs):
     assert substring_dedup.digests(empty).collect() == suffix_dedup.digests(empty).collect() == []
 
 
+def test_substrings_of_hashed_docs(spark):
+    """A hash in the caller's own plan is no sign of repeated ids."""
+    from pyspark.sql import functions as F
+    passage = " ".join(f"shared{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, f"own{i} {passage} end{i}") for i in range(6)], "doc_id long, text string")
+    for df in (docs, docs.withColumn("salt", F.xxhash64("doc_id")), docs.filter(F.xxhash64("text") != 7)):
+        got = {r.doc_id: r.text.split() for r in substring_dedup.remove_repeats(df).collect()}
+        assert got == {0: f"own0 {passage} end0".split(), **{i: [f"own{i}", f"end{i}"] for i in range(1, 6)}}
+
+
 def test_decontaminate_edges(spark, edge_docs):
     items = spark.createDataFrame([(1, " ".join(f"shared{i}" for i in range(10, 25)), "z"), (None, "solo", "z"), (2, None, "z"), (3, "", "z"), (1, "two three", "z")],
                                   "item_id long, text string, n_words string")

@@ -56,11 +56,12 @@ class Spec:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(dk, tie, text): the documents under their routing key."""
+    """(dk, tie, text): the documents under their routing key; the tie's
+    metadata say whether ids repeat (see ``has_ties``)."""
     ids = docs.select(F.col(id_col).alias("i"))
     unique = ids.groupBy("i").count().filter("count > 1").limit(1).count() == 0
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("dk"),
-                       (F.lit(0).cast("long") if unique else F.xxhash64(text_col)).alias("tie"),
+                       (F.lit(0).cast("long") if unique else F.xxhash64(text_col)).alias("tie", metadata={"ties": not unique}),
                        F.col(text_col).alias("text"))
 
 
@@ -205,7 +206,7 @@ def structs(rows: pa.RecordBatch, column: str) -> tuple[np.ndarray, dict[str, np
 
 def has_ties(docs: DataFrame) -> bool:
     """Whether ``keyed`` found repeated ids (the tie is then no literal)."""
-    return "xxhash64" in docs._jdf.queryExecution().optimizedPlan().toString()
+    return docs.schema["tie"].metadata["ties"]
 
 
 PIECES = "route long, dk long, tie long, start long, copies long, sym binary"

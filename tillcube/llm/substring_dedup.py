@@ -139,8 +139,9 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id"
         return [rows.column(rows.schema.get_field_index("dk")), rows.column(rows.schema.get_field_index("tie")), pa.array(out, pa.string()), pa.array(lost[w.off[1:]] - lost[w.off[:-1]])]
 
     done = marked.mapInArrow(per_chunk(clean, schema), "dk long, tie long, cleaned string, left long")
-    keys = keyed(docs, id_col, text_col).columns[:2]
-    unique = not has_ties(keyed(docs, id_col, text_col))
+    own = keyed(docs, id_col, text_col)
+    keys = own.columns[:2]
+    unique = not has_ties(own)
     k = [F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), F.lit(0).cast("long") if unique else F.xxhash64(text_col)]
     row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *[x.alias(n) for x, n in zip(k, keys)])
     joined = row.join(done, keys, "left").filter("left IS NULL OR left > 0")

@@ -183,6 +183,23 @@ def test_warc(spark):
     assert warc.read_archives(*warc.write_archives(df.limit(0))).collect() == []
 
 
+def test_warc_with_a_dictionary(spark):
+    """Over 256 kB of page text, so the leading frame holds a dictionary."""
+    import random
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(3000)]
+    rows = [(i, f"http://a/{i}", "<p>" + " ".join(rng.choices(words, k=900)) + "</p>") for i in range(80)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert len(warc.dictionary(df)) > 1000
+    folder, files = warc.write_archives(df)
+    got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.read_archives(folder, files).collect()}
+    assert got == {i: (len(t), warc.digest(t.encode())) for i, _, t in rows}
+    store, base = open_folder(folder)
+    from pyarrow import fs
+    heads = [store.open_input_file(f.path).read(8) for f in store.get_file_info(fs.FileSelector(base, recursive=True)) if f.path.endswith(".warc.zst")]
+    assert heads and all(int.from_bytes(h[:4], "little") == warc.SKIPPABLE and int.from_bytes(h[4:], "little") > 1000 for h in heads)
+
+
 def test_url_rules_and_accuracy(spark):
     got = {r.url: (r.host, r.path, r.rule, r.verdict) for u in ["x"] for r in url_filter.judge(spark.createDataFrame(
         [(i, u) for i, u in enumerate(urls)], "page_id long, url string")).join(spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string"), "page_id").collect()}

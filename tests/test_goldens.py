@@ -4,12 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SMALL
-
 
 @pytest.fixture(scope="module")
-def q(spark):
-    return lambda name: E.queries()[name](spark, SMALL).collect()
+def q(spark, sf_dir):
+    return lambda name: E.queries()[name](spark, sf_dir).collect()
 
 
 def test_totals(q):

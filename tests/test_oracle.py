@@ -5,7 +5,6 @@ import pytest
 import __spark_entry__ as E
 from oracle_check import compare, duck
 
-from conftest import SMALL
 from tillcube import registry
 
 # The forest-backed queries are checked in test_ml.py (rows-only there too).
@@ -15,13 +14,13 @@ NAMES = [n for n in registry.QUERIES if n not in HEAVY]
 
 
 @pytest.fixture(scope="module")
-def con():
-    return duck(SMALL)
+def con(sf_dir):
+    return duck(sf_dir)
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, name, E.queries()[name], E.oracle_sql().get(name), SMALL, con)
+def test_query_matches_oracle(spark, sf_dir, con, name):
+    r = compare(spark, name, E.queries()[name], E.oracle_sql().get(name), sf_dir, con)
     assert r["status"] in ("ok", "rows-only"), r
     if name not in E.oracle_sql():
         assert r["rows"] > 0

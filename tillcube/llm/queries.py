@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, license_scan, near_dedup, quality, sentencepiece_fst, substring_dedup, suffix_dedup, token_files, url_filter, warc
+from . import decontaminate, license_scan, manifest, near_dedup, quality, sentencepiece_fst, spelling, substring_dedup, suffix_dedup, token_counts, token_files, url_filter, warc
+from .files import new_folder
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -65,8 +66,59 @@ def op10_quality(spark, sf_dir):
     return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
 
 
+def op11_token_counts(spark, sf_dir):
+    """Tokens of every document, each distinct text encoded once, by a cache of digests."""
+    cache = token_counts.CountCache(spark, new_folder(spark, "token-cache"))
+    got = token_counts.count_tokens(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", cache)
+    return got.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"))
+
+
+def op12_spelling(spark, sf_dir):
+    """Near words and canonical forms of the vocabulary of all documents."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    """Merkle proofs of all documents, a third of them altered, and their verification."""
+    return manifest.digests(_table(spark, sf_dir, "documents"), manifest.tampered_claim())
+
+
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_substring_dedup, op4_suffix_dedup, op5_sentencepiece,
-                                   op6_warc, op7_url_filter, op8_token_files, op9_license_scan, op10_quality)}
+                                   op6_warc, op7_url_filter, op8_token_files, op9_license_scan, op10_quality, op11_token_counts, op12_spelling, op13_merkle_manifest)}
+
+def _crc32(text: str) -> str:
+    """DuckDB's unsigned crc32 of a text's UTF-8 bytes, bit by bit."""
+    bits = f"flatten([[CAST('0x' || substr(hex(encode({text})), 2 * k + 1, 2) AS BIGINT), 0, 0, 0, 0, 0, 0, 0] FOR k IN range(octet_length(encode({text})))])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"
+
+
+def _merkle_sql(levels: int = 7, top: int = 3) -> str:
+    """Groups of up to 8^levels rows, up to 8^top groups; ``c``: nodes of the level."""
+    leaf = " || ".join(f"coalesce(octet_length(encode(CAST({{{c}}} AS VARCHAR))) || ':' || {{{c}}}, '-')" for c in manifest.FIELDS)
+    plain = leaf.format(**{c: c for c in manifest.FIELDS})
+    low = leaf.format(**{c: c for c in manifest.FIELDS} | {"text": "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"})
+    out = [f"""d AS (SELECT doc_id, coalesce(1 || lang, '0') AS g, sha256({plain}) AS leaf, CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN sha256({low}) ELSE sha256({plain}) END AS claim FROM documents)""",
+           "a0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS c, leaf AS h FROM d)"]
+
+    def climb(name, count):
+        for k in range(count):
+            out.append(f"""{name}{k + 1} AS (SELECT g, p, h, count(*) OVER (PARTITION BY g) AS c FROM
+  (SELECT g, p // 8 AS p, CASE WHEN any_value(c) > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE any_value(h) END AS h FROM {name}{k} GROUP BY g, p // 8))""")
+            out.append(f"""{name}s{k} AS (SELECT x.g, x.p, any_value(x.c) > 1 AS up, coalesce(string_agg(y.h, '' ORDER BY y.p) FILTER (y.p < x.p), '') AS l, coalesce(string_agg(y.h, '' ORDER BY y.p) FILTER (y.p > x.p), '') AS r
+  FROM {name}{k} x JOIN {name}{k} y ON x.g = y.g AND x.p // 8 = y.p // 8 GROUP BY x.g, x.p)""")
+    climb("a", levels)
+    out.append(f"b0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY g) - 1 AS p, h, count(*) OVER () AS c, g AS of FROM a{levels})")
+    climb("b", top)
+    joins = " ".join([f"JOIN as{k} ON as{k}.g = a.g AND as{k}.p = a.p // {8 ** k}" for k in range(levels)] + ["JOIN b0 b ON b.of = a.g"]
+                     + [f"JOIN bs{k} ON bs{k}.p = b.p // {8 ** k}" for k in range(top)])
+    steps = [f"as{k}" for k in range(levels)] + [f"bs{k}" for k in range(top)]
+    fold = "a.claim"
+    out.append(f"f0 AS (SELECT a.doc_id, a.leaf, a.claim AS h, b.h AS subroot, {', '.join(f'{s}.up AS u{i}, {s}.l AS l{i}, {s}.r AS r{i}' for i, s in enumerate(steps))} FROM a0 a {joins})")
+    for i in range(len(steps)):
+        out.append(f"f{i + 1} AS (SELECT * REPLACE (CASE WHEN u{i} THEN sha256(l{i} || h || r{i}) ELSE h END AS h) FROM f{i})")
+    proof = " || ".join(f"l{i} || r{i}" for i in range(len(steps)))
+    return f"WITH {', '.join(out)} SELECT doc_id, leaf, subroot, t.root, sha256({proof}) AS proof_sha256, h AS folded_root, h = t.root AS verified FROM f{len(steps)} CROSS JOIN (SELECT h AS root FROM b{top}) t"
+
 
 ORACLE = {
     "op1_near_dedup": """
@@ -125,4 +177,19 @@ q AS (SELECT f.*, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST
       FROM f, unnest(range(32)) AS t(k) GROUP BY ALL)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to FROM q""",
+    "op12_spelling": f"""
+WITH RECURSIVE r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents),
+o AS (SELECT d, w, count(*) AS n FROM r WHERE length(w) >= 6 GROUP BY d, w),
+h AS (SELECT w, n, {_crc32("d || ':' || w")} AS h FROM o),
+c AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM c WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+e AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM v, unnest(range(1, length(word) + 1)) AS t(i)),
+p AS (SELECT a.word AS a, b.word AS b FROM e a JOIN e b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+      UNION SELECT a.word, b.word FROM e a JOIN v b ON a.cut = b.word UNION SELECT b.word, a.word FROM e a JOIN v b ON a.cut = b.word),
+s AS (SELECT a, count(*) AS n_near, min((-v.n, b)) AS best FROM p JOIN v ON v.word = b GROUP BY a),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 5 * n THEN best[2] END AS form, CASE WHEN -best[1] >= 5 * n THEN -best[1] END AS form_n FROM v LEFT JOIN s ON a = word),
+g AS (SELECT word, word AS root FROM f UNION ALL SELECT g.word, f.form FROM g JOIN f ON f.word = g.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, g.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN g ON g.word = f.word JOIN f z ON z.word = g.root AND z.form IS NULL""",
+    "op13_merkle_manifest": _merkle_sql(),
 }

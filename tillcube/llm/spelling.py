@@ -17,9 +17,11 @@ point inserted, deleted or replaced makes one the other.
    (affected + 1) least frequent grams of both.
 4. List merging: left of the edit everything is equal, and right of it too.  So
    a gram is listed under (start, the word up to its end) and under (length,
-   the word from its start); only lists of the least frequent grams are
-   joined, each pair once, and a pair that shares fewer listed grams than the
-   greater bound goes.
+   the word from its start).  Only lists of the least frequent grams are
+   joined, and those of less than ``STRONG`` code points are split before: by
+   the edit's place, the word goes on alike for two code points, or all but
+   two of its other end are alike.  Each pair is met once, and one that shares
+   fewer listed grams than the greater bound goes.
 5. Pairs left are verified by edit distance.
 
 Every word of six code points or more keeps a gram at any edit, so no pair is
@@ -42,6 +44,7 @@ RATIO = 5               # a form's occurrences, in those of the word
 SHORTEST, LONGEST = 2, 4
 FREQUENT = 50           # least T
 DICTIONARY = 20_000     # frequent grams of a length at most
+STRONG = 6              # code points of a list that need no split
 RUN = f"[a-zÀ-ÿ]{{{LETTERS},}}"
 
 
@@ -88,6 +91,18 @@ def decompose(word: str, frequent: dict[str, int]) -> tuple[list[int], int]:
     return ends, worst
 
 
+def split_list(side: str, word: str, end: int) -> list[str]:
+    """Lists of the words that begin like this one up to ``end``, by the edit's
+    place behind it: beyond two more code points, which are alike then, or
+    before, and what follows is alike (one code point less of it, if the other
+    word is the shorter one)."""
+    n, m = len(word), end + 2
+    if end >= STRONG:
+        return [f"{side}<{word[:end]}"]
+    tails = {max(0, n - m), max(0, n - m - 1)} if n > LETTERS else {max(0, n - m)}
+    return [f"{side}<{word[:end]}|{word[n - x:]}" for x in tails] + ([f"{side}={word[:m]}"] if n >= m else [])
+
+
 _ENTRIES = pa.schema([("word", pa.string()), ("n", pa.int64()), ("size", pa.int32()), ("bound", pa.int32()), ("short", pa.list_(pa.string())), ("listed", pa.list_(pa.string()))])
 
 
@@ -101,8 +116,10 @@ def _index(frequent):
             for word, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
                 ends, worst = decompose(word, common)
                 order = sorted(range(len(ends)), key=lambda i: (common.get(word[i:ends[i]], 0), word[i:ends[i]], i))
-                lists = [(f"{i}<{word[:j]}", f"{j - i}>{word[i:]}") for i, j in enumerate(ends)]
-                out.append((word, n, len(word), len(ends) - worst, [k for i in order[:worst + 1] for k in lists[i]], [k for pair in lists for k in pair]))
+                back = word[::-1]
+                short = {k for i in order[:worst + 1] for k in (*split_list(f"L{i}", word, ends[i]), *split_list(f"R{ends[i] - i}", back, len(word) - i))}
+                listed = [k for i, j in enumerate(ends) for k in (f"{i}<{word[:j]}", f"{j - i}>{word[i:]}")]
+                out.append((word, n, len(word), len(ends) - worst, list(short), listed))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, _ENTRIES.types)], schema=_ENTRIES)
     return run
 

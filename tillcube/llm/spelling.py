@@ -11,18 +11,17 @@ point inserted, deleted or replaced makes one the other.
 2. Decomposition: at every start a word has the dictionary's longest gram
    there.  A gram depends on its own characters alone (and on the word's end),
    so an edit affects only the grams over its place.
-3. Bounds: a word's most affected grams by one edit, over all places, give the
-   number of grams it must share with any near word (its bound), and by how
-   many of its grams a merge can start: a near word shares one of the
-   (affected + 1) least frequent grams of both.
+3. Bounds: a word's most affected grams by one edit, over all places, bound
+   what it shares with a near word: all but that many of its grams.  So a merge
+   may skip its (grams - affected - 1) most frequent lists: a near word is met
+   in one of the (affected + 1) least frequent ones of both.
 4. List merging: left of the edit everything is equal, and right of it too.  So
    a gram is listed under (start, the word up to its end) and under (length,
-   the word from its start).  Only lists of the least frequent grams are
-   joined, and those of less than ``STRONG`` code points are split before: by
-   the edit's place, the word goes on alike for two code points, or all but
-   two of its other end are alike.  Each pair is met once, and one that shares
-   fewer listed grams than the greater bound goes.
-5. Pairs left are verified by edit distance.
+   the word from its start).  Only the lists that the bounds leave are joined,
+   and those of less than ``STRONG`` code points are split before: by the
+   edit's place, the word goes on alike for two code points, or all but two of
+   its other end are alike.
+5. Pairs that meet are verified by edit distance, in the join itself.
 
 Every word of six code points or more keeps a gram at any edit, so no pair is
 lost.  A null text has no words; a null id counts as an empty one where ids
@@ -32,7 +31,6 @@ Columns that are not named are ignored.
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -103,46 +101,33 @@ def split_list(side: str, word: str, end: int) -> list[str]:
     return [f"{side}<{word[:end]}|{word[n - x:]}" for x in tails] + ([f"{side}={word[:m]}"] if n >= m else [])
 
 
-_ENTRIES = pa.schema([("word", pa.string()), ("n", pa.int64()), ("size", pa.int32()), ("bound", pa.int32()), ("short", pa.list_(pa.string())), ("listed", pa.list_(pa.string()))])
+_LISTS = pa.schema([("word", pa.string()), ("n", pa.int64()), ("lists", pa.list_(pa.string()))])
 
 
 def _index(frequent):
-    """The words with their bound and the lists they are in: of the least
-    frequent grams (short) and of all (listed)."""
+    """The words with the lists that their bound leaves."""
     def run(batches):
         common = frequent.value
         for rows in batches:
-            out = []
-            for word, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            found = []
+            for word in rows.column(0).to_pylist():
                 ends, worst = decompose(word, common)
                 order = sorted(range(len(ends)), key=lambda i: (common.get(word[i:ends[i]], 0), word[i:ends[i]], i))
                 back = word[::-1]
-                short = {k for i in order[:worst + 1] for k in (*split_list(f"L{i}", word, ends[i]), *split_list(f"R{ends[i] - i}", back, len(word) - i))}
-                listed = [k for i, j in enumerate(ends) for k in (f"{i}<{word[:j]}", f"{j - i}>{word[i:]}")]
-                out.append((word, n, len(word), len(ends) - worst, list(short), listed))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, _ENTRIES.types)], schema=_ENTRIES)
+                found.append(list({k for i in order[:worst + 1] for k in (*split_list(f"L{i}", word, ends[i]), *split_list(f"R{ends[i] - i}", back, len(word) - i))}))
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(found, pa.list_(pa.string()))], schema=_LISTS)
     return run
 
 
-def _hashed(c: str) -> Column:
-    return F.transform(c, lambda k: F.xxhash64(k)).alias(c)
-
-
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """(a, na, b, nb): every two near words once."""
-    spark = vocabulary.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_grams(vocabulary))
-    index = vocabulary.select("word", "n").mapInArrow(_index(frequent), "word string, n long, size int, bound int, short array<string>, listed array<string>")
-    index = store(index.select("word", "n", "size", "bound", _hashed("short"), _hashed("listed")), "gram-index")
-    lists = index.select(F.explode("short").alias("list"), "*")
-    shared = lists.groupBy("list").count().filter("count > 1").select("list")
-    lists = lists.join(shared, "list").select("list", *[F.col(c).alias(f"{c}_a") for c in index.columns])
-    other = lists.select("list", *[F.col(f"{c}_a").alias(f"{c}_b") for c in index.columns])
-    pairs = lists.join(other, "list").filter("word_a < word_b AND abs(size_a - size_b) <= 1")
-    pairs = pairs.filter("array_min(array_intersect(short_a, short_b)) = list")                         # each pair once
-    pairs = pairs.filter("size(array_intersect(listed_a, listed_b)) >= greatest(bound_a, bound_b)")     # merged lists
-    pairs = pairs.filter("levenshtein(word_a, word_b, 1) = 1")
-    return store(pairs.selectExpr("word_a AS a", "n_a AS na", "word_b AS b", "n_b AS nb"), "near-words")
+    frequent = vocabulary.sparkSession.sparkContext.broadcast(frequent_grams(vocabulary))
+    index = vocabulary.select("word", "n").mapInArrow(_index(frequent), "word string, n long, lists array<string>")
+    lists = index.select("word", "n", F.explode("lists").alias("list")).select(F.xxhash64("list").alias("list"), F.col("word").alias("a"), F.col("n").alias("na"))
+    other = lists.select("list", F.col("a").alias("b"), F.col("na").alias("nb"))
+    near = F.expr("a < b AND abs(char_length(a) - char_length(b)) <= 1 AND levenshtein(a, b, 1) = 1")
+    pairs = lists.join(other, "list").filter(near).drop("list").distinct()
+    return store(pairs, "near-words")
 
 
 def roots(forms: DataFrame) -> DataFrame:

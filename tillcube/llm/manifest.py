@@ -32,7 +32,7 @@ from ..operators.keys import sequential_key
 from .files import drop_tables, store
 
 FAN = 8
-BLOCK = FAN ** 4
+BLOCK = FAN ** 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 HEX = 64                # characters of a digest
 
@@ -53,8 +53,8 @@ class Manifest:
     roots: list[DataFrame]
 
     def root(self) -> DataFrame:
-        """The dataset's root, one row (none for an empty table)."""
-        return self.roots[-1].filter("n = 1").selectExpr("hash AS root")
+        """The dataset's root, one row (none for an empty table), and its tree (0)."""
+        return self.roots[-1].filter("n = 1").selectExpr("hash AS root", "tree")
 
     def drop(self) -> None:
         """Delete the node tables (once what was read from them is written)."""
@@ -135,7 +135,7 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_
 def proofs(manifest: Manifest) -> DataFrame:
     """id, grp, leaf, claim, subroot, root and path of every row: its siblings
     level by level up to the root, as (slot, sibs) with sibs left to right."""
-    root = manifest.root().select(F.lit(0).cast("long").alias("top"), F.expr("CAST(array() AS array<struct<slot: int, sibs: string>>)").alias("path"), "root")
+    root = manifest.root().select(F.col("tree").alias("top"), F.expr("CAST(array() AS array<struct<slot: int, sibs: string>>)").alias("path"), "root")
     subroots = _descend(manifest.roots, root, ["hash"]).select(F.col("pos").alias("top"), "path", F.col("hash").alias("subroot"), "root")
     return _descend(manifest.groups, subroots, ["id", "grp", "hash", "claim"]).select("id", "grp", F.col("hash").alias("leaf"), "claim", "subroot", "root", "path")
 

@@ -2,27 +2,31 @@
 
 The reference trains on one pandas frame and scores one HTTP request at a
 time.  Here the training set is a Spark join, the lookups (category and
-month averages) are small aggregates written once as artifacts and
-broadcast behind a row check, models are Spark ML pipelines saved to the
-shared folder, and scoring is a batch ``transform`` over a DataFrame of
-requests.  The split is a hash of the sale's lineage keys, so it does not
+month averages) are small aggregates written once as artifacts, the linear
+models come from one aggregate of sufficient statistics, the forests are
+Spark ML pipelines saved to the shared folder, and scoring is a batch
+``transform`` over a DataFrame of requests (``forest.py`` scores with the
+exported trees instead).  Rows with a NULL feature are rejected with a reason
+before they reach a model.  The split is a hash of the sale's lineage keys, so it does not
 depend on partitioning (``randomSplit`` would).
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import functools
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import guarded_percent
 from ..session import new_table_path
+from ..sources.batches import BatchTable
 from .kpi import category_avg_price, historical_averages
 
 # Fixed values (the reference's feature order and model settings).
@@ -44,14 +48,18 @@ _SPLIT_MUL_ORDER = 2_654_435_761
 _SPLIT_MUL_LINE = 40_503
 
 
+TRAINING_COLUMNS = ["order_key", "line_number", "product_id", "product_name", "category_name", "quantity", "discount_percent",
+                    "sale_amount", "profit", "month", "year", "is_festival_month", "cost_price", "selling_price"]
 
-def training_set(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """M1: the 12 training columns: sales joined to products for their prices."""
-    p = products.select("product_id", F.col("product_name").alias("p_name"), "cost_price", "selling_price")
-    s = sales.join(p, "product_id")
-    return s.select("order_key", "line_number", "product_id", F.col("p_name").alias("product_name"),
-                    "category_name", "quantity", "discount_percent", "sale_amount", "profit",
-                    "month", "year", "is_festival_month", "cost_price", "selling_price")
+
+def training_set(sales: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """M1: the 12 training columns and the lineage keys.  Sales that carry
+    their product's prices (as the load writes them) need no join; others are
+    joined to ``products`` (J2)."""
+    if products is not None:
+        p = products.select("product_id", F.col("product_name").alias("p_name"), "cost_price", "selling_price")
+        sales = sales.drop("product_name", "cost_price", "selling_price").join(p, "product_id").withColumnRenamed("p_name", "product_name")
+    return sales.select(*TRAINING_COLUMNS)
 
 
 def is_test_row(order_key="order_key", line_number="line_number") -> F.Column:
@@ -146,93 +154,159 @@ def features(train: DataFrame, lookups: Lookups, encoder: StringIndexerModel) ->
                      F.col("profit").cast("double").alias("profit"))
 
 
+def missing_reason(columns: list[str]) -> F.Column:
+    """Names of the NULL columns of a row, as text; NULL if there is none."""
+    named = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]), lambda c: c.isNotNull())
+    return F.when(F.size(named) > 0, F.concat(F.lit("no value for "), F.array_join(named, ", ")))
+
+
+def usable(feats: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows a model can use, rejects with ``reject_reason``): a NULL in one of
+    ``columns`` (a margin of price 0, for example) rejects a row."""
+    reason = missing_reason(columns or [*FEATURE_COLUMNS, *[t for t in TARGETS if t in feats.columns]])
+    marked = feats.withColumn("reject_reason", reason)
+    return marked.filter(F.col("reject_reason").isNull()).drop("reject_reason"), marked.filter(F.col("reject_reason").isNotNull())
+
+
 def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features")
 
 
-def _memory_mb(value: str) -> int:
-    """A Spark memory setting in MiB (a bare number means MiB, as in Spark)."""
-    v = value.strip().lower()
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    if v[-1:] == "b":
-        v = v[:-1]
-    if v[-1:] in units:
-        return int(float(v[:-1]) * units[v[-1]])
-    return int(v)
+# Memory (MB) that a forest level's split statistics may take in a task.  More
+# nodes are split at once with more; a 1 GB heap of eight tasks holds this.
+TREE_MEMORY_MB = 64
 
 
-def _heap_and_cores(spark: SparkSession) -> tuple[int, int]:
-    """Configured heap (MB) and cores of the JVM that runs the tasks."""
-    conf = spark.sparkContext.getConf()
-    local = spark.sparkContext.master.startswith("local")
-    heap = _memory_mb(conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g"))
-    cores = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
-    return heap, max(1, cores)
+def forest_regressor(target: str, trees: int = RF_TREES, depth: int = RF_DEPTH, memory_mb: int = TREE_MEMORY_MB) -> RandomForestRegressor:
+    """M6: the estimator for one target, reading the assembled ``features``."""
+    # Node ids are cached (faster than re-walking 100 trees per level, by
+    # ~30% measured at sf0.01) and checkpointed to the shared checkpoint dir
+    # every 10 iterations, so the node-id lineage stays short and a lost
+    # executor costs at most 10 levels of recomputation.
+    return RandomForestRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
+                                 numTrees=trees, maxDepth=depth, seed=RF_SEED, featureSubsetStrategy="all",
+                                 maxMemoryInMB=memory_mb, cacheNodeIds=True, checkpointInterval=10)
 
 
-def tree_aggregate_mb(spark: SparkSession) -> int:
-    """Per-task memory for a tree level's split statistics.
+# ------------------------------------------------------------ least squares
+@dataclass
+class LinearModel:
+    """M5: intercept and one coefficient a feature."""
 
-    Spark's default (256 MB per task) overflows a small heap when every core
-    trains at once; size it from the configured task memory instead:
-    a quarter of the heap share of one core, between 16 and 256 MB.
-    """
-    heap, cores = _heap_and_cores(spark)
-    return max(16, min(256, heap // (4 * cores)))
+    target: str
+    intercept: float
+    coefficients: dict[str, float]
 
+    def prediction(self) -> F.Column:
+        """The prediction as an expression over the features."""
+        out = F.lit(self.intercept)
+        for c, b in self.coefficients.items():
+            out = out + F.col(c) * F.lit(b)
+        return out
 
-# Below this heap (MB) per task JVM the targets are fitted one after the other.
-CONCURRENT_FIT_HEAP_MB = 4096
 
+def moments(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Sufficient statistics of the columns in one aggregate (one row): the
+    number of rows, the means and all centred second moments.  Spark merges
+    them in centred form, so large means cost no digits."""
+    c = [F.col(x).cast("double") for x in columns]
+    return rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(x).alias(f"mean_{i}") for i, x in enumerate(c)],
+                    *[F.covar_pop(c[i], c[j]).alias(f"cov_{i}_{j}") for i in range(len(c)) for j in range(i, len(c))])
 
-def concurrent_fits(spark: SparkSession) -> int:
-    """How many targets may train at once: all of them with a large heap,
-    one at a time otherwise (two forests' caches and statistics at once
-    overflow a 1 GB heap)."""
-    heap, _ = _heap_and_cores(spark)
-    return len(TARGETS) if heap >= CONCURRENT_FIT_HEAP_MB else 1
 
+def fit_linear(rows: DataFrame, targets: list[str] = TARGETS, feature_columns: list[str] = FEATURE_COLUMNS) -> list[LinearModel]:
+    """M5: least squares of every target from one pass over the rows; the
+    driver solves a system of as many equations as features.
+
+    Of features that depend on each other linearly (a constant one, too) the
+    solution of smallest norm in standard units is taken.  Rows must have no NULL; no rows
+    give no models.
+    """
+    columns = [*feature_columns, *targets]
+    row = moments(rows, columns).head()
+    if not row.n:
+        return []
+    k = len(feature_columns)
+    mean = np.array([row[f"mean_{i}"] for i in range(len(columns))])
+    cov = np.array([[row[f"cov_{min(i, j)}_{max(i, j)}"] for j in range(len(columns))] for i in range(len(columns))])
+    unit = np.sqrt(np.diag(cov)[:k])
+    unit[unit == 0] = 1.0
+    solved = np.linalg.pinv(cov[:k, :k] / np.outer(unit, unit), rcond=1e-12, hermitian=True) @ (cov[:k, k:] / unit[:, None])
+    out = []
+    for t, target in enumerate(targets):
+        b = solved[:, t] / unit
+        out.append(LinearModel(target, float(mean[k + t] - b @ mean[:k]), dict(zip(feature_columns, map(float, b)))))
+    return out
+
+
+def save_linear(spark: SparkSession, models: list[LinearModel], path: str) -> str:
+    """The models as JSON rows (target, term, value); the intercept's term is NULL."""
+    rows = [(m.target, t, v) for m in models for t, v in [(None, m.intercept), *m.coefficients.items()]]
+    spark.createDataFrame(rows, "target string, term string, value double").coalesce(1).write.json(path)
+    return path
+
+
+def load_linear(spark: SparkSession, path: str) -> list[LinearModel]:
+    rows = spark.read.schema("target string, term string, value double").json(path).collect()      # features x targets
+    targets = list(dict.fromkeys(r.target for r in rows))
+    return [LinearModel(t, next(r.value for r in rows if r.target == t and r.term is None),
+                        {r.term: r.value for r in rows if r.target == t and r.term is not None}) for t in targets]
 
-def regressor(spark: SparkSession, target: str, kind: str, trees: int = RF_TREES, depth: int = RF_DEPTH):
-    """M5/M6: the estimator for one target, reading the assembled ``features``."""
-    if kind == "lr":
-        return LinearRegression(featuresCol="features", labelCol=target, predictionCol="prediction",
-                                regParam=0.0)
-    # Node ids are cached (faster than re-walking 100 trees per level, by
-    # ~30% measured at sf0.01) and checkpointed to the shared checkpoint dir
-    # every 10 iterations, so the node-id lineage stays short and a lost
-    # executor costs at most 10 levels of recomputation.
-    return RandomForestRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
-                                 numTrees=trees, maxDepth=depth, seed=RF_SEED, featureSubsetStrategy="all",
-                                 maxMemoryInMB=tree_aggregate_mb(spark), cacheNodeIds=True,
-                                 checkpointInterval=10)
+
+def residual_correlations(rows: DataFrame, models: list[LinearModel]) -> DataFrame:
+    """target, feature and the correlation of the residuals with the feature:
+    0 (up to rounding) on the rows that the models were fitted to."""
+    pairs = [(m, f) for m in models for f in m.coefficients]
+    one = rows.agg(*[F.corr(F.col(m.target) - m.prediction(), F.col(f).cast("double")).alias(f"r_{i}") for i, (m, f) in enumerate(pairs)])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(m.target).alias("target"), F.lit(f).alias("feature"), F.col(f"r_{i}").alias("correlation"))
+                                         for i, (m, f) in enumerate(pairs)])))
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """M7: MAE, RMSE, R^2 in one aggregation.
 
-    R^2 of a constant label (or one row) is NULL.
-    For a decimal prediction the error sums are exact and only the final
-    combination is in double.
+    The label's variance is summed in centred form, so labels far from 0 lose
+    no digits.  R^2 of a constant label (or one row) is NULL, as are all
+    metrics of no rows.  For a decimal prediction the error sums are exact.
     """
     e = F.col(label) - F.col(prediction)
     n = F.count(F.lit(1)).cast("double")
     s_abs, s_sq = F.sum(F.abs(e)).cast("double"), F.sum(e * e).cast("double")
-    s_y, s_yy = F.sum(F.col(label)).cast("double"), F.sum(F.col(label) * F.col(label)).cast("double")
+    mse = F.try_divide(s_sq, n)
     return pred.agg(
         F.count(F.lit(1)).alias("n"),
         F.try_divide(s_abs, n).alias("mae"),
-        F.sqrt(F.try_divide(s_sq, n)).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(s_sq, s_yy - F.try_divide(s_y * s_y, n))).alias("r2"),
+        F.sqrt(mse).alias("rmse"),
+        (F.lit(1.0) - F.try_divide(mse, F.var_pop(F.col(label).cast("double")))).alias("r2"),
     )
 
 
-def train_and_evaluate(feats: DataFrame, kind: str, trees: int = RF_TREES, depth: int = RF_DEPTH,
-                       model_root: str | None = None) -> tuple[DataFrame, dict[str, str]]:
-    """Fit one model per target on the train side; metrics on the test side.
+def _labelled_metrics(pred: DataFrame, kind: str, target: str, prediction: str = "prediction") -> DataFrame:
+    return regression_metrics(pred, target, prediction).select(F.lit(kind).alias("model"), F.lit(target).alias("target"), "n", "mae", "rmse", "r2")
+
 
-    Models are saved under ``model_root`` (M10/S10); returns the metrics
-    rows and the written paths (one per target, and ``"metrics"``).
+def train_linear(feats: DataFrame, root: str | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """M5: linear models on the train side, their metrics on the test side, and
+    the paths of both.  Rows with a NULL are left out (see ``usable``)."""
+    spark = feats.sparkSession
+    root = root or new_table_path(spark, "models")
+    rows, _ = usable(feats)
+    models = fit_linear(rows.filter(~is_test_row()))
+    paths = {"models": save_linear(spark, models, f"{root}/lr"), "metrics": f"{root}/lr_metrics"}
+    test = rows.filter(is_test_row())
+    parts = [_labelled_metrics(test.withColumn("prediction", m.prediction()), "lr", m.target) for m in models]
+    if not parts:
+        raise ValueError("no row to train on")
+    functools.reduce(DataFrame.unionByName, parts).write.parquet(paths["metrics"])
+    return spark.read.parquet(paths["metrics"]), paths
+
+
+def train_forests(feats: DataFrame, trees: int = RF_TREES, depth: int = RF_DEPTH, root: str | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """M6: one forest a target on the train side; metrics on the test side.
+
+    Models are saved under ``root`` (M10/S10); returns the metrics rows and
+    the written paths (one per target, and ``"metrics"``).  Rows with a NULL
+    are left out (see ``usable``).
     """
     spark = feats.sparkSession
     # Training makes several passes.  The features are a short plan over the
@@ -240,37 +314,22 @@ def train_and_evaluate(feats: DataFrame, kind: str, trees: int = RF_TREES, depth
     # rows) are kept in executor memory, spilling to disk, and a lost
     # executor's share is recomputed deterministically from those tables.
     asm = assembler()
-    assembled = (asm.transform(feats.withColumn("__test", is_test_row()))
+    assembled = (asm.transform(usable(feats)[0].withColumn("__test", is_test_row()))
                  .select("features", "__test", *TARGETS).persist(StorageLevel.MEMORY_AND_DISK))
     train = assembled.filter(~F.col("__test"))
     test = assembled.filter(F.col("__test"))
-    model_root = model_root or new_table_path(spark, "models")
-    paths: dict[str, str] = {}
-
-    def fit_one(target: str) -> DataFrame:
-        reg = regressor(spark, target, kind, trees, depth).fit(train)
-        path = f"{model_root}/{kind}_{target}"
-        PipelineModel(stages=[asm, reg]).write().overwrite().save(path)
-        paths[target] = path
-        return regression_metrics(reg.transform(test), target).select(
-            F.lit(kind).alias("model"), F.lit(target).alias("target"), "n", "mae", "rmse", "r2")
-
+    root = root or new_table_path(spark, "models")
+    paths, parts = {"metrics": f"{root}/rf_metrics"}, []
     try:
-        assembled.count()  # fill the cache once, before the fits share it
-        # With enough memory the two targets train side by side: a tree
-        # level's driver-side split search leaves executors idle, which the
-        # other fit fills.
-        with ThreadPoolExecutor(max_workers=concurrent_fits(spark)) as pool:
-            parts = list(pool.map(fit_one, TARGETS))
-        out = parts[0]
-        for m in parts[1:]:
-            out = out.unionByName(m)
-        metrics_path = new_table_path(spark, f"{kind}_metrics")
-        out.write.parquet(metrics_path)
-        paths["metrics"] = metrics_path
+        for target in TARGETS:
+            model = forest_regressor(target, trees, depth).fit(train)
+            paths[target] = f"{root}/rf_{target}"
+            PipelineModel(stages=[asm, model]).write().overwrite().save(paths[target])
+            parts.append(_labelled_metrics(model.transform(test), "rf", target))
+        functools.reduce(DataFrame.unionByName, parts).write.parquet(paths["metrics"])
     finally:
         assembled.unpersist()
-    return spark.read.parquet(metrics_path), paths
+    return spark.read.parquet(paths["metrics"]), paths
 
 
 # ------------------------------------------------------------------ scoring
@@ -287,9 +346,9 @@ def request_features(requests: DataFrame, categories: DataFrame, products: DataF
                      encoder: StringIndexerModel) -> tuple[DataFrame, DataFrame]:
     """Resolve each request against the small lookup tables.
 
-    Returns (features, rejects).  A request whose category is unknown or
-    whose month has no average goes to ``rejects`` with a reason (the
-    reference answers 404 / fails).  Serving uses category-average prices
+    Returns (features, rejects).  A request whose category is unknown, whose
+    month has no average or that has a NULL feature goes to ``rejects`` with a
+    reason (the reference answers 404 / fails).  Serving uses category-average prices
     (as the reference does), not per-product prices.
     """
     cats = categories.select(F.col("category_name").alias("category"), "category_id")
@@ -304,14 +363,15 @@ def request_features(requests: DataFrame, categories: DataFrame, products: DataF
                .when(F.col("category_avg_sale").isNull(), F.lit("no average for category"))
                .when(F.col("month_avg_sale").isNull(), F.lit("no average for month")))
     r = r.withColumn("reject_reason", reason)
-    rejects = r.filter(F.col("reject_reason").isNotNull()).select(
-        "category", "month", "quantity", "discount_percent", "reject_reason")
-    ok = r.filter(F.col("reject_reason").isNull())
+    shown = ["category", "month", "quantity", "discount_percent", "reject_reason"]
+    rejects = r.filter(F.col("reject_reason").isNotNull()).select(*shown)
+    ok = r.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     ok = (encoder.transform(ok.withColumn("category_name", F.col("category")))
           .withColumn("is_festival_int", F.coalesce(F.col("is_festival_int"), F.lit(0)))
           .withColumn("profit_margin", F.try_divide(F.col("selling_price") - F.col("cost_price"), F.col("selling_price")))
           .withColumn("base_sale_value", F.col("quantity") * F.col("selling_price")))
-    return ok.select("category", "store_in_db", *FEATURE_COLUMNS), rejects
+    whole, without = usable(ok.select("category", "store_in_db", *FEATURE_COLUMNS), FEATURE_COLUMNS)
+    return whole, rejects.unionByName(without.select(*shown))
 
 
 def score(feats: DataFrame, sale_model: PipelineModel, profit_model: PipelineModel) -> DataFrame:
@@ -328,17 +388,23 @@ def score(feats: DataFrame, sale_model: PipelineModel, profit_model: PipelineMod
     )
 
 
-def log_predictions(scored: DataFrame, path: str) -> str:
-    """M9: append the (unrounded) predictions of requests with ``store_in_db``."""
+def log_predictions(scored: DataFrame, path: str, batch_id: str) -> str:
+    """M9: append the (unrounded) predictions of requests with ``store_in_db`` to
+    the log at ``path``, as one batch; a batch that it knows adds nothing."""
     rows = scored.filter(F.col("store_in_db")).select(
         F.col("category").alias("category_name"), "month", "quantity",
         F.col("discount_percent").cast("decimal(5,2)").alias("discount_percent"),
         F.col("pred_sale").cast("decimal(12,2)").alias("predicted_sale"),
         F.col("pred_profit").cast("decimal(12,2)").alias("predicted_profit"),
         F.current_timestamp().alias("created_at"))
-    rows.write.mode("append").parquet(path)
+    BatchTable(scored.sparkSession, path).append(rows, batch_id)
     return path
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """M9: all logged predictions."""
+    return BatchTable(spark, path).read()
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)

@@ -33,7 +33,7 @@ def test_hot_part_key_is_split_by_adaptive_skew_join(spark, wh):
             F.lit(2.0).alias("l_quantity"), F.lit(0.05).alias("l_discount"),
             (F.lit("1995-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.col("id") % 2000))
             .alias("l_shipdate"))
-        sales = retail.sales_from(li, wh.products(), wh.categories(), wh.festival_days())
+        sales = retail.sales_from(li, retail.load_dimension(wh.read(wh.star["dim_product"]), wh.read(wh.star["dim_category"])), wh.festival_days())
         # Downstream of the join the data is redistributed anyway (by month),
         # as in the load, where the join feeds the partitioned write.
         out = sales.groupBy("month").count()

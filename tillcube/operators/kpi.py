@@ -183,3 +183,12 @@ def with_category_names(sales: DataFrame, categories: DataFrame) -> DataFrame:
     """
     cats = categories.select("category_id", "category_name")
     return sales.drop("category_name").join(cats, "category_id")
+
+
+def star_join(sales: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Sales with their product and with the category that the *sale*
+    names (not the product's), as three tables.  The products' own category is
+    left out; both joins are equi joins without a hint."""
+    p = products.select("product_id", "product_name", "cost_price", "selling_price")
+    c = categories.select("category_id", "category_name", "description")
+    return sales.drop("product_name", "category_name", "cost_price", "selling_price", "description").join(p, "product_id").join(c, "category_id")

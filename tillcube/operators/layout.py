@@ -22,15 +22,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, money
-from ..plans.partitioning import partitions_for
 from ..session import new_table_path
 from .keys import sequential_key
 
+# The column groups of the product and fact tables.
 BASIC_COLUMNS = ["product_id", "product_name", "category_id", "stock_quantity", "created_at"]
 PRICING_COLUMNS = ["product_id", "cost_price", "selling_price", "valid_from", "valid_to", "updated_at"]
 MASTER_COLUMNS = ["product_id", "product_name", "category_id", "cost_price", "selling_price", "stock_quantity"]
 FACT_COLUMNS = ["date_key", "product_key", "category_key", "quantity", "discount_percent",
                 "sale_amount", "profit", "cost_amount"]
+# Buckets of the vertical fragments: files of a few hundred MB up to some 10^9 products.
+BUCKETS = 32
+# Access order (H3): bits of a year's days and of the product range that are interleaved.
+DAY_BITS = 9
+PRODUCT_BITS = 2 * DAY_BITS
 # Fixed value: the star schema's category description suffix.
 DIM_CATEGORY_SUFFIX = " products"
 
@@ -56,30 +61,29 @@ def _bucketed_table(df: DataFrame, name: str, key: str, buckets: int) -> str:
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex[:10]}"
     path = new_table_path(spark, name)
-    (df.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet")
+    # one task a bucket, so a bucket is one file and its sort order is known
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet")
        .saveAsTable(table))
     return table
 
 
-def split_products(products: DataFrame, buckets: int | None = None) -> tuple[str, str]:
+def split_products(products: DataFrame, buckets: int = BUCKETS) -> tuple[str, str]:
     """H2: write the identity and the pricing column groups, both keyed by ``product_id``.
 
-    Both are bucketed and sorted by the key into the same number of buckets
-    so that J3 is a shuffle-free merge join.  The bucket count follows the
-    product count (see ``partitions_for``).  Returns the two table names.
+    Both are bucketed and sorted by the key into the same number of buckets,
+    one file each, so that J3 is a merge join without a shuffle.  Returns the
+    two table names.
     """
-    n = buckets or partitions_for(products)
-    basic = _bucketed_table(products.select(*BASIC_COLUMNS), "products_basic", "product_id", n)
-    pricing = _bucketed_table(products.select(*PRICING_COLUMNS), "products_pricing", "product_id", n)
+    basic = _bucketed_table(products.select(*BASIC_COLUMNS), "products_basic", "product_id", buckets)
+    pricing = _bucketed_table(products.select(*PRICING_COLUMNS), "products_pricing", "product_id", buckets)
     return basic, pricing
 
 
 def reconstruct_products(basic: DataFrame, pricing: DataFrame) -> DataFrame:
     """1:1 join on the key; ``created_at`` from the identity side, ``updated_at`` from pricing."""
-    j = basic.alias("pb").join(pricing.alias("pp"), F.col("pb.product_id") == F.col("pp.product_id"))
-    return j.select("pb.product_id", "pb.product_name", "pb.category_id", "pb.stock_quantity",
-                    "pp.cost_price", "pp.selling_price", "pp.valid_from", "pp.valid_to",
-                    "pb.created_at", "pp.updated_at")
+    whole = basic.join(pricing, "product_id")
+    audit = ["created_at", "updated_at"]
+    return whole.select(*[c for c in whole.columns if c not in audit], *audit)
 
 
 # ------------------------------------------------------------ S4 / S5 / S6 / S7
@@ -90,12 +94,15 @@ def append(df: DataFrame, path: str) -> str:
 
 
 def one_per_key(rows: DataFrame, key: str, order_col: str | None, last: bool) -> DataFrame:
-    """One row per key: the last or the first by ``order_col``."""
-    if order_col is None:
-        return rows.dropDuplicates([key])
-    row = F.struct(*[F.col(c) for c in rows.columns])
-    pick = F.max_by(row, order_col) if last else F.min_by(row, order_col)
-    return rows.groupBy(F.col(key).alias("__key")).agg(pick.alias("r")).select("r.*")
+    """One row per key: the last or the first by ``order_col``.
+
+    A NULL order comes before every other one, as in an ascending sort.  Rows
+    of one order are told apart by their values, so the choice does not
+    depend on partitioning.  NULL is a key like any other.
+    """
+    row = F.struct(*([F.col(order_col).isNotNull(), F.col(order_col)] if order_col else []), F.struct(*[F.col(c) for c in rows.columns]).alias("row"))
+    pick = F.max(row) if last else F.min(row)
+    return rows.groupBy(F.col(key).alias("__key")).agg(pick.alias("r")).select("r.row.*")
 
 
 def upsert(base: DataFrame, incoming: DataFrame, key: str, id_col: str | None = None,
@@ -107,17 +114,19 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str, id_col: str | None =
     nothing changes).  New keys are appended; if ``id_col`` is given they get
     ids after the current maximum, in key order.  An incoming NULL overwrites,
     as ``DO UPDATE SET`` does.  Of incoming rows with one key the last by
-    ``order_col`` counts (any one without it).  The result is meant to be
-    written to a *new* directory.
+    ``order_col`` counts (without it, the greatest by its values).  A NULL key
+    conflicts with nothing, so all its rows are new, as under a UNIQUE
+    constraint.  The result is meant to be written to a *new* directory.
     """
     update_columns = update_columns or []
-    inc = one_per_key(incoming, key, order_col, last=True)
+    unkeyed = incoming.filter(F.col(key).isNull())
+    inc = one_per_key(incoming.filter(F.col(key).isNotNull()), key, order_col, last=True)
     cols = base.columns
     hit = base.alias("b").join(inc.withColumn("__hit", F.lit(True)).alias("i"), key, "left")
     kept = hit.select(*[
         (F.when(F.col("i.__hit"), F.col(f"i.{c}")).otherwise(F.col(f"b.{c}")) if c in update_columns else F.col(f"b.{c}")).alias(c)
         if c != key else F.col(key) for c in cols])
-    new = inc.join(base.select(key), key, "left_anti")
+    new = inc.join(base.select(key), key, "left_anti").unionByName(unkeyed)
     if id_col:
         top = base.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()  # scalar subquery
         new = sequential_key(new.drop(id_col) if id_col in new.columns else new, key, "__seq")
@@ -130,8 +139,9 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str, id_col: str | None =
 
 def insert_absent(base: DataFrame, incoming: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
     """Rows of ``incoming`` whose key is not in ``base`` (one per key, the
-    first by ``order_col``)."""
-    return one_per_key(incoming, key, order_col, last=False).join(base.select(key), key, "left_anti")
+    first by ``order_col``; all rows of a NULL key, which conflicts with nothing)."""
+    keyed = one_per_key(incoming.filter(F.col(key).isNotNull()), key, order_col, last=False).join(base.select(key), key, "left_anti")
+    return keyed.unionByName(incoming.filter(F.col(key).isNull()))
 
 
 def insert_absent_into(spark: SparkSession, path: str, incoming: DataFrame, key: str) -> int:
@@ -160,21 +170,27 @@ def replication_status(master: DataFrame, replica: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ W1 / H4 / J4
+def dim_category_rows(categories: DataFrame) -> DataFrame:
+    """The star schema's categories, without their surrogate key."""
+    return categories.select("category_id", "category_name", F.concat("category_name", F.lit(DIM_CATEGORY_SUFFIX)).alias("description"))
+
+
+def dim_product_rows(products: DataFrame, categories: DataFrame) -> DataFrame:
+    """The star schema's products, without their surrogate key."""
+    cats = categories.select("category_id", "category_name")
+    return products.join(cats, "category_id").select("product_id", "product_name", "category_name", "cost_price", "selling_price")
+
+
 def dim_category(categories: DataFrame) -> DataFrame:
     """Star-schema category dimension; key in ``category_id`` order."""
-    d = categories.select("category_id", "category_name",
-                          F.concat("category_name", F.lit(DIM_CATEGORY_SUFFIX)).alias("description"))
-    d = sequential_key(d, "category_id", "category_key")
-    return d.select("category_key", "category_id", "category_name", "description")
+    rows = dim_category_rows(categories)
+    return sequential_key(rows, "category_id", "category_key").select("category_key", *rows.columns)
 
 
 def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Star-schema product dimension; key in ``product_id`` order, no global sort window."""
-    cats = categories.select("category_id", "category_name")
-    d = products.join(cats, "category_id").select(
-        "product_id", "product_name", "category_name", "cost_price", "selling_price")
-    d = sequential_key(d, "product_id", "product_key", partitions_for(products))
-    return d.select("product_key", "product_id", "product_name", "category_name", "cost_price", "selling_price")
+    rows = dim_product_rows(products, categories)
+    return sequential_key(rows, "product_id", "product_key").select("product_key", *rows.columns)
 
 
 def assert_unique(df: DataFrame, key: str) -> None:
@@ -184,36 +200,59 @@ def assert_unique(df: DataFrame, key: str) -> None:
         raise ValueError(f"dimension key {key} is not unique")
 
 
-def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cat: DataFrame) -> DataFrame:
+def fact_sales(sales: DataFrame, dim_prod: DataFrame | None = None, dim_cat: DataFrame | None = None) -> DataFrame:
     """Swap natural keys for surrogate keys; ``date_key`` computed (dim_time not joined).
 
-    Both dimensions are joined without a hint (Spark chooses by bytes).
+    Sales that the load has written carry their surrogate keys and need no
+    join; for others both dimensions are joined without a hint (Spark chooses
+    by bytes).
     """
-    dp = dim_prod.select("product_key", "product_id")
-    dc = dim_cat.select("category_key", "category_id")
-    f = sales.join(dp, "product_id").join(dc, "category_id")
-    return f.select(
+    if dim_prod is not None:
+        sales = sales.drop("product_key", "category_key").join(dim_prod.select("product_key", "product_id"), "product_id")
+        sales = sales.join(dim_cat.select("category_key", "category_id"), "category_id")
+    return sales.select(
         dates.date_key("sale_date").alias("date_key"), "product_key", "category_key", "quantity",
         "discount_percent", "sale_amount", "profit",
         money.cost_amount("sale_amount", "profit").alias("cost_amount"),
         "year")
 
 
-def load_star(sales: DataFrame, products: DataFrame, categories: DataFrame, root: str) -> dict[str, str]:
-    """H4: write dims and fact (overwrite semantics: a rerun writes a new root)."""
-    spark = sales.sparkSession
-    dc = dim_category(categories)
-    dc.write.parquet(f"{root}/dim_category")
-    dp = dim_product(products, categories)
-    dp.write.parquet(f"{root}/dim_product")
-    dcr, dpr = spark.read.parquet(f"{root}/dim_category"), spark.read.parquet(f"{root}/dim_product")
-    assert_unique(dcr, "category_id")
-    assert_unique(dpr, "product_id")
-    (fact_sales(sales, dpr, dcr).withColumn("fact_id", F.monotonically_increasing_id())
-        .repartitionByRange("year", "date_key", "product_key").sortWithinPartitions("year", "date_key", "product_key")
+def load_dimensions(products: DataFrame, categories: DataFrame, root: str) -> dict[str, str]:
+    """H4, first half: write the dimensions (a rerun writes a new root)."""
+    paths = {"dim_category": f"{root}/dim_category", "dim_product": f"{root}/dim_product"}
+    dim_category(categories).write.parquet(paths["dim_category"])
+    dim_product(products, categories).write.parquet(paths["dim_product"])
+    for name, key in (("dim_category", "category_id"), ("dim_product", "product_id")):
+        assert_unique(products.sparkSession.read.parquet(paths[name]), key)
+    return paths
+
+
+def load_facts(keyed_sales: DataFrame, root: str) -> dict[str, str]:
+    """H4, second half: the fact table from sales that carry their surrogate
+    keys.  They stand in (year, access) order already, so nothing is moved."""
+    (fact_sales(keyed_sales).withColumn("fact_id", F.monotonically_increasing_id())
         .write.partitionBy("year").parquet(f"{root}/fact_sales"))
-    return {"dim_category": f"{root}/dim_category", "dim_product": f"{root}/dim_product",
-            "fact_sales": f"{root}/fact_sales"}
+    return {"fact_sales": f"{root}/fact_sales"}
+
+
+# ------------------------------------------------------------ H3
+def access_order(date_col: str, product_col: str, low, high):
+    """H3: place of a sale on a space-filling curve over (day of the year,
+    product between ``low`` and ``high``), two product bits a day bit.
+
+    Rows in this order lie in blocks that are narrow in both: a row group's
+    min/max statistics then rule it out for a date range as well as for a
+    product.  NULLs count as 0.
+    """
+    day = F.coalesce(F.dayofyear(date_col), F.lit(0)).cast("long")
+    low, high = low.cast("double"), high.cast("double")
+    scaled = F.floor((F.col(product_col).cast("double") - low) / (high - low + 1) * F.lit(float(1 << PRODUCT_BITS)))
+    prod = F.coalesce(F.least(F.greatest(scaled, F.lit(0)), F.lit((1 << PRODUCT_BITS) - 1)), F.lit(0)).cast("long")
+    z = F.lit(0).cast("long")
+    for i in range(DAY_BITS):       # three bits each: one of the day, two of the product
+        z = z.bitwiseOR(F.shiftleft(F.shiftright(day, i).bitwiseAND(F.lit(1).cast("long")), 3 * i + 2))
+        z = z.bitwiseOR(F.shiftleft(F.shiftright(prod, 2 * i).bitwiseAND(F.lit(3).cast("long")), 3 * i))
+    return z
 
 
 # ------------------------------------------------------------ D19 / D20 / D21

@@ -2,10 +2,12 @@
 
 A product price is valid over the closed interval ``[valid_from,
 valid_to]`` with ``9999-12-31`` as the open end.  The price of a product on
-a date is a filter; the price of each *sale* on its date (J8) is an equi
-join on the product plus a range condition, so Spark hashes/sorts on
-``product_id`` and checks the interval per candidate (at most the number
-of versions of that product).
+a date is a filter.  The price of each *sale* on its date (J8) joins on the
+product and a bin of the date (a month): every version is listed in the bins
+that it touches, clipped to the sales' span, and the interval is checked in
+the bin.  So a sale meets the one or two versions of its month, however many
+versions its product has.  Reports sum the sales by product and day first, so
+no single sale is shuffled.
 """
 
 from __future__ import annotations
@@ -49,20 +51,47 @@ def price_at_date(versions: DataFrame, on: dt.date) -> DataFrame:
     return versions.filter((F.col("valid_from") <= d) & (d <= F.col("valid_to")))
 
 
-def sales_with_price_at_date(sales: DataFrame, versions: DataFrame) -> DataFrame:
-    """Each sale with the product version valid on its sale date."""
-    v = versions.select(F.col("product_id").alias("v_product_id"), "valid_from", "valid_to",
-                        F.col("selling_price").alias("price_at_date"),
-                        F.col("cost_price").alias("cost_at_date"))
-    cond = ((F.col("product_id") == F.col("v_product_id"))
-            & (F.col("sale_date") >= F.col("valid_from")) & (F.col("sale_date") <= F.col("valid_to")))
-    return sales.join(v, cond, "inner").drop("v_product_id")
+def _bin(date) -> F.Column:
+    """Month number of a date, the bin of the interval join."""
+    return F.year(date) * 12 + F.month(date)
 
 
-def revenue_at_date_prices(sales_priced: DataFrame) -> DataFrame:
-    """J8 report: per year, list revenue and cost at the prices valid on each sale date."""
-    return sales_priced.groupBy("year").agg(
-        F.count(F.lit(1)).alias("orders"),
+def binned_versions(versions: DataFrame, span: DataFrame) -> DataFrame:
+    """The versions once a month bin that they touch within ``span`` (one row:
+    ``first``, ``last`` day), so an open end costs the span only."""
+    v = versions.withColumn("first", span.select("first").scalar()).withColumn("last", span.select("last").scalar())
+    v = v.filter((F.col("valid_from") <= F.col("last")) & (F.col("valid_to") >= F.col("first")) & (F.col("valid_from") <= F.col("valid_to")))
+    bins = F.sequence(_bin(F.greatest("valid_from", "first")), _bin(F.least("valid_to", "last")))
+    return v.select(F.col("product_id").alias("v_product_id"), F.explode(bins).alias("v_bin"), "valid_from", "valid_to",
+                    F.col("selling_price").alias("price_at_date"), F.col("cost_price").alias("cost_at_date"))
+
+
+def sales_span(sales: DataFrame, date_col: str = "sale_date") -> DataFrame:
+    """First and last day of the sales, one row (Parquet statistics answer it)."""
+    return sales.agg(F.min(date_col).alias("first"), F.max(date_col).alias("last"))
+
+
+def sales_with_price_at_date(sales: DataFrame, versions: DataFrame, span: DataFrame | None = None) -> DataFrame:
+    """Each sale (or each row of sums by product and day) with the product
+    versions valid on its sale date."""
+    v = binned_versions(versions, span if span is not None else sales_span(sales))
+    cond = ((F.col("product_id") == F.col("v_product_id")) & (_bin(F.col("sale_date")) == F.col("v_bin"))
+            & F.col("sale_date").between(F.col("valid_from"), F.col("valid_to")))
+    return sales.join(v, cond, "inner").drop("v_product_id", "v_bin")
+
+
+def product_days(sales: DataFrame) -> DataFrame:
+    """orders and quantity a (product, day): all that a report at date prices needs."""
+    return sales.groupBy("product_id", "sale_date", "year").agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("quantity").cast("long")).alias("quantity"))
+
+
+def revenue_at_date_prices(sales: DataFrame, versions: DataFrame) -> DataFrame:
+    """J8 report: per year, list revenue and cost at the prices valid on each
+    sale date.  Sales are summed by product and day before they meet a price;
+    the sums are whole cents, so they equal the sums over single sales."""
+    priced = sales_with_price_at_date(product_days(sales), versions, sales_span(sales))
+    return priced.groupBy("year").agg(
+        F.sum("orders").alias("orders"),
         money.money_sum(F.col("quantity") * F.col("price_at_date")).alias("list_revenue"),
         money.money_sum(F.col("quantity") * F.col("cost_at_date")).alias("list_cost"),
     ).orderBy("year")

@@ -3,11 +3,15 @@
 Types follow FIXTURES.md, A: ids long, counts and calendar fields int,
 money decimal, dates date, audit times timestamp without zone.
 ``conform`` casts and orders a DataFrame to a declared schema (e.g. rows
-arriving from another source); ``check`` compares names and types.
+arriving from another source); ``check`` compares names and types;
+``read_declared`` splits arriving rows into those that meet the declared
+types, NOT NULL columns and checks, and those that do not, with the reason.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,3 +70,56 @@ def check(df: DataFrame, schema: T.StructType) -> list[str]:
         elif have[f.name] != f.dataType:
             out.append(f"{f.name}: {have[f.name].simpleString()} != {f.dataType.simpleString()}")
     return out
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What a row of a table must meet besides its types."""
+
+    not_null: tuple[str, ...] = ()
+    # What a violated check is called -> SQL predicate over the typed columns (NULL passes).
+    checks: dict[str, str] = field(default_factory=dict)
+    # Values of columns that the input does not have, as text.
+    defaults: dict[str, str] = field(default_factory=dict)
+
+
+# The declared NOT NULL columns, checks and defaults.
+RULES = {
+    "categories": Rules(("category_name",)),
+    "products": Rules(("product_name", "cost_price", "selling_price", "valid_from"), {"valid_to: before valid_from": "valid_to >= valid_from"},
+                      {"stock_quantity": "0", "valid_to": "9999-12-31"}),
+    "sales": Rules(("quantity", "sale_amount", "profit", "sale_date", "month", "year"),
+                   {"month: not that of sale_date": "month = month(sale_date)", "year: not that of sale_date": "year = year(sale_date)"},
+                   {"discount_percent": "0", "is_festival_month": "false"}),
+    "prediction_history": Rules(("category_name", "month", "quantity", "predicted_sale", "predicted_profit"), {}, {"discount_percent": "0"}),
+}
+
+
+def judged(raw: DataFrame, table: str) -> DataFrame:
+    """The rows in the declared types with ``reject_reason`` (NULL if they meet
+    all rules), in one pass without a shuffle.  A value that does not fit its
+    type is NULL; a column that the input lacks has its default, else NULL;
+    columns that are not declared go."""
+    schema, rules = TABLES[table], RULES.get(table, Rules())
+    raw_name = {f.name: f"__raw_{f.name}" for f in schema.fields}
+    given = raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(rules.defaults.get(f.name))).alias(raw_name[f.name]) for f in schema.fields])
+    typed = given.select("*", *[F.col(raw_name[f.name]).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    reasons = []
+    for f in schema.fields:
+        value, source = F.col(f.name), F.col(raw_name[f.name])
+        reasons.append(F.when(value.isNull() & source.isNotNull(), F.lit(f"{f.name}: not a value of {f.dataType.simpleString()}")))
+        if f.name in rules.not_null:
+            reasons.append(F.when(source.isNull(), F.lit(f"{f.name}: missing")))
+    reasons += [F.when(~F.expr(predicate), F.lit(name)) for name, predicate in rules.checks.items()]
+    found = F.filter(F.array(*reasons), lambda r: r.isNotNull())
+    return typed.select(*schema.fieldNames(), F.when(F.size(found) > 0, F.array_join(found, "; ")).alias("reject_reason"))
+
+
+def read_declared(raw: DataFrame, table: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows of the input, both in the declared types, the
+    rejected with ``reject_reason``.  The input is read once: both are written
+    to the new folder ``path`` by one job and read from there."""
+    judged(raw, table).withColumn("__accepted", F.col("reject_reason").isNull()).write.partitionBy("__accepted").parquet(path)
+    rows = raw.sparkSession.read.schema(T.StructType([*TABLES[table].fields, T.StructField("reject_reason", T.StringType()), T.StructField("__accepted", T.BooleanType())])).parquet(path)
+    accepted = rows.filter(F.col("__accepted")).drop("__accepted", "reject_reason")
+    return accepted, rows.filter(~F.col("__accepted")).drop("__accepted")

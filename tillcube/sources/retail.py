@@ -6,7 +6,7 @@ list price, tagged with the festival calendar.
 
 The load writes each table once into the shared folder: ``categories``,
 ``products``, ``festival_days``, ``sales`` (partitioned by ``year``,
-clustered by ``sale_date``), ``dim_time``, ``daily_summary`` (the additive
+clustered by day and product), ``dim_time``, ``daily_summary`` (the additive
 KPI measures per day, category and festival tag) and, with
 ``layout_tables``, the master/replica pair, the bucketed vertical
 fragments and the star schema -- the way the reference's load job fills
@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import money
-from ..operators import calendar
+from ..operators import calendar, layout
 from ..operators.keys import sequential_key
 from ..operators.summary import daily_summary, product_summary
 from ..session import new_table_path
 from . import tables
+from .live import LiveSales
 
 # Fixed values of the mapping (FIXTURES.md, C).
 PRODUCTS_VALID_FROM = "1995-01-01"
@@ -79,20 +80,27 @@ def products_from_part(part: DataFrame, categories: DataFrame) -> DataFrame:
 SALES_COLUMNS = ["order_key", "line_number", "product_id", "category_id", "product_name", "category_name", "quantity",
                  "discount_percent", "sale_amount", "profit", "sale_date", "month", "year",
                  "is_festival_month", "festival_name", "created_at", "updated_at"]
+# Carried through the load's one product join, so that the star load and the
+# training set need none.
+CARRIED_COLUMNS = ["product_key", "category_key", "cost_price", "selling_price"]
 
+def load_dimension(dim_product: DataFrame, dim_category: DataFrame) -> DataFrame:
+    """All that the sales load looks up by product, in one row a product."""
+    cats = dim_category.select("category_name", "category_id", "category_key")
+    return dim_product.join(cats, "category_name").select("product_id", "product_key", "product_name", "category_id", "category_key", "category_name", "cost_price", "selling_price")
 
-def sales_from(lineitem: DataFrame, products: DataFrame, categories: DataFrame,
-               fest_days: DataFrame) -> DataFrame:
-    """One sale per line item (P10 economics, J6 festival tag).
+
+def sales_from(lineitem: DataFrame, looked_up: DataFrame, fest_days: DataFrame) -> DataFrame:
+    """One sale per line item (P10 economics, J6 festival tag), with
+    ``CARRIED_COLUMNS``.
 
     ``order_key``/``line_number`` are kept as lineage (they are *not* a
     unique key in the driver data, so no ``sale_id`` is claimed).
 
-    ``lineitem`` joins ``products`` on the part key without a hint: Spark
-    broadcasts it while the product file is under the broadcast threshold,
-    and otherwise sort-merges with AQE splitting a hot part key.  Categories
-    are broadcast behind a row-count check; festival days by their literal
-    bound.
+    ``lineitem`` joins ``looked_up`` (see ``load_dimension``) on the part key,
+    the only shuffle of the facts by product, without a hint: Spark broadcasts
+    it while it is under the broadcast threshold, and otherwise sort-merges
+    with AQE splitting a hot part key.
     """
     li = lineitem.select(
         F.col("l_orderkey").alias("order_key"),
@@ -103,9 +111,7 @@ def sales_from(lineitem: DataFrame, products: DataFrame, categories: DataFrame,
         F.to_date("l_shipdate").alias("sale_date"),
         F.col("l_shipdate").alias("created_at"),
     )
-    prod = products.select("product_id", "product_name", "category_id", "cost_price", "selling_price")
-    cats = categories.select("category_id", "category_name")
-    s = li.join(prod, "product_id").join(cats, "category_id")
+    s = li.join(looked_up, "product_id")
     s = calendar.tag_festival(s, "sale_date", fest_days)
     return s.select(
         "order_key", "line_number", "product_id", "category_id", "product_name", "category_name", "quantity", "discount_percent",
@@ -116,9 +122,34 @@ def sales_from(lineitem: DataFrame, products: DataFrame, categories: DataFrame,
         F.year("sale_date").alias("year"),
         "is_festival_month", "festival_name", "created_at",
         F.col("created_at").alias("updated_at"),
+        *CARRIED_COLUMNS,
     )
 
 
+def write_sales(sales: DataFrame, products: DataFrame, path: str, row_group_bytes: int | None = None) -> str:
+    """H1/H3: write the sales by year, in access order.
+
+    Range partitions by (year, place on the curve of ``layout.access_order``):
+    a file, and each row group in it, spans few days and few products, so a
+    date range as well as a product prunes files and row groups, and the
+    number of files follows the shuffle width, not tasks x years.  The order
+    key lets a hot day or product split.  Bloom filters on the product and
+    category ids rule out row groups that their min/max cannot.  Range bounds
+    are sampled from the joined rows, which costs a second pass over the
+    join's input.
+    """
+    ends = products.agg(F.min("product_id").alias("low"), F.max("product_id").alias("high")).head()
+    place = layout.access_order("sale_date", "product_id", F.lit(ends.low or 0), F.lit(ends.high or 0))
+    keys = ["year", "__place", "order_key"]
+    writer = sales.withColumn("__place", place).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__place").write.partitionBy("year")
+    for c in ("product_id", "category_id"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.parquet(path)
+    return path
+
+
 @dataclass
 class Warehouse:
     """Handles to the written tables of one load."""
@@ -135,15 +166,12 @@ class Warehouse:
     _frames: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        """The written table as a DataFrame, opened once.
+        """The table as the load wrote it, opened once.
 
         Tables of a load are immutable, so one DataFrame (with its file
         listing and schema) serves every later query.
         """
-        if name not in self._frames:
-            df = self.spark.read.parquet(f"{self.root}/{name}")
-            self._frames[name] = df.select(*SALES_COLUMNS) if name == "sales" else df
-        return self._frames[name]
+        return self.read(f"{self.root}/{name}")
 
     def read(self, path: str) -> DataFrame:
         """Any other table written by this load (star schema, replica), opened once."""
@@ -151,16 +179,41 @@ class Warehouse:
             self._frames[path] = self.spark.read.parquet(path)
         return self._frames[path]
 
+    def live(self) -> LiveSales:
+        """The sales and their summaries as appended batches change them."""
+        return LiveSales(self.spark, f"{self.root}/live", {n: f"{self.root}/{n}" for n in ("sales", "daily_summary", "product_summary")})
+
+    def append_sales(self, sales: DataFrame, batch_id: str) -> bool:
+        """Add a batch of sales; views and summaries show it at once.  False
+        (and nothing added) if the batch is known.  A batch without
+        ``CARRIED_COLUMNS`` gets them from the dimensions (NULL for an unknown
+        product)."""
+        if not set(CARRIED_COLUMNS) <= set(sales.columns):
+            known = load_dimension(self.read(f"{self.root}/star/dim_product"), self.read(f"{self.root}/star/dim_category"))
+            sales = sales.select(*SALES_COLUMNS).join(known.select("product_id", *CARRIED_COLUMNS), "product_id", "left")
+        return self.live().append(sales.select(*SALES_COLUMNS, *CARRIED_COLUMNS), batch_id)
+
+    def _current(self, name: str, newest) -> DataFrame:
+        """``newest`` of the live tables, opened once a version."""
+        key = (name, self.live().version())
+        if key not in self._frames:
+            self._frames[key] = newest(self.live()) if key[1] else self.table(name)
+        return self._frames[key]
+
+    def keyed_sales(self) -> DataFrame:
+        """The sales with ``CARRIED_COLUMNS`` (NULL in a batch that has none)."""
+        return self._current("sales", LiveSales.sales).select(*SALES_COLUMNS, *CARRIED_COLUMNS)
+
     def sales(self) -> DataFrame:
-        return self.table("sales")
+        return self.keyed_sales().select(*SALES_COLUMNS)
 
     def summary(self) -> DataFrame:
         """The daily (day, category, festival tag) measures: the KPI serving table."""
-        return self.table("daily_summary")
+        return self._current("daily_summary", LiveSales.daily_summary)
 
     def product_summary(self) -> DataFrame:
         """The (product name, category) measures: the product ranking's input."""
-        return self.table("product_summary")
+        return self._current("product_summary", LiveSales.product_summary)
 
     def products(self) -> DataFrame:
         return self.table("products")
@@ -180,23 +233,12 @@ _LOAD_LOCK = threading.RLock()
 
 
 def _replica_job(wh: Warehouse) -> tuple[str, str]:
-    from ..operators import layout
     master = f"{wh.root}/products_master"
     wh.products().select(*layout.MASTER_COLUMNS).write.parquet(master)
     layout.replicate(wh.spark.read.parquet(master), f"{wh.root}/products_replica")
     return master, f"{wh.root}/products_replica"
 
 
-def _vertical_job(wh: Warehouse) -> tuple[str, str]:
-    from ..operators import layout
-    return layout.split_products(wh.products())
-
-
-def _star_job(wh: Warehouse) -> dict:
-    from ..operators import layout
-    return layout.load_star(wh.sales(), wh.products(), wh.categories(), f"{wh.root}/star")
-
-
 def _state(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Number, bytes and latest change of the files under ``path``."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -231,6 +273,7 @@ def _load(spark: SparkSession, sf_dir: str, festivals, layout_tables: bool, key)
     def products_chain():
         categories_from_part(part).write.parquet(f"{root}/categories")
         products_from_part(part, spark.read.parquet(f"{root}/categories")).write.parquet(f"{root}/products")
+        return layout.load_dimensions(wh.products(), wh.categories(), f"{root}/star")
 
     span = lineitem.agg(F.year(F.min("l_shipdate")).alias("y0"), F.year(F.max("l_shipdate")).alias("y1"))
 
@@ -241,14 +284,9 @@ def _load(spark: SparkSession, sf_dir: str, festivals, layout_tables: bool, key)
     wh = Warehouse(spark, root, sf_dir)
 
     def sales_table():
-        sales = sales_from(lineitem, wh.products(), wh.categories(), wh.festival_days())
-        # Range partitions by date: a file spans few days of (mostly) one
-        # year, so a date range prunes files and row groups, and the number of
-        # files follows the shuffle width, not tasks x years.  The order key
-        # lets a festival day split.  Range bounds are sampled from the joined
-        # rows, which costs a second pass over the join's input.
-        (sales.repartitionByRange("year", "sale_date", "order_key").sortWithinPartitions("year", "sale_date", "order_key")
-              .write.partitionBy("year").parquet(f"{root}/sales"))
+        star = f"{root}/star"
+        sales = sales_from(lineitem, load_dimension(wh.read(f"{star}/dim_product"), wh.read(f"{star}/dim_category")), wh.festival_days())
+        write_sales(sales, wh.products(), f"{root}/sales")
 
     def time_dim():
         calendar.dim_time_from_span(span, wh.festival_days()).coalesce(1).write.parquet(f"{root}/dim_time")
@@ -269,16 +307,16 @@ def _load(spark: SparkSession, sf_dir: str, festivals, layout_tables: bool, key)
         return [f.result() for f in futures]
 
     with ThreadPoolExecutor(max_workers=4) as pool:
-        run_all(products_chain, fest_days)                      # dims
+        dims, _ = run_all(products_chain, fest_days)            # dims
         step2 = [sales_table, time_dim]
         if layout_tables:
-            step2 += [lambda: _replica_job(wh), lambda: _vertical_job(wh)]
+            step2 += [lambda: _replica_job(wh), lambda: layout.split_products(wh.products())]
         done = run_all(*step2)                                  # facts, calendar, product copies
-        step3 = [summary_table, product_summary_table] + ([lambda: _star_job(wh)] if layout_tables else [])
+        step3 = [summary_table, product_summary_table] + ([lambda: layout.load_facts(wh.keyed_sales(), f"{root}/star")] if layout_tables else [])
         star = run_all(*step3)                                  # summary, star schema
     if layout_tables:
         (wh.master_path, wh.replica_path), (wh.basic_table, wh.pricing_table) = done[2], done[3]
-        wh.star = star[2]
+        wh.star = dims | star[2]
     if festivals is None:
         _LOADED[key] = wh
     return wh

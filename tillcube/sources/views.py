@@ -26,13 +26,12 @@ def view_frames(wh: Warehouse) -> dict[str, DataFrame]:
         "dim_time": wh.dim_time(),
         "daily_summary": wh.summary(),
         "product_summary": wh.product_summary(),
-        # the reference's views
         # the reference's aggregate views, answered from the exact summaries
         "monthly_sales_summary": kpi.monthly_sales_summary(wh.summary()),
         "category_performance": kpi.category_performance(wh.summary()),
         "top_products": kpi.top_products(wh.product_summary(), None),
         "festival_comparison": kpi.festival_comparison(wh.summary()),
-        "sales_unified": spark.read.parquet(f"{wh.root}/sales"),
+        "sales_unified": sales,
     }
     if wh.basic_table:
         basic, pricing = spark.table(wh.basic_table), spark.table(wh.pricing_table)
@@ -46,24 +45,18 @@ def view_frames(wh: Warehouse) -> dict[str, DataFrame]:
     return frames
 
 
-# Which load's tables the temporary views of each session point at.
-_VIEW_OWNER: dict[int, str] = {}
+def register_views(wh: Warehouse, prefix: str = "") -> list[str]:
+    """``createOrReplaceTempView`` for every table and view, as ``prefix`` + name;
+    returns the names.
 
-
-def register_views(wh: Warehouse) -> list[str]:
-    """``createOrReplaceTempView`` for every table and view; returns the names.
-
-    Temporary views live in the session; they are (re)registered only when
-    another load registered the same names last.
+    The views show the tables as they are at this call (appended batches
+    included), so callers register again after an append.  A prefix keeps
+    the views of several loads, or a user's own of these names, apart.
     """
-    key = ("views", id(wh.spark))
-    if _VIEW_OWNER.get(id(wh.spark)) != wh.root or key not in wh._frames:
-        frames = view_frames(wh)
-        for name, df in frames.items():
-            df.createOrReplaceTempView(name)
-        wh._frames[key] = sorted(frames)
-        _VIEW_OWNER[id(wh.spark)] = wh.root
-    return wh._frames[key]
+    frames = {f"{prefix}{name}": df for name, df in view_frames(wh).items()}
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return sorted(frames)
 
 
 def sql(spark: SparkSession, text: str, **args) -> DataFrame:

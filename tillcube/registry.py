@@ -16,10 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from . import schemas
 from .functions import money
-from .operators import calendar, kpi, layout, ml, olap, temporal
+from .operators import calendar, forest, kpi, layout, ml, olap, star, temporal
 from .session import new_table_path
 from .sources import documents, retail, tables, views
+from .sources.batches import BatchTable
+from .sources.live import LiveSales
 
 # Default parameters (FIXTURES.md).
 YEAR = 1997
@@ -77,6 +80,63 @@ def q_sale_economics(spark, sf_dir):
         money.sale_profit("quantity", "selling_price", "cost_price", "discount_percent").alias("profit"))
 
 
+@register("margin_percent", O.q("""
+select order_key, line_number, product_id, sale_amount, profit,
+       case when sale_amount > 0 then cast(profit as double) / cast(sale_amount as double) * 100 else 0 end as margin_percent
+from sales"""))
+def q_margin_percent(spark, sf_dir):
+    """The guarded margin of every sale."""
+    s = wh(spark, sf_dir).sales()
+    guarded = money.guarded_percent(F.col("profit").cast("double"), F.col("sale_amount").cast("double"))
+    return s.select("order_key", "line_number", "product_id", "sale_amount", "profit", guarded.alias("margin_percent"))
+
+
+@register("star_join_sales", O.q("""
+select s.order_key, s.line_number, s.product_id, p.product_name, s.category_id, c.category_name, s.quantity, s.sale_amount,
+       p.selling_price, c.description
+from sales s join products p on s.product_id = p.product_id join categories c on s.category_id = c.category_id"""))
+def q_star_join_sales(spark, sf_dir):
+    """Sales with their product and the category that the sale itself names."""
+    w = wh(spark, sf_dir)
+    j = kpi.star_join(w.sales(), w.products(), w.categories())
+    return j.select("order_key", "line_number", "product_id", "product_name", "category_id", "category_name", "quantity", "sale_amount", "selling_price", "description")
+
+
+# How the arriving rows are spoiled: order keys of these remainders.
+SPOILED_SQL = "order_key % 50"
+
+
+def _declared(spark, w):
+    """The sales as text, some spoiled, read under the declared types and rules."""
+    def build():
+        rest = F.col("order_key") % 50
+        raw = w.sales()
+        raw = (raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns], rest.alias("rest"))
+               .withColumn("quantity", F.when(F.col("rest") == 7, F.lit("many")).otherwise(F.col("quantity")))
+               .withColumn("sale_amount", F.when(F.col("rest") != 8, F.col("sale_amount")))
+               .withColumn("month", F.when(F.col("rest") == 9, F.lit("13")).otherwise(F.col("month")))
+               .withColumn("year", F.when(F.col("rest") == 9, F.lit("x")).otherwise(F.col("year"))))
+        path = new_table_path(spark, "sales_declared")
+        return schemas.read_declared(raw, "sales", path)
+    return _once(w, "declared", build)
+
+
+@register("sales_accepted", O.q(f"select {O.SALES_COLS} from sales where {SPOILED_SQL} not in (7, 8, 9)"))
+def q_sales_accepted(spark, sf_dir):
+    """S3: the arriving rows that meet the declared types, NOT NULL columns and checks."""
+    return _declared(spark, wh(spark, sf_dir))[0]
+
+
+@register("sales_rejected", O.q(f"""
+select order_key, line_number, product_id,
+       case {SPOILED_SQL} when 7 then 'quantity: not a value of int' when 8 then 'sale_amount: missing'
+            else 'year: not a value of int; month: not that of sale_date' end as reject_reason
+from sales where {SPOILED_SQL} in (7, 8, 9)"""))
+def q_sales_rejected(spark, sf_dir):
+    """S3: the other arriving rows, each with its reason."""
+    return _declared(spark, wh(spark, sf_dir))[1].select("order_key", "line_number", "product_id", "reject_reason")
+
+
 @register("festival_tag", O.q("""
 select d as sale_date, tag.festival_name is not null as is_festival_month, tag.festival_name
 from days left join tag using (d)
@@ -160,6 +220,13 @@ def q_category_performance(spark, sf_dir):
     return kpi.category_performance(wh(spark, sf_dir).summary())
 
 
+@register("category_performance_joined", ORACLE["category_performance"])
+def q_category_performance_joined(spark, sf_dir):
+    """J1 with D3: from the sales' category ids, joined to the categories."""
+    w = wh(spark, sf_dir)
+    return kpi.category_performance(kpi.with_category_names(w.sales(), w.categories()))
+
+
 @register("top_products", O.q(f"""
 select p.product_name, c.category_name, count(*) as times_sold,
        cast(sum(s.quantity) as bigint) as total_quantity_sold,
@@ -331,8 +398,18 @@ group by s.year order by s.year"""))
 def q_sales_price_asof(spark, sf_dir):
     """Sales priced at the version valid on each sale date, per year."""
     w = wh(spark, sf_dir)
+    return temporal.revenue_at_date_prices(w.sales(), temporal.price_versions(w.products()))
+
+
+@register("sales_price_rows", O.q(VERSIONS_SQL + """
+select s.order_key, s.line_number, s.product_id, s.sale_date, s.quantity, v.selling_price as price_at_date,
+       v.cost_price as cost_at_date, v.valid_from
+from sales s join versions v on s.product_id = v.product_id and s.sale_date between v.valid_from and v.valid_to"""))
+def q_sales_price_rows(spark, sf_dir):
+    """Every sale with the price and cost valid on its date."""
+    w = wh(spark, sf_dir)
     priced = temporal.sales_with_price_at_date(w.sales(), temporal.price_versions(w.products()))
-    return temporal.revenue_at_date_prices(priced)
+    return priced.select("order_key", "line_number", "product_id", "sale_date", "quantity", "price_at_date", "cost_at_date", "valid_from")
 
 
 @register("product_versions_sample", O.q("""
@@ -388,10 +465,6 @@ def q_sales_unified(spark, sf_dir):
     return wh(spark, sf_dir).sales()
 
 
-def _vertical(spark, w):
-    return w.basic_table, w.pricing_table
-
-
 BASIC_SQL = "select product_id, product_name, category_id, stock_quantity, created_at from products"
 PRICING_SQL = "select product_id, cost_price, selling_price, valid_from, valid_to, updated_at from products"
 
@@ -399,15 +472,13 @@ PRICING_SQL = "select product_id, cost_price, selling_price, valid_from, valid_t
 @register("products_basic", O.q(BASIC_SQL))
 def q_products_basic(spark, sf_dir):
     """H2: identity column group."""
-    basic, _ = _vertical(spark, wh(spark, sf_dir))
-    return spark.table(basic)
+    return spark.table(wh(spark, sf_dir).basic_table)
 
 
 @register("products_pricing", O.q(PRICING_SQL))
 def q_products_pricing(spark, sf_dir):
     """H2: pricing column group."""
-    _, pricing = _vertical(spark, wh(spark, sf_dir))
-    return spark.table(pricing)
+    return spark.table(wh(spark, sf_dir).pricing_table)
 
 
 @register("products_reconstructed", O.q("""
@@ -415,22 +486,62 @@ select product_id, product_name, category_id, stock_quantity, cost_price, sellin
        valid_from, valid_to, created_at, updated_at from products"""))
 def q_products_reconstructed(spark, sf_dir):
     """Join of the two column groups (bucketed alike: no shuffle)."""
-    basic, pricing = _vertical(spark, wh(spark, sf_dir))
-    return layout.reconstruct_products(spark.table(basic), spark.table(pricing))
+    w = wh(spark, sf_dir)
+    return layout.reconstruct_products(spark.table(w.basic_table), spark.table(w.pricing_table))
 
 
 @register("append_sales", O.q(f"select {O.SALES_COLS} from sales"))
 def q_append_sales(spark, sf_dir):
-    """Write the sales up to 1997, append the rest, read the table back."""
+    """The sales up to 1997 as one batch, the rest as another that a retry
+    sends twice; the table is read back."""
     w = wh(spark, sf_dir)
 
     def build():
-        path = new_table_path(spark, "sales_appended")
         s = w.sales()
-        layout.append(s.filter(F.col("year") <= 1997), path)
-        layout.append(s.filter(F.col("year") > 1997), path)
-        return path
-    return spark.read.parquet(_once(w, "append", build)).select(*retail.SALES_COLUMNS)
+        table = BatchTable(spark, new_table_path(spark, "sales_appended"))
+        table.append(s.filter("year <= 1997"), "to-1997")
+        for _ in range(2):
+            table.append(s.filter("year > 1997"), "from-1998")
+        return table
+    return _once(w, "append", build).read().select(*retail.SALES_COLUMNS)
+
+
+def _live(spark, w) -> LiveSales:
+    """A live store of the sales to 1997, to which the later years were
+    appended in two batches, the second one twice."""
+    def build():
+        live = LiveSales(spark, new_table_path(spark, "live_sales"))
+        s = w.sales()
+        live.append(s.filter("year <= 1997"), "to-1997")
+        live.append(s.filter("year = 1998"), "1998")
+        for _ in range(2):
+            live.append(s.filter("year > 1998"), "from-1999")
+        return live
+    return _once(w, "live", build)
+
+
+@register("live_overview", ORACLE["overview_totals"])
+def q_live_overview(spark, sf_dir):
+    """S4 with D1: the totals after three appended batches, from the merged daily summary."""
+    return kpi.overview_totals(_live(spark, wh(spark, sf_dir)).daily_summary())
+
+
+@register("live_monthly_summary", ORACLE["monthly_sales_summary"])
+def q_live_monthly(spark, sf_dir):
+    """S4 with D2/S13: the monthly view after the appends."""
+    return kpi.monthly_sales_summary(_live(spark, wh(spark, sf_dir)).daily_summary())
+
+
+@register("live_top_products", ORACLE["top_products"])
+def q_live_top_products(spark, sf_dir):
+    """S4 with D4: the product ranking after the appends."""
+    return kpi.top_products(_live(spark, wh(spark, sf_dir)).product_summary(), TOP_K)
+
+
+@register("live_sales", ORACLE["scan_sales"])
+def q_live_sales(spark, sf_dir):
+    """Every sale of the committed batches, once."""
+    return _live(spark, wh(spark, sf_dir)).sales().select(*retail.SALES_COLUMNS)
 
 
 NEW_CATEGORY = "SEASONAL"
@@ -476,10 +587,6 @@ def q_insert_absent_dim_time(spark, sf_dir):
     return spark.read.parquet(_once(w, "insert_absent", build))
 
 
-def _replica(spark, w):
-    return w.master_path, w.replica_path
-
-
 @register("replicate_products", O.q("""
 select product_id, product_name, category_id, cost_price, selling_price, stock_quantity from products"""))
 def q_replicate_products(spark, sf_dir):
@@ -493,16 +600,11 @@ select count(*) as master_records, (select count(*) from products) as replica_re
        true as replicated from products"""))
 def q_replication_status(spark, sf_dir):
     """Counts of master and replica; whether the replica carries a refresh stamp."""
-    master, replica = _replica(spark, wh(spark, sf_dir))
     w = wh(spark, sf_dir)
-    st = layout.replication_status(w.read(master), w.read(replica))
+    st = layout.replication_status(w.read(w.master_path), w.read(w.replica_path))
     return st.select("master_records", "replica_records", F.col("last_replicated").isNotNull().alias("replicated"))
 
 
-def _star(spark, w):
-    return w.star
-
-
 DIMS_SQL = """,
 dim_category as (
   select row_number() over (order by category_id) as category_key, category_id, category_name,
@@ -517,13 +619,15 @@ dim_product as (
 @register("dim_category", O.q(DIMS_SQL + "select * from dim_category"))
 def q_dim_category(spark, sf_dir):
     """Category dimension with sequential surrogate keys."""
-    return (lambda w: w.read(w.star["dim_category"]))(wh(spark, sf_dir))
+    w = wh(spark, sf_dir)
+    return w.read(w.star["dim_category"])
 
 
 @register("dim_product", O.q(DIMS_SQL + "select * from dim_product"))
 def q_dim_product(spark, sf_dir):
     """Product dimension, keys assigned without a single-partition window."""
-    return (lambda w: w.read(w.star["dim_product"]))(wh(spark, sf_dir))
+    w = wh(spark, sf_dir)
+    return w.read(w.star["dim_product"])
 
 
 FACT_SQL = O.q(DIMS_SQL + """
@@ -552,8 +656,7 @@ def q_fragmentation_counts(spark, sf_dir):
     """Rows per horizontal fragment, the unified view and the vertical fragments."""
     w = wh(spark, sf_dir)
     frags = w.sales()
-    basic, pricing = _vertical(spark, w)
-    b, p = spark.table(basic), spark.table(pricing)
+    b, p = spark.table(w.basic_table), spark.table(w.pricing_table)
     others = layout.labelled_counts([
         ("sales_unified", frags),
         ("products_basic", b),
@@ -563,53 +666,72 @@ def q_fragmentation_counts(spark, sf_dir):
     return layout.year_fragment_counts(frags).unionByName(others)
 
 
-@register("star_schema_counts", with_dim_time(DIMS_SQL.replace(",\n", ",\n", 1) + """
-select 'fact_sales' as table_name, 'Fact table' as role, count(*) as row_count from sales
-union all select 'dim_time', 'Date/festival info', count(*) from dim_time
-union all select 'dim_product', 'Product details', count(*) from dim_product
-union all select 'dim_category', 'Category grouping', count(*) from dim_category"""))
+@register("star_schema_counts", with_dim_time(DIMS_SQL + """
+select 'fact_sales' as table_name, count(*) as row_count from sales
+union all select 'dim_time', count(*) from dim_time
+union all select 'dim_product', count(*) from dim_product
+union all select 'dim_category', count(*) from dim_category"""))
 def q_star_schema_counts(spark, sf_dir):
-    """Rows of the fact table and each dimension, with its role."""
+    """Rows of the fact table and each dimension."""
     w = wh(spark, sf_dir)
-    st = _star(spark, w)
-    roles = [("fact_sales", "Fact table"), ("dim_time", "Date/festival info"),
-             ("dim_product", "Product details"), ("dim_category", "Category grouping")]
-    frames = {"fact_sales": w.read(st["fact_sales"]), "dim_time": w.dim_time(),
-              "dim_product": w.read(st["dim_product"]), "dim_category": w.read(st["dim_category"])}
-    counts = layout.labelled_counts([(n, frames[n]) for n, _ in roles], "table_name")
-    role = F.create_map(*[x for n, r in roles for x in (F.lit(n), F.lit(r))])
-    return counts.select("table_name", role[F.col("table_name")].alias("role"), "row_count")
+    frames = {name: w.read(path) for name, path in w.star.items()} | {"dim_time": w.dim_time()}
+    return layout.labelled_counts(list(frames.items()), "table_name")
+
+
+# The first load knows the even products and the years to 1997, the second all.
+KEYS_SQL = """,
+keyed as (select product_id, row_number() over (order by product_id % 2, product_id) as product_key from products),
+dim_category as (select row_number() over (order by category_id) as category_key, category_id from categories)
+"""
+
+
+def _refreshed_star(spark, w) -> star.StarStore:
+    def build():
+        store = star.StarStore(spark, new_table_path(spark, "star_store"))
+        even = w.products().filter("product_id % 2 = 0")
+        store.refresh(w.sales().filter("year <= 1997 AND product_id % 2 = 0"), even, w.categories())
+        for _ in range(2):      # the second time nothing has changed
+            store.refresh(w.sales(), w.products(), w.categories())
+        return store
+    return _once(w, "star_store", build)
+
+
+@register("star_refresh_facts", O.q(KEYS_SQL + """
+select cast(strftime(s.sale_date, '%Y%m%d') as int) as date_key, k.product_key, c.category_key, s.quantity,
+       s.discount_percent, s.sale_amount, s.profit, cast(s.sale_amount - s.profit as decimal(12,2)) as cost_amount
+from sales s join keyed k on s.product_id = k.product_id join dim_category c on s.category_id = c.category_id"""))
+def q_star_refresh_facts(spark, sf_dir):
+    """The facts after a partial load, a full one and a repeated one."""
+    return _refreshed_star(spark, wh(spark, sf_dir)).fact_sales().select(*layout.FACT_COLUMNS)
+
+
+@register("star_refresh_products", O.q(KEYS_SQL + """
+select k.product_key, p.product_id, p.product_name, c.category_name, p.cost_price, p.selling_price
+from products p join keyed k on p.product_id = k.product_id join categories c on p.category_id = c.category_id"""))
+def q_star_refresh_products(spark, sf_dir):
+    """Product keys that the first load gave stay, new products follow."""
+    return _refreshed_star(spark, wh(spark, sf_dir)).dim_product()
 
 
 @register("load_summary", O.q("""
-select 'Categories' as label, cast(count(*) as double) as value from categories
-union all select 'Products', count(*) from products
-union all select 'Total Sales', count(*) from sales
-union all select 'Festival Sales', count(*) from sales where is_festival_month
-union all select 'Sales ' || cast(year as varchar) || ' (fragment)', count(*) from sales group by year
-union all select 'DWH Fact Rows', count(*) from sales
-union all select 'Total Revenue', cast(sum(sale_amount) as double) from sales
-union all select 'Total Profit', cast(sum(profit) as double) from sales"""))
+select 'categories' as label, cast(count(*) as double) as value from categories
+union all select 'products', count(*) from products
+union all select 'sales', count(*) from sales
+union all select 'festival_sales', count(*) from sales where is_festival_month
+union all select 'sales_' || cast(year as varchar), count(*) from sales group by year
+union all select 'fact_sales', count(*) from sales
+union all select 'revenue', cast(sum(sale_amount) as double) from sales
+union all select 'profit', cast(sum(profit) as double) from sales"""))
 def q_load_summary(spark, sf_dir):
     """The load job's closing counts and totals."""
     w = wh(spark, sf_dir)
     s = w.sales()
-    fact = w.read(w.star["fact_sales"])
-    one = s.agg(
-        F.count(F.lit(1)).cast("double").alias("Total Sales"),
-        F.count_if(F.col("is_festival_month")).cast("double").alias("Festival Sales"),
-        money.money_sum("sale_amount").alias("Total Revenue"),
-        money.money_sum("profit").alias("Total Profit"))
-    totals = one.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").alias("value")) for c in one.columns])).alias("kv")
-    ).select("kv.label", "kv.value")
-    frags = layout.year_fragment_counts(w.sales()).select(
-        F.concat(F.lit("Sales "), F.substring("relation", 7, 10), F.lit(" (fragment)")).alias("label"),
-        F.col("row_count").cast("double").alias("value"))
-    counts = layout.labelled_counts([("Categories", w.categories()), ("Products", w.products()),
-                                     ("DWH Fact Rows", fact)], "label").select(
-        "label", F.col("row_count").cast("double").alias("value"))
-    return counts.unionByName(totals).unionByName(frags)
+    one = s.agg(F.count(F.lit(1)).cast("double").alias("sales"), F.count_if(F.col("is_festival_month")).cast("double").alias("festival_sales"),
+                money.money_sum("sale_amount").alias("revenue"), money.money_sum("profit").alias("profit"))
+    totals = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("value")) for c in one.columns])))
+    counts = layout.labelled_counts([("categories", w.categories()), ("products", w.products()), ("fact_sales", w.read(w.star["fact_sales"]))])
+    counts = counts.unionByName(layout.year_fragment_counts(s))
+    return totals.unionByName(counts.select(F.col("relation").alias("label"), F.col("row_count").cast("double").alias("value")))
 
 
 # -------------------------------------------------------------------------- ML
@@ -644,14 +766,13 @@ def _encoder(w):
 
 
 def _features(spark, w):
-    return ml.features(ml.training_set(w.sales(), w.products()), _lookups(spark, w), _encoder(w))
+    return ml.features(ml.training_set(w.keyed_sales()), _lookups(spark, w), _encoder(w))
 
 
 @register("training_set", with_train("select * from train"))
 def q_training_set(spark, sf_dir):
-    """M1: sales joined to products, 12 columns plus lineage keys."""
-    w = wh(spark, sf_dir)
-    return ml.training_set(w.sales(), w.products())
+    """M1: sales with their product's prices, 12 columns plus lineage keys."""
+    return ml.training_set(wh(spark, sf_dir).keyed_sales())
 
 
 @register("category_encoding", with_train("select * from enc"))
@@ -705,38 +826,79 @@ def q_train_test_counts(spark, sf_dir):
          cast(sum(abs(sale_amount - cast(quantity * selling_price as decimal(18,2)))) as double) as s_abs,
          cast(sum((sale_amount - cast(quantity * selling_price as decimal(18,2)))
                   * (sale_amount - cast(quantity * selling_price as decimal(18,2)))) as double) as s_sq,
-         cast(sum(sale_amount) as double) as s_y, cast(sum(sale_amount * sale_amount) as double) as s_yy
+         var_pop(cast(sale_amount as double)) as v
   from train where {SPLIT_SQL})
-select n, round(s_abs / n, 6) as mae, round(sqrt(s_sq / n), 6) as rmse,
-       round(1.0 - s_sq / (s_yy - s_y * s_y / n), 6) as r2 from m"""))
+select n, round(s_abs / n, 6) as mae, round(sqrt(s_sq / n), 6) as rmse, round(1.0 - s_sq / n / v, 6) as r2 from m"""))
 def q_regression_metrics(spark, sf_dir):
     """M7: MAE/RMSE/R^2 of the list-price predictor (quantity x price) on the test rows."""
     w = wh(spark, sf_dir)
-    t = ml.training_set(w.sales(), w.products()).filter(ml.is_test_row())
+    t = ml.training_set(w.keyed_sales()).filter(ml.is_test_row())
     t = t.withColumn("base_value", (F.col("quantity") * F.col("selling_price")).cast("decimal(18,2)"))
     m = ml.regression_metrics(t, "sale_amount", "base_value")
     return m.select("n", *[F.round(c, 6).alias(c) for c in ("mae", "rmse", "r2")])
 
 
-def _models(spark, w, kind):
-    def build():
-        _, paths = ml.train_and_evaluate(_features(spark, w), kind, ml.RF_TREES, ml.RF_DEPTH)
-        return paths["metrics"], paths
-    return _once(w, f"models_{kind}", build)
+def _linear(spark, w):
+    return _once(w, "models_lr", lambda: ml.train_linear(_features(spark, w))[1])
+
+
+def _forests(spark, w):
+    return _once(w, "models_rf", lambda: ml.train_forests(_features(spark, w))[1])
 
 
 @register("lr_metrics")
 def q_lr_metrics(spark, sf_dir):
-    """M5/M7: linear regression per target, hold-out metrics (rows-only check)."""
-    mpath, _ = _models(spark, wh(spark, sf_dir), "lr")
-    return spark.read.parquet(mpath)
+    """M5/M7: linear regression per target, hold-out metrics (rows-only check;
+    ``lr_moments`` and ``lr_orthogonality`` check the fit)."""
+    return spark.read.parquet(_linear(spark, wh(spark, sf_dir))["metrics"])
+
+
+FIT_COLUMNS = [*ml.FEATURE_COLUMNS, *ml.TARGETS]
+FIT_SQL = with_train(f""",
+fit as materialized (
+  select e.category_encoded, t.month, t.quantity, t.discount_percent, cast(t.is_festival_month as int) as is_festival_int, t.cost_price, t.selling_price,
+         ca.category_avg_sale, ma.month_avg_sale,
+         (cast(t.selling_price as double) - cast(t.cost_price as double)) / cast(t.selling_price as double) as profit_margin,
+         t.quantity * t.selling_price as base_sale_value, t.sale_amount, t.profit
+  from train t left join cat_avg ca on t.category_name = ca.category_name left join mon_avg ma on t.month = ma.month
+  join enc e on t.category_name = e.category_name where not ({SPLIT_SQL}))
+""")
+
+
+@register("lr_moments", FIT_SQL + " union all ".join(
+    f"select '{x}' as a, '{y}' as b, round(corr(cast({x} as double), cast({y} as double)), 6) as correlation from fit"
+    for i, x in enumerate(FIT_COLUMNS) for y in FIT_COLUMNS[i:]))
+def q_lr_moments(spark, sf_dir):
+    """M5: the sufficient statistics of the linear fit, as correlations."""
+    rows = ml.usable(_features(spark, wh(spark, sf_dir)))[0].filter(~ml.is_test_row())
+    pairs = [(i, j) for i in range(len(FIT_COLUMNS)) for j in range(i, len(FIT_COLUMNS))]
+    cov = lambda i, j: F.col(f"cov_{i}_{j}")
+    return ml.moments(rows, FIT_COLUMNS).select(F.inline(F.array(*[
+        F.struct(F.lit(FIT_COLUMNS[i]).alias("a"), F.lit(FIT_COLUMNS[j]).alias("b"),
+                 F.round(F.try_divide(cov(i, j), F.sqrt(cov(i, i)) * F.sqrt(cov(j, j))), 6).alias("correlation")) for i, j in pairs])))
+
+
+# Residuals of a least-squares fit are orthogonal to every feature; rounding
+# leaves correlations of some 1e-9 with features as close to each other as these.
+ORTHOGONAL = 1e-6
+
+
+@register("lr_orthogonality", "select * from (values " + ", ".join(
+    f"('{t}', '{f}', true)" for t in ml.TARGETS for f in ml.FEATURE_COLUMNS) + ") v(target, feature, orthogonal)")
+def q_lr_orthogonality(spark, sf_dir):
+    """M5: on the training rows no residual correlates with a feature, which
+    least squares alone has."""
+    w = wh(spark, sf_dir)
+    rows = ml.usable(_features(spark, w))[0].filter(~ml.is_test_row())
+    got = ml.residual_correlations(rows, ml.load_linear(spark, _linear(spark, w)["models"]))
+    return got.select("target", "feature", (F.abs("correlation") < ORTHOGONAL).alias("orthogonal"))
 
 
 @register("rf_metrics")
 def q_rf_metrics(spark, sf_dir):
-    """M6/M7: random forest (100 trees, depth 10) per target (rows-only check)."""
-    mpath, _ = _models(spark, wh(spark, sf_dir), "rf")
-    return spark.read.parquet(mpath)
+    """M6/M7: random forest (100 trees, depth 10) per target (rows-only check;
+    ``forest_scores`` checks the models)."""
+    return spark.read.parquet(_forests(spark, wh(spark, sf_dir))["metrics"])
 
 
 REQUEST_SQL = """,
@@ -775,7 +937,7 @@ def q_request_features(spark, sf_dir):
 def _scored(spark, w):
     """Score the request batch once; the scores are written and reused."""
     def build():
-        _, paths = _models(spark, w, "rf")
+        paths = _forests(spark, w)
         feats, _ = _request_features(spark, w)
         path = new_table_path(spark, "scores")
         ml.score(feats, ml.load_model(paths["sale_amount"]), ml.load_model(paths["profit"])).write.parquet(path)
@@ -789,16 +951,72 @@ def q_score_requests(spark, sf_dir):
     return _scored(spark, wh(spark, sf_dir)).drop("pred_sale", "pred_profit")
 
 
-@register("prediction_log")
-def q_prediction_log(spark, sf_dir):
-    """M9: the logged predictions of requests with ``store_in_db`` (rows-only check)."""
+REQUEST_COLUMNS_SQL = O.q(DIM_TIME_SQL + TRAIN_SQL + REQUEST_SQL + """
+, known as (
+  select r.category, r.month, r.quantity, r.discount_percent, r.store_in_db, coalesce(f.is_festival_int, 0) = 1 as is_festival_month
+  from req r join categories c on c.category_name = r.category
+  join cat_avg ca on ca.category_name = r.category join mon_avg ma on ma.month = r.month left join mflag f on f.month = r.month)
+""")
+
+
+def _forest_tables(spark, w):
+    """The forests as node tables, written once."""
+    def build():
+        root, paths = new_table_path(spark, "forests"), _forests(spark, w)
+        for target in ml.TARGETS:
+            forest.nodes(spark, paths[target]).write.parquet(f"{root}/{target}")
+        return root
+    root = _once(w, "forest_tables", build)
+    return {target: spark.read.parquet(f"{root}/{target}") for target in ml.TARGETS}
+
+
+@register("forest_scores", REQUEST_COLUMNS_SQL + "select *, true as same_sale, true as same_profit, true as same_margin from known")
+def q_forest_scores(spark, sf_dir):
+    """All requests scored by joins with the exported trees: equal to
+    the models' own predictions, and their margin recomputed (P12)."""
     w = wh(spark, sf_dir)
 
+    def build():
+        tables, path = _forest_tables(spark, w), new_table_path(spark, "forest_scores")
+        feats, _ = _request_features(spark, w)
+        sale = forest.predict(feats, tables["sale_amount"], ml.FEATURE_COLUMNS, "by_join_sale")
+        both = forest.predict(sale, tables["profit"], ml.FEATURE_COLUMNS, "by_join_profit")
+        both.select("category", "month", "quantity", "by_join_sale", "by_join_profit").write.parquet(path)
+        return path
+    joined = _scored(spark, w).join(spark.read.parquet(_once(w, "forest_scores", build)), ["category", "month", "quantity"])
+    same = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(a))
+    margin = F.round(money.guarded_percent("by_join_profit", "by_join_sale"), 2)
+    return joined.select("category", "month", "quantity", "discount_percent", "store_in_db", "is_festival_month",
+                         same("pred_sale", "by_join_sale").alias("same_sale"), same("pred_profit", "by_join_profit").alias("same_profit"),
+                         (F.abs(margin - F.col("profit_margin_percent")) <= 0.011).alias("same_margin"))
+
+
+def _logged(spark, w):
     def build():
         path = new_table_path(spark, "prediction_history")
-        ml.log_predictions(_scored(spark, w), path)
+        for _ in range(2):      # a retry logs nothing twice
+            ml.log_predictions(_scored(spark, w), path, "requests")
         return path
-    return spark.read.parquet(_once(w, "prediction_log", build)).drop("created_at")
+    return ml.read_log(spark, _once(w, "prediction_log", build))
+
+
+@register("prediction_log")
+def q_prediction_log(spark, sf_dir):
+    """M9: the logged predictions of requests with ``store_in_db`` (rows-only
+    check; ``prediction_log_rows`` checks all but the predictions)."""
+    return _logged(spark, wh(spark, sf_dir)).drop("created_at")
+
+
+@register("prediction_log_rows", REQUEST_COLUMNS_SQL + """
+select category as category_name, month, quantity, cast(discount_percent as decimal(5,2)) as discount_percent, true as as_scored, true as dated
+from known where store_in_db""")
+def q_prediction_log_rows(spark, sf_dir):
+    """M9: every request to be stored is logged once, with the scored values and a time."""
+    w = wh(spark, sf_dir)
+    scored = _scored(spark, w).select(F.col("category").alias("category_name"), "month", "quantity", "pred_sale", "pred_profit")
+    log = _logged(spark, w).join(scored, ["category_name", "month", "quantity"])
+    kept = (F.col("predicted_sale") == F.col("pred_sale").cast("decimal(12,2)")) & (F.col("predicted_profit") == F.col("pred_profit").cast("decimal(12,2)"))
+    return log.select("category_name", "month", "quantity", "discount_percent", kept.alias("as_scored"), F.col("created_at").isNotNull().alias("dated"))
 
 
 # ---------------------------------------------------------------------- export
@@ -822,17 +1040,36 @@ def q_export_documents(spark, sf_dir):
     return documents.read_documents(spark, _once(w, "docs", build), schema)
 
 
-@register("export_sale_documents")
+SALE_DOCUMENT_COLUMNS = ["product_id", "product_name", "quantity", "sale_amount", "profit", "is_festival", "sale_date"]
+
+
+@register("export_sale_documents", O.q(""",
+docs as (
+  select 'product_' || cast(product_id as varchar) as product_id, product_name, quantity, cast(sale_amount as double) as sale_amount,
+         cast(profit as double) as profit, is_festival_month as is_festival, created_at as sale_date from sales),
+numbered as (select *, row_number() over (partition by """ + ", ".join(SALE_DOCUMENT_COLUMNS) + """) as k from docs),
+named as (select *, sha256(""" + " || ".join(
+    f"coalesce(octet_length(encode(cast({c} as varchar))) || ':' || cast({c} as varchar), '-')" for c in SALE_DOCUMENT_COLUMNS) + """) as content from numbered)
+select sha256('first/' || sha256(content || '#' || k)) as doc_id, """ + ", ".join(SALE_DOCUMENT_COLUMNS) + " from named"))
 def q_export_sale_documents(spark, sf_dir):
-    """S11 (add): every sale as a document under a generated id (rows-only check)."""
+    """S11 (add): every sale as a document under an id made of its content; the batch is sent twice."""
     w = wh(spark, sf_dir)
+    docs = documents.sale_documents(w.sales())
 
     def build():
         path = new_table_path(spark, "sale_documents")
-        documents.add_documents(documents.sale_documents(w.sales()), path)
+        for _ in range(2):
+            documents.add_documents(docs, path, "first")
         return path
-    schema = documents.sale_documents(w.sales()).schema.add("doc_id", "string")
-    return documents.read_documents(spark, _once(w, "sale_docs", build), schema)
+    schema = documents.with_content_ids(docs).schema
+    return documents.read_added(spark, _once(w, "sale_docs", build), schema)
+
+
+@register("categories_json", O.q("""
+select '{"category_id":' || category_id || ',"category_name":"' || category_name || '","description":"' || description || '"}' as json from categories"""))
+def q_categories_json(spark, sf_dir):
+    """Result rows as JSON objects."""
+    return documents.as_json_rows(wh(spark, sf_dir).categories())
 
 
 # ------------------------------------------------------------ SQL over views

@@ -17,22 +17,25 @@ more above.
    pairs are formed from the rest;
 3. every bucket names its smallest member as hub, and members are compared
    with hubs on their full sets.  Members of a bucket that are still in
-   different groups are then compared with hubs of other choices, and the
-   members of the buckets that stay open pair by pair if their groups
-   differ, each pair once (under the first A key that both have), so no
-   link between groups is lost, while a bucket of one group costs its size
-   only.
+   different groups are then compared with a hub of another choice;
+4. the members of the buckets that stay open are joined exactly, by the rarest
+   shingles of their sets: of a link both sides have a common one among their
+   first n - ceil(n * percent / 100) + 1, so early that what is left of both
+   sets can still make the link.  So no link between groups is lost, a bucket
+   of one group costs its size only, and members with too many shingles of
+   their own meet nobody.
 
 A null or empty text has an empty set and is linked with nothing.  A null id
 names no document: such rows get component_id null and kept true.  Rows that
-repeat an id are one node; each gets its own n_shingles.
+repeat an id are one node, linked by each of its texts; each row gets its own
+n_shingles.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .files import drop_tables, store
 from .text import U, chunks, grams, mix, tokenise
@@ -41,7 +44,7 @@ SIZE = 2
 PERCENT = 80
 TABLES = 20
 ROWS = 4
-HUB_ROUNDS = 1          # rounds of hubs before the rest is compared pair by pair
+HUB_ROUNDS = 1          # rounds of other hubs before the rest is joined by rare shingles
 _SEEDS = mix(np.arange(1, 2 * TABLES * ROWS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 _FACTORS = mix(np.arange(1, 2 * TABLES * ROWS + 1, dtype=U) * U(0xC2B2AE3D27D4EB4F)) | U(1)
 
@@ -88,29 +91,26 @@ def signatures(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _sign(size: int):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("print1", pa.int64()), ("print2", pa.int64()), ("keys", pa.list_(pa.int64()))])
+PRINTS = ["n", "print1", "print2"]      # tell sets apart: their size and two 64-bit sums of hashes
+
+
+def _shingled(size: int, what: str):
+    """Per row its id, the prints of its set, and its ``keys`` or its whole ``set``."""
+    schema = pa.schema([("id", pa.int64()), *((c, pa.int64()) for c in PRINTS), (what, pa.list_(pa.int64()))])
 
     def run(batches):
         for rows, data, off in chunks(batches):
             sets, at = shingles(tokenise(data, off, lower=True), size)
-            keys = signatures(sets, at).view(np.int64)
             total = [np.concatenate([[U(0)], np.cumsum(x)]) for x in (sets, mix(sets * U(0xC2B2AE3D27D4EB4F)))]
             prints = [(t[at[1:]] - t[at[:-1]]).view(np.int64) for t in total]
-            cut = pa.array((np.arange(len(at)) * 2 * TABLES).astype(np.int32))
+            values, cut = (sets, at) if what == "set" else (signatures(sets, at).ravel(), np.arange(len(at)) * 2 * TABLES)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(at)), *map(pa.array, prints),
-                                              pa.ListArray.from_arrays(cut, pa.array(keys.ravel()))], schema=schema)
+                                              pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(values.view(np.int64)))], schema=schema)
     return run
 
 
-def _sets(size: int):
-    schema = pa.schema([("id", pa.int64()), ("set", pa.list_(pa.int64()))])
-
-    def run(batches):
-        for rows, data, off in chunks(batches):
-            sets, at = shingles(tokenise(data, off, lower=True), size)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))], schema=schema)
-    return run
+def _with_prints(docs: DataFrame, size: int, what: str) -> DataFrame:
+    return docs.select("id", "text").mapInArrow(_shingled(size, what), f"id long, n long, print1 long, print2 long, {what} array<long>")
 
 
 def _verify(percent: int):
@@ -155,56 +155,68 @@ def components(edges: DataFrame) -> DataFrame:
         edges = nxt
 
 
+def _rare_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of different groups among the members (sid, rep, n,
+    comp), by their rarest shingles: every link between them is among these."""
+    own = members.join(sets, "sid").select("sid", "rep", "n", "comp", F.explode("set").alias("shingle"))
+    counts = own.groupBy("shingle").agg(F.count("*").alias("c"))
+    order = Window.partitionBy("sid").orderBy("c", "shingle")
+    ranked = own.join(counts, "shingle").withColumn("at", F.row_number().over(order))
+    first = ranked.filter(f"c > 1 AND at <= n - ({percent} * n + 99) div 100 + 1").drop("c")
+    first = store(first, "rare-shingles")
+    a = first.selectExpr("shingle", "sid AS a", "rep AS ra", "n AS na", "comp AS ca", "at AS ia")
+    b = first.selectExpr("shingle", "sid AS b", "rep AS rb", "n AS nb", "comp AS cb", "at AS ib")
+    return a.join(b, "shingle").filter(f"a < b AND ca <> cb AND {100 + percent} * (1 + least(na - ia, nb - ib)) >= {percent} * (na + nb)")
+
+
 def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(id, n) of every row and (node, comp) of all nodes that have a partner.  ``docs``: (id long, text)."""
-    signed = store(docs.mapInArrow(_sign(size), "id long, n long, print1 long, print2 long, keys array<long>"), "signatures")
+    signed = store(_with_prints(docs, size, "keys"), "signatures")
     some = signed.filter("n > 0 AND id IS NOT NULL")
-    prints = ["n", "print1", "print2"]
-    reps = some.groupBy(*prints).agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
-    reps = store(reps, "representatives")
+    # one row a set: its smallest id stands for all of them
+    reps = some.groupBy(*PRINTS).agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+    reps = store(reps.withColumn("sid", F.monotonically_increasing_id()), "representatives")
     sizes = store(signed.select("id", "n"), "set-sizes")
-    same = some.select("id", *prints).join(reps.filter("copies > 1").select(*prints, "rep"), prints).selectExpr("id AS a", "rep AS b").filter("a <> b")
-    keys = reps.select("rep", "n", F.posexplode("keys").alias("t", "key"))
+    same = some.select("id", *PRINTS).join(reps.filter("copies > 1").select(*PRINTS, "rep"), PRINTS).selectExpr("id AS a", "rep AS b").filter("a <> b")
+    keys = reps.select("sid", "rep", "n", F.posexplode("keys").alias("t", "key"))
     shared = keys.groupBy("t", "key").agg(F.count("*").alias("c")).filter("c > 1").select("t", "key")
-    live = keys.join(shared, ["t", "key"]).groupBy("rep", "n").agg(F.collect_list(F.struct("t", "key")).alias("ks"))
-    live = live.withColumn("ks", F.array_sort("ks")).select("rep", "n", F.expr(f"transform(filter(ks, k -> k.t < {TABLES}), k -> k.key)").alias("ka"),
+    live = keys.join(shared, ["t", "key"]).groupBy("sid", "rep", "n").agg(F.collect_list(F.struct("t", "key")).alias("ks"))
+    live = live.select("sid", "rep", "n", F.expr(f"transform(filter(ks, k -> k.t < {TABLES}), k -> k.key)").alias("ka"),
                        F.expr(f"transform(filter(ks, k -> k.t >= {TABLES}), k -> k.key)").alias("kb"))
     live = store(live, "shared-keys")
     # the full sets of all documents that can meet another are made once, for every comparison below
-    sets = store(docs.join(live.selectExpr("rep AS id"), "id", "left_semi").dropDuplicates(["id"]).select("id", "text").mapInArrow(_sets(size), "id long, set array<long>"), "sets")
-    tables = live.select("rep", "n", F.explode("ka").alias("ka"), "kb").select("rep", "n", "ka", F.explode("kb").alias("kb"))
-    tables = tables.select("rep", "n", F.xxhash64("ka", "kb").alias("key"))
+    mine = reps.join(live.select("sid"), "sid", "left_semi").selectExpr("rep AS id", *PRINTS, "sid")
+    texts = docs.join(mine.select("id").distinct(), "id", "left_semi")
+    sets = store(_with_prints(texts, size, "set").join(mine, ["id", *PRINTS]).select("sid", "set").dropDuplicates(["sid"]), "sets")
+    tables = live.select("sid", "rep", "n", F.explode("ka").alias("ka"), "kb").select("sid", "rep", "n", "ka", F.explode("kb").alias("kb"))
+    tables = tables.select("sid", "rep", "n", F.xxhash64("ka", "kb").alias("key"))
     several = tables.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     members = store(tables.join(several, "key"), "buckets")
 
     def compare(pairs: DataFrame) -> DataFrame:
-        """Verified ones of the pairs (a, na, b, nb); sizes rule most out."""
-        pairs = pairs.filter(f"a <> b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
-        full = pairs.join(sets.selectExpr("id AS a", "set AS x"), "a").join(sets.selectExpr("id AS b", "set AS y"), "b")
-        return store(full.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
+        """Links of the verified ones of the pairs (a, na, ra, b, nb, rb); sizes rule most out."""
+        pairs = pairs.filter(f"a <> b AND ra <> rb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+        pairs = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "least(ra, rb) AS ra", "greatest(ra, rb) AS rb").distinct()
+        full = pairs.join(sets.selectExpr("sid AS a", "set AS x"), "a").join(sets.selectExpr("sid AS b", "set AS y"), "b")
+        return store(full.select("ra", "rb", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
+
+    def with_hub(buckets: DataFrame) -> DataFrame:
+        return buckets.filter("sid <> h.sid").selectExpr("sid AS a", "n AS na", "rep AS ra", "h.sid AS b", "h.n AS nb", "h.rep AS rb")
 
-    hubs = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h"))
-    found = compare(members.join(hubs, "key").selectExpr("rep AS a", "n AS na", "h.rep AS b", "h.n AS nb"))
+    hubs = members.groupBy("key").agg(F.min(F.struct("rep", "sid", "n")).alias("h"))
+    found = compare(with_hub(members.join(hubs, "key")))
     comp = components(found.union(same))
     drop_tables(found, signed)
     open_ = members
     for step in range(HUB_ROUNDS + 1):
         # a bucket stays open while it holds members of several groups
-        placed = open_.select("key", "rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+        placed = open_.select("key", "sid", "rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "sid", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
         mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                          F.max(F.struct(F.xxhash64("rep", F.lit(step)), "rep", "n", "comp")).alias("h")).filter("x < y")
+                                          F.max(F.struct(F.xxhash64("sid", F.lit(step)).alias("o"), "sid", "rep", "n", "comp")).alias("h")).filter("x < y")
         still = store(placed.join(mixed.select("key", "h"), "key"), "open-buckets")
         drop_tables(open_)
         open_ = still
-        if step < HUB_ROUNDS:
-            pairs = open_.filter("comp <> h.comp").selectExpr("rep AS a", "n AS na", "h.rep AS b", "h.n AS nb")
-        else:
-            own = open_.select("rep", "comp").distinct().join(live, "rep")
-            a = own.select(F.explode("ka").alias("k"), F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("ka").alias("xa"), F.col("kb").alias("xb"))
-            b = own.select(F.explode("ka").alias("k"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("ka").alias("ya"), F.col("kb").alias("yb"))
-            pairs = a.join(b, (a.k == b.k) & F.expr(f"a < b AND ca <> cb AND 100 * least(na, nb) >= {percent} * greatest(na, nb) "
-                                                    "AND arrays_overlap(xb, yb)") & (F.element_at(F.array_intersect("xa", "ya"), 1) == a.k))
-        found = compare(pairs.select("a", "na", "b", "nb"))
+        found = compare(with_hub(open_.filter("comp <> h.comp")) if step < HUB_ROUNDS else _rare_pairs(open_.select("sid", "rep", "n", "comp").distinct(), sets, percent))
         new = components(comp.selectExpr("node AS a", "comp AS b").union(found))
         drop_tables(comp, found)
         comp = new
@@ -224,5 +236,6 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT,
     """The documents (all columns) without the members of a group but its
     smallest id.  Rows that repeat a kept id stay."""
     _, comp = links(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), size, percent)
-    gone = comp.filter("node <> comp").select("node")
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("node"), "left_anti")
+    node = next(c for i in range(len(docs.columns) + 1) if (c := f"node{i}") not in docs.columns)
+    gone = comp.filter("node <> comp").select(F.col("node").alias(node))
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(node), "left_anti")

@@ -41,9 +41,10 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of benchmark passages go; a document that holds nothing else goes."""
-    got = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    others = F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("others")     # their names may be the operator's
+    got = decontaminate.decontaminate(docs.select(others, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     kept = got.filter("n_hit = 0 OR n_hit < n_words")
-    return _counted(kept.select(*[F.col("cleaned").alias("text") if c == "text" else F.col(c) for c in docs.columns]))
+    return _counted(kept.select(*[F.col("cleaned").alias("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns]))
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

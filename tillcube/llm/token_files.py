@@ -10,13 +10,19 @@ without copying.  A second stream beside it lists its documents (id, start
 within the file, number of tokens).  The manifest has one row a file with
 the ids before it, so starts are global when read.
 
+Beside every stream lies an index of its batches' byte offsets, so sequence i
+is read by one seek (``Sequences``, and ``read_sequences`` for many at once).
+
 White space never joins two words, so ids are looked up by
 white-space-separated pieces, each encoded once by the library.  This holds
 for lower-casing word tokenizers like the one given; others are refused.  A
 piece reaches the library as it stands: normalisers and added tokens such as
-``<|endoftext|>`` tell capitals apart.  Only runs of ASCII letters and digits
-share the look-up of their lower-cased form, and a full stop or comma after
-an ASCII letter has its own, both only where no added token can lie in them.
+``<|endoftext|>`` tell capitals apart.  Only pieces of plain letters (ASCII and
+U+00C0 to U+00FF, which composition cannot change) share the look-up of their
+lower-cased form, and a full stop or comma after one has its own; new ones
+are encoded by the library's model many at a time, without its normaliser,
+where a probe shows that this gives the same ids.  All that only where no added
+token can lie in them.
 
 Null and empty texts have the end id only.  Rows of one id are ordered by a
 hash of the text; a null id comes first.  Finished files appear under their
@@ -26,12 +32,15 @@ name at once, so another attempt of a task is harmless.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .files import new_folder, once, open_folder, publish
 from .routing import keyed
@@ -43,48 +52,74 @@ ROWS = 256              # sequences of a batch
 CACHE = 300_000         # pieces kept in a task
 
 
+# a line: plain letters and a mark, or anything else
+_LINE = re.compile("^(?:([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,]?)|(.*))$", re.M)
+_PROBE = ["a", "word", "Words", "ÀÉÎÕÜ", "straße", "naïvetés", "zzzzxqj", "ÿþ", "internationalisation"]
+
+
 class _Encoder:
     def __init__(self, model: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(model)
-        self.kind = kind
+        self.kind, self.size = kind, np.dtype(kind).itemsize
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.shared = not any((c.isascii() and c.isalnum()) or "." in c or "," in c for c in added)
+        self.shared = not any(c.isalpha() or "." in c or "," in c for c in added)
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        # the model alone, for lower-case letters between spaces; a word ends with an id that says so
+        self.plain = Tokenizer.from_str(model)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        probe = [w.lower() for w in _PROBE]
+        self.fast = bool(suffix) and self._library(_PROBE) == self._library(probe) == self._model(probe)
 
-    def _form(self, word: bytes) -> tuple[bytes, bytes]:
-        """The parts whose ids, one after the other, are those of the word."""
-        last = b""
+    def _library(self, parts: list[str]) -> list[bytes]:
+        return [np.array(g.ids, self.kind).tobytes() for g in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _model(self, parts: list[str]) -> list[bytes]:
+        """Ids of words of plain lower-case letters."""
+        got = self.plain.encode_batch_fast([" ".join(parts[i:i + 2000]) for i in range(0, len(parts), 2000)], add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(g.ids for g in got), self.kind)
+        raw, cut = ids.tobytes(), [0, *((np.flatnonzero(self.ends[ids]) + 1) * self.size).tolist()]
+        return [raw[x:y] for x, y in zip(cut[:-1], cut[1:])]
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of new words, into the cache."""
+        text = b"\n".join(new).decode()
         if self.shared:
-            if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
-                word, last = word[:-1], word[-1:]
-            if word.isalnum():              # of bytes: ASCII only
-                word = word.lower()
-        return word, last
+            letters, marks, others = zip(*_LINE.findall(text))
+            letters = "\n".join(letters).lower().split("\n")
+        else:
+            others = text.split("\n")
+            letters = marks = [""] * len(others)
+        if len(self.parts) > CACHE:
+            self.parts = {}
+        known = self.parts
+        known[""] = b""
+        for parts, encode in ((set(letters), self._model if self.fast else self._library), (set(others).union(marks), self._library)):
+            if parts := list(parts - known.keys()):
+                known.update(zip(parts, encode(parts)))
+        ids = known.__getitem__                         # of a word, letters or else the rest are empty
+        self.cache.update(zip(new, map(add, map(ids, map(add, letters, others)), map(ids, marks))))
 
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """Ids of each text and the end id, little-endian."""
         words = [t.split() for t in texts]
-        new = [w for w in set().union(*words) if w not in self.cache]
+        new = set().union(*words) - self.cache.keys()
         if new:
-            cache, older = self.cache, self.older
-            if len(cache) + len(new) > CACHE:           # words not met since the last turn are forgotten
-                self.older, self.cache = older, cache = cache, {}
-                new = list(set().union(*words))
-            forms = {w: self._form(w) for w in new if w not in older}
-            cache.update((w, older[w]) for w in new if w in older)
-            parts = list({p for f in forms.values() for p in f if p} - self.parts.keys())
-            if len(self.parts) + len(parts) > CACHE:
-                self.parts = {}
-                parts = list({p for f in forms.values() for p in f if p})
-            got = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-            self.parts.update((p, np.array(g.ids, self.kind).tobytes()) for p, g in zip(parts, got))
-            known = self.parts
-            known[b""] = b""
-            cache.update((w, known[a] + known[b]) for w, (a, b) in forms.items())
+            if len(self.cache) + len(new) > CACHE:      # words not met since the last turn are forgotten
+                self.older, self.cache = self.cache, {}
+                new = set().union(*words)
+            older = self.older
+            self.cache.update((w, older[w]) for w in new & older.keys())
+            if fresh := list(new - older.keys()):
+                self._learn(fresh)
         ids = self.cache.__getitem__
         return [b"".join(map(ids, w)) + end for w in words]
 
@@ -109,11 +144,12 @@ def _write(folder: str, model, end_id: int, length: int, wide: bool):
         at, rest = 0, np.zeros(0, kind)
         with store.open_output_stream(f"{base}/{name}.arrows{mark}") as a, store.open_output_stream(f"{base}/{name}.docs{mark}") as b:
             shape = _sequences(length, width)
-            ids_file, docs_file = pa.ipc.new_stream(a, shape), pa.ipc.new_stream(b, DOCUMENTS)
+            ids_file, docs_file, places = pa.ipc.new_stream(a, shape), pa.ipc.new_stream(b, DOCUMENTS), []
 
             def put(values, mask):
-                ids_file.write_table(pa.Table.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(values), length),
-                                                           pa.FixedSizeListArray.from_arrays(pa.array(mask), length)], schema=shape), ROWS)
+                for lo in range(0, len(values), ROWS * length):
+                    places.append(a.tell())
+                    ids_file.write_batch(pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x[lo:lo + ROWS * length]), length) for x in (values, mask)], schema=shape))
 
             for rows, data, off in chunks(batches):
                 raw = data.tobytes()
@@ -124,7 +160,7 @@ def _write(folder: str, model, end_id: int, length: int, wide: bool):
                 at += int(n.sum())
                 rest = np.concatenate([rest, np.frombuffer(b"".join(out), kind)])
                 if len(rest) >= ROWS * length:
-                    full = len(rest) // length * length
+                    full = len(rest) // (ROWS * length) * ROWS * length     # whole batches: sequence i is in batch i // ROWS
                     put(rest[:full], np.ones(full, bool))
                     rest = rest[full:].copy()
             if len(rest):
@@ -133,7 +169,9 @@ def _write(folder: str, model, end_id: int, length: int, wide: bool):
             ids_file.close()
             docs_file.close()
         if at:
-            for ext in ("arrows", "docs"):
+            with store.open_output_stream(f"{base}/{name}.index{mark}") as c:
+                c.write(np.array(places, "<i8").tobytes())
+            for ext in ("index", "docs", "arrows"):
                 publish(store, f"{base}/{name}.{ext}", f"{base}/{name}.{ext}{mark}")
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part]), pa.array([at])], schema=schema)
         else:
@@ -168,17 +206,93 @@ def write_files(docs: DataFrame, tokenizer_file: str, length: int = LENGTH, end_
     return folder, spark.createDataFrame(manifest, "name string, base long, n_tokens long").repartition(max(1, len(done)), "name")
 
 
+def _source(store, path: str):
+    return pa.memory_map(path) if store.type_name == "local" else store.open_input_file(path)
+
+
+class Sequences:
+    """Random access to the sequences of one file: ``file[i]`` gives (ids,
+    mask) of sequence i, from its batch alone; over a memory map nothing is
+    copied."""
+
+    def __init__(self, folder: str, name: str):
+        store, root = open_folder(folder)
+        self.file = _source(store, f"{root}/{name}.arrows")
+        with store.open_input_stream(f"{root}/{name}.index") as c:
+            self.places = np.frombuffer(c.read(), "<i8")
+        self.schema = pa.ipc.open_stream(self.file).schema
+        self.at, self.batch = -1, None
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        k = i // ROWS
+        if i < 0 or k >= len(self.places):
+            raise IndexError(i)
+        if k != self.at:
+            self.file.seek(int(self.places[k]))
+            message = pa.ipc.read_message(self.file)
+            if message.type == "schema":            # the stream writes it with its first batch
+                message = pa.ipc.read_message(self.file)
+            self.at, self.batch = k, pa.ipc.read_record_batch(message, self.schema)
+        if i % ROWS >= self.batch.num_rows:
+            raise IndexError(i)
+        row = [self.batch.column(c).slice(i % ROWS, 1).flatten() for c in (0, 1)]
+        return row[0].to_numpy(), row[1].to_numpy(zero_copy_only=False)
+
+    def close(self) -> None:
+        self.file.close()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.close()
+
+
+def numbered_files(manifest: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The manifest with ``first``, the number of sequences in all files before,
+    and ``sequences``, those of the file."""
+    files = manifest.withColumn("sequences", F.expr(f"(n_tokens + {length - 1}) div {length}"))
+    before = Window.orderBy("base").rowsBetween(Window.unboundedPreceding, -1)         # one row a file
+    return files.withColumn("first", F.coalesce(F.sum("sequences").over(before), F.lit(0)))
+
+
+def read_sequences(folder: str, manifest: DataFrame, wanted: DataFrame, length: int = LENGTH) -> DataFrame:
+    """sequence, ids and mask of the sequences numbered in ``wanted`` (column
+    ``sequence``, over all files in order); numbers that are null or beyond
+    the last one are left out, repeated ones come once.  Tasks seek to what is
+    wanted and read no other batch."""
+    files = numbered_files(manifest, length).select("name", "first", "sequences")
+    hits = wanted.select(F.col("sequence").cast("long").alias("sequence")).distinct().join(F.broadcast(files), F.expr("sequence >= first AND sequence < first + sequences"))
+    hits = hits.select("name", "sequence", (F.col("sequence") - F.col("first")).alias("at")).repartitionByRange("name", "at").sortWithinPartitions("name", "at")
+    schema = pa.schema([("sequence", pa.int64()), ("ids", pa.list_(pa.int64())), ("mask", pa.list_(pa.bool_()))])
+
+    def run(batches):
+        held, name = None, None
+        for rows in batches:
+            for lo in range(0, rows.num_rows, ROWS):
+                part, ids, masks = rows.slice(lo, ROWS).to_pylist(), [], []
+                for r in part:
+                    if r["name"] != name:
+                        if held:
+                            held.close()
+                        name, held = r["name"], Sequences(folder, r["name"])
+                    x, m = held[r["at"]]
+                    ids.append(x.astype(np.int64))
+                    masks.append(m)
+                yield pa.RecordBatch.from_arrays([pa.array([r["sequence"] for r in part], pa.int64()), pa.array(ids, pa.list_(pa.int64())), pa.array(masks, pa.list_(pa.bool_()))], schema=schema)
+        if held:
+            held.close()
+    return hits.mapInArrow(run, "sequence long, ids array<long>, mask array<boolean>")
+
+
 def read_documents(folder: str, manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the files."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
-    def source(store, path):
-        return pa.memory_map(path) if store.type_name == "local" else store.open_input_file(path)
-
     def run(batches):
         store, root = open_folder(folder)
         for row in (r for b in batches for r in b.to_pylist()):
-            with source(store, f"{root}/{row['name']}.arrows") as a, source(store, f"{root}/{row['name']}.docs") as b:
+            with _source(store, f"{root}/{row['name']}.arrows") as a, _source(store, f"{root}/{row['name']}.docs") as b:
                 sequences = pa.ipc.open_stream(a)
                 held, begin = np.zeros(0, "<u2"), 0         # ids from ``begin`` on
                 for docs in pa.ipc.open_stream(b):

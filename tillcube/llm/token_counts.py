@@ -15,9 +15,8 @@ or special tokens, truncates or pads.
 
 Texts move only where contents are missing, one a content and map task.  A
 content of many copies is aggregated before the shuffle; its count returns to
-the rows by a broadcast of the contents that have more than
-max(``COPIES``, rows / ``HOT``) copies, at most ``HOT`` of them, and to all other
-rows by a shuffled join.
+the rows by a broadcast of the contents of most copies (a bounded number, see
+``skew.join_facts``), and to all other rows by a shuffled join.
 
 Every row gets its own result, also with a null or repeated id.  An empty
 table gives no rows.  An append that is done twice (a retried job) stores the
@@ -34,11 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .files import drop_tables, once, store
+from .skew import join_facts
 from .text import chunks
 
 LIMIT = 4096
-COPIES = 1000
-HOT = 10_000
 STORED = "tokenizer string, content binary, n_tokens long"
 
 
@@ -136,10 +134,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: CountCache, id_col
     if number := missing.count():
         cache.append(_encode(_missing_texts(docs, content, text, missing, number, contents.count()), tokenizer), version)
     counts = contents.join(cache.counts(version), "content")
-    least = max(COPIES, rows.count() // HOT)
-    hot = F.broadcast(counts.filter(F.col("copies") > least).drop("copies"))
-    rare = counts.filter(F.col("copies") <= least).drop("copies")
-    out = rows.join(hot, "content").union(rows.join(hot.drop("n_tokens"), "content", "left_anti").join(rare, "content"))
+    out = join_facts(rows, counts, "content", "copies", rows.count())
     out = store(out.select("id", "n_bytes", "n_tokens"), "token-counts")
     drop_tables(rows, contents, missing)
     return out

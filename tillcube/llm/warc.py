@@ -24,7 +24,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .files import new_folder, open_folder, publish
+from .files import drop_tables, new_folder, open_folder, publish, store
+from .skew import COPIES, join_facts
 
 SKIPPABLE = 0x184D2A5D          # fixed value: magic number of the dictionary frame
 ZSTD_MAGIC = 0xFD2FB528         # fixed value: magic number of a Zstandard frame
@@ -36,8 +37,11 @@ BUFFER = 1 << 20
 def dictionary(pages: DataFrame, text_col: str = "html") -> bytes:
     """A dictionary fitted on up to ``DICT_SAMPLES`` records (of the smallest
     digests), the first 8 kB of each; empty if there is too little text."""
-    some = pages.filter(F.length(text_col) > 0).select(F.md5(text_col).alias("h"), F.substring(text_col, 1, 8192).alias("t")).orderBy("h").limit(DICT_SAMPLES)
-    raw = [r.t.encode() for r in some.collect()]
+    digests = pages.filter(F.length(text_col) > 0).select(F.md5(text_col).alias("h"))
+    # every task sends DICT_SAMPLES digests; only the chosen texts follow, one a digest
+    chosen = [r.h for r in digests.distinct().orderBy("h").limit(DICT_SAMPLES).collect()]
+    some = pages.select(F.md5(text_col).alias("h"), F.substring(text_col, 1, 8192).alias("t")).filter(F.col("h").isin(chosen))
+    raw = [r.t.encode() for r in some.groupBy("h").agg(F.first("t").alias("t")).orderBy("h").collect()]
     if sum(map(len, raw)) < 8 * DICT_BYTES:
         return b""
     try:
@@ -131,10 +135,10 @@ def _write(folder: str, raw_dictionary):
             for rows in batches:
                 for lo in range(0, rows.num_rows, 64):
                     for r in rows.slice(lo, 64).to_pylist():
-                        payload = (r["html"] or "").encode()
-                        http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-                        kind = "response" if r["first"] else "revisit"
-                        data = record(r["page_id"], " ".join((r["url"] or "").split()), kind, http + (payload if r["first"] else b""), digest(payload), r["response"])
+                        http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {r['size']}\r\n\r\n".encode()
+                        sha = base64.b32encode(bytes.fromhex(r["sha"])).decode()
+                        kind, payload = ("revisit", b"") if r["html"] is None else ("response", r["html"].encode())
+                        data = record(r["page_id"], " ".join((r["url"] or "").split()), kind, http + payload, sha, r["response"])
                         out.write(writer.compress(data))
                         n += 1
         if n:
@@ -150,14 +154,26 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id"
     spark = pages.sparkSession
     raw = spark.sparkContext.broadcast(dictionary(pages, html_col))
     html = F.coalesce(F.col(html_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), html.alias("html"), F.sha1(F.encode(html, "UTF-8")).alias("sha"),
-                        F.monotonically_increasing_id().alias("row"))
-    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
-    firsts = rows.select("sha", "html", order.alias("o")).filter(F.octet_length("html") >= min_bytes).groupBy("sha").agg(F.count("*").alias("n"), F.min("o").alias("o"))
-    joined = rows.join(firsts.filter("n > 1").select("sha", F.col("o.page_id").alias("response"), F.col("o.row").alias("r")), "sha", "left")
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.octet_length(html).cast("long").alias("size"),
+                        F.sha1(F.encode(html, "UTF-8")).alias("sha"), html.alias("html"))
+    large, nothing = F.col("size") >= min_bytes, F.lit(None)
+    place = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url")
+    # equal rows are one with their number; the first of a payload is its response, the rest revisit it
+    known = store(rows.filter(large).groupBy("sha", "page_id", "url", "size").agg(F.count("*").alias("rows")), "warc-rows")
+    firsts = known.groupBy("sha").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+    again = join_facts(known, firsts, "sha", "copies", known.count())
+    again = again.withColumn("rows", F.col("rows") - (place == F.col("first")).cast("long")).filter("rows > 0")
+    again = again.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(rows - 1) div {COPIES}")))).repartition("sha", "page_id", "run")
+    again = again.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES), F.col("rows") - F.col("run") * COPIES))))
+    again = again.select("page_id", "url", "size", "sha", nothing.cast("string").alias("html"), F.col("first.page_id").alias("response"))
+    payloads = rows.filter(large).groupBy("sha").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("html").alias("html"))
+    columns = [F.col("first.page_id").alias("page_id"), F.col("first.url").alias("url"), "size", "sha", "html", nothing.cast("long").alias("response")]
+    every = payloads.select(*columns).union(again)
+    if min_bytes > 0:
+        every = every.union(rows.filter(~large).select("page_id", "url", "size", "sha", "html", nothing.cast("long").alias("response")))
     folder = new_folder(spark, "warc")
-    done = joined.select("page_id", "url", "html", F.coalesce(F.col("r") == F.col("row"), F.lit(True)).alias("first"), "response") \
-        .mapInArrow(_write(folder, raw), "name string, records long").toPandas()
+    done = every.mapInArrow(_write(folder, raw), "name string, records long").toPandas()
+    drop_tables(known)
     files = pa.table({"name": pa.array(done.name.to_list(), pa.string()), "records": pa.array(done.records.to_numpy(), pa.int64())})
     return folder, spark.createDataFrame(files, "name string, records long").repartition(max(1, len(done)), "name")
 

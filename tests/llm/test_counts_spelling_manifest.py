@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tillcube.llm import manifest, queries, spelling, token_counts
+from tillcube.llm import manifest, queries, skew, spelling, token_counts
 from tillcube.llm.files import new_folder
 
 MODEL = f"{queries.TOKENIZERS}/piece_bpe_32k.model"
@@ -61,7 +61,7 @@ def test_only_distinct_misses_are_encoded(spark, monkeypatch):
 
 
 def test_token_counts_of_hot_contents_and_no_rows(spark, monkeypatch):
-    monkeypatch.setattr(token_counts, "COPIES", 3)
+    monkeypatch.setattr(skew, "COPIES", 3)
     docs = spark.createDataFrame([(i, "hot" if i % 2 else f"rare {i}") for i in range(40)], "doc_id long, text string")
     cache = token_counts.CountCache(spark, new_folder(spark, "cache"))
     got = {r.id: r.n_tokens for r in token_counts.count_tokens(docs, MODEL, cache).collect()}

@@ -9,9 +9,10 @@ occurrences located by sampled suffix positions, and the spans merged.
 Documents are never shuffled.
 
 Phrases are windows of ``window`` consecutive words of an item; an item of
-fewer words, but not none, is one phrase.  They travel in blocks of at most
-``MAX_BLOCK_WORDS`` item words (the proven size of the broadcast); each block
-is one more pass over the documents within the same stage.
+fewer words, but not none, is one phrase.  Tasks cut the items into runs of
+words and write the phrases to files of the shared folder, blocks of at most
+``MAX_BLOCK_WORDS`` item words; a scan task holds one block at a time, and each
+further one is one more search over the documents within the same stage.
 
 Null or empty texts have no words and no hits; a null item id counts as the
 item ''; rows of one item id are one item.  A clashing input column of the
@@ -20,13 +21,18 @@ name of a result column is replaced by the result.
 
 from __future__ import annotations
 
+import io
+import json
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from .files import drop_tables, new_folder, once, open_folder, publish, store
 from .fmindex import FMIndex
-from .text import alnum, chunks, column_bytes, cover, runs_of, tokenise
+from .text import alnum, chunks, cover, runs_of, tokenise
 
 WINDOW = 10
 MAX_BLOCK_WORDS = 2_000_000
@@ -35,21 +41,75 @@ SAMPLE = 16
 RESULT = ("n_words", "n_hit", "items", "hit_starts", "hit_ends", "cleaned")
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, window: int):
-    """Phrases in blocks: (vocabulary, patterns, lengths, item of each)."""
-    held, words = [], 0
-    for row in items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text_col).alias("t")).toLocalIterator():
-        data, off = column_bytes(pa.array([row.t], pa.string()))
-        h = tokenise(data, off, alnum, True).hash
-        if not len(h):
-            continue
-        held.append((row.i, h))
-        words += len(h)
-        if words >= MAX_BLOCK_WORDS:
-            yield _block(held, window)
-            held, words = [], 0
-    if held:
-        yield _block(held, window)
+def _item_words(text_col: str, window: int, longest: int):
+    """The items as hashes of their words, in runs of at most ``longest`` +
+    ``window`` - 1 words that hold every window of the item once."""
+    schema = pa.schema([("item", pa.string()), ("part", pa.int64()), ("n", pa.int64()), ("words", pa.binary())])
+
+    def run(batches):
+        for rows, data, off in chunks(batches, text_col):
+            w = tokenise(data, off, alnum, True)
+            names, out = rows.column(rows.schema.get_field_index("item")).to_pylist(), []
+            for name, x, y in zip(names, w.off[:-1].tolist(), w.off[1:].tolist()):
+                for k, at in enumerate(range(x, max(x + 1, y - window + 1), longest) if y > x else ()):
+                    h = w.hash[at:min(y, at + longest + window - 1)]
+                    out.append((name, k, len(h), h.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, schema.types)], schema=schema)
+    return run
+
+
+def _write_blocks(folder: str, window: int):
+    schema = pa.schema([("name", pa.string())])
+
+    def run(batches):
+        files, base = open_folder(folder)
+        files.create_dir(base)
+        held, block = [], None
+
+        def put():
+            name, mark = f"block-{block:06d}", f".{TaskContext.get().taskAttemptId()}.tmp"
+            *arrays, names = _block(held, window)
+            raw = io.BytesIO()
+            np.savez(raw, *arrays, np.frombuffer(json.dumps(names).encode(), np.uint8))
+            with files.open_output_stream(f"{base}/{name}{mark}") as out:
+                out.write(raw.getbuffer())
+            publish(files, f"{base}/{name}", f"{base}/{name}{mark}")
+            return pa.RecordBatch.from_arrays([pa.array([name])], schema=schema)
+
+        for rows in batches:                    # sorted by block
+            for name, words, k in zip(*(rows.column(rows.schema.get_field_index(c)).to_pylist() for c in ("item", "words", "block"))):
+                if held and k != block:
+                    yield put()
+                    held = []
+                block = k
+                held.append((name, np.frombuffer(words, np.uint64)))
+        if held:
+            yield put()
+    return run
+
+
+def write_blocks(items: DataFrame, id_col: str, text_col: str, window: int) -> tuple[str, list[str]]:
+    """(folder, file names): the phrases of all items, dealt to files of at most
+    ``MAX_BLOCK_WORDS`` words; a long item is cut into overlapping runs."""
+    rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text"))
+    runs = store(rows.mapInArrow(_item_words("text", window, MAX_BLOCK_WORDS // 16), "item string, part long, n long, words binary").dropDuplicates(["item", "words"]), "phrases")
+    blocks = max(1, -(-2 * (runs.agg(F.sum("n")).head()[0] or 0) // MAX_BLOCK_WORDS))
+    while True:                                 # dealt by hash: more blocks, until the largest fits
+        dealt = runs.withColumn("block", F.expr(f"CASE WHEN {blocks} = 1 THEN 0 ELSE pmod(xxhash64(item, part, words), {blocks}) END"))
+        if (dealt.groupBy("block").agg(F.sum("n").alias("n")).agg(F.max("n")).head()[0] or 0) <= MAX_BLOCK_WORDS:
+            break
+        blocks *= 2
+    folder = new_folder(items.sparkSession, "phrase-blocks")
+    done = dealt.repartition(blocks, "block").sortWithinPartitions("block", "item", "part").mapInArrow(_write_blocks(folder, window), "name string").collect()
+    drop_tables(runs)
+    return folder, sorted(r.name for r in done)
+
+
+def _read_block(folder: str, name: str):
+    files, base = open_folder(folder)
+    with files.open_input_file(f"{base}/{name}") as f, np.load(io.BytesIO(f.read())) as got:
+        *arrays, names = (got[f"arr_{i}"] for i in range(6))
+    return *arrays, json.loads(names.tobytes())
 
 
 def _block(held, window):
@@ -119,20 +179,17 @@ def _search(w, block):
     return hits, both[:, 0], both[:, 1]
 
 
-def _task(blocks, text_col, passed):
+def _task(folder, names, text_col, passed):
     def run(batches):
-        loaded = [b.value for b in blocks] if len(blocks) == 1 else None
         for rows, data, off in chunks(batches, text_col, SHARD_BYTES):
             w = tokenise(data, off, alnum, True)
             hits, items = np.zeros(len(w.hash), bool), [set() for _ in range(rows.num_rows)]
-            for k, b in enumerate(blocks):
-                block = loaded[k] if loaded else b.value
+            for name in names:                  # one block in memory, kept for the next chunk if it is the only one
+                block = once(("phrases", folder, name), lambda: _read_block(folder, name))
                 h, docs, which = _search(w, block)
                 hits |= h
                 for d, i in zip(docs.tolist(), which.tolist()):
                     items[d].add(block[-1][i])
-                if not loaded:      # keep one block in memory
-                    vars(b).pop("_value", None)
             a, b = runs_of(hits)
             inner = w.off[(w.off > 0) & (w.off < len(hits))]     # split runs that pass the end of a document
             inner = inner[hits[inner - 1] & hits[inner]]
@@ -170,13 +227,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_
     """The documents' columns, ``n_words``, ``n_hit`` (hit words), ``items`` (ids, as strings and
     sorted), ``hit_starts``/``hit_ends`` (merged byte spans of the hit words
     in the UTF-8 text) and ``cleaned`` (the text without them)."""
-    blocks = [docs.sparkSession.sparkContext.broadcast(b) for b in _blocks(items, item_id, item_text, window)]
+    folder, names = write_blocks(items, item_id, item_text, window)
     passed = [c for c in docs.columns if c not in RESULT]
     longs = ArrayType(LongType())
     schema = StructType([*(docs.schema[c] for c in passed), StructField("n_words", LongType()), StructField("n_hit", LongType()),
                          StructField("items", ArrayType(StringType())),
                          StructField("hit_starts", longs), StructField("hit_ends", longs), StructField("cleaned", StringType())])
-    return docs.select(*passed).mapInArrow(_task(blocks, text_col, passed), schema)
+    return docs.select(*passed).mapInArrow(_task(folder, names, text_col, passed), schema)
 
 
 def digests(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -103,7 +103,7 @@ class _Encoder:
         known = self.parts
         known[""] = b""
         for parts, encode in ((set(letters), self._model if self.fast else self._library), (set(others).union(marks), self._library)):
-            if parts := list(parts - known.keys()):
+            if parts := [p for p in parts if p not in known]:
                 known.update(zip(parts, encode(parts)))
         ids = known.__getitem__                         # of a word, letters or else the rest are empty
         self.cache.update(zip(new, map(add, map(ids, map(add, letters, others)), map(ids, marks))))
@@ -111,14 +111,14 @@ class _Encoder:
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """Ids of each text and the end id, little-endian."""
         words = [t.split() for t in texts]
-        new = set().union(*words) - self.cache.keys()
+        new = [w for w in set().union(*words) if w not in self.cache]
         if new:
             if len(self.cache) + len(new) > CACHE:      # words not met since the last turn are forgotten
                 self.older, self.cache = self.cache, {}
-                new = set().union(*words)
+                new = list(set().union(*words))
             older = self.older
-            self.cache.update((w, older[w]) for w in new & older.keys())
-            if fresh := list(new - older.keys()):
+            self.cache.update((w, older[w]) for w in new if w in older)
+            if fresh := [w for w in new if w not in older]:
                 self._learn(fresh)
         ids = self.cache.__getitem__
         return [b"".join(map(ids, w)) + end for w in words]

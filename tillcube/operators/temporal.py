@@ -3,11 +3,13 @@
 A product price is valid over the closed interval ``[valid_from,
 valid_to]`` with ``9999-12-31`` as the open end.  The price of a product on
 a date is a filter.  The price of each *sale* on its date (J8) joins on the
-product and a bin of the date (a month): every version is listed in the bins
-that it touches, clipped to the sales' span, and the interval is checked in
-the bin.  So a sale meets the one or two versions of its month, however many
-versions its product has.  Reports sum the sales by product and day first, so
-no single sale is shuffled.
+product and a bin of the date.  A version's bins are as wide as the version,
+clipped to the sales' span, is long (a power of two days), so it lies in one or
+two of them; a sale looks in its bin of every width that occurs, and the
+interval is checked in the bin.  So a sale meets few versions, however many
+its product has, and a version is listed at most twice, however long it is
+valid.  Reports sum the sales by product and day first, so no single sale is
+shuffled.
 """
 
 from __future__ import annotations
@@ -51,18 +53,22 @@ def price_at_date(versions: DataFrame, on: dt.date) -> DataFrame:
     return versions.filter((F.col("valid_from") <= d) & (d <= F.col("valid_to")))
 
 
-def _bin(date) -> F.Column:
-    """Month number of a date, the bin of the interval join."""
-    return F.year(date) * 12 + F.month(date)
+def _bin(date, first, width_bits) -> F.Column:
+    """Number of the date's bin, bins of ``2 ** width_bits`` days from ``first`` on."""
+    days = F.datediff(F.col(date) if isinstance(date, str) else date, F.col(first))
+    return F.floor(days / F.pow(F.lit(2.0), F.col(width_bits)))
 
 
 def binned_versions(versions: DataFrame, span: DataFrame) -> DataFrame:
-    """The versions once a month bin that they touch within ``span`` (one row:
-    ``first``, ``last`` day), so an open end costs the span only."""
+    """The versions once a bin that they touch within ``span`` (one row:
+    ``first``, ``last`` day): one or two bins, the narrowest that are no
+    shorter than the version within the span."""
     v = versions.withColumn("first", span.select("first").scalar()).withColumn("last", span.select("last").scalar())
     v = v.filter((F.col("valid_from") <= F.col("last")) & (F.col("valid_to") >= F.col("first")) & (F.col("valid_from") <= F.col("valid_to")))
-    bins = F.sequence(_bin(F.greatest("valid_from", "first")), _bin(F.least("valid_to", "last")))
-    return v.select(F.col("product_id").alias("v_product_id"), F.explode(bins).alias("v_bin"), "valid_from", "valid_to",
+    start, end = F.greatest("valid_from", "first"), F.least("valid_to", "last")
+    v = v.withColumn("v_width", F.length(F.bin(F.datediff(end, start))))
+    bins = F.sequence(_bin(start, "first", "v_width"), _bin(end, "first", "v_width"))
+    return v.select(F.col("product_id").alias("v_product_id"), "v_width", F.explode(bins).alias("v_bin"), "valid_from", "valid_to",
                     F.col("selling_price").alias("price_at_date"), F.col("cost_price").alias("cost_at_date"))
 
 
@@ -73,11 +79,18 @@ def sales_span(sales: DataFrame, date_col: str = "sale_date") -> DataFrame:
 
 def sales_with_price_at_date(sales: DataFrame, versions: DataFrame, span: DataFrame | None = None) -> DataFrame:
     """Each sale (or each row of sums by product and day) with the product
-    versions valid on its sale date."""
-    v = binned_versions(versions, span if span is not None else sales_span(sales))
-    cond = ((F.col("product_id") == F.col("v_product_id")) & (_bin(F.col("sale_date")) == F.col("v_bin"))
+    versions valid on its sale date.
+
+    The versions are never broadcast: Spark takes an exploded table for as
+    small as its input, and the driver would hold all of it."""
+    span = span if span is not None else sales_span(sales)
+    v = binned_versions(versions, span)
+    looked = (sales.withColumn("__first", span.select("first").scalar())
+              .withColumn("__width", F.explode(v.agg(F.collect_set("v_width")).scalar())))
+    cond = ((F.col("product_id") == F.col("v_product_id")) & (F.col("__width") == F.col("v_width"))
+            & (_bin("sale_date", "__first", "__width") == F.col("v_bin"))
             & F.col("sale_date").between(F.col("valid_from"), F.col("valid_to")))
-    return sales.join(v, cond, "inner").drop("v_product_id", "v_bin")
+    return looked.join(v.hint("merge"), cond, "inner").drop("v_product_id", "v_width", "v_bin", "__first", "__width")
 
 
 def product_days(sales: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tillcube import registry
 from tillcube.operators import temporal
 from tillcube.plans.inspect import plan_text
 
@@ -26,3 +27,9 @@ def test_price_versions_never_pass_through_the_driver(spark, wh):
     for report in (temporal.revenue_at_date_prices, temporal.sales_with_price_at_date):
         plan = report(wh.sales(), temporal.price_versions(wh.products()))
         assert plan.count() > 0 and "BroadcastExchange" not in plan_text(plan)
+
+
+def test_star_report_names_every_role(spark, sf_dir):
+    got = {r.table_name: (r.role, r.row_count > 0) for r in registry.QUERIES["star_schema_counts"](spark, sf_dir).collect()}
+    assert got == {"fact_sales": ("Fact table", True), "dim_time": ("Date/festival info", True),
+                   "dim_product": ("Product details", True), "dim_category": ("Category grouping", True)}

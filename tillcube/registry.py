@@ -666,16 +666,22 @@ def q_fragmentation_counts(spark, sf_dir):
     return layout.year_fragment_counts(frags).unionByName(others)
 
 
+# The role of every star table, an output of the report.
+STAR_ROLES = {"fact_sales": "Fact table", "dim_time": "Date/festival info", "dim_product": "Product details", "dim_category": "Category grouping"}
+
+
 @register("star_schema_counts", with_dim_time(DIMS_SQL + """
-select 'fact_sales' as table_name, count(*) as row_count from sales
-union all select 'dim_time', count(*) from dim_time
-union all select 'dim_product', count(*) from dim_product
-union all select 'dim_category', count(*) from dim_category"""))
+select 'fact_sales' as table_name, 'Fact table' as role, count(*) as row_count from sales
+union all select 'dim_time', 'Date/festival info', count(*) from dim_time
+union all select 'dim_product', 'Product details', count(*) from dim_product
+union all select 'dim_category', 'Category grouping', count(*) from dim_category"""))
 def q_star_schema_counts(spark, sf_dir):
-    """Rows of the fact table and each dimension."""
+    """Rows of the fact table and each dimension, with its role."""
     w = wh(spark, sf_dir)
     frames = {name: w.read(path) for name, path in w.star.items()} | {"dim_time": w.dim_time()}
-    return layout.labelled_counts(list(frames.items()), "table_name")
+    counts = layout.labelled_counts(list(frames.items()), "table_name")
+    role = F.create_map(*[F.lit(x) for named in STAR_ROLES.items() for x in named])
+    return counts.select("table_name", role[F.col("table_name")].alias("role"), "row_count")
 
 
 # The first load knows the even products and the years to 1997, the second all.

@@ -1,12 +1,15 @@
 """What grows with the tables: bins of price versions, tasks and sorts of the load, bytes of the exports."""
 
 import datetime as dt
+import glob
 
 from pyspark.sql import functions as F
 
 from tillcube import registry
 from tillcube.operators import temporal
 from tillcube.plans.inspect import plan_text
+from tillcube.session import new_table_path
+from tillcube.sources import documents
 
 
 def test_a_price_version_is_listed_at_most_twice(spark):
@@ -33,3 +36,19 @@ def test_star_report_names_every_role(spark, sf_dir):
     got = {r.table_name: (r.role, r.row_count > 0) for r in registry.QUERIES["star_schema_counts"](spark, sf_dir).collect()}
     assert got == {"fact_sales": ("Fact table", True), "dim_time": ("Date/festival info", True),
                    "dim_product": ("Product details", True), "dim_category": ("Category grouping", True)}
+
+
+def test_added_documents_move_once_and_are_compressed(spark, monkeypatch):
+    monkeypatch.setattr(documents, "COPIES", 3)
+    docs = spark.createDataFrame([("a", 1)] * 10 + [("b", 2)] * 3 + [("c", None)], "name string, v int")
+    path = new_table_path(spark, "added")
+    documents.add_documents(docs, path, "one")
+    files = glob.glob(f"{path.removeprefix('file:')}/batches/*/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    named = documents.with_content_ids(docs)
+    back = documents.read_added(spark, path, named.schema)
+    assert sorted((r.name, r.v or 0) for r in back.collect()) == sorted((r.name, r.v or 0) for r in docs.collect())
+    assert back.select("doc_id").distinct().count() == 14
+    # documents of few copies are not dealt a second time
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "(__n" in plan and "> 3" in plan

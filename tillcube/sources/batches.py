@@ -89,7 +89,8 @@ class BatchTable:
         if not _ID.fullmatch(batch_id):
             raise ValueError(f"batch id {batch_id!r}: letters, digits, '.', '_' and '-' only")
         folder = f"{self.path}/batches/{batch_id}-{uuid.uuid4().hex[:12]}"
-        df.write.format(self.fmt).save(folder)
+        writer = df.write.format(self.fmt)
+        (writer.option("compression", "gzip") if self.fmt == "json" else writer).save(folder)      # Parquet is compressed by itself
         return folder
 
     def batches(self) -> dict[str, str]:

@@ -47,13 +47,14 @@ COPIES = 1000       # equal documents that one row of the numbering stands for
 
 def with_content_ids(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents under ids made of their content and, among equal ones,
-    their number (1, 2, ...).  Equal documents are counted before the shuffle
-    and spread again in runs, so a document of very many copies costs no task
-    more than a run."""
+    their number (1, 2, ...).  Equal documents are counted before the shuffle;
+    those of more than ``COPIES`` copies alone are spread again in runs, so a
+    document of very many copies costs no task more than a run."""
     cols = docs.columns
-    many = docs.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    runs = many.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__n - 1) div {COPIES}"))))
-    runs = runs.repartition(F.xxhash64(*cols, "__run"))
+    counted = docs.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    few = counted.filter(F.col("__n") <= COPIES).withColumn("__run", F.lit(0).cast("long"))
+    runs = counted.filter(F.col("__n") > COPIES).withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__n - 1) div {COPIES}"))))
+    runs = few.unionByName(runs.repartition(F.xxhash64(*cols, "__run")))
     numbers = F.sequence(F.col("__run") * COPIES + 1, F.least(F.col("__n"), (F.col("__run") + 1) * COPIES))
     each = runs.withColumn("__k", F.explode(numbers))
     return each.select(F.sha2(F.concat(content_id(cols), F.lit("#"), F.col("__k").cast("string")), 256).alias(id_col), *cols)

@@ -5,7 +5,7 @@ import glob
 
 from pyspark.sql import functions as F
 
-from tillcube import registry
+from tillcube import registry, schemas
 from tillcube.operators import temporal
 from tillcube.plans.inspect import plan_text
 from tillcube.session import new_table_path
@@ -38,6 +38,14 @@ def test_star_report_names_every_role(spark, sf_dir):
                    "dim_product": ("Product details", True), "dim_category": ("Category grouping", True)}
 
 
+def test_declared_rows_are_not_sorted(spark):
+    raw = spark.createDataFrame([("1", "bolt"), ("x", "nut")], "category_id string, category_name string")
+    path = new_table_path(spark, "declared")
+    ok, bad = schemas.read_declared(raw, "categories", path)
+    assert [r.category_id for r in ok.collect()] == [1] and [r.reject_reason for r in bad.collect()] == ["category_id: not a value of bigint"]
+    assert not glob.glob(f"{path.removeprefix('file:')}/*=*")      # a folder a side would cost a sort
+
+
 def test_added_documents_move_once_and_are_compressed(spark, monkeypatch):
     monkeypatch.setattr(documents, "COPIES", 3)
     docs = spark.createDataFrame([("a", 1)] * 10 + [("b", 2)] * 3 + [("c", None)], "name string, v int")

@@ -118,8 +118,9 @@ def judged(raw: DataFrame, table: str) -> DataFrame:
 def read_declared(raw: DataFrame, table: str, path: str) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows of the input, both in the declared types, the
     rejected with ``reject_reason``.  The input is read once: both are written
-    to the new folder ``path`` by one job and read from there."""
-    judged(raw, table).withColumn("__accepted", F.col("reject_reason").isNull()).write.partitionBy("__accepted").parquet(path)
-    rows = raw.sparkSession.read.schema(T.StructType([*TABLES[table].fields, T.StructField("reject_reason", T.StringType()), T.StructField("__accepted", T.BooleanType())])).parquet(path)
-    accepted = rows.filter(F.col("__accepted")).drop("__accepted", "reject_reason")
-    return accepted, rows.filter(~F.col("__accepted")).drop("__accepted")
+    to the new folder ``path`` by one job and read from there.  They stay in
+    one table, told apart by the reason: writing them apart would sort every
+    task's rows by it."""
+    judged(raw, table).write.parquet(path)
+    rows = raw.sparkSession.read.schema(T.StructType([*TABLES[table].fields, T.StructField("reject_reason", T.StringType())])).parquet(path)
+    return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason"), rows.filter(F.col("reject_reason").isNotNull())

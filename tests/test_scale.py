@@ -6,10 +6,10 @@ import glob
 from pyspark.sql import functions as F
 
 from tillcube import registry, schemas
-from tillcube.operators import temporal
+from tillcube.operators import layout, temporal
 from tillcube.plans.inspect import plan_text
 from tillcube.session import new_table_path
-from tillcube.sources import documents
+from tillcube.sources import documents, retail
 
 
 def test_a_price_version_is_listed_at_most_twice(spark):
@@ -38,6 +38,18 @@ def test_star_report_names_every_role(spark, sf_dir):
                    "dim_product": ("Product details", True), "dim_category": ("Category grouping", True)}
 
 
+def test_load_deals_its_sales_by_their_number(spark, wh, monkeypatch):
+    sales, tasks = wh.keyed_sales(), 3 * spark.sparkContext.defaultParallelism
+    n = sales.count()
+    monkeypatch.setattr(retail, "ROWS_PER_TASK", -(-n // tasks))
+    path = retail.write_sales(sales, wh.products(), new_table_path(spark, "dealt"), rows=n)
+    back = spark.read.parquet(path)
+    files = back.groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == n and len(files) >= tasks
+    assert max(r["count"] for r in files) <= 2 * n / tasks
+    assert back.select(*sales.columns).exceptAll(sales).isEmpty()
+
+
 def test_declared_rows_are_not_sorted(spark):
     raw = spark.createDataFrame([("1", "bolt"), ("x", "nut")], "category_id string, category_name string")
     path = new_table_path(spark, "declared")
@@ -60,3 +72,11 @@ def test_added_documents_move_once_and_are_compressed(spark, monkeypatch):
     # documents of few copies are not dealt a second time
     plan = named._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression") == 1 and "(__n" in plan and "> 3" in plan
+
+
+def test_facts_keep_their_rows_and_the_session_its_settings(spark, wh):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    made = layout.load_facts(wh.keyed_sales(), new_table_path(spark, "star"))
+    facts = spark.read.parquet(made["fact_sales"])
+    assert facts.count() == wh.sales().count() == facts.select("fact_id").distinct().count()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, money
-from ..session import new_table_path
+from ..session import new_table_path, open_writers
 from .keys import sequential_key
 
 # The column groups of the product and fact tables.
@@ -229,9 +229,11 @@ def load_dimensions(products: DataFrame, categories: DataFrame, root: str) -> di
 
 def load_facts(keyed_sales: DataFrame, root: str) -> dict[str, str]:
     """H4, second half: the fact table from sales that carry their surrogate
-    keys.  They stand in (year, access) order already, so nothing is moved."""
-    (fact_sales(keyed_sales).withColumn("fact_id", F.monotonically_increasing_id())
-        .write.partitionBy("year").parquet(f"{root}/fact_sales"))
+    keys.  They stand in (year, access) order already, so nothing is moved, nor
+    sorted: a task writes its few years side by side."""
+    with open_writers(keyed_sales.sparkSession):
+        (fact_sales(keyed_sales).withColumn("fact_id", F.monotonically_increasing_id())
+            .write.partitionBy("year").parquet(f"{root}/fact_sales"))
     return {"fact_sales": f"{root}/fact_sales"}
 
 

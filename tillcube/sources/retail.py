@@ -126,7 +126,11 @@ def sales_from(lineitem: DataFrame, looked_up: DataFrame, fest_days: DataFrame)
     )
 
 
-def write_sales(sales: DataFrame, products: DataFrame, path: str, row_group_bytes: int | None = None) -> str:
+# Sales that one task of the load sorts: some 120 MB, whatever the size of the table.
+ROWS_PER_TASK = 400_000
+
+
+def write_sales(sales: DataFrame, products: DataFrame, path: str, row_group_bytes: int | None = None, rows: int = 0) -> str:
     """H1/H3: write the sales by year, in access order.
 
     Range partitions by (year, place on the curve of ``layout.access_order``):
@@ -137,11 +141,17 @@ def write_sales(sales: DataFrame, products: DataFrame, path: str, row_group_byte
     category ids rule out row groups that their min/max cannot.  Range bounds
     are sampled from the joined rows, which costs a second pass over the
     join's input.
+
+    Of ``rows`` sales (about) no task gets more than ``ROWS_PER_TASK``, so that
+    none spills: Spark alone would give as many tasks as there are cores, or
+    some 64 MB of compressed rows each.
     """
     ends = products.agg(F.min("product_id").alias("low"), F.max("product_id").alias("high")).head()
     place = layout.access_order("sale_date", "product_id", F.lit(ends.low or 0), F.lit(ends.high or 0))
     keys = ["year", "__place", "order_key"]
-    writer = sales.withColumn("__place", place).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__place").write.partitionBy("year")
+    tasks = -(-rows // ROWS_PER_TASK)
+    dealt = [tasks, *keys] if tasks > sales.sparkSession.sparkContext.defaultParallelism else keys
+    writer = sales.withColumn("__place", place).repartitionByRange(*dealt).sortWithinPartitions(*keys).drop("__place").write.partitionBy("year")
     for c in ("product_id", "category_id"):
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if row_group_bytes:
@@ -285,8 +295,10 @@ def _load(spark: SparkSession, sf_dir: str, festivals, layout_tables: bool, key)
 
     def sales_table():
         star = f"{root}/star"
-        sales = sales_from(lineitem, load_dimension(wh.read(f"{star}/dim_product"), wh.read(f"{star}/dim_category")), wh.festival_days())
-        write_sales(sales, wh.products(), f"{root}/sales")
+        # The looked-up rows of a task are hashed, so the facts are not sorted by product first.
+        looked_up = load_dimension(wh.read(f"{star}/dim_product"), wh.read(f"{star}/dim_category")).hint("shuffle_hash")
+        sales = sales_from(lineitem, looked_up, wh.festival_days())
+        write_sales(sales, wh.products(), f"{root}/sales", rows=lineitem.count())
 
     def time_dim():
         calendar.dim_time_from_span(span, wh.festival_days()).coalesce(1).write.parquet(f"{root}/dim_time")

@@ -2,11 +2,12 @@
 
 import datetime as dt
 import glob
+import threading
 
 from pyspark.sql import functions as F
 
 from tillcube import registry, schemas
-from tillcube.operators import layout, temporal
+from tillcube.operators import layout, ml, temporal
 from tillcube.plans.inspect import plan_text
 from tillcube.session import new_table_path
 from tillcube.sources import documents, retail
@@ -80,3 +81,11 @@ def test_facts_keep_their_rows_and_the_session_its_settings(spark, wh):
     facts = spark.read.parquet(made["fact_sales"])
     assert facts.count() == wh.sales().count() == facts.select("fact_id").distinct().count()
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before
+
+
+def test_both_targets_train_side_by_side(spark, wh, monkeypatch):
+    feats = registry._features(spark, wh)
+    both, make = threading.Barrier(len(ml.TARGETS)), ml.forest_regressor
+    monkeypatch.setattr(ml, "forest_regressor", lambda *args: both.wait(120) is not None and make(*args))
+    metrics, paths = ml.train_forests(feats, trees=1, depth=2)
+    assert {r.target for r in metrics.collect()} == set(ml.TARGETS) and set(paths) == {"metrics", *ml.TARGETS}

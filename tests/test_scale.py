@@ -89,3 +89,29 @@ def test_both_targets_train_side_by_side(spark, wh, monkeypatch):
     monkeypatch.setattr(ml, "forest_regressor", lambda *args: both.wait(120) is not None and make(*args))
     metrics, paths = ml.train_forests(feats, trees=1, depth=2)
     assert {r.target for r in metrics.collect()} == set(ml.TARGETS) and set(paths) == {"metrics", *ml.TARGETS}
+
+
+def test_forest_tasks_are_even_and_hold_neighbours(spark, wh, monkeypatch):
+    feats, held, make = registry._features(spark, wh), {}, ml.forest_regressor
+    uneven = feats.filter("month <= 10").coalesce(1).unionAll(feats.filter("month > 10").coalesce(1))
+
+    class Seen:
+        def __init__(self, target, *args):
+            self.target, self.estimator = target, make(target, *args)
+
+        def fit(self, train):
+            value = ml.FEATURE_COLUMNS.index("base_sale_value")
+            held[self.target] = [[r.features[value] for r in part] for part in train.select("features").rdd.glom().collect()]
+            return self.estimator.fit(train)
+
+    monkeypatch.setattr(ml, "TASK_ROWS", 500, raising=False)
+    monkeypatch.setattr(ml, "forest_regressor", Seen)
+    metrics, _ = ml.train_forests(uneven, trees=1, depth=2)
+    rows = feats.count()
+    assert sum(r.n for r in metrics.collect()) + sum(len(p) for parts in held.values() for p in parts) == 2 * rows
+    for parts in held.values():
+        assert len(parts) == -(-rows // 500) and max(map(len, parts)) < 1.5 * min(map(len, parts))
+        assert all(p == sorted(p) for p in parts)
+    # few rows stay as they are read; many come in tasks of a bounded size
+    assert ml.dealt(uneven, 1000) is uneven
+    assert ml.dealt(uneven, 40 * ml.MOST_TASK_ROWS).rdd.getNumPartitions() == 40

@@ -95,3 +95,20 @@ def test_encoder_equals_the_library_on_odd_words():
     texts += ["<|EndOfText|> <|endoftext|>.", "H̱ J̌", "Word,word. Word.. ,a a,", ""]
     got = encoder([t.encode() for t in texts], b"")
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [model.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_marks_after_letters_are_looked_up_apart():
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from tillcube.llm import token_files
+    with open(public_tokenizers.path("word_bpe_49k.json")) as f:
+        model = f.read()
+    library, encoder, asked = Tokenizer.from_str(model), token_files._Encoder(model, "<u2"), []
+    encode = encoder._library
+    encoder._library = lambda parts: asked.extend(parts) or encode(parts)
+    marks = ["###", "$$$", "%%%", "&&&", "***", ",###", ".", "!?", ")", "'", "_", "<|", "|>", "<|endoftext|>", "~" * 9, "'s", "́"]
+    words = [w + m for w in ("Word", "üöß", "ÉTÉ", "zzxqj", "naïve") for m in marks] + ["###", "3###", "a#b#"]
+    got = encoder([" ".join(words).encode(), *[w.encode() for w in words]], b"\2\0")
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids + [2] for t in (" ".join(words), *words)]
+    assert "###" in asked and not {"Word###", "üöß$$$", "zzxqj,###"} & set(asked)

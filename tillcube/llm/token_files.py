@@ -19,10 +19,10 @@ for lower-casing word tokenizers like the one given; others are refused.  A
 piece reaches the library as it stands: normalisers and added tokens such as
 ``<|endoftext|>`` tell capitals apart.  Only pieces of plain letters (ASCII and
 U+00C0 to U+00FF, which composition cannot change) share the look-up of their
-lower-cased form, and a full stop or comma after one has its own; new ones
-are encoded by the library's model many at a time, without its normaliser,
-where a probe shows that this gives the same ids.  All that only where no added
-token can lie in them.
+lower-cased form, and up to eight marks after one have their own, if a probe
+shows that they part from letters; new ones are encoded by the library's model
+many at a time, without its normaliser, where a probe shows that this gives
+the same ids.  All that only where no added token can lie in them.
 
 Null and empty texts have the end id only.  Rows of one id are ordered by a
 hash of the text; a null id comes first.  Finished files appear under their
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from itertools import chain
 from operator import add
@@ -52,8 +53,9 @@ ROWS = 256              # sequences of a batch
 CACHE = 300_000         # pieces kept in a task
 
 
-# a line: plain letters and a mark, or anything else
-_LINE = re.compile("^(?:([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,]?)|(.*))$", re.M)
+# a line: plain letters and marks, or anything else
+_LINE = "^(?:([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([%s]{0,8})|(.*))$"
+_MARKED = ["Word", "naïveté", "zzzzxqjÿ"]
 _PROBE = ["a", "word", "Words", "ÀÉÎÕÜ", "straße", "naïvetés", "zzzzxqj", "ÿþ", "internationalisation"]
 
 
@@ -65,6 +67,11 @@ class _Encoder:
         self.kind, self.size = kind, np.dtype(kind).itemsize
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.shared = not any(c.isalpha() or "." in c or "," in c for c in added)
+        # marks that part from the letters before them, and lie in no added token
+        free = [c for c in string.punctuation if not any(c in t for t in added)]
+        split = [self._library([x + c, x + 2 * c]) == [a + b for a in self._library([x]) for b in self._library([c, 2 * c])] for c in free for x in _MARKED]
+        marks = [c for i, c in enumerate(free) if all(split[i * len(_MARKED):(i + 1) * len(_MARKED)])]
+        self.line = re.compile(_LINE % re.escape("".join({".", ",", *marks})), re.M)
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -93,7 +100,7 @@ class _Encoder:
         """Ids of new words, into the cache."""
         text = b"\n".join(new).decode()
         if self.shared:
-            letters, marks, others = zip(*_LINE.findall(text))
+            letters, marks, others = zip(*self.line.findall(text))
             letters = "\n".join(letters).lower().split("\n")
         else:
             others = text.split("\n")

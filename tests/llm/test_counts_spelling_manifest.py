@@ -143,6 +143,18 @@ def test_spelling_of_edge_rows(spark, edge_docs):
     assert spelling.variants(edge_docs.limit(0)).collect() == []
 
 
+def test_spelling_broadcasts_no_table(spark, monkeypatch):
+    """However small Spark takes the words and their lists to be."""
+    plans = []
+    stored = spelling.store
+    monkeypatch.setattr(spelling, "store", lambda df, name: plans.append((name, df._jdf.queryExecution().toString())) or stored(df, name))
+    counts = {"planets": 5, "planetes": 25, "planetese": 125}
+    docs = spark.createDataFrame([(1, " ".join([w] * c)) for w, c in counts.items()], "doc_id long, text string")
+    assert spelling.variants(docs, damage=0).count() == 3
+    assert [n for n, p in plans if "SortMergeJoin" in p] == ["near-words", "near-forms", "roots", "spelling"]
+    assert not [n for n, p in plans if "Broadcast" in p]
+
+
 def test_affected_grams_bound():
     """No edit changes more grams than the bound says, whatever grams are frequent."""
     rng = random.Random(7)

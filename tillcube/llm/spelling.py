@@ -23,6 +23,10 @@ point inserted, deleted or replaced makes one the other.
    its other end are alike.
 5. Pairs that meet are verified by edit distance, in the join itself.
 
+Spark sizes an exploded table by what it was before and a stored one by its
+compressed files, so joins on the vocabulary's tables and lists are by merging:
+none is broadcast, however small it seems (``by_merge``).
+
 Every word of six code points or more keeps a gram at any edit, so no pair is
 lost.  A null text has no words; a null id counts as an empty one where ids
 take part.  Rows that repeat an id count each.  An empty table gives no words.
@@ -119,6 +123,11 @@ def _index(frequent):
     return run
 
 
+def by_merge(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """The join by shuffle and sort, of sides that grow with the vocabulary."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """(a, na, b, nb): every two near words once."""
     frequent = vocabulary.sparkSession.sparkContext.broadcast(frequent_grams(vocabulary))
@@ -126,7 +135,7 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
     lists = index.select("word", "n", F.explode("lists").alias("list")).select(F.xxhash64("list").alias("list"), F.col("word").alias("a"), F.col("n").alias("na"))
     other = lists.select("list", F.col("a").alias("b"), F.col("na").alias("nb"))
     near = F.expr("a < b AND abs(char_length(a) - char_length(b)) <= 1 AND levenshtein(a, b, 1) = 1")
-    pairs = lists.join(other, "list").filter(near).drop("list").distinct()
+    pairs = by_merge(lists, other, "list").filter(near).drop("list").distinct()
     return store(pairs, "near-words")
 
 
@@ -137,9 +146,9 @@ def roots(forms: DataFrame) -> DataFrame:
     at = store(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         on = at.selectExpr("word AS mid", "root AS far")
-        if not at.join(on, F.col("root") == F.col("mid"), "left_semi").limit(1).count():
+        if not by_merge(at, on, F.col("root") == F.col("mid"), "left_semi").limit(1).count():
             return at
-        further = store(at.join(on, F.col("root") == F.col("mid"), "left").select("word", F.coalesce("far", "root").alias("root")), "roots")
+        further = store(by_merge(at, on, F.col("root") == F.col("mid"), "left").select("word", F.coalesce("far", "root").alias("root")), "roots")
         drop_tables(at)
         at = further
 
@@ -150,10 +159,10 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", da
     pairs = near_pairs(vocabulary)
     sides = pairs.selectExpr("a AS word", "b AS other", "nb AS m").union(pairs.selectExpr("b AS word", "a AS other", "na AS m"))
     best = sides.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "other")).alias("best"))
-    near = vocabulary.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.expr(f"CASE WHEN -best.m >= {RATIO} * n THEN best END").alias("best"))
+    near = by_merge(vocabulary, best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.expr(f"CASE WHEN -best.m >= {RATIO} * n THEN best END").alias("best"))
     near = store(near.select("word", "n", "n_near", F.col("best.other").alias("form"), (-F.col("best.m")).alias("form_n")), "near-forms")
     ends = roots(near.filter("form IS NOT NULL"))
-    out = near.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    out = by_merge(near, ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
     out = store(out, "spelling")
     drop_tables(vocabulary, pairs, near, ends)
     return out
